@@ -1,4 +1,7 @@
-"""Lenient parsing, money and calendar expressions.
+"""Lenient parsing, money and calendar expressions, as Spark SQL text.
+
+Each function takes SQL expressions (a column name at the simplest) and returns one, for
+``selectExpr``, ``F.expr`` or plain SQL.
 
 Spark runs in ANSI mode, where a bad cast or a zero divisor fails the job. Everything that
 meets raw data here uses the ``try_`` forms and yields null instead.
@@ -6,77 +9,67 @@ meets raw data here uses the ``try_`` forms and yields null instead.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
-
-
-def to_column(value: Column | str) -> Column:
-    return F.col(value) if isinstance(value, str) else value
-
 
-def is_missing(value: Column | str, dtype: str) -> Column:
+def is_missing(value: str, dtype: str) -> str:
     """Null test that also counts NaN, which Spark keeps apart from null."""
-    column = to_column(value)
-    return (column.isNull() | F.isnan(column)) if dtype in ("double", "float") else column.isNull()
+    return f"({value} IS NULL OR isnan({value}))" if dtype in ("double", "float") else f"({value} IS NULL)"
 
 
-def lenient_number(value: Column | str) -> Column:
+def lenient_number(value: str) -> str:
     """Number or null. NaN becomes null as well, since it would compare above everything."""
-    number = to_column(value).try_cast("double")
-    return F.when(F.isnan(number), F.lit(None)).otherwise(number)
+    return f"nullif(try_cast({value} AS DOUBLE), double('NaN'))"
 
 
-def lenient_timestamp(value: Column | str) -> Column:
-    return to_column(value).try_cast("timestamp")
+def lenient_timestamp(value: str) -> str:
+    return f"try_cast({value} AS TIMESTAMP)"
 
 
-def clip(value: Column, low: float, high: float) -> Column:
+def clip(value: str, low: float, high: float) -> str:
     """Bound a value and keep null; ``greatest``/``least`` would replace null by the bound."""
-    # Adding 0.0 turns -0.0 into 0.0, so equal amounts also have equal bits.
-    return F.when(value < low, F.lit(low)).when(value > high, F.lit(high)).otherwise(value + F.lit(0.0))
+    # Adding 0 turns -0.0 into 0.0, so equal amounts also have equal bits.
+    return f"CASE WHEN {value} < {low}D THEN {low}D WHEN {value} > {high}D THEN {high}D ELSE {value} + 0D END"
 
 
-def cents(value: Column | str) -> Column:
+def cents(value: str) -> str:
     """Money in whole cents. Sums of cents do not depend on the order of addition."""
-    return F.round(to_column(value) * 100).cast("long")
+    return f"CAST(round({value} * 100) AS BIGINT)"
 
 
-def money_sum(value: Column | str) -> Column:
+def money_sum(value: str) -> str:
     """Aggregate: exact sum of a money column, in currency units."""
-    return F.sum(cents(value)) / F.lit(100)
+    return f"sum({cents(value)}) / 100"
 
 
-def money_avg(value: Column | str) -> Column:
+def money_avg(value: str) -> str:
     """Aggregate: mean of a money column, in currency units."""
-    total = F.sum(cents(value))
-    return F.try_divide(total, F.count(to_column(value))) / F.lit(100)
+    return f"try_divide(sum({cents(value)}), count({value})) / 100"
 
 
-def half_even(value: Column, places: int) -> Column:
+def half_even(value: str, places: int) -> str:
     """Round to even on the scaled double, the rule of array libraries (SQL rounds half up)."""
-    scale = F.lit(float(10**places))
-    return F.rint(value * scale) / scale
+    scale = f"{10.0**places}D"
+    return f"rint(({value}) * {scale}) / {scale}"
 
 
-def line_total_cents(unit_cents: Column, quantity: Column, discount: Column) -> Column:
+def line_total_cents(unit_cents: str, quantity: str, discount: str) -> str:
     """Price of a line in cents after its discount, cut to whole cents."""
-    off = F.round(discount * 100).cast("long")
-    return F.floor((unit_cents * quantity * (F.lit(100) - off)) / F.lit(100)).cast("long")
+    return f"({unit_cents} * {quantity} * (100 - {cents(discount)})) DIV 100"
 
 
-def percent_cents(amount_cents: Column, percent: Column) -> Column:
+def percent_cents(amount_cents: str, percent: str) -> str:
     """A whole percentage of an amount in cents, cut to whole cents."""
-    return F.floor(amount_cents * percent / F.lit(100)).cast("long")
+    return f"({amount_cents} * ({percent})) DIV 100"
 
 
-def add_hours(moment: Column, hours: Column) -> Column:
-    return moment + F.make_dt_interval(F.lit(0), hours.cast("int"))
+def add_hours(moment: str, hours: str) -> str:
+    return f"{moment} + make_dt_interval(0, CAST({hours} AS INT))"
 
 
-def month_start(day: Column | str) -> Column:
-    return F.trunc(to_column(day), "MM")
+def month_start(day: str) -> str:
+    return f"trunc({day}, 'MM')"
 
 
-def months_apart(later: Column, earlier: Column, wrap: bool = False) -> Column:
+def months_apart(later: str, earlier: str, wrap: bool = False) -> str:
     """Whole months between two month starts; ``wrap`` keeps only the month part of the age."""
-    months = F.months_between(later, earlier).cast("int")
-    return months % 12 if wrap else months
+    months = f"CAST(months_between({later}, {earlier}) AS INT)"
+    return f"{months} % 12" if wrap else months

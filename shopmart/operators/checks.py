@@ -11,31 +11,31 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from shopmart.functions.scalars import lenient_number
 from shopmart.operators.dedup import duplicate_count
-from shopmart.operators.profile import null_counts
+from shopmart.operators.profile import aggregate, null_counts
 
 DEFAULT_NULL_THRESHOLD = 0.10
 SAMPLE_ORPHANS = 20
 
 # Field order of a result record, the check's own parameters last.
 _RESULT_FIELDS = {
-    "check": "string",
-    "dataset": "string",
-    "status": "string",
-    "error_count": "bigint",
-    "details": "string",
-    "checked_at": "timestamp",
-    "threshold": "double",
-    "column": "string",
-    "min_val": "double",
-    "max_val": "double",
-    "parent": "string",
-    "fk_col": "string",
-    "pk_col": "string",
+    "check": "STRING",
+    "dataset": "STRING",
+    "status": "STRING",
+    "error_count": "BIGINT",
+    "details": "STRING",
+    "checked_at": "TIMESTAMP",
+    "threshold": "DOUBLE",
+    "column": "STRING",
+    "min_val": "DOUBLE",
+    "max_val": "DOUBLE",
+    "parent": "STRING",
+    "fk_col": "STRING",
+    "pk_col": "STRING",
 }
 
 
@@ -56,43 +56,51 @@ def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:
     return [c for c in required if c not in df.columns]
 
 
+def _literal(value: object) -> str:
+    if value is None:
+        return "NULL"
+    return "'{}'".format(value.replace("\\", "\\\\").replace("'", "\\'")) if isinstance(value, str) else str(value)
+
+
 def result(
     check: str,
     dataset: str,
-    errors: Column,
-    details: Column | None = None,
+    errors: str,
+    details: str = "'{}'",
     checked_at: datetime | None = None,
     **parameters: object,
-) -> Column:
-    """One result record as a struct; a check passes when it found no errors."""
-    values: dict[str, Column] = {
-        "check": F.lit(check),
-        "dataset": F.lit(dataset),
-        "status": F.when(errors == 0, F.lit("PASS")).otherwise(F.lit("FAIL")),
+) -> str:
+    """One result record as a struct expression; a check passes when it found no errors.
+
+    ``errors`` and ``details`` are SQL expressions, ``parameters`` plain values.
+    """
+    values = {
+        "check": _literal(check),
+        "dataset": _literal(dataset),
+        "status": f"if({errors} = 0, 'PASS', 'FAIL')",
         "error_count": errors,
-        "details": F.lit("{}") if details is None else details,
-        "checked_at": F.current_timestamp() if checked_at is None else F.lit(checked_at),
+        "details": details,
+        "checked_at": f"TIMESTAMP '{checked_at}'" if checked_at else "current_timestamp()",
+        **{name: _literal(value) for name, value in parameters.items()},
     }
-    values |= {name: F.lit(value) for name, value in parameters.items()}
-    return F.struct(
-        *[values.get(name, F.lit(None)).cast(dtype).alias(name) for name, dtype in _RESULT_FIELDS.items()]
-    )
+    fields = [f"'{name}', CAST({values.get(name, 'NULL')} AS {dtype})" for name, dtype in _RESULT_FIELDS.items()]
+    return f"named_struct({', '.join(fields)})"
 
 
-def schema_result(df: DataFrame, dataset: str, required: Sequence[str], checked_at: datetime | None = None) -> Column:
+def schema_result(df: DataFrame, dataset: str, required: Sequence[str], checked_at: datetime | None = None) -> str:
     missing = missing_columns(df, required)
-    details = F.lit(json.dumps({"missing_columns": missing}, separators=(",", ":")))
-    return result("schema", dataset, F.lit(len(missing)), details, checked_at)
+    details = json.dumps({"missing_columns": missing}, separators=(",", ":"))
+    return result("schema", dataset, str(len(missing)), _literal(details), checked_at)
 
 
-def _out_of_range(df: DataFrame, rule: Range) -> Column:
+def _out_of_range(rule: Range) -> str:
     number = lenient_number(rule.column)
-    bad = number.isNull()
+    bad = [f"{number} IS NULL"]
     if rule.low is not None:
-        bad = bad | (number < rule.low)
+        bad.append(f"{number} < {rule.low}")
     if rule.high is not None:
-        bad = bad | (number > rule.high)
-    return F.count_if(bad)
+        bad.append(f"{number} > {rule.high}")
+    return f"count_if({' OR '.join(bad)})"
 
 
 def table_checks(
@@ -105,34 +113,33 @@ def table_checks(
 ) -> DataFrame:
     """Schema, null-rate and range results of one table from one aggregate pass."""
     require_columns(df, [rule.column for rule in ranges], dataset)
-    aggregates = [F.count(F.lit(1)).alias("rows")]
-    if null_threshold is not None:
-        aggregates += null_counts(df)
-    aggregates += [_out_of_range(df, rule).alias(f"range_{i}") for i, rule in enumerate(ranges)]
-
+    aggregates = ["count(1) AS rows"]
     results = []
     if required is not None:
         results.append(schema_result(df, dataset, required, checked_at))
     if null_threshold is not None:
-        rates = F.array(*[
-            F.struct(F.lit(c).alias("key"), F.try_divide(F.col(f"nulls_{c}"), F.col("rows")).alias("value"))
-            for c in df.columns
-        ])
+        aggregates += null_counts(df)
+        rates = ", ".join(
+            f"named_struct('key', '{c}', 'value', try_divide(`nulls_{c}`, rows))" for c in df.columns
+        )
         # Over the threshold, not on it; an empty table has no rate and passes.
-        over = F.filter(rates, lambda r: F.coalesce(r["value"] > null_threshold, F.lit(False)))
-        shown = F.transform(over, lambda r: F.struct(r["key"].alias("key"), F.round(r["value"], 4).alias("value")))
-        details = F.to_json(F.map_from_entries(shown))
+        over = f"filter(array({rates}), r -> coalesce(r.value > {null_threshold}D, false))"
+        shown = f"transform({over}, r -> named_struct('key', r.key, 'value', round(r.value, 4)))"
         results.append(
-            result("null_rate", dataset, F.size(over), details, checked_at, threshold=float(null_threshold))
+            result(
+                "null_rate", dataset, f"size({over})", f"to_json(map_from_entries({shown}))", checked_at,
+                threshold=float(null_threshold),
+            )
         )
     for i, rule in enumerate(ranges):
+        aggregates.append(f"{_out_of_range(rule)} AS range_{i}")
         results.append(
             result(
-                "numeric_range", dataset, F.col(f"range_{i}"), None, checked_at,
+                "numeric_range", dataset, f"range_{i}", "'{}'", checked_at,
                 column=rule.column, min_val=rule.low, max_val=rule.high,
             )
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*results)))
+    return aggregate(df, aggregates).selectExpr(f"inline(array({', '.join(results)}))")
 
 
 def check_schema(df: DataFrame, dataset: str, required: Sequence[str], checked_at: datetime | None = None) -> DataFrame:
@@ -168,11 +175,11 @@ def key_usage(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFram
     Both sides are reduced to distinct keys before they meet, so a key that fills much of
     the child table is one row in this join.
     """
-    used = child.groupBy(F.col(fk).alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    used = child.selectExpr(f"{fk} AS key").groupBy("key").count().withColumnRenamed("count", "rows")
     if not _comparable(child, fk, parent, pk):
-        return used.withColumn("found", F.lit(False))
-    known = parent.select(F.col(pk).alias("key")).where("key IS NOT NULL").distinct().withColumn("found", F.lit(True))
-    return used.join(known, "key", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+        return used.selectExpr("*", "false AS found")
+    known = parent.selectExpr(f"{pk} AS key").where("key IS NOT NULL").distinct().selectExpr("key", "true AS met")
+    return used.join(known, "key", "left").selectExpr("key", "rows", "met IS NOT NULL AS found")
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
@@ -193,27 +200,24 @@ def check_referential_integrity(
     require_columns(child, [fk_col], child_name)
     require_columns(parent, [pk_col], parent_name)
     usage = key_usage(child, parent, fk_col, pk_col)
-    orphan = F.col("key").isNotNull() & ~F.col("found")
-    counts = usage.agg(
-        F.count_if(orphan).alias("orphans"),
-        F.coalesce(F.sum(F.when(F.col("key").isNull(), F.col("rows"))), F.lit(0)).alias("null_fks"),
-    )
+    counts = aggregate(usage, [
+        "count_if(key IS NOT NULL AND NOT found) AS orphans",
+        "coalesce(sum(if(key IS NULL, rows, 0L)), 0L) AS null_fks",
+    ])
     # The smallest orphans: every task keeps 20, so the list never grows with the table.
     sample = (
-        usage.where(orphan).select("key").orderBy("key").limit(SAMPLE_ORPHANS)
-        .agg(F.sort_array(F.collect_list("key")).alias("keys"))
-    )
-    details = F.to_json(
-        F.struct(sample.scalar().alias("sample_orphans"), F.col("null_fks").alias("null_fk_count"))
+        usage.where("key IS NOT NULL AND NOT found").select("key").orderBy("key").limit(SAMPLE_ORPHANS)
+        .agg(F.sort_array(F.collect_list("key")))
     )
     record = result(
-        "referential_integrity", child_name, F.col("orphans") + F.col("null_fks"), details, checked_at,
+        "referential_integrity", child_name, "orphans + null_fks",
+        "to_json(named_struct('sample_orphans', sample, 'null_fk_count', null_fks))", checked_at,
         parent=parent_name, fk_col=fk_col, pk_col=pk_col,
     )
-    return counts.select(F.inline(F.array(record)))
+    return counts.withColumn("sample", sample.scalar()).selectExpr(f"inline(array({record}))")
 
 
 def check_duplicates(df: DataFrame, dataset: str, pk_col: str, checked_at: datetime | None = None) -> DataFrame:
     require_columns(df, [pk_col], dataset)
-    record = result("duplicates", dataset, F.col("duplicates"), None, checked_at, pk_col=pk_col)
-    return duplicate_count(df, pk_col).select(F.inline(F.array(record)))
+    record = result("duplicates", dataset, "duplicates", "'{}'", checked_at, pk_col=pk_col)
+    return duplicate_count(df, pk_col).selectExpr(f"inline(array({record}))")

@@ -9,8 +9,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame
 
+from shopmart.operators.profile import aggregate
 from shopmart.operators.sampling import n_rows
 from shopmart.schemas import CHANNELS, ORDER_STATUSES, PAYMENT_METHODS, PAYMENT_STATUSES
 
@@ -21,8 +22,8 @@ class Rule:
     condition: str
     null_passes: bool = False
 
-    def broken(self) -> Column:
-        return ~F.coalesce(F.expr(self.condition), F.lit(self.null_passes))
+    def broken(self) -> str:
+        return f"NOT coalesce({self.condition}, {str(self.null_passes).lower()})"
 
 
 @dataclass(frozen=True)
@@ -155,32 +156,28 @@ def check_columns(df: DataFrame, contract: Contract) -> None:
 def count_violations(df: DataFrame, contract: Contract) -> DataFrame:
     """One row per rule: broken rows and rows checked."""
     check_columns(df, contract)
-    counts = df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        *[F.count_if(rule.broken()).alias(f"r{i}") for i, rule in enumerate(contract.rules)],
+    counts = [f"count_if({rule.broken()}) AS r{i}" for i, rule in enumerate(contract.rules)]
+    lines = ", ".join(
+        f"named_struct('rule', '{rule.name}', 'violations', r{i})" for i, rule in enumerate(contract.rules)
     )
-    lines = [
-        F.struct(F.lit(rule.name).alias("rule"), F.col(f"r{i}").alias("violations"))
-        for i, rule in enumerate(contract.rules)
-    ]
-    return counts.select("rows", F.inline(F.array(*lines))).select(
-        F.lit(contract.dataset).alias("dataset"), "rule", "violations", F.col("rows").alias("rows_checked")
+    return aggregate(df, ["count(1) AS rows", *counts]).selectExpr("rows", f"inline(array({lines}))").selectExpr(
+        f"'{contract.dataset}' AS dataset", "rule", "violations", "rows AS rows_checked"
     )
 
 
 def with_violations(df: DataFrame, contract: Contract) -> DataFrame:
     """Add ``violations``, the names of the rules a row breaks."""
     check_columns(df, contract)
-    names = [F.when(rule.broken(), F.lit(rule.name)) for rule in contract.rules]
-    return df.withColumn("violations", F.array_compact(F.array(*names)))
+    names = ", ".join(f"if({rule.broken()}, '{rule.name}', NULL)" for rule in contract.rules)
+    return df.selectExpr("*", f"array_compact(array({names})) AS violations")
 
 
 def valid_rows(df: DataFrame, contract: Contract) -> DataFrame:
-    return with_violations(df, contract).where(F.size("violations") == 0).drop("violations")
+    return with_violations(df, contract).where("size(violations) = 0").drop("violations")
 
 
 def quarantined_rows(df: DataFrame, contract: Contract) -> DataFrame:
-    return with_violations(df, contract).where(F.size("violations") > 0)
+    return with_violations(df, contract).where("size(violations) > 0")
 
 
 def validate(df: DataFrame, contract: Contract, sample: int | None = None, seed: int = 42) -> None:
@@ -188,7 +185,7 @@ def validate(df: DataFrame, contract: Contract, sample: int | None = None, seed:
 
     By default the whole table is checked; ``sample`` limits the check to so many rows.
     """
-    checked = n_rows(df, sample, seed) if sample else df
+    checked = n_rows(df, contract.columns[0], sample, seed) if sample else df
     bad = quarantined_rows(checked, contract)
     first = [row.asDict() for row in bad.limit(3).collect()]
     if first:

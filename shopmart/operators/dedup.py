@@ -4,24 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame
 
 
-def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str | Column] | None = None) -> DataFrame:
+def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ()) -> DataFrame:
     """Keep one row per key, null counting as a key of its own.
 
     A distributed table has no row order, so "first" follows ``order_by`` (a load time or
-    sequence column, if there is one) or else all other columns: a rerun on any cluster
+    sequence column, if there is one) and then all other columns: a rerun on any cluster
     layout keeps the same row. The rank filter lets Catalyst cut every key to one row
     before the shuffle (``WindowGroupLimit``), so a key with very many copies stays cheap.
     """
-    tie_break = [name for name in df.columns if name not in keys]
-    order = [*(order_by or []), *tie_break] or list(keys)
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    return df.withColumn("_row", rank).where("_row = 1").drop("_row")
+    order = [*order_by, *[name for name in df.columns if name not in keys]] or list(keys)
+    rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}) AS _row"
+    return df.selectExpr("*", rank).where("_row = 1").drop("_row")
 
 
 def duplicate_count(df: DataFrame, key: str) -> DataFrame:
     """One row: how many rows repeat an earlier key."""
-    copies = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    return copies.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
+    copies = df.selectExpr(f"{key} AS key").groupBy("key").count()
+    return copies.selectExpr("coalesce(sum(count - 1), 0L) AS duplicates")

@@ -6,35 +6,34 @@ from collections.abc import Sequence
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from shopmart.functions.scalars import is_missing
+from shopmart.functions.scalars import is_missing, lenient_number
 
 
-def null_counts(df: DataFrame) -> list[Column]:
+def aggregate(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
+    """Global aggregate from SQL expressions: always one row, also for an empty table."""
+    return df.selectExpr(*expressions)
+
+
+def null_counts(df: DataFrame) -> list[str]:
     """Aggregates ``nulls_<column>`` for every column (NaN counts as null)."""
-    return [
-        F.count_if(is_missing(F.col(f"`{name}`"), dtype)).alias(f"nulls_{name}") for name, dtype in df.dtypes
-    ]
+    return [f"count_if({is_missing(f'`{name}`', dtype)}) AS `nulls_{name}`" for name, dtype in df.dtypes]
 
 
 def table_profile(df: DataFrame, dataset: str, ingested_at: datetime | None = None) -> DataFrame:
     """One row: row and column count, null percent per column (2 decimals) as a map, run time."""
-    stamp = F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()
-    share = [
-        F.struct(
-            F.lit(name).alias("column"),
-            F.round(F.coalesce(F.try_divide(F.col(f"nulls_{name}") * 100, F.col("rows")), F.lit(0.0)), 2).alias("pct"),
-        )
-        for name in df.columns
-    ]
-    return df.agg(F.count(F.lit(1)).alias("rows"), *null_counts(df)).select(
-        F.lit(dataset).alias("dataset"),
+    shares = ", ".join(
+        f"'{name}', round(coalesce(try_divide(`nulls_{name}` * 100, rows), 0D), 2)" for name in df.columns
+    )
+    stamp = f"TIMESTAMP '{ingested_at}'" if ingested_at else "current_timestamp()"
+    return aggregate(df, ["count(1) AS rows", *null_counts(df)]).selectExpr(
+        f"'{dataset}' AS dataset",
         "rows",
-        F.lit(len(df.columns)).cast("long").alias("columns"),
-        F.map_from_entries(F.array(*share)).alias("null_pct_per_column"),
-        stamp.alias("ingested_at"),
+        f"{len(df.columns)}L AS columns",
+        f"map({shares}) AS null_pct_per_column",
+        f"{stamp} AS ingested_at",
     )
 
 
@@ -42,37 +41,35 @@ def null_profile(df: DataFrame, dataset: str) -> DataFrame:
     """Long form of the null percentages, worst column first."""
     return (
         table_profile(df, dataset)
-        .select("dataset", F.explode("null_pct_per_column").alias("column_name", "null_pct"))
+        .selectExpr("dataset", "explode(null_pct_per_column) AS (column_name, null_pct)")
         .orderBy(F.desc("null_pct"), "column_name")
     )
 
 
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
     """Row and column count of several tables."""
-    sizes = [
-        df.agg(F.count(F.lit(1)).alias("rows"))
-        .select(F.lit(name).alias("dataset"), "rows", F.lit(len(df.columns)).cast("long").alias("columns"))
+    return reduce(DataFrame.unionByName, [
+        aggregate(df, [f"'{name}' AS dataset", "count(1) AS rows", f"{len(df.columns)}L AS columns"])
         for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, sizes)
+    ])
+
+
+def _counts(df: DataFrame, column: str) -> DataFrame:
+    return df.where(f"{column} IS NOT NULL").groupBy(column).count()
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, null left out, in value order."""
-    return (
-        df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count")).orderBy(column)
-    )
+    return _counts(df, column).orderBy(column)
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
     """Rows per value with their percent of the whole, most frequent first."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("count"))
+    counts = _counts(df, column)
     # A scalar subquery over the same aggregate: no window that gathers all values in one task.
     total = counts.agg(F.sum("count")).scalar()
-    return counts.withColumn("share_pct", F.round(F.col("count") * 100 / total, 1)).orderBy(F.desc("count"), column)
-
-
-QUARTILES = (0.25, 0.5, 0.75)
+    share = F.round(F.col("count") * 100 / total, 1)
+    return counts.withColumn("share_pct", share).orderBy(F.desc("count"), column)
 
 
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 100_000) -> DataFrame:
@@ -83,26 +80,16 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, accurac
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    aggregates, rows = [], []
+    measures = []
     for name in columns:
-        value = F.col(name).cast("double")
-        value = F.when(F.isnan(value), F.lit(None)).otherwise(value)
-        measures = {
-            "count": F.count(value),
-            "mean": F.avg(value),
-            "std": F.stddev_samp(value),
-            "min": F.min(value),
-            "quartiles": F.percentile_approx(value, list(QUARTILES), accuracy),
-            "max": F.max(value),
-        }
-        aggregates += [measure.alias(f"{name}__{label}") for label, measure in measures.items()]
-        quartiles = F.col(f"{name}__quartiles")
-        rows.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                *[F.col(f"{name}__{label}").alias(label) for label in ("count", "mean", "std", "min")],
-                *[quartiles[i].alias(f"p{int(q * 100)}") for i, q in enumerate(QUARTILES)],
-                F.col(f"{name}__max").alias("max"),
-            )
+        value = lenient_number(name)
+        measures.append(
+            f"named_struct('column_name', '{name}', 'count', count({value}), 'mean', avg({value}),"
+            f" 'std', stddev_samp({value}), 'min', min({value}),"
+            f" 'q', percentile_approx({value}, array(0.25, 0.5, 0.75), {accuracy}), 'max', max({value}))"
         )
-    return df.agg(*aggregates).select(F.inline(F.array(*rows)))
+    return (
+        aggregate(df, [f"array({', '.join(measures)}) AS m"])
+        .selectExpr("inline(m)")
+        .selectExpr("column_name", "count", "mean", "std", "min", "q[0] AS p25", "q[1] AS p50", "q[2] AS p75", "max")
+    )

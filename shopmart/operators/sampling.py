@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 _BUCKETS = 10_000
 
 
+def _hash(key: str, seed: int) -> str:
+    return f"crc32(CAST(concat_ws(':', CAST({key} AS STRING), '{seed}') AS BINARY))"
+
+
 def key_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> DataFrame:
     """Rows whose hashed key falls in the first ``fraction`` of the hash range.
 
@@ -15,10 +19,10 @@ def key_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> Da
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in [0, 1]")
-    text = F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed)))
-    return df.where(F.pmod(F.crc32(text.cast("binary")), F.lit(_BUCKETS)) < round(fraction * _BUCKETS))
+    return df.where(f"pmod({_hash(key, seed)}, {_BUCKETS}) < {round(fraction * _BUCKETS)}")
 
 
-def n_rows(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
-    """``n`` rows in hash order. Every task keeps only its best ``n`` before the merge."""
-    return df.orderBy(F.xxhash64(*df.columns, F.lit(seed)), *df.columns).limit(n)
+def n_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
+    """``n`` rows in hash order of a key. Every task keeps only its best ``n`` before the merge."""
+    order = ["_hash", *df.columns]
+    return df.selectExpr("*", f"{_hash(key, seed)} AS _hash").orderBy(*order).limit(n).drop("_hash")

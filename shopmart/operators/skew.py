@@ -22,13 +22,14 @@ SAMPLE_ROWS = 1_000_000
 
 def find_hot_keys(
     df: DataFrame,
-    key: str | Column,
+    key: str,
     share: float = HOT_SHARE,
     min_rows: int = MIN_ROWS,
     sample_rows: int = SAMPLE_ROWS,
     seed: int = 42,
 ) -> list[Any]:
-    """Keys that hold at least ``share`` of the rows, null included: about 1/share at most.
+    """Keys (values of a SQL expression) that hold at least ``share`` of the rows, null
+    included: about 1/share at most.
 
     Row counts of Parquet tables come from file footers, and tables below ``min_rows`` fit
     ordinary partitions, so they are not looked at. Larger tables are sampled on the key
@@ -38,8 +39,7 @@ def find_hot_keys(
     if rows < min_rows:
         return []
     fraction = min(1.0, sample_rows / rows)
-    column = F.col(key) if isinstance(key, str) else key
-    keys = df.select(column.alias("k"))
+    keys = df.selectExpr(f"{key} AS k")
     if fraction < 1.0:
         keys = keys.sample(fraction, seed)
     busy = (

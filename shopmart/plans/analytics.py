@@ -9,22 +9,18 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from shopmart.functions.scalars import cents, money_avg, money_sum, month_start, months_apart
 from shopmart.operators.skew import lookup_join
-from shopmart.schemas import NOT_SOLD
 
+SOLD = "ds_status NOT IN ('cancelled', 'returned')"
 TOP_K = 20
 CHURN_DAYS = 90
 
 
-def _today(as_of: date | None) -> Column:
-    return F.lit(as_of) if as_of else F.current_date()
-
-
-def _sold(fact: DataFrame) -> DataFrame:
-    return fact.where(~F.col("ds_status").isin(*NOT_SOLD))
+def _today(as_of: date | None) -> str:
+    return f"DATE '{as_of}'" if as_of else "current_date()"
 
 
 def monthly_revenue(
@@ -32,17 +28,16 @@ def monthly_revenue(
 ) -> DataFrame:
     """Q1: delivered revenue, orders and average ticket per month and category."""
     delivered = fact.where("ds_status = 'delivered'").select("sk_tempo", "sk_produto", "nk_order_id", "line_total")
-    named = lookup_join(
-        delivered, dim_produtos.select("sk_produto", "category"), "sk_produto", "inner", hot_products
-    ).join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
-    orders = F.count_distinct("nk_order_id")
-    total = F.sum(cents("line_total"))
+    groups = dim_produtos.selectExpr("sk_produto", "category AS categoria")
+    named = lookup_join(delivered, groups, "sk_produto", "inner", hot_products)
+    total, orders = f"sum({cents('line_total')})", "count(DISTINCT nk_order_id)"
     return (
-        named.groupBy("ano", "mes", F.col("category").alias("categoria"))
+        named.join(dim_tempo.select("sk_tempo", "ano", "mes"), "sk_tempo")
+        .groupBy("ano", "mes", "categoria")
         .agg(
-            (total / F.lit(100)).alias("receita"),
-            orders.alias("qtd_pedidos"),
-            F.round(F.try_divide(total, orders) / F.lit(100), 2).alias("ticket_medio"),
+            F.expr(f"{total} / 100 AS receita"),
+            F.expr(f"{orders} AS qtd_pedidos"),
+            F.expr(f"round(try_divide({total}, {orders}) / 100, 2) AS ticket_medio"),
         )
         .orderBy("ano", "mes", F.desc("receita"), "categoria")
     )
@@ -54,18 +49,12 @@ def product_revenue(fact: DataFrame, dim_produtos: DataFrame) -> DataFrame:
     The fact is summed per surrogate key before it meets the dimension, so the join handles
     one row per product however often a product was sold.
     """
-    sums = (
-        _sold(fact).groupBy("sk_produto")
-        .agg(F.sum("quantity").alias("units"), F.sum(cents("line_total")).alias("amount"))
+    sums = fact.where(SOLD).groupBy("sk_produto").agg(
+        F.expr("sum(quantity) AS units"), F.expr(f"sum({cents('line_total')}) AS amount")
     )
-    names = dim_produtos.select("sk_produto", "nk_product_id", "nm_produto", F.col("category").alias("categoria"))
-    return (
-        sums.join(names, "sk_produto")
-        .groupBy("nk_product_id", "nm_produto", "categoria")
-        .agg(
-            F.sum("units").alias("unidades_vendidas"),
-            (F.sum("amount") / F.lit(100)).alias("receita_total"),
-        )
+    names = dim_produtos.selectExpr("sk_produto", "nk_product_id", "nm_produto", "category AS categoria")
+    return sums.join(names, "sk_produto").groupBy("nk_product_id", "nm_produto", "categoria").agg(
+        F.expr("sum(units) AS unidades_vendidas"), F.expr("sum(amount) / 100 AS receita_total")
     )
 
 
@@ -79,11 +68,10 @@ def top_products(fact: DataFrame, dim_produtos: DataFrame, k: int = TOP_K, keep_
     """
     revenue = product_revenue(fact, dim_produtos)
     if not keep_ties:
-        revenue = revenue.orderBy(F.desc_nulls_last("receita_total"), "nk_product_id").limit(k)
-    rank = F.rank().over(Window.orderBy(F.desc_nulls_last("receita_total")))
+        revenue = revenue.orderBy(F.desc("receita_total"), "nk_product_id").limit(k)
     return (
-        revenue.withColumn("ranking_receita", rank)
-        .where(F.col("ranking_receita") <= k)
+        revenue.selectExpr("*", "rank() OVER (ORDER BY receita_total DESC) AS ranking_receita")
+        .where(f"ranking_receita <= {k}")
         .orderBy("ranking_receita", "nk_product_id")
     )
 
@@ -96,19 +84,16 @@ def ticket_by_channel(
     The average runs over item rows. The date filter on the calendar cannot prune fact
     partitions, so the same bound is put on the fact's year and month.
     """
-    today = _today(as_of)
-    first = F.date_sub(today, days) if days is not None else F.add_months(today, -12)
-    recent = _sold(fact).where(
-        F.col("year") * 12 + F.col("month") >= F.year(first) * 12 + F.month(first)
-    )
-    dates = dim_tempo.where(F.col("dt_data") >= first).select("sk_tempo")
+    first = f"date_sub({_today(as_of)}, {days})" if days is not None else f"add_months({_today(as_of)}, -12)"
+    recent = fact.where(f"{SOLD} AND year * 12 + month >= year({first}) * 12 + month({first})")
     return (
-        recent.join(dates, "sk_tempo")
-        .groupBy(F.col("ds_canal").alias("canal"), F.col("method").alias("metodo_pagamento"))
+        recent.join(dim_tempo.where(f"dt_data >= {first}").select("sk_tempo"), "sk_tempo")
+        .withColumnsRenamed({"ds_canal": "canal", "method": "metodo_pagamento"})
+        .groupBy("canal", "metodo_pagamento")
         .agg(
-            F.count_distinct("nk_order_id").alias("qtd_pedidos"),
-            F.round(money_avg("vl_total_pedido"), 2).alias("ticket_medio"),
-            F.round(money_sum("line_total"), 2).alias("receita_total"),
+            F.expr("count(DISTINCT nk_order_id) AS qtd_pedidos"),
+            F.expr(f"round({money_avg('vl_total_pedido')}, 2) AS ticket_medio"),
+            F.expr(f"round({money_sum('line_total')}, 2) AS receita_total"),
         )
         .orderBy(F.desc("ticket_medio"), "canal", "metodo_pagamento")
     )
@@ -119,18 +104,18 @@ def churn(
 ) -> DataFrame:
     """Q4: customers whose last sale lies more than ``days`` back."""
     last = (
-        _sold(fact).join(dim_tempo.select("sk_tempo", "dt_data"), "sk_tempo")
+        fact.where(SOLD).select("sk_cliente", "sk_tempo")
+        .join(dim_tempo.select("sk_tempo", "dt_data"), "sk_tempo")
         .groupBy("sk_cliente").agg(F.max("dt_data").alias("dt_ultimo_pedido"))
     )
-    idle = F.datediff(_today(as_of), "dt_ultimo_pedido")
     return (
-        last.join(dim_clientes.select("sk_cliente", F.col("state").alias("estado")), "sk_cliente")
-        .select(
+        last.join(dim_clientes.selectExpr("sk_cliente", "state AS estado"), "sk_cliente")
+        .selectExpr(
             "sk_cliente",
             "estado",
             "dt_ultimo_pedido",
-            idle.alias("dias_desde_ultimo_pedido"),
-            F.when(idle > days, "churn").otherwise("ativo").alias("status_churn"),
+            f"datediff({_today(as_of)}, dt_ultimo_pedido) AS dias_desde_ultimo_pedido",
+            f"if(datediff({_today(as_of)}, dt_ultimo_pedido) > {days}, 'churn', 'ativo') AS status_churn",
         )
         .orderBy(F.desc("dias_desde_ultimo_pedido"), "sk_cliente")
     )
@@ -143,13 +128,13 @@ def cohorts(fact: DataFrame, dim_tempo: DataFrame, wrap_months: bool = False) ->
     window over a customer's months, of which there are at most as many as calendar months.
     """
     months = (
-        _sold(fact).join(dim_tempo.select("sk_tempo", month_start("dt_data").alias("mes_pedido")), "sk_tempo")
-        .groupBy("sk_cliente", "mes_pedido").agg(F.count(F.lit(1)).alias("rows"))
+        fact.where(SOLD).select("sk_cliente", "sk_tempo")
+        .join(dim_tempo.selectExpr("sk_tempo", f"{month_start('dt_data')} AS mes_pedido"), "sk_tempo")
+        .select("sk_cliente", "mes_pedido").distinct()
     )
-    first = F.min("mes_pedido").over(Window.partitionBy("sk_cliente"))
     return (
-        months.withColumn("mes_coorte", first)
-        .groupBy("mes_coorte", "mes_pedido").agg(F.count("sk_cliente").alias("clientes_ativos"))
-        .withColumn("numero_mes", months_apart(F.col("mes_pedido"), F.col("mes_coorte"), wrap_months))
+        months.selectExpr("*", "min(mes_pedido) OVER (PARTITION BY sk_cliente) AS mes_coorte")
+        .groupBy("mes_coorte", "mes_pedido").agg(F.expr("count(sk_cliente) AS clientes_ativos"))
+        .selectExpr("*", f"{months_apart('mes_pedido', 'mes_coorte', wrap_months)} AS numero_mes")
         .orderBy("mes_coorte", "mes_pedido")
     )

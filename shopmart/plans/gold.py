@@ -6,59 +6,66 @@ import warnings
 from collections.abc import Callable
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmart.functions.keys import crc32_key
 from shopmart.functions.scalars import half_even
+from shopmart.operators.profile import aggregate
 from shopmart.operators.skew import detail_join, lookup_join
 from shopmart.plans.hot import NO_HOT_KEYS, HotKeys
 from shopmart.schemas import CLEANED, FACT_COLUMNS
 from shopmart.sources import tables
 
 UNKNOWN_MEMBER = 0
-KeyFunction = Callable[[Column], Column]
+KeyFunction = Callable[[str], str]
+
+# Natural and surrogate key of each dimension.
+KEYS = {
+    "dim_clientes": ("nk_customer_id", "sk_cliente"),
+    "dim_produtos": ("nk_product_id", "sk_produto"),
+    "dim_tempo": ("dt_data", "sk_tempo"),
+}
 
 
 def build_dim_clientes(customers: DataFrame, key: KeyFunction = crc32_key) -> DataFrame:
-    return customers.select(
-        key(F.col("customer_id")).alias("sk_cliente"),
-        F.col("customer_id").alias("nk_customer_id"),
+    return customers.selectExpr(
+        f"{key('customer_id')} AS sk_cliente",
+        "customer_id AS nk_customer_id",
         "city",
         "state",
-        F.col("created_at").alias("dt_criacao"),
+        "created_at AS dt_criacao",
     )
 
 
 def build_dim_produtos(products: DataFrame, key: KeyFunction = crc32_key) -> DataFrame:
     """Products with margin in percent; a null or zero price gives 0."""
-    price, cost = F.col("price"), F.col("cost")
-    margin = F.try_divide(price - cost, F.nullif(price, F.lit(0.0))) * 100
-    return products.select(
-        key(F.col("product_id")).alias("sk_produto"),
-        F.col("product_id").alias("nk_product_id"),
-        F.col("name").alias("nm_produto"),
+    margin = half_even("coalesce(try_divide(price - cost, nullif(price, 0D)) * 100, 0D)", 2)
+    return products.selectExpr(
+        f"{key('product_id')} AS sk_produto",
+        "product_id AS nk_product_id",
+        "name AS nm_produto",
         "category",
         "subcategory",
         "price",
         "cost",
-        half_even(F.coalesce(margin, F.lit(0.0)), 2).alias("margem_pct"),
+        f"{margin} AS margem_pct",
     )
 
 
 def _calendar(days: DataFrame, key: KeyFunction) -> DataFrame:
-    day = F.col("dt_data")
-    return days.select(
-        key(F.date_format(day, "yyyy-MM-dd")).alias("sk_tempo"),
-        day,
-        F.year(day).alias("ano"),
-        F.month(day).alias("mes"),
-        F.dayofmonth(day).alias("dia"),
-        F.quarter(day).alias("trimestre"),
-        F.weekofyear(day).alias("semana_ano"),
-        F.weekday(day).alias("dia_semana"),
-        F.date_format(day, "EEEE").alias("nm_dia_semana"),
-        F.date_format(day, "MMMM").alias("nm_mes"),
-        (F.weekday(day) >= 5).alias("fl_fimdesemana"),
+    iso_date = "date_format(dt_data, 'yyyy-MM-dd')"
+    return days.selectExpr(
+        f"{key(iso_date)} AS sk_tempo",
+        "dt_data",
+        "year(dt_data) AS ano",
+        "month(dt_data) AS mes",
+        "day(dt_data) AS dia",
+        "quarter(dt_data) AS trimestre",
+        "weekofyear(dt_data) AS semana_ano",
+        "weekday(dt_data) AS dia_semana",
+        "date_format(dt_data, 'EEEE') AS nm_dia_semana",
+        "date_format(dt_data, 'MMMM') AS nm_mes",
+        "weekday(dt_data) >= 5 AS fl_fimdesemana",
     )
 
 
@@ -66,24 +73,26 @@ def build_dim_tempo(spark: SparkSession, start: date, end: date, key: KeyFunctio
     """One row per day from ``start`` to ``end``, both included."""
     if start > end:
         raise ValueError(f"start ({start}) must not be after end ({end})")
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("dt_data"))
+    days = spark.range(1).selectExpr(f"explode(sequence(DATE '{start}', DATE '{end}')) AS dt_data")
     return _calendar(days, key)
 
 
 def calendar_of(orders: DataFrame, key: KeyFunction = crc32_key) -> DataFrame:
     """The date dimension from the first to the last order date, without a driver round trip."""
-    span = orders.agg(F.to_date(F.min("order_date")).alias("first"), F.to_date(F.max("order_date")).alias("last"))
-    days = span.where("first IS NOT NULL").select(F.explode(F.sequence("first", "last")).alias("dt_data"))
+    span = aggregate(orders, ["to_date(min(order_date)) AS first", "to_date(max(order_date)) AS last"])
+    days = span.where("first IS NOT NULL").selectExpr("explode(sequence(first, last)) AS dt_data")
     return _calendar(days, key)
 
 
-def _lookup(dimension: DataFrame, natural: str, surrogate: str, alias: str) -> DataFrame:
+def _lookup(dimension: DataFrame, table: str, alias: str) -> DataFrame:
     """Natural to surrogate key, one row per natural key even where the dimension repeats one."""
-    return dimension.groupBy(F.col(natural).alias(alias)).agg(F.max(surrogate).alias(surrogate))
+    natural, surrogate = KEYS[table]
+    pairs = dimension.selectExpr(f"{natural} AS {alias}", surrogate)
+    return pairs.groupBy(alias).agg(F.max(surrogate).alias(surrogate))
 
 
-def _or_unknown(surrogate: str) -> Column:
-    return F.coalesce(F.col(surrogate), F.lit(UNKNOWN_MEMBER)).cast("long").alias(surrogate)
+def _or_unknown(surrogate: str) -> str:
+    return f"coalesce({surrogate}, {UNKNOWN_MEMBER}L) AS {surrogate}"
 
 
 def enforce_columns(df: DataFrame, columns: tuple[str, ...], name: str) -> DataFrame:
@@ -108,29 +117,29 @@ def build_fato_pedidos(
     null item columns. Year and month are taken from the order before rows multiply. Narrow
     orders and items visit the dimensions, and only then meet on the order id.
     """
-    dated = orders.withColumns({
-        "dt_data": F.to_date("order_date"), "year": F.year("order_date"), "month": F.month("order_date"),
-    })
-    by_customer = _lookup(dim_clientes, "nk_customer_id", "sk_cliente", "customer_id")
-    by_day = _lookup(dim_tempo, "dt_data", "sk_tempo", "dt_data")
-    by_product = _lookup(dim_produtos, "nk_product_id", "sk_produto", "product_id")
-
-    keyed = lookup_join(dated, by_customer, "customer_id", hot=hot.order_customers)
+    by_customer = _lookup(dim_clientes, "dim_clientes", "customer_id")
+    by_day = _lookup(dim_tempo, "dim_tempo", "dt_data")
+    by_product = _lookup(dim_produtos, "dim_produtos", "product_id")
+
+    dated = orders.selectExpr("*", "to_date(order_date) AS dt_data")
     # Grouped by a DATE, the day lookup has at most one short row per calendar day: safe to broadcast.
-    keyed = keyed.join(F.broadcast(by_day), "dt_data", "left").select(
-        F.col("order_id").alias("nk_order_id"),
+    keyed = lookup_join(dated, by_customer, "customer_id", hot=hot.order_customers).join(
+        F.broadcast(by_day), "dt_data", "left"
+    )
+    heads = keyed.selectExpr(
+        "order_id AS nk_order_id",
         _or_unknown("sk_cliente"),
         _or_unknown("sk_tempo"),
-        F.col("status").alias("ds_status"),
-        F.col("channel").alias("ds_canal"),
-        F.col("total_amount").alias("vl_total_pedido"),
-        F.col("shipping_fee").alias("vl_frete"),
-        "year",
-        "month",
+        "status AS ds_status",
+        "channel AS ds_canal",
+        "total_amount AS vl_total_pedido",
+        "shipping_fee AS vl_frete",
+        "year(order_date) AS year",
+        "month(order_date) AS month",
     )
-    paid = payments.select(F.col("order_id").alias("nk_order_id"), "method", F.col("status").alias("payment_status"))
-    lines = lookup_join(items, by_product, "product_id", hot=hot.item_products).select(
-        F.col("order_id").alias("nk_order_id"),
+    paid = payments.selectExpr("order_id AS nk_order_id", "method", "status AS payment_status")
+    lines = lookup_join(items, by_product, "product_id", hot=hot.item_products).selectExpr(
+        "order_id AS nk_order_id",
         "item_id",
         _or_unknown("sk_produto"),
         "quantity",
@@ -139,61 +148,70 @@ def build_fato_pedidos(
         "line_total",
     )
     fact = detail_join(
-        detail_join(keyed, paid, "nk_order_id", hot=hot.payment_orders), lines, "nk_order_id", hot=hot.item_orders
+        detail_join(heads, paid, "nk_order_id", hot=hot.payment_orders), lines, "nk_order_id", hot=hot.item_orders
     )
     return enforce_columns(fact, FACT_COLUMNS, "fato_pedidos")
 
 
 def orphan_counts(fact: DataFrame) -> DataFrame:
     """One row per surrogate key: fact rows and orders that point at the unknown member."""
-    keys = ("sk_cliente", "sk_produto", "sk_tempo")
-    per_order = fact.groupBy("nk_order_id").agg(*[F.count_if(F.col(k) == UNKNOWN_MEMBER).alias(k) for k in keys])
-    totals = per_order.agg(
-        *[F.coalesce(F.sum(k), F.lit(0)).alias(f"{k}_rows") for k in keys],
-        *[F.count_if(F.col(k) > 0).alias(f"{k}_orders") for k in keys],
+    keys = [surrogate for _, surrogate in KEYS.values()]
+    per_order = fact.groupBy("nk_order_id").agg(
+        *[F.expr(f"count_if({k} = {UNKNOWN_MEMBER}) AS {k}") for k in keys]
     )
-    lines = [
-        F.struct(
-            F.lit(k).alias("surrogate_key"),
-            F.col(f"{k}_rows").alias("orphan_rows"),
-            F.col(f"{k}_orders").alias("orphan_orders"),
-        )
+    lines = ", ".join(
+        f"named_struct('surrogate_key', '{k}', 'orphan_rows', coalesce(sum({k}), 0L),"
+        f" 'orphan_orders', count_if({k} > 0))"
         for k in keys
-    ]
-    return totals.select(F.inline(F.array(*lines)))
+    )
+    return aggregate(per_order, [f"array({lines}) AS lines"]).selectExpr("inline(lines)")
 
 
-def key_collisions(dimension: DataFrame, natural: str, surrogate: str) -> DataFrame:
+def key_collisions(dimension: DataFrame, table: str) -> DataFrame:
     """Surrogate keys that stand for several natural keys.
 
     CRC-32 has 32 bits: about n^2 / 2^33 pairs of n keys collide. Beyond some ten thousand
     members build the star with ``key=wide_key``.
     """
-    members = dimension.select(natural, surrogate).distinct()
-    return members.groupBy(surrogate).agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    natural, surrogate = KEYS[table]
+    members = dimension.select(natural, surrogate).distinct().groupBy(surrogate).count()
+    return members.withColumnRenamed("count", "members").where("members > 1")
+
+
+def collision_summary(dimension: DataFrame, table: str) -> DataFrame:
+    """One row: surrogate keys of a dimension and how many natural keys had to share one."""
+    natural, surrogate = KEYS[table]
+    members = dimension.select(natural, surrogate).distinct().groupBy(surrogate).count()
+    return aggregate(
+        members, [f"'{table}' AS dimension", "count(1) AS keys", "coalesce(sum(count - 1), 0L) AS collisions"]
+    )
 
 
-def report_collisions(dimension: DataFrame, natural: str, surrogate: str, fail: bool = False) -> int:
+def report_collisions(dimension: DataFrame, table: str, fail: bool = False) -> int:
     """Warn, or raise, when surrogate keys of a dimension collide."""
-    extra = key_collisions(dimension, natural, surrogate).agg(F.sum(F.col("members") - 1)).first()[0] or 0
+    extra = collision_summary(dimension, table).first()["collisions"]
     if extra:
-        message = f"{extra} surrogate key collisions in {surrogate}: use a wider key function"
+        message = f"{extra} surrogate key collisions in {table}: use a wider key function"
         if fail:
             raise ValueError(message)
         warnings.warn(message, stacklevel=2)
     return extra
 
 
+def build_dimensions(cleaned: dict[str, DataFrame], key: KeyFunction = crc32_key) -> dict[str, DataFrame]:
+    return {
+        "dim_clientes": build_dim_clientes(cleaned["customers"], key),
+        "dim_produtos": build_dim_produtos(cleaned["products"], key),
+        "dim_tempo": calendar_of(cleaned["orders"], key),
+    }
+
+
 def build_star(
     cleaned: dict[str, DataFrame], key: KeyFunction = crc32_key, hot: HotKeys = NO_HOT_KEYS
 ) -> dict[str, DataFrame]:
-    dim_clientes = build_dim_clientes(cleaned["customers"], key)
-    dim_produtos = build_dim_produtos(cleaned["products"], key)
-    dim_tempo = calendar_of(cleaned["orders"], key)
-    fact = build_fato_pedidos(
-        cleaned["orders"], cleaned["order_items"], cleaned["payments"], dim_clientes, dim_produtos, dim_tempo, hot
-    )
-    return {"dim_clientes": dim_clientes, "dim_produtos": dim_produtos, "dim_tempo": dim_tempo, "fato_pedidos": fact}
+    dimensions = build_dimensions(cleaned, key)
+    fact = build_fato_pedidos(cleaned["orders"], cleaned["order_items"], cleaned["payments"], **dimensions, hot=hot)
+    return {**dimensions, "fato_pedidos": fact}
 
 
 def run(
@@ -210,25 +228,16 @@ def run(
     """
     needed = ("customers", "products", "orders", "order_items", "payments")
     cleaned = {name: tables.read_parquet(spark, f"{silver_path}/cleaned/{name}", CLEANED[name]) for name in needed}
-    dimensions = {
-        "dim_clientes": build_dim_clientes(cleaned["customers"], key),
-        "dim_produtos": build_dim_produtos(cleaned["products"], key),
-        "dim_tempo": calendar_of(cleaned["orders"], key),
-    }
+    dimensions = build_dimensions(cleaned, key)
     for name, df in dimensions.items():
         tables.write_parquet(df, f"{gold_path}/{name}")
         dimensions[name] = tables.read_parquet(spark, f"{gold_path}/{name}")
-    report_collisions(dimensions["dim_clientes"], "nk_customer_id", "sk_cliente", fail_on_collision)
-    report_collisions(dimensions["dim_produtos"], "nk_product_id", "sk_produto", fail_on_collision)
-    report_collisions(dimensions["dim_tempo"], "dt_data", "sk_tempo", fail_on_collision)
+        report_collisions(dimensions[name], name, fail_on_collision)
     hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
-    fact = build_fato_pedidos(
-        cleaned["orders"], cleaned["order_items"], cleaned["payments"],
-        dimensions["dim_clientes"], dimensions["dim_produtos"], dimensions["dim_tempo"], hot,
-    )
+    fact = build_fato_pedidos(cleaned["orders"], cleaned["order_items"], cleaned["payments"], **dimensions, hot=hot)
     tables.write_parquet(fact, f"{gold_path}/fato_pedidos", ("year", "month"))
 
 
 def read_star(spark: SparkSession, gold_path: str) -> dict[str, DataFrame]:
-    names = ("dim_clientes", "dim_produtos", "dim_tempo", "fato_pedidos")
+    names = (*KEYS, "fato_pedidos")
     return {name: tables.read_parquet(spark, f"{gold_path}/{name}") for name in names}

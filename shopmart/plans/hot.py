@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 
 from shopmart.operators.skew import HOT_SHARE, MIN_ROWS, find_hot_keys
 
@@ -24,13 +24,13 @@ class HotKeys:
         orders: DataFrame,
         items: DataFrame,
         payments: DataFrame,
-        customer_key: Column | str = "customer_id",
+        customer_key: str = "customer_id",
         share: float = HOT_SHARE,
         min_rows: int = MIN_ROWS,
     ) -> HotKeys:
         """Measure stored tables (not plans: this runs jobs that read the key columns)."""
 
-        def find(df: DataFrame, key: Column | str) -> tuple[Any, ...]:
+        def find(df: DataFrame, key: str) -> tuple[Any, ...]:
             return tuple(find_hot_keys(df, key, share, min_rows))
 
         return HotKeys(

@@ -27,21 +27,19 @@ def orders_enriched(
     Payments join first: deduplicated orders are already spread by order id.
     """
     places = customers.select("customer_id", "city", "state")
-    paid = payments.select("order_id", "method", F.col("status").alias("payment_status"))
+    paid = payments.selectExpr("order_id", "method", "status AS payment_status")
     joined = detail_join(orders, paid, "order_id", hot=hot.payment_orders)
-    return (
-        lookup_join(joined, places, "customer_id", hot=hot.order_customers)
-        .withColumns({"year": F.year("order_date"), "month": F.month("order_date")})
-        .select(*orders.columns, "city", "state", "method", "payment_status", "year", "month")
+    return lookup_join(joined, places, "customer_id", hot=hot.order_customers).selectExpr(
+        *orders.columns, "city", "state", "method", "payment_status",
+        "year(order_date) AS year", "month(order_date) AS month",
     )
 
 
 def items_enriched(items: DataFrame, products: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
     """Items with the product's category and subcategory."""
     groups = products.select("product_id", "category", "subcategory")
-    return lookup_join(items, groups, "product_id", hot=hot.item_products).select(
-        *items.columns, "category", "subcategory"
-    )
+    joined = lookup_join(items, groups, "product_id", hot=hot.item_products)
+    return joined.select(*items.columns, "category", "subcategory")
 
 
 def monthly_revenue(enriched_orders: DataFrame, enriched_items: DataFrame, hot: HotKeys = NO_HOT_KEYS) -> DataFrame:
@@ -56,14 +54,14 @@ def monthly_revenue(enriched_orders: DataFrame, enriched_items: DataFrame, hot:
     sold = enriched_items.select("order_id", "category", "line_total")
     lines = detail_join(delivered, sold, "order_id", hot=hot.item_orders)
     per_order = lines.groupBy("order_id", "customer_id", "year", "month", "category").agg(
-        F.sum(cents("line_total")).alias("amount")
+        F.expr(f"sum({cents('line_total')}) AS amount")
     )
     return (
         per_order.groupBy("year", "month", "category")
         .agg(
-            (F.sum("amount") / F.lit(100)).alias("revenue"),
-            F.count("order_id").alias("order_count"),
-            F.count_distinct("customer_id").alias("unique_customers"),
+            F.expr("sum(amount) / 100 AS revenue"),
+            F.expr("count(order_id) AS order_count"),
+            F.expr("count(DISTINCT customer_id) AS unique_customers"),
         )
         .orderBy("year", "month", F.desc("revenue"), "category")
     )
@@ -75,18 +73,15 @@ def customer_spend(orders: DataFrame, bounds: DataFrame | None = None) -> DataFr
     ``bounds`` splits customers with very many orders (see ``skew.find_range_bounds``).
     """
     slim = orders.select("customer_id", "order_id", "order_date", "total_amount")
-    return with_running(slim, "customer_id", ["order_date", "order_id"], "total_amount", bounds).select(
-        *slim.columns,
-        (F.col("_run") / F.lit(100)).alias("running_total"),
-        F.col("_rank").alias("order_rank"),
-        F.col("_prev").alias("prev_order_amount"),
+    return with_running(slim, "customer_id", ["order_date", "order_id"], "total_amount", bounds).selectExpr(
+        *slim.columns, "_run / 100 AS running_total", "_rank AS order_rank", "_prev AS prev_order_amount"
     )
 
 
 def product_ratings(reviews: DataFrame) -> DataFrame:
     """Average rating and number of reviews per product."""
     return reviews.groupBy("product_id").agg(
-        F.avg("rating").alias("avg_rating"), F.count("review_id").alias("review_count")
+        F.expr("avg(rating) AS avg_rating"), F.expr("count(review_id) AS review_count")
     )
 
 

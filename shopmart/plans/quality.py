@@ -17,6 +17,7 @@ from shopmart.operators.checks import (
     missing_columns,
     table_checks,
 )
+from shopmart.operators.profile import aggregate
 from shopmart.schemas import REQUIRED_COLUMNS
 from shopmart.sources import tables
 
@@ -94,14 +95,14 @@ def run_suite(
 
 def summarise(results: DataFrame, generated_at: datetime | None = None) -> DataFrame:
     """One row: totals and overall status of a run."""
-    failed = F.count_if(F.col("status") == "FAIL")
-    stamp = F.current_timestamp() if generated_at is None else F.lit(generated_at)
-    return results.agg(
-        F.count(F.lit(1)).alias("total_checks"),
-        F.count_if(F.col("status") == "PASS").alias("passed"),
-        failed.alias("failed"),
-        F.when(failed == 0, "PASS").otherwise("FAIL").alias("overall_status"),
-    ).select(stamp.cast("timestamp").alias("generated_at"), "total_checks", "passed", "failed", "overall_status")
+    stamp = f"TIMESTAMP '{generated_at}'" if generated_at else "current_timestamp()"
+    return aggregate(results, [
+        f"{stamp} AS generated_at",
+        "count(1) AS total_checks",
+        "count_if(status = 'PASS') AS passed",
+        "count_if(status = 'FAIL') AS failed",
+        "if(count_if(status = 'FAIL') = 0, 'PASS', 'FAIL') AS overall_status",
+    ])
 
 
 def failed_checks(results: DataFrame) -> DataFrame:

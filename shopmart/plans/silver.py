@@ -4,120 +4,118 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shopmart.functions.keys import pseudonym
 from shopmart.functions.scalars import clip, lenient_number, lenient_timestamp
 from shopmart.operators.dedup import keep_first
+from shopmart.operators.profile import aggregate
 from shopmart.schemas import CLEANED
+from shopmart.sources import tables
 
-Order = Sequence[str] | None
+PII = ("customer_id", "name", "email")
 
 
-def _conform(df: DataFrame, table: str) -> DataFrame:
-    """Contract columns in contract order and type, then whatever else the input carries."""
-    fields = CLEANED[table].fields
-    known = [F.col(f.name).cast(f.dataType).alias(f.name) for f in fields if f.name in df.columns]
-    others = [c for c in df.columns if c not in CLEANED[table].fieldNames()]
-    return df.select(*known, *others)
+def _conform(df: DataFrame, table: str, changes: dict[str, str]) -> DataFrame:
+    """Contract columns in contract order and type, with ``changes`` applied, then the rest."""
+    fields = {f.name: f.dataType.simpleString() for f in CLEANED[table].fields}
+    known = [f"CAST({changes.get(c, c)} AS {dtype}) AS {c}" for c, dtype in fields.items() if c in df.columns]
+    return df.selectExpr(*known, *[c for c in df.columns if c not in fields])
 
 
-def clean_customers(
-    df: DataFrame, hash_key: str, pii: Sequence[str] = ("customer_id", "name", "email")
-) -> DataFrame:
+def clean_customers(df: DataFrame, hash_key: str, pii: Sequence[str] = PII) -> DataFrame:
     """Distinct rows with id and email; personal columns are hashed last, so keys still match."""
     present = df.dropDuplicates().na.drop(subset=["customer_id", "email"])
-    cleaned = present.withColumns({
+    return _conform(present, "customers", {
         "created_at": lenient_timestamp("created_at"),
         "birth_date": lenient_timestamp("birth_date"),
         **{column: pseudonym(column, hash_key) for column in pii},
     })
-    return _conform(cleaned, "customers")
 
 
-def clean_products(df: DataFrame, order_by: Order = None) -> DataFrame:
+def clean_products(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per product; positive amounts, cost at most price, missing stock is 0."""
-    amounts = keep_first(df, ["product_id"], order_by).withColumns({
-        "stock_qty": F.coalesce(F.col("stock_qty").try_cast("int"), F.lit(0)),
-        "price": F.abs(lenient_number("price")),
-        "cost": F.abs(lenient_number("cost")),
+    price, cost = f"abs({lenient_number('price')})", f"abs({lenient_number('cost')})"
+    return _conform(keep_first(df, ["product_id"], order_by), "products", {
+        "stock_qty": "coalesce(try_cast(stock_qty AS INT), 0)",
+        "price": price,
+        # A null on either side leaves the cost as it is (``least`` would fill it in).
+        "cost": f"if({cost} > {price}, {price}, {cost})",
         "created_at": lenient_timestamp("created_at"),
     })
-    # A null on either side leaves the cost as it is (``least`` would fill it in).
-    capped = amounts.withColumn("cost", F.when(F.col("cost") > F.col("price"), F.col("price")).otherwise(F.col("cost")))
-    return _conform(capped, "products")
 
 
-def clean_orders(df: DataFrame, hash_key: str, order_by: Order = None) -> DataFrame:
+def clean_orders(df: DataFrame, hash_key: str, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per order with a positive total."""
-    cleaned = (
-        keep_first(df, ["order_id"], order_by)
-        .withColumns({
-            "order_date": lenient_timestamp("order_date"),
-            "total_amount": lenient_number("total_amount"),
-        })
-        .where("total_amount > 0")
-        .withColumn("customer_id", pseudonym("customer_id", hash_key))
-    )
-    return _conform(cleaned, "orders")
+    total = lenient_number("total_amount")
+    return _conform(keep_first(df, ["order_id"], order_by).where(f"{total} > 0"), "orders", {
+        "customer_id": pseudonym("customer_id", hash_key),
+        "order_date": lenient_timestamp("order_date"),
+        "total_amount": total,
+    })
 
 
-def clean_order_items(df: DataFrame, order_by: Order = None) -> DataFrame:
+def clean_order_items(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per item; positive amounts, discount within [0, 1]."""
-    cleaned = keep_first(df, ["item_id"], order_by).withColumns({
-        "unit_price": F.abs(lenient_number("unit_price")),
-        "discount": clip(lenient_number("discount"), 0.0, 1.0),
-        "line_total": F.abs(lenient_number("line_total")),
+    return _conform(keep_first(df, ["item_id"], order_by), "order_items", {
+        "unit_price": f"abs({lenient_number('unit_price')})",
+        "discount": clip(lenient_number("discount"), 0, 1),
+        "line_total": f"abs({lenient_number('line_total')})",
     })
-    return _conform(cleaned, "order_items")
 
 
-def clean_payments(df: DataFrame, order_by: Order = None) -> DataFrame:
+def clean_payments(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per payment; an order may still have several payments."""
-    cleaned = keep_first(df, ["payment_id"], order_by).withColumn("paid_at", lenient_timestamp("paid_at"))
-    return _conform(cleaned, "payments")
+    return _conform(keep_first(df, ["payment_id"], order_by), "payments", {"paid_at": lenient_timestamp("paid_at")})
 
 
-def clean_reviews(df: DataFrame, hash_key: str, order_by: Order = None) -> DataFrame:
+def clean_reviews(df: DataFrame, hash_key: str, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per review; rating within 1..5 or null."""
-    cleaned = keep_first(df, ["review_id"], order_by).withColumns({
-        "rating": clip(lenient_number("rating"), 1.0, 5.0),
+    return _conform(keep_first(df, ["review_id"], order_by), "reviews", {
+        "rating": clip(lenient_number("rating"), 1, 5),
         "customer_id": pseudonym("customer_id", hash_key),
     })
-    return _conform(cleaned, "reviews")
 
 
-def clean_all(raw: dict[str, DataFrame], hash_key: str) -> dict[str, DataFrame]:
-    return {
-        "customers": clean_customers(raw["customers"], hash_key),
-        "products": clean_products(raw["products"]),
-        "orders": clean_orders(raw["orders"], hash_key),
-        "order_items": clean_order_items(raw["order_items"]),
-        "payments": clean_payments(raw["payments"]),
-        "reviews": clean_reviews(raw["reviews"], hash_key),
-    }
+def clean(table: str, df: DataFrame, hash_key: str) -> DataFrame:
+    """Clean one raw table by name."""
+    if table == "customers":
+        return clean_customers(df, hash_key)
+    if table == "products":
+        return clean_products(df)
+    if table == "orders":
+        return clean_orders(df, hash_key)
+    if table == "order_items":
+        return clean_order_items(df)
+    if table == "payments":
+        return clean_payments(df)
+    if table == "reviews":
+        return clean_reviews(df, hash_key)
+    raise KeyError(table)
 
 
 def coercion_losses(df: DataFrame, dataset: str, numbers: Sequence[str] = (), dates: Sequence[str] = ()) -> DataFrame:
     """One row per column: values that were present but did not parse."""
     parsed = {name: lenient_number(name) for name in numbers} | {name: lenient_timestamp(name) for name in dates}
-    lost = df.agg(*[
-        F.count_if(F.col(name).isNotNull() & after.isNull()).alias(name) for name, after in parsed.items()
-    ])
-    lines = [F.struct(F.lit(name).alias("column_name"), F.col(name).alias("lost")) for name in parsed]
-    return lost.select(F.inline(F.array(*lines))).select(F.lit(dataset).alias("dataset"), "column_name", "lost")
+    lines = ", ".join(
+        f"named_struct('column_name', '{name}', 'lost', count_if({name} IS NOT NULL AND {after} IS NULL))"
+        for name, after in parsed.items()
+    )
+    return aggregate(df, [f"array({lines}) AS lines"]).selectExpr(f"'{dataset}' AS dataset", "inline(lines)")
 
 
 def run(spark: SparkSession, raw_path: str, silver_path: str, hash_key: str) -> None:
     """Clean the raw CSV tables, write them, then write the marts built on the written tables."""
     from shopmart.plans import marts
-    from shopmart.sources import tables
 
-    raw = {name: tables.read_csv(spark, f"{raw_path}/{name}", name) for name in CLEANED}
-    for name, df in clean_all(raw, hash_key).items():
-        tables.write_parquet(df, f"{silver_path}/cleaned/{name}")
-    cleaned = {
+    for name in CLEANED:
+        raw = tables.read_csv(spark, f"{raw_path}/{name}", name)
+        tables.write_parquet(clean(name, raw, hash_key), f"{silver_path}/cleaned/{name}")
+    marts.write_all(read_cleaned(spark, silver_path), f"{silver_path}/spark")
+
+
+def read_cleaned(spark: SparkSession, silver_path: str) -> dict[str, DataFrame]:
+    return {
         name: tables.read_parquet(spark, f"{silver_path}/cleaned/{name}", schema)
         for name, schema in CLEANED.items()
     }
-    marts.write_all(cleaned, f"{silver_path}/spark")

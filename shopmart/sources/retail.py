@@ -20,156 +20,141 @@ reviews         event % 31 = 0 without rating; ratings run from 0 to 6
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from shopmart.functions.scalars import add_hours, cents, line_total_cents, percent_cents
 
 UNKNOWN = 1_000_000_000  # added to a key to make it unknown, or to number a second payment
 
+# Schemas of the given tables. Stating them spares a footer read per table.
+SCHEMAS = {
+    "region": "r_regionkey INT, r_name STRING",
+    "nation": "n_nationkey INT, n_name STRING, n_regionkey INT",
+    "customer": "c_custkey BIGINT, c_name STRING, c_nationkey INT, c_acctbal DOUBLE, c_mktsegment STRING",
+    "part": "p_partkey BIGINT, p_name STRING, p_brand STRING, p_type STRING, p_size INT, p_retailprice DOUBLE",
+    "orders": "o_orderkey BIGINT, o_custkey BIGINT, o_orderstatus STRING, o_totalprice DOUBLE,"
+    " o_orderdate TIMESTAMP_NTZ, o_orderpriority STRING",
+    "lineitem": "l_orderkey BIGINT, l_partkey BIGINT, l_suppkey BIGINT, l_linenumber INT, l_quantity DOUBLE,"
+    " l_extendedprice DOUBLE, l_discount DOUBLE, l_tax DOUBLE, l_returnflag STRING, l_linestatus STRING,"
+    " l_shipdate TIMESTAMP_NTZ",
+    "events": "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING",
+}
+
 
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{table}.parquet")
+    return spark.read.schema(SCHEMAS[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _twice(df: DataFrame, condition: Column) -> DataFrame:
+def _twice(df: DataFrame, condition: str) -> DataFrame:
     """Deliver some rows twice; ``copy`` numbers them. One scan, no union."""
-    times = F.when(condition, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    return df.withColumn("copy", F.explode(times))
-
-
-def _every(key: str, n: int, rest: int = 0) -> Column:
-    return F.col(key) % n == rest
-
-
-def _pick(key: Column, values: Sequence[str]) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), (key % len(values)).cast("int") + 1)
+    return df.selectExpr("*", f"explode(if({condition}, array(0, 1), array(0))) AS copy")
 
 
 def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    region = read(spark, sf_dir, "region")
-    nation = read(spark, sf_dir, "nation").join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-    # Nations number a few dozen; their size decides the join, as everywhere.
-    people = read(spark, sf_dir, "customer").join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-    birth = F.date_add(F.lit("1950-01-01").cast("date"), (F.col("c_custkey") % 18000).cast("int"))
-    joined = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("c_custkey") % 1825).cast("int"))
-    email = F.concat(F.lower(F.replace("c_name", F.lit("#"), F.lit("_"))), F.lit("@example.com"))
-    return _twice(people, _every("c_custkey", 20)).select(
-        F.col("c_custkey").alias("customer_id"),
-        F.col("c_name").alias("name"),
-        F.when(~_every("c_custkey", 50, 7), email).alias("email"),
-        F.col("c_custkey").cast("string").alias("phone"),
-        F.col("n_name").alias("city"),
-        F.upper(F.substring("r_name", 1, 2)).alias("state"),
-        F.when(_every("c_custkey", 97), F.lit("unknown")).otherwise(birth.cast("string")).alias("birth_date"),
-        joined.cast("string").alias("created_at"),
+    people, nation, region = (read(spark, sf_dir, name) for name in ("customer", "nation", "region"))
+    placed = people.join(nation, people["c_nationkey"] == nation["n_nationkey"]).join(
+        region, nation["n_regionkey"] == region["r_regionkey"]
+    )
+    return _twice(placed, "c_custkey % 20 = 0").selectExpr(
+        "c_custkey AS customer_id",
+        "c_name AS name",
+        "if(c_custkey % 50 = 7, NULL, lower(replace(c_name, '#', '_')) || '@example.com') AS email",
+        "CAST(c_custkey AS STRING) AS phone",
+        "n_name AS city",
+        "upper(substr(r_name, 1, 2)) AS state",
+        "if(c_custkey % 97 = 0, 'unknown', CAST(date_add(DATE '1950-01-01', CAST(c_custkey % 18000 AS INT)) AS STRING))"
+        " AS birth_date",
+        "CAST(date_add(DATE '1990-01-01', CAST(c_custkey % 1825 AS INT)) AS STRING) AS created_at",
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     price = cents("p_retailprice")
-    cost = F.when(_every("p_partkey", 17), price * 2).otherwise(percent_cents(price, 30 + F.col("p_partkey") % 50))
-    stock = F.when(~_every("p_partkey", 11), F.col("p_size") + F.col("copy"))
-    made = F.date_add(F.lit("1990-01-01").cast("date"), (F.col("p_partkey") % 1825).cast("int"))
-    return _twice(read(spark, sf_dir, "part"), _every("p_partkey", 19)).select(
-        F.col("p_partkey").alias("product_id"),
-        F.col("p_name").alias("name"),
-        F.col("p_type").alias("category"),
-        F.col("p_brand").alias("subcategory"),
-        (F.when(_every("p_partkey", 13), -price).otherwise(price) / F.lit(100)).alias("price"),
-        (cost / F.lit(100)).alias("cost"),
-        stock.alias("stock_qty"),
-        made.cast("string").alias("created_at"),
+    return _twice(read(spark, sf_dir, "part"), "p_partkey % 19 = 0").selectExpr(
+        "p_partkey AS product_id",
+        "p_name AS name",
+        "p_type AS category",
+        "p_brand AS subcategory",
+        f"if(p_partkey % 13 = 0, -{price}, {price}) / 100 AS price",
+        f"if(p_partkey % 17 = 0, {price} * 2, {percent_cents(price, '30 + p_partkey % 50')}) / 100 AS cost",
+        "if(p_partkey % 11 = 0, NULL, p_size + copy) AS stock_qty",
+        "CAST(date_add(DATE '1990-01-01', CAST(p_partkey % 1825 AS INT)) AS STRING) AS created_at",
     )
 
 
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    key, code = F.col("o_orderkey"), F.col("o_orderstatus")
-    status = (
-        F.when(code == "F", "delivered")
-        .when(code == "O", _pick(key, ("shipped", "pending")))
-        .otherwise(_pick(key, ("cancelled", "returned", "processing")))
-    )
-    customer = F.col("o_custkey") + F.when(_every("o_orderkey", 103), F.lit(UNKNOWN)).otherwise(F.lit(0))
-    return _twice(read(spark, sf_dir, "orders"), _every("o_orderkey", 53)).select(
-        key.alias("order_id"),
-        customer.alias("customer_id"),
-        F.when(~_every("o_orderkey", 107), F.col("o_orderdate").cast("string")).otherwise("n/a").alias("order_date"),
-        status.alias("status"),
-        F.when(_every("o_orderkey", 101), F.lit(0.0)).otherwise(F.col("o_totalprice")).alias("total_amount"),
-        (F.lit(5) + key % 46 + F.col("copy")).cast("double").alias("shipping_fee"),
-        _pick(F.col("o_custkey"), ("web", "mobile", "marketplace")).alias("channel"),
+    return _twice(read(spark, sf_dir, "orders"), "o_orderkey % 53 = 0").selectExpr(
+        "o_orderkey AS order_id",
+        f"o_custkey + if(o_orderkey % 103 = 0, {UNKNOWN}L, 0L) AS customer_id",
+        "if(o_orderkey % 107 = 0, 'n/a', CAST(o_orderdate AS STRING)) AS order_date",
+        "CASE o_orderstatus WHEN 'F' THEN 'delivered'"
+        " WHEN 'O' THEN element_at(array('shipped', 'pending'), CAST(o_orderkey % 2 AS INT) + 1)"
+        " ELSE element_at(array('cancelled', 'returned', 'processing'), CAST(o_orderkey % 3 AS INT) + 1)"
+        " END AS status",
+        "if(o_orderkey % 101 = 0, 0D, o_totalprice) AS total_amount",
+        "CAST(5 + o_orderkey % 46 + copy AS DOUBLE) AS shipping_fee",
+        "element_at(array('web', 'mobile', 'marketplace'), CAST(o_custkey % 3 AS INT) + 1) AS channel",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    amount, quantity = cents("l_extendedprice"), F.col("l_quantity").cast("long")
-    unit = F.floor((amount * 2 + quantity) / (quantity * 2)).cast("long")
-    signed = F.when(_every("l_suppkey", 29), -unit).otherwise(unit)
-    discount = F.when(_every("l_partkey", 23), F.lit(1.5)).otherwise(F.col("l_discount"))
-    product = F.col("l_partkey") + F.when(_every("l_orderkey", 109), F.lit(UNKNOWN)).otherwise(F.lit(0))
-    return read(spark, sf_dir, "lineitem").select(
-        (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("item_id"),
-        F.col("l_orderkey").alias("order_id"),
-        product.alias("product_id"),
-        F.col("l_quantity").cast("int").alias("quantity"),
-        (signed / F.lit(100)).alias("unit_price"),
-        discount.alias("discount"),
-        (line_total_cents(amount, F.lit(1), F.col("l_discount")) / F.lit(100)).alias("line_total"),
+    amount = cents("l_extendedprice")
+    unit = f"((2 * {amount} + CAST(l_quantity AS BIGINT)) DIV (2 * CAST(l_quantity AS BIGINT)))"
+    return read(spark, sf_dir, "lineitem").selectExpr(
+        "l_orderkey * 10 + l_linenumber AS item_id",
+        "l_orderkey AS order_id",
+        f"l_partkey + if(l_orderkey % 109 = 0, {UNKNOWN}L, 0L) AS product_id",
+        "CAST(l_quantity AS INT) AS quantity",
+        f"if(l_suppkey % 29 = 0, -{unit}, {unit}) / 100 AS unit_price",
+        "if(l_partkey % 23 = 0, 1.5D, l_discount) AS discount",
+        f"{line_total_cents(amount, '1', 'l_discount')} / 100 AS line_total",
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    method = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "credit_card")
-        .when(F.col("o_orderpriority") == "2-HIGH", "debit_card")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "pix")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "boleto")
-        .otherwise("wallet")
-    )
-    second = (F.col("copy") == 1) & _every("o_orderkey", 61)
-    paid = add_hours(F.col("o_orderdate"), F.col("o_orderkey") % 49 + F.col("copy"))
-    source = read(spark, sf_dir, "orders")
-    return _twice(source, _every("o_orderkey", 59) | _every("o_orderkey", 61)).select(
-        (F.col("o_orderkey") + F.when(second, F.lit(UNKNOWN)).otherwise(F.lit(0))).alias("payment_id"),
-        F.col("o_orderkey").alias("order_id"),
-        method.alias("method"),
-        _pick(F.col("o_orderkey"), ("approved", "declined", "pending", "refunded")).alias("status"),
-        F.col("o_totalprice").alias("amount"),
-        paid.cast("string").alias("paid_at"),
+    paid_at = add_hours("o_orderdate", "o_orderkey % 49 + copy")
+    return _twice(read(spark, sf_dir, "orders"), "o_orderkey % 59 = 0 OR o_orderkey % 61 = 0").selectExpr(
+        f"o_orderkey + if(copy = 1 AND o_orderkey % 61 = 0, {UNKNOWN}L, 0L) AS payment_id",
+        "o_orderkey AS order_id",
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'debit_card'"
+        " WHEN '3-MEDIUM' THEN 'pix' WHEN '4-NOT SPECIFIED' THEN 'boleto' ELSE 'wallet' END AS method",
+        "element_at(array('approved', 'declined', 'pending', 'refunded'), CAST(o_orderkey % 4 AS INT) + 1) AS status",
+        "o_totalprice AS amount",
+        f"CAST({paid_at} AS STRING) AS paid_at",
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rating = F.floor("value").cast("int") % 7
-    return read(spark, sf_dir, "events").select(
-        F.col("event_id").alias("review_id"),
-        (F.col("event_id") % 1500).alias("order_id"),
-        F.col("user_id").alias("customer_id"),
-        (F.col("event_id") % 200).alias("product_id"),
-        F.when(~_every("event_id", 31), rating).alias("rating"),
-        F.col("event_type").alias("comment"),
-        F.date_trunc("second", "ts").cast("timestamp_ntz").cast("string").alias("created_at"),
+    return read(spark, sf_dir, "events").selectExpr(
+        "event_id AS review_id",
+        "event_id % 1500 AS order_id",
+        "user_id AS customer_id",
+        "event_id % 200 AS product_id",
+        "if(event_id % 31 = 0, NULL, CAST(floor(value) AS INT) % 7) AS rating",
+        "event_type AS comment",
+        "CAST(CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ) AS STRING) AS created_at",
     )
 
 
+_BUILDERS = {build.__name__: build for build in (customers, products, orders, order_items, payments, reviews)}
+
+
+def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return _BUILDERS[table](spark, sf_dir)
+
+
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    builders = (customers, products, orders, order_items, payments, reviews)
-    return {build.__name__: build(spark, sf_dir) for build in builders}
+    return {name: build(spark, sf_dir) for name, build in _BUILDERS.items()}
 
 
 def order_events(events: DataFrame) -> DataFrame:
     """Event rows as JSON order events, one text per row; event % 37 = 0 is cut short and
     event % 41 = 0 lacks its order id, as happens on a real feed."""
-    event = F.struct(
-        F.when(~_every("event_id", 41), F.col("event_id") + 100_000_000).alias("order_id"),
-        F.col("user_id").alias("customer_id"),
-        (F.col("event_id") % 200).alias("product_id"),
-        (F.col("event_id") % 5 + 1).cast("int").alias("quantity"),
-        F.col("value").alias("unit_price"),
-        _pick(F.col("event_id"), ("web", "mobile", "marketplace")).alias("channel"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss").alias("event_time"),
+    text = (
+        "to_json(named_struct('order_id', if(event_id % 41 = 0, NULL, event_id + 100000000L),"
+        " 'customer_id', user_id, 'product_id', event_id % 200, 'quantity', CAST(event_id % 5 + 1 AS INT),"
+        " 'unit_price', value,"
+        " 'channel', element_at(array('web', 'mobile', 'marketplace'), CAST(event_id % 3 AS INT) + 1),"
+        " 'event_time', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")))"
     )
-    text = F.to_json(event)
-    return events.select(F.when(_every("event_id", 37), F.substring(text, 1, 25)).otherwise(text).alias("value"))
+    return events.selectExpr(f"if(event_id % 37 = 0, substr({text}, 1, 25), {text}) AS value")

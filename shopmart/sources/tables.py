@@ -24,11 +24,10 @@ def read_csv(spark: SparkSession, path: str, table: str, dates: Sequence[str] =
     as_text = StructType([StructField(name, StringType()) for name in header])
     options = {"header": True, "escape": '"', "multiLine": False, "enforceSchema": False}
     raw = spark.read.schema(as_text).options(**options).csv(path)
-    types = {field.name: field.dataType for field in RAW[table].fields}
-    return raw.select(*[
-        (lenient_timestamp(name) if name in dates else F.col(name).try_cast(types.get(name, StringType()))).alias(name)
-        for name in header
-    ])
+    types = {field.name: field.dataType.simpleString() for field in RAW[table].fields}
+    casts = {name: f"try_cast(`{name}` AS {types[name]})" if name in types else f"`{name}`" for name in header}
+    casts |= {name: lenient_timestamp(f"`{name}`") for name in dates}
+    return raw.selectExpr(*[f"{cast} AS `{name}`" for name, cast in casts.items()])
 
 
 def write_csv(df: DataFrame, path: str) -> None:
@@ -77,7 +76,7 @@ def date_column(df: DataFrame, table: str | None = None) -> str | None:
 
 def with_year_month(df: DataFrame, column: str) -> DataFrame:
     moment = lenient_timestamp(column)
-    return df.withColumns({"year": F.year(moment), "month": F.month(moment)})
+    return df.selectExpr("*", f"year({moment}) AS year", f"month({moment}) AS month")
 
 
 def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, table: str) -> None:

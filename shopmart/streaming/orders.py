@@ -57,11 +57,11 @@ def decode(lines: DataFrame) -> DataFrame:
     """Parse ``value`` into event columns. ``outcome`` tells valid events from lines that are
     not JSON or lack an order id; the latter keep their text in ``raw``."""
     parsed = lines.select("value", F.from_json("value", ORDER_EVENT).alias("event"))
-    valid = F.col("event.order_id").isNotNull()
-    return parsed.select(
-        *[F.when(valid, F.col(f"event.{name}")).alias(name) for name in ORDER_EVENT.fieldNames()],
-        F.when(~valid, F.col("value")).alias("raw"),
-        F.when(valid, VALID).otherwise(REJECTED).alias("outcome"),
+    valid = "event.order_id IS NOT NULL"
+    return parsed.selectExpr(
+        *[f"if({valid}, event.{name}, NULL) AS {name}" for name in ORDER_EVENT.fieldNames()],
+        f"if({valid}, NULL, value) AS raw",
+        f"if({valid}, '{VALID}', '{REJECTED}') AS outcome",
     )
 
 
