@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from shopmart.operators.contracts import RAW_CONTRACTS, validate
 from shopmart.operators.profile import table_profile
+from shopmart.schemas import RAW
 from shopmart.sources import tables
 
 
@@ -19,12 +20,20 @@ def ingest(
     Returns one profile row per table, computed from the Parquet. With ``validation_sample``
     so many rows of each table must meet its contract first.
     """
-    profiles = []
-    for name, df in raw.items():
+
+    def store(name: str) -> None:
         if validation_sample:
-            validate(df, RAW_CONTRACTS[name], validation_sample)
-        tables.write_csv(df, f"{path}/{name}")
+            validate(raw[name], RAW_CONTRACTS[name], validation_sample)
+        tables.write_csv(raw[name], f"{path}/{name}")
         tables.csv_to_parquet(spark, f"{path}/{name}", f"{path}/parquet/{name}", name)
-        stored = tables.read_parquet(spark, f"{path}/parquet/{name}").select(*df.columns)
-        profiles.append(table_profile(stored, name))
-    return reduce(DataFrame.unionByName, profiles)
+
+    tables.each(spark, raw, store)
+    stored = read(spark, path)
+    return reduce(DataFrame.unionByName, [table_profile(stored[name], name) for name in raw])
+
+
+def read(spark: SparkSession, path: str, layout: str = "parquet") -> dict[str, DataFrame]:
+    """The raw tables as ingested: the Parquet form, which prunes columns, or the CSV form."""
+    if layout == "csv":
+        return {name: tables.read_csv(spark, f"{path}/{name}", name) for name in RAW}
+    return {name: tables.read_parquet(spark, f"{path}/parquet/{name}", schema) for name, schema in RAW.items()}

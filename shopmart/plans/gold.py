@@ -12,8 +12,9 @@ from shopmart.functions.keys import crc32_key
 from shopmart.functions.scalars import half_even
 from shopmart.operators.profile import aggregate
 from shopmart.operators.skew import detail_join, lookup_join
+from shopmart.plans import silver
 from shopmart.plans.hot import NO_HOT_KEYS, HotKeys
-from shopmart.schemas import CLEANED, FACT_COLUMNS
+from shopmart.schemas import FACT_COLUMNS
 from shopmart.sources import tables
 
 UNKNOWN_MEMBER = 0
@@ -226,13 +227,15 @@ def run(
     Dimensions are written first; the fact then looks keys up in the tables as written, whose
     sizes are known to the planner.
     """
-    needed = ("customers", "products", "orders", "order_items", "payments")
-    cleaned = {name: tables.read_parquet(spark, f"{silver_path}/cleaned/{name}", CLEANED[name]) for name in needed}
+    cleaned = silver.read_cleaned(spark, silver_path)
     dimensions = build_dimensions(cleaned, key)
-    for name, df in dimensions.items():
-        tables.write_parquet(df, f"{gold_path}/{name}")
+
+    def store(name: str) -> None:
+        tables.write_parquet(dimensions[name], f"{gold_path}/{name}")
         dimensions[name] = tables.read_parquet(spark, f"{gold_path}/{name}")
         report_collisions(dimensions[name], name, fail_on_collision)
+
+    tables.each(spark, list(dimensions), store)
     hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
     fact = build_fato_pedidos(cleaned["orders"], cleaned["order_items"], cleaned["payments"], **dimensions, hot=hot)
     tables.write_parquet(fact, f"{gold_path}/fato_pedidos", ("year", "month"))

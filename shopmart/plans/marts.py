@@ -103,9 +103,11 @@ def write_all(cleaned: dict[str, DataFrame], path: str) -> None:
     spark = cleaned["orders"].sparkSession
     hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
     marts = build_all(cleaned, hot)
-    for name in ("orders_enriched", "items_enriched"):
-        tables.write_parquet(marts[name], f"{path}/{name}", PARTITIONS[name])
-        marts[name] = spark.read.parquet(f"{path}/{name}")
-    marts["monthly_revenue"] = monthly_revenue(marts["orders_enriched"], marts["items_enriched"], hot)
-    for name in ("monthly_revenue", "customer_spend", "product_ratings"):
+
+    def store(name: str) -> None:
         tables.write_parquet(marts[name], f"{path}/{name}", PARTITIONS[name])
+
+    tables.each(spark, ("orders_enriched", "items_enriched", "customer_spend", "product_ratings"), store)
+    enriched = [spark.read.parquet(f"{path}/{name}") for name in ("orders_enriched", "items_enriched")]
+    marts["monthly_revenue"] = monthly_revenue(*enriched, hot=hot)
+    store("monthly_revenue")

@@ -18,6 +18,7 @@ from shopmart.operators.checks import (
     table_checks,
 )
 from shopmart.operators.profile import aggregate
+from shopmart.plans import bronze
 from shopmart.schemas import REQUIRED_COLUMNS
 from shopmart.sources import tables
 
@@ -134,14 +135,13 @@ def failures_in_report(spark: SparkSession, path: str) -> DataFrame:
 
 def run(
     spark: SparkSession,
-    raw_path: str,
+    bronze_path: str,
     report_path: str,
     null_threshold: float = DEFAULT_NULL_THRESHOLD,
     fail: bool = False,
 ) -> DataFrame:
-    """Check the raw CSV tables and write the report. Advisory unless ``fail`` is set."""
-    raw = {name: tables.read_csv(spark, f"{raw_path}/{name}", name) for name in REQUIRED_COLUMNS}
-    results = write_report(run_suite(raw, null_threshold), report_path)
+    """Check the ingested raw tables and write the report. Advisory unless ``fail`` is set."""
+    results = write_report(run_suite(bronze.read(spark, bronze_path), null_threshold), report_path)
     if fail and not failed_checks(results).isEmpty():
         raise ValueError("quality checks failed; see the report")
     return results

@@ -10,6 +10,7 @@ from shopmart.functions.keys import pseudonym
 from shopmart.functions.scalars import clip, lenient_number, lenient_timestamp
 from shopmart.operators.dedup import keep_first
 from shopmart.operators.profile import aggregate
+from shopmart.plans import bronze, marts
 from shopmart.schemas import CLEANED
 from shopmart.sources import tables
 
@@ -104,18 +105,19 @@ def coercion_losses(df: DataFrame, dataset: str, numbers: Sequence[str] = (), da
     return aggregate(df, [f"array({lines}) AS lines"]).selectExpr(f"'{dataset}' AS dataset", "inline(lines)")
 
 
-def run(spark: SparkSession, raw_path: str, silver_path: str, hash_key: str) -> None:
-    """Clean the raw CSV tables, write them, then write the marts built on the written tables."""
-    from shopmart.plans import marts
-
-    for name in CLEANED:
-        raw = tables.read_csv(spark, f"{raw_path}/{name}", name)
-        tables.write_parquet(clean(name, raw, hash_key), f"{silver_path}/cleaned/{name}")
-    marts.write_all(read_cleaned(spark, silver_path), f"{silver_path}/spark")
-
-
 def read_cleaned(spark: SparkSession, silver_path: str) -> dict[str, DataFrame]:
     return {
         name: tables.read_parquet(spark, f"{silver_path}/cleaned/{name}", schema)
         for name, schema in CLEANED.items()
     }
+
+
+def run(spark: SparkSession, bronze_path: str, silver_path: str, hash_key: str) -> None:
+    """Clean the ingested raw tables, write them, then write the marts built on the result."""
+    raw = bronze.read(spark, bronze_path)
+
+    def store(name: str) -> None:
+        tables.write_parquet(clean(name, raw[name], hash_key), f"{silver_path}/cleaned/{name}")
+
+    tables.each(spark, raw, store)
+    marts.write_all(read_cleaned(spark, silver_path), f"{silver_path}/spark")

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -14,6 +17,15 @@ from shopmart.schemas import PARTITION_DATES, RAW
 DATE_WORDS = ("date", "created", "paid")
 
 
+T = TypeVar("T")
+
+
+def each(spark: SparkSession, items: Iterable[T], job: Callable[[T], None], at_once: int = 4) -> None:
+    """Run independent write jobs side by side, so a small table does not idle the cluster."""
+    with ThreadPoolExecutor(at_once) as pool:
+        list(pool.map(inheritable_thread_target(spark)(job), items))
+
+
 def read_csv(spark: SparkSession, path: str, table: str, dates: Sequence[str] = ()) -> DataFrame:
     """Scan a CSV table with header. Values that do not fit the column's type become null.
 
