@@ -36,4 +36,7 @@ def read(spark: SparkSession, path: str, layout: str = "parquet") -> dict[str, D
     """The raw tables as ingested: the Parquet form, which prunes columns, or the CSV form."""
     if layout == "csv":
         return {name: tables.read_csv(spark, f"{path}/{name}", name) for name in RAW}
-    return {name: tables.read_parquet(spark, f"{path}/parquet/{name}", schema) for name, schema in RAW.items()}
+    return {  # without the partition columns, which a scan appends
+        name: tables.read_parquet(spark, f"{path}/parquet/{name}", schema).select(*schema.fieldNames())
+        for name, schema in RAW.items()
+    }

@@ -1,0 +1,40 @@
+"""Every registered query against its reference SQL in DuckDB, on the smallest tables."""
+
+from __future__ import annotations
+
+import duckdb
+import pytest
+
+import __spark_entry__ as entry
+from conftest import SMALL
+
+TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
+
+
+@pytest.fixture(scope="module")
+def duck():
+    connection = duckdb.connect()
+    for name in TABLES:
+        connection.execute(f"CREATE VIEW {name} AS SELECT * FROM '{SMALL}/{name}.parquet'")
+    return connection
+
+
+def test_every_query_has_reference_sql():
+    assert set(entry.queries()) == set(entry.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(entry.queries()))
+def test_query(spark, duck, name):
+    ours = entry.queries()[name](spark, SMALL)
+    theirs = duck.sql(entry.oracle_sql()[name])
+    columns = sorted(ours.columns)
+    assert columns == sorted(theirs.columns)
+    expected = theirs.select(", ".join(f'"{c}"' for c in columns)).fetchall()
+    found = [tuple(row) for row in ours.select(*[f"`{c}`" for c in columns]).collect()]
+    order = lambda r: [(v is not None, str(v)) for v in r]
+    assert sorted(found, key=order) == sorted(expected, key=order)
+    assert found or "collisions" in name
+
+
+def test_entry(spark):
+    assert entry.entry(spark).columns == ["ano", "mes", "categoria", "receita", "qtd_pedidos", "ticket_medio"]
