@@ -235,9 +235,12 @@ def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def fact_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numeric summary of the fact, mean and deviation to two decimals."""
-    summary = profile.numeric_summary(_star(spark, sf_dir)["fato_pedidos"])
-    return summary.withColumns({"mean": F.round("mean", 2), "std": F.round("std", 2)})
+    """Numeric summary of the stored fact; mean, deviation and quartiles to two decimals."""
+    path = scratch_dir(spark, "fact")
+    tables.write_parquet(_star(spark, sf_dir)["fato_pedidos"], path)
+    summary = profile.numeric_summary(tables.read_parquet(spark, path))
+    rounded = {name: F.round(F.col(name) * 100) / 100 for name in ("mean", "std", "p25", "p50", "p75")}
+    return summary.withColumns(rounded)
 
 
 def order_total_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -203,9 +203,9 @@ def _q2(tail: str) -> str:
 
 def _q3(start: str) -> str:
     return f"""SELECT ds_canal AS canal, method AS metodo_pagamento, count(DISTINCT nk_order_id) AS qtd_pedidos,
-          round(CAST(sum({cents("vl_total_pedido")}) AS BIGINT) / count(vl_total_pedido)::DOUBLE / 100.0::DOUBLE, 2)
+          round(CAST(sum({cents("vl_total_pedido")}) AS BIGINT) / count(vl_total_pedido)::DOUBLE) / 100
             AS ticket_medio,
-          round({money("line_total")}, 2) AS receita_total
+          {money("line_total")} AS receita_total
         FROM sold JOIN dim_tempo USING (sk_tempo) WHERE dt_data >= {start} GROUP BY 1, 2"""
 
 
@@ -246,7 +246,7 @@ def qc_null_rate(threshold: float, stamp: str) -> str:
             f"SELECT {i} AS i, '{c}' AS c, avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS r FROM raw_{table}"
             for i, c in enumerate(columns)
         ])
-        shown = "coalesce(string_agg('\"' || c || '\":' || CAST(round(r, 4) AS VARCHAR), ',' ORDER BY i), '')"
+        shown = "coalesce(string_agg('\"' || c || '\":' || CAST(round(r * 10000) / 10000 AS VARCHAR), ',' ORDER BY i), '')"
         details = "'{' || " + shown + " || '}'"
         result = _result("null_rate", table, "count(*)", details, stamp, threshold=str(threshold))
         parts.append(f"SELECT {result} FROM ({rates}) WHERE r > {threshold}")
@@ -412,7 +412,7 @@ def contract_tables() -> str:
 def null_profile() -> str:
     return _union([
         f"SELECT '{table}' AS dataset, '{c}' AS column_name,"
-        f" round(count(*) FILTER (WHERE {c} IS NULL) * 100 / count(*)::DOUBLE, 2) AS null_pct FROM raw_{table}"
+        f" round(count(*) FILTER (WHERE {c} IS NULL) * 10000 / count(*)::DOUBLE) / 100 AS null_pct FROM raw_{table}"
         for table, columns in RAW_COLUMNS.items() for c in columns
     ])
 
@@ -425,10 +425,10 @@ FACT_NUMBERS = (
 
 def fact_summary() -> str:
     return _union([
-        f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}::DOUBLE), 2) AS mean,"
-        f" round(stddev_samp({c}::DOUBLE), 2) AS std, min({c})::DOUBLE AS min,"
-        f" quantile_disc({c}, 0.25)::DOUBLE AS p25, quantile_disc({c}, 0.5)::DOUBLE AS p50,"
-        f" quantile_disc({c}, 0.75)::DOUBLE AS p75, max({c})::DOUBLE AS max FROM fato_pedidos"
+        f"SELECT '{c}' AS column_name, count({c}) AS count, round(avg({c}::DOUBLE) * 100) / 100 AS mean,"
+        f" round(stddev_samp({c}::DOUBLE) * 100) / 100 AS std, min({c})::DOUBLE AS min,"
+        f" round(quantile_cont({c}::DOUBLE, 0.25) * 100) / 100 AS p25, round(quantile_cont({c}::DOUBLE, 0.5) * 100) / 100 AS p50,"
+        f" round(quantile_cont({c}::DOUBLE, 0.75) * 100) / 100 AS p75, max({c})::DOUBLE AS max FROM fato_pedidos"
         for c in FACT_NUMBERS
     ])
 
@@ -440,7 +440,7 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
         "q1_monthly_revenue": f"""
             SELECT ano, mes, category AS categoria, {money("line_total")} AS receita,
               count(DISTINCT nk_order_id) AS qtd_pedidos,
-              round(CAST(sum({cents("line_total")}) AS BIGINT) / count(DISTINCT nk_order_id)::DOUBLE / 100.0::DOUBLE, 2)
+              round(CAST(sum({cents("line_total")}) AS BIGINT) / count(DISTINCT nk_order_id)::DOUBLE) / 100
                 AS ticket_medio
             FROM fato_pedidos JOIN dim_tempo USING (sk_tempo) JOIN dim_produtos USING (sk_produto)
             WHERE ds_status = 'delivered' GROUP BY 1, 2, 3""",
@@ -554,7 +554,7 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
             SELECT rating, count(*) AS count FROM raw_reviews WHERE rating IS NOT NULL GROUP BY 1""",
         "payment_mix": """
             SELECT method, count(*) AS count,
-              round(count(*) * 100 / (SELECT count(method) FROM raw_payments)::DOUBLE, 1) AS share_pct
+              round(count(*) * 1000 / (SELECT count(method) FROM raw_payments)::DOUBLE) / 10 AS share_pct
             FROM raw_payments WHERE method IS NOT NULL GROUP BY 1""",
         "fact_preview": """
             SELECT * FROM fato_pedidos

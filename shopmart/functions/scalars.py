@@ -41,8 +41,11 @@ def money_sum(value: str) -> str:
 
 
 def money_avg(value: str) -> str:
-    """Aggregate: mean of a money column, in currency units."""
-    return f"try_divide(sum({cents(value)}), count({value})) / 100"
+    """Aggregate: mean of a money column, in currency units, rounded to the cent.
+
+    Rounding whole cents decides ties on exact halves, which two-decimal doubles cannot hold.
+    """
+    return f"round(try_divide(sum({cents(value)}), count({value}))) / 100"
 
 
 def half_even(value: str, places: int) -> str:

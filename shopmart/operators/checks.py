@@ -124,7 +124,7 @@ def table_checks(
         )
         # Over the threshold, not on it; an empty table has no rate and passes.
         over = f"filter(array({rates}), r -> coalesce(r.value > {null_threshold}D, false))"
-        shown = f"transform({over}, r -> named_struct('key', r.key, 'value', round(r.value, 4)))"
+        shown = f"transform({over}, r -> named_struct('key', r.key, 'value', round(r.value * 10000) / 10000))"
         results.append(
             result(
                 "null_rate", dataset, f"size({over})", f"to_json(map_from_entries({shown}))", checked_at,
@@ -170,21 +170,22 @@ def _comparable(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> bool:
 
 
 def key_usage(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    """Distinct child keys with their row count and whether the parent has them.
+    """Distinct child keys, their row count, and whether they are orphans (null never is).
 
     Both sides are reduced to distinct keys before they meet, so a key that fills much of
     the child table is one row in this join.
     """
     used = child.selectExpr(f"{fk} AS key").groupBy("key").count().withColumnRenamed("count", "rows")
     if not _comparable(child, fk, parent, pk):
-        return used.selectExpr("*", "false AS found")
+        return used.selectExpr("*", "key IS NOT NULL AS orphan")
     known = parent.selectExpr(f"{pk} AS key").where("key IS NOT NULL").distinct().selectExpr("key", "true AS met")
-    return used.join(known, "key", "left").selectExpr("key", "rows", "met IS NOT NULL AS found")
+    orphan = "key IS NOT NULL AND met IS NULL AND rows > 0 AS orphan"
+    return used.join(known, "key", "left").selectExpr("key", "rows", orphan)
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Distinct non-null child keys that the parent lacks, with the rows that carry them."""
-    return key_usage(child, parent, fk, pk).where("key IS NOT NULL AND NOT found").select("key", "rows")
+    return key_usage(child, parent, fk, pk).where("orphan").select("key", "rows")
 
 
 def check_referential_integrity(
@@ -201,12 +202,14 @@ def check_referential_integrity(
     require_columns(parent, [pk_col], parent_name)
     usage = key_usage(child, parent, fk_col, pk_col)
     counts = aggregate(usage, [
-        "count_if(key IS NOT NULL AND NOT found) AS orphans",
+        "count_if(orphan) AS orphans",
         "coalesce(sum(if(key IS NULL, rows, 0L)), 0L) AS null_fks",
     ])
     # The smallest orphans: every task keeps 20, so the list never grows with the table.
+    # Filtering after the limit leaves the plan below equal to that of the counts, so that
+    # both share one scan and shuffle of either table.
     sample = (
-        usage.where("key IS NOT NULL AND NOT found").select("key").orderBy("key").limit(SAMPLE_ORPHANS)
+        usage.orderBy(F.desc("orphan"), "key").limit(SAMPLE_ORPHANS).where("orphan")
         .agg(F.sort_array(F.collect_list("key")))
     )
     record = result(

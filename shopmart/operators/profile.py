@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from shopmart.functions.scalars import is_missing, lenient_number
+from shopmart.operators.quantiles import exact_quantiles
 
 
 def aggregate(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
@@ -25,7 +26,7 @@ def null_counts(df: DataFrame) -> list[str]:
 def table_profile(df: DataFrame, dataset: str, ingested_at: datetime | None = None) -> DataFrame:
     """One row: row and column count, null percent per column (2 decimals) as a map, run time."""
     shares = ", ".join(
-        f"'{name}', round(coalesce(try_divide(`nulls_{name}` * 100, rows), 0D), 2)" for name in df.columns
+        f"'{name}', coalesce(round(try_divide(`nulls_{name}` * 10000, rows)) / 100, 0D)" for name in df.columns
     )
     stamp = f"TIMESTAMP '{ingested_at}'" if ingested_at else "current_timestamp()"
     return aggregate(df, ["count(1) AS rows", *null_counts(df)]).selectExpr(
@@ -68,28 +69,33 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     counts = _counts(df, column)
     # A scalar subquery over the same aggregate: no window that gathers all values in one task.
     total = counts.agg(F.sum("count")).scalar()
-    share = F.round(F.col("count") * 100 / total, 1)
+    share = F.round(F.col("count") * 1000 / total) / 10
     return counts.withColumn("share_pct", share).orderBy(F.desc("count"), column)
 
 
-def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None, accuracy: int = 100_000) -> DataFrame:
+QUARTILES = (0.25, 0.5, 0.75)
+
+
+def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum of every numeric column.
 
-    One pass without a shuffle of rows. Quartiles are members of the data whose rank is off
-    by at most ``rows / accuracy``; they are exact while a table has fewer rows than that.
+    Quartiles are exact, interpolated between neighbours. Reads ``df`` a few times: pass a
+    stored table.
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    measures = []
-    for name in columns:
-        value = lenient_number(name)
-        measures.append(
-            f"named_struct('column_name', '{name}', 'count', count({value}), 'mean', avg({value}),"
-            f" 'std', stddev_samp({value}), 'min', min({value}),"
-            f" 'q', percentile_approx({value}, array(0.25, 0.5, 0.75), {accuracy}), 'max', max({value}))"
-        )
-    return (
-        aggregate(df, [f"array({', '.join(measures)}) AS m"])
-        .selectExpr("inline(m)")
-        .selectExpr("column_name", "count", "mean", "std", "min", "q[0] AS p25", "q[1] AS p50", "q[2] AS p75", "max")
+    numbers = df.selectExpr(*[f"{lenient_number(name)} AS `{name}`" for name in columns])
+    measures = ", ".join(
+        f"named_struct('column_name', '{name}', 'count', count(`{name}`), 'mean', avg(`{name}`),"
+        f" 'std', stddev_samp(`{name}`), 'min', min(`{name}`), 'max', max(`{name}`))"
+        for name in columns
+    )
+    moments = aggregate(numbers, [f"array({measures}) AS m"]).selectExpr("inline(m)")
+    quartiles = exact_quantiles(numbers, columns, QUARTILES)
+    found = df.sparkSession.createDataFrame(
+        [(name, *values) for name, values in quartiles.items()],
+        "column_name STRING, p25 DOUBLE, p50 DOUBLE, p75 DOUBLE",
+    )
+    return moments.join(found, "column_name").select(
+        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
     )

@@ -37,7 +37,7 @@ def monthly_revenue(
         .agg(
             F.expr(f"{total} / 100 AS receita"),
             F.expr(f"{orders} AS qtd_pedidos"),
-            F.expr(f"round(try_divide({total}, {orders}) / 100, 2) AS ticket_medio"),
+            F.expr(f"round(try_divide({total}, {orders})) / 100 AS ticket_medio"),
         )
         .orderBy("ano", "mes", F.desc("receita"), "categoria")
     )
@@ -92,8 +92,8 @@ def ticket_by_channel(
         .groupBy("canal", "metodo_pagamento")
         .agg(
             F.expr("count(DISTINCT nk_order_id) AS qtd_pedidos"),
-            F.expr(f"round({money_avg('vl_total_pedido')}, 2) AS ticket_medio"),
-            F.expr(f"round({money_sum('line_total')}, 2) AS receita_total"),
+            F.expr(f"{money_avg('vl_total_pedido')} AS ticket_medio"),
+            F.expr(f"{money_sum('line_total')} AS receita_total"),
         )
         .orderBy(F.desc("ticket_medio"), "canal", "metodo_pagamento")
     )

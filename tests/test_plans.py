@@ -12,7 +12,8 @@ from shopmart.sources import retail
 
 LAZY = [
     name for name in entry.queries()
-    if name not in ("qc_report", "qc_failed_checks", "bronze_profile", "bronze_orders", "stream_ingest", "stream_rejected")
+    if name not in ("qc_report", "qc_failed_checks", "bronze_profile", "bronze_orders", "stream_ingest", "stream_rejected",
+                    "fact_summary")
 ]
 
 
