@@ -90,12 +90,15 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
         f" 'std', stddev_samp(`{name}`), 'min', min(`{name}`), 'max', max(`{name}`))"
         for name in columns
     )
-    moments = aggregate(numbers, [f"array({measures}) AS m"]).selectExpr("inline(m)")
-    quartiles = exact_quantiles(numbers, columns, QUARTILES)
-    found = df.sparkSession.createDataFrame(
-        [(name, *values) for name, values in quartiles.items()],
-        "column_name STRING, p25 DOUBLE, p50 DOUBLE, p75 DOUBLE",
-    )
-    return moments.join(found, "column_name").select(
-        "column_name", "count", "mean", "std", "min", "p25", "p50", "p75", "max"
+    # One row per column comes to the driver, which steers the search for the quartiles.
+    moments = aggregate(numbers, [f"array({measures}) AS m"]).selectExpr("inline(m)").collect()
+    spans = {m["column_name"]: (m["count"], m["min"], m["max"]) for m in moments}
+    quartiles = exact_quantiles(numbers, spans, QUARTILES)
+    return df.sparkSession.createDataFrame(
+        [
+            (m["column_name"], m["count"], m["mean"], m["std"], m["min"], *quartiles[m["column_name"]], m["max"])
+            for m in moments
+        ],
+        "column_name STRING, count BIGINT, mean DOUBLE, std DOUBLE, min DOUBLE, p25 DOUBLE, p50 DOUBLE, p75 DOUBLE,"
+        " max DOUBLE",
     )

@@ -15,7 +15,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-SLICES = 4096
+SLICES = 1024
 
 
 @dataclass
@@ -34,7 +34,7 @@ class _Search:
 
 def _count_slices(df: DataFrame, intervals: Sequence[tuple[str, float, float]]) -> dict[int, list]:
     """Per interval: its non-empty slices in order, as (rows, smallest, largest value)."""
-    hits = []
+    tests, hits = [], []
     for i, (column, low, high) in enumerate(intervals):
         inside = f"`{column}` >= {low!r}D AND `{column}` <= {high!r}D"
         # Halves, so that the width of an interval over the full range stays finite.
@@ -44,9 +44,12 @@ def _count_slices(df: DataFrame, intervals: Sequence[tuple[str, float, float]])
             place = f"CAST(least({share} * {SLICES}, {SLICES - 1}) AS INT)"
         else:  # two neighbouring denormal numbers
             place = f"if(`{column}` > {low!r}D, 1, 0)"
+        tests.append(f"({inside})")
         hits.append(f"if({inside}, named_struct('i', {i}, 's', {place}, 'v', `{column}`), NULL)")
     counted = (
-        df.selectExpr(f"inline(array_compact(array({', '.join(hits)})))")
+        df.where(" OR ".join(tests))  # after the first pass few rows are left
+        .selectExpr(f"inline(array({', '.join(hits)}))")
+        .where("i IS NOT NULL")
         .groupBy("i", "s")
         .agg(F.count("v").alias("rows"), F.min("v").alias("smallest"), F.max("v").alias("largest"))
     )
@@ -71,21 +74,20 @@ def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, int, float, floa
 
 
 def exact_quantiles(
-    df: DataFrame, columns: Sequence[str], probabilities: Sequence[float]
+    df: DataFrame, spans: dict[str, tuple[int, float, float]], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
-    """Quantiles per column of doubles, linearly interpolated; null for an all-null column."""
-    spans = ", ".join(
-        f"named_struct('n', count(`{c}`), 'low', min(`{c}`), 'high', max(`{c}`))" for c in columns
-    )
-    stats = dict(zip(columns, df.selectExpr(f"array({spans}) AS s").first()["s"]))
+    """Quantiles of double columns, linearly interpolated; null for a column without values.
+
+    ``spans`` gives count, minimum and maximum of each column.
+    """
     wanted, places = [], []
-    for column, stat in stats.items():
-        for p in probabilities if stat["n"] else ():
-            place = (stat["n"] - 1) * p
+    for column, (count, low, high) in spans.items():
+        for p in probabilities if count else ():
+            place = (count - 1) * p
             places.append((column, place - math.floor(place)))
-            wanted += [(column, rank, stat["low"], stat["high"]) for rank in (math.floor(place), math.ceil(place))]
+            wanted += [(column, rank, low, high) for rank in (math.floor(place), math.ceil(place))]
     values = order_statistics(df, wanted)
-    quantiles: dict[str, list[float | None]] = {c: [] for c in columns}
+    quantiles: dict[str, list[float | None]] = {c: [] for c in spans}
     for (column, part), below, above in zip(places, values[::2], values[1::2]):
         quantiles[column].append(below + (above - below) * part)
     return {c: found or [None] * len(probabilities) for c, found in quantiles.items()}
