@@ -34,22 +34,19 @@ class _Search:
 
 def _count_slices(df: DataFrame, intervals: Sequence[tuple[str, float, float]]) -> dict[int, list]:
     """Per interval: its non-empty slices in order, as (rows, smallest, largest value)."""
-    tests, hits = [], []
-    for i, (column, low, high) in enumerate(intervals):
-        inside = f"`{column}` >= {low!r}D AND `{column}` <= {high!r}D"
-        # Halves, so that the width of an interval over the full range stays finite.
-        half_width = high / 2 - low / 2
-        if half_width > 0:
-            share = f"(`{column}` / 2D - {low / 2!r}D) / {half_width!r}D"
-            place = f"CAST(least({share} * {SLICES}, {SLICES - 1}) AS INT)"
-        else:  # two neighbouring denormal numbers
-            place = f"if(`{column}` > {low!r}D, 1, 0)"
-        tests.append(f"({inside})")
-        hits.append(f"if({inside}, named_struct('i', {i}, 's', {place}, 'v', `{column}`), NULL)")
+    columns = list(dict.fromkeys(column for column, _, _ in intervals))
+    values = df.unpivot([], [F.col(f"`{c}`") for c in columns], "name", "v")
+    bounds = df.sparkSession.createDataFrame(
+        [(i, *interval) for i, interval in enumerate(intervals)], "i INT, name STRING, low DOUBLE, high DOUBLE"
+    )
+    # Halves, so that the width of an interval over the full range stays finite. It is zero
+    # only between two neighbouring denormal numbers.
+    share = "(v / 2 - low / 2) / (high / 2 - low / 2)"
+    place = f"if(high / 2 > low / 2, CAST(least({share} * {SLICES}, {SLICES - 1}) AS INT), if(v > low, 1, 0))"
     counted = (
-        df.where(" OR ".join(tests))  # after the first pass few rows are left
-        .selectExpr(f"inline(array({', '.join(hits)}))")
-        .where("i IS NOT NULL")
+        values.join(F.broadcast(bounds), "name")  # a handful of rows per column
+        .where("v >= low AND v <= high")
+        .selectExpr("i", "v", f"{place} AS s")
         .groupBy("i", "s")
         .agg(F.count("v").alias("rows"), F.min("v").alias("smallest"), F.max("v").alias("largest"))
     )
