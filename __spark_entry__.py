@@ -6,6 +6,7 @@ cleaners, star schema, question. ``oracle_sql()[name]`` is the same in DuckDB SQ
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 from datetime import date, datetime
 from functools import lru_cache, reduce
@@ -35,8 +36,8 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 @lru_cache(maxsize=None)
-def _hot_for(app: str, sf_dir: str) -> HotKeys:
-    spark = SparkSession.getActiveSession()
+def _hot(spark: SparkSession, sf_dir: str) -> HotKeys:
+    """Hot keys measured on the stored tables, once per session and folder."""
     orders, lines = (retail.read(spark, sf_dir, name) for name in ("orders", "lineitem"))
     return HotKeys.detect(
         orders.selectExpr("o_custkey AS customer_id"),
@@ -46,11 +47,6 @@ def _hot_for(app: str, sf_dir: str) -> HotKeys:
     )
 
 
-def _hot(spark: SparkSession, sf_dir: str) -> HotKeys:
-    """Hot keys measured on the stored tables, once per session and folder."""
-    return _hot_for(spark.sparkContext.applicationId, sf_dir)
-
-
 def _clean(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
     return {name: silver.clean(name, retail.raw_table(spark, sf_dir, name), HASH_KEY) for name in names}
 
@@ -82,7 +78,10 @@ def fato_pedidos(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q1_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
     star = _star(spark, sf_dir)
-    return analytics.monthly_revenue(star["fato_pedidos"], star["dim_tempo"], star["dim_produtos"])
+    products = [key for key in _hot(spark, sf_dir).item_products if key is not None]
+    # The fact holds CRC-32 keys, and its unknown products share key 0.
+    hot = [0, *(zlib.crc32(str(key).encode()) or 1 for key in products)] if products else []
+    return analytics.monthly_revenue(star["fato_pedidos"], star["dim_tempo"], star["dim_produtos"], hot)
 
 
 def _top_products(keep_ties: bool) -> Query:

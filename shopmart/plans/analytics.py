@@ -26,7 +26,10 @@ def _today(as_of: date | None) -> str:
 def monthly_revenue(
     fact: DataFrame, dim_tempo: DataFrame, dim_produtos: DataFrame, hot_products: Sequence[int] = ()
 ) -> DataFrame:
-    """Q1: delivered revenue, orders and average ticket per month and category."""
+    """Q1: delivered revenue, orders and average ticket per month and category.
+
+    ``hot_products`` are surrogate keys as ``skew.find_hot_keys(fact, "sk_produto")`` lists them.
+    """
     delivered = fact.where("ds_status = 'delivered'").select("sk_tempo", "sk_produto", "nk_order_id", "line_total")
     groups = dim_produtos.selectExpr("sk_produto", "category AS categoria")
     named = lookup_join(delivered, groups, "sk_produto", "inner", hot_products)
