@@ -13,8 +13,6 @@ ORDER_STATUSES = ("pending", "processing", "shipped", "delivered", "cancelled",
 PAYMENT_METHODS = ("credit_card", "debit_card", "pix", "boleto", "wallet")
 PAYMENT_STATUSES = ("approved", "declined", "pending", "refunded")
 
-NOT_SOLD = ("cancelled", "returned")
-
 
 _TYPES = {
     "BIGINT": LongType(),
@@ -90,8 +88,6 @@ ORDER_EVENT = _schema(
     " channel STRING, event_time STRING"
 )
 
-TABLES = tuple(RAW)
-
 # Columns the quality suite insists on.
 REQUIRED_COLUMNS = {
     "customers": (
