@@ -23,6 +23,15 @@ from shopmart.session import scratch_dir
 from shopmart.sources import retail, tables
 from shopmart.streaming import orders as feed
 
+try:
+    import corpus_pipeline  # noqa: F401
+    import shopmart.llm.queries as text_queries
+except ModuleNotFoundError as missing:
+    # The text operators are an optional part; anything else missing is a fault.
+    if missing.name not in ("corpus_pipeline", "shopmart.llm", "shopmart.llm.queries"):
+        raise
+    text_queries = None
+
 # For these queries over public test tables only; a real job gets its key from a secret store.
 HASH_KEY = "example-only-key-do-not-use-in-production-0001"
 AS_OF = date(2001, 8, 1)  # last order date of the given tables
@@ -345,8 +354,10 @@ def queries() -> dict[str, Query]:
         "stream_ingest": stream_ingest,
         "stream_rejected": stream_rejected,
     }
-    return {name: _zoneless(query) for name, query in registered.items()}
+    shown = {name: _zoneless(query) for name, query in registered.items()}
+    return shown | (text_queries.queries() if text_queries else {})
 
 
 def oracle_sql() -> dict[str, str]:
-    return oracle.statements(HASH_KEY, f"DATE '{AS_OF}'", f"TIMESTAMP '{RUN_AT}'")
+    statements = oracle.statements(HASH_KEY, f"DATE '{AS_OF}'", f"TIMESTAMP '{RUN_AT}'")
+    return statements | (text_queries.oracle_sql() if text_queries else {})
