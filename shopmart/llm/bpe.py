@@ -27,9 +27,9 @@ from struct import pack
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
-from shopmart.llm.common import pieces, slices
+from shopmart.llm.common import columns, pieces, slices
 
 #: Words kept by a worker; beyond twice as many the older half is let go.
 MEMO_WORDS = 400_000
@@ -191,7 +191,3 @@ def digests(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_arrays(columns, schema=_ARROW)
 
     return columns(docs, id_col, text_col).mapInArrow(run, SCHEMA)
-
-
-def columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmart.session import scratch_dir
 
@@ -38,8 +38,13 @@ def pieces(text: str) -> Iterator[str]:
     start, n = 0, len(text)
     while n - start > PIECE_CHARS:
         end = start + PIECE_CHARS
-        while end < n and not text[end - 1].isspace():
+        while end < n and text[end - 1] not in " \t\n\v\f\r":
             end += 1
         yield text[start:end]
         start = end
     yield text[start:]
+
+
+def columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The id and the text alone, under fixed names."""
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopmart.llm import bpe, packing
+from shopmart.llm import bpe, packing, simhash
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,12 +16,17 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
 
+def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_bpe": op5_bpe, "op10_packing": op10_packing}
+    return {"op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
