@@ -6,12 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopmart.llm import bpe, packing, simhash
+from shopmart.llm import bpe, packing, simhash, toxicity
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
+    found = toxicity.toxicity(table(spark, sf_dir, "documents"), labels)
+    return found.select(
+        "doc_id",
+        toxicity.held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        F.when(F.col("score") >= toxicity.THRESHOLD, 1).otherwise(0).alias("predicted"),
+        F.size("offending").alias("n_offending"),
+    )
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
@@ -26,7 +38,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op10_packing": op10_packing}
+    return {"op2_toxicity": op2_toxicity, "op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
