@@ -33,9 +33,9 @@ FIT_ROWS = 2500
 BUCKETS = 1 << 18
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
-STEPS, RATE, SHRINK = 120, 0.15, 1e-5
+STEPS, RATE, SHRINK = 300, 0.15, 3e-5
 #: Features of fewer sample documents than this carry no weight.
-LEAST_DOCS = 3
+LEAST_DOCS = 4
 MEMO_WORDS = 400_000
 
 _SENTENCE = re.compile(r"[^.!?\n]+")
@@ -93,15 +93,16 @@ class Model:
         return float(-np.expm1(clean)), to_blame
 
 
-def fit_noisy_or(features: list[list[list[int]]], toxic: np.ndarray, weight: np.ndarray) -> Model:
+def fit_noisy_or(features: pa.Array, toxic: np.ndarray, weight: np.ndarray) -> Model:
     """Fit by gradient steps of adaptive size over the whole sample.
 
-    ``features`` has a list of buckets for each sentence of each document.
+    ``features`` has, for each document, a list of buckets for each of its sentences.
     """
-    sentence_doc = np.array([d for d, sentences in enumerate(features) for _ in sentences], "i8")
-    lengths = np.array([len(s) for sentences in features for s in sentences], "i8")
-    flat = np.concatenate([np.asarray(s, "i8") for sentences in features for s in sentences])
-    sentence = np.repeat(np.arange(len(lengths)), lengths)
+    inner = features.flatten()
+    sentence_doc = np.repeat(np.arange(len(features)), np.diff(features.offsets.to_numpy()))
+    lengths = np.diff(inner.offsets.to_numpy())
+    flat = inner.flatten().to_numpy()
+    sentence = np.repeat(np.arange(len(lengths), dtype="i4"), lengths)
     pairs = np.unique(np.stack([flat, sentence_doc[sentence]]), axis=1)
     spread = np.bincount(pairs[0], minlength=BUCKETS)
     used = spread[flat] >= LEAST_DOCS
@@ -162,7 +163,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
     sample = texts.mapInArrow(run, "doc_id long, toxic int, features array<array<int>>")
     rows = sample.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("features").alias("features")).toArrow()
     rows = rows.sort_by("doc_id")
-    features = rows.column("features").to_pylist()
+    features = rows.column("features").combine_chunks()
     toxic = rows.column("toxic").to_numpy() > 0
     share = {y: counts[y] / max(1, int((toxic == y).sum())) for y in (True, False)}
     return fit_noisy_or(features, toxic, np.where(toxic, share[True], share[False]))
