@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopmart.llm import bpe, packing, simhash, toxicity
+from shopmart.llm import bpe, packing, quality_rules, simhash, toxicity
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules.judge(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -38,7 +45,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_toxicity": op2_toxicity, "op5_bpe": op5_bpe, "op8_simhash": op8_simhash, "op10_packing": op10_packing}
+    return {"op2_toxicity": op2_toxicity, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_packing": op10_packing}
 
 
 def oracle_sql() -> dict[str, str]:
