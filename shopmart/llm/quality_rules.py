@@ -102,8 +102,12 @@ def repeated_words(words: Column, window: int = WINDOW_WORDS) -> Column:
     return F.when(size <= window, 0).otherwise(found).cast("long")
 
 
-def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, text and the counts that rules look at."""
+def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole_row: bool = False) -> DataFrame:
+    """doc_id, text and the counts that rules look at, and the whole row in ``row`` if wanted."""
+    source = columns(docs, id_col, text_col)
+    if whole_row:
+        source = docs.select(F.struct("*").alias("row"), F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    row = ["row"] if whole_row else []
     text = F.coalesce(F.col("text"), F.lit(""))
     words = F.array_remove(F.split(text, _SPACE), "")
     has_word = F.filter(F.split(text, "\n"), lambda line: F.length(F.translate(line, _BLANKS, "")) > 0)
@@ -112,14 +116,15 @@ def counts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
         F.size(F.array_distinct(x)).cast("long").alias("n_lines"),
         (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("n_dup_lines"),
     ))
-    return columns(docs, id_col, text_col).select(
+    return source.select(
+        *row,
         "doc_id",
         text.alias("text"),
         numbers.alias("w"),
         lines.alias("l"),
         F.length(F.translate(text, _BLANKS, "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, _SYMBOLS, ""))).cast("long").alias("n_symbols"),
-    ).select("doc_id", "text", "w.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.n_lines")
+    ).select(*row, "doc_id", "text", "w.n_words", "word_chars", "n_symbols", "l.n_dup_lines", "w.n_repeat_words", "l.n_lines")
 
 
 def base_failed() -> Column:
@@ -155,11 +160,21 @@ def cascade(rules: dict[str, str], order: list[str]) -> Column:
     return case if case is not None else F.lit(None).cast("string")
 
 
+def rejected_by(docs: DataFrame, rules: dict[str, str] | None, id_col: str, text_col: str) -> Column:
+    """Name of the rule that rejects a row of counts, null if none; the cascade's order is measured."""
+    rules = RULES if rules is None else rules
+    return F.when(base_failed(), "base").otherwise(cascade(rules, measured_order(docs, rules, id_col, text_col)))
+
+
 def judge(docs: DataFrame, rules: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Counts, base_failed, kept and the rejecting rule of every document."""
-    rules = RULES if rules is None else rules
-    order = measured_order(docs, rules, id_col, text_col)
-    failed = base_failed()
-    rejected_by = F.when(failed, "base").otherwise(cascade(rules, order))
-    found = counts(docs, id_col, text_col).withColumn("base_failed", failed).withColumn("rejected_by", rejected_by)
+    found = counts(docs, id_col, text_col).withColumns({
+        "base_failed": base_failed(), "rejected_by": rejected_by(docs, rules, id_col, text_col),
+    })
     return found.withColumn("kept", F.col("rejected_by").isNull()).drop("text")
+
+
+def keep_good(docs: DataFrame, rules: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns unchanged, that no rule rejects."""
+    found = counts(docs, id_col, text_col, whole_row=True)
+    return found.where(rejected_by(docs, rules, id_col, text_col).isNull()).select("row.*")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+import corpus_pipeline
 from shopmart.llm import bpe, packing, quality_rules, simhash, toxicity
 from shopmart.llm.common import table
 
@@ -45,7 +46,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_toxicity": op2_toxicity, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_packing": op10_packing}
+    return {"op2_toxicity": op2_toxicity, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -187,3 +187,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     final = stored(grouped(nodes, first.union(second)), "components")
     ids = final.join(nodes, "fp").groupBy("comp").agg(F.min("least_id").alias("component_id"))
     return marked.join(final.join(ids, "comp").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One row of ``docs`` for each component, all columns unchanged: the one with the least id.
+
+    ``docs`` must be a stored table: rows are told apart by their place in its scan, which is the
+    same each time, so null and repeated ids do no harm.
+    """
+    place = "row_of_scan"
+    while place in docs.columns:
+        place += "_"
+    placed = docs.withColumn(place, F.monotonically_increasing_id())
+    groups = near_duplicates(placed, place, text_col, radius).select(F.col("doc_id").alias(place), F.col("component_id").alias("group"))
+    ids = placed.select(place, F.col(id_col).alias("id"))
+    first = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col(place).alias("place")))
+    kept = groups.join(ids, place).groupBy("group").agg(first.alias("first")).select(F.col("first.place").alias(place))
+    return placed.join(kept, place, "left_semi").drop(place)

@@ -195,3 +195,18 @@ def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_co
     """doc_id, score and offending sentences of every document, by a model fitted to the labels."""
     texts = columns(docs, id_col, text_col)
     return score(texts, fit(texts, labels, fit_rows))
+
+
+def keep_clean(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Rows of ``docs``, all columns unchanged, whose score is below the threshold."""
+    model = fit(columns(docs, id_col, text_col), labels, fit_rows)
+    shared = docs.sparkSession.sparkContext.broadcast((model.weights, model.bias))
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = Model(*shared.value)
+        for rows in slices(batches):
+            clean = [fitted.score(text or "")[0] < THRESHOLD for text in rows.column(at).to_pylist()]
+            yield rows.filter(pa.array(clean, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
