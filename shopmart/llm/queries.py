@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from shopmart.llm import bpe, packing, quality_rules, sharding, simhash, toxicity
+from shopmart.llm import bpe, packing, quality_rules, sharding, simhash, toxicity, url_filter
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,6 +43,10 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"))
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -53,7 +57,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op8_simhash": op8_simhash, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
+    return {"op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
