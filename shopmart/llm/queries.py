@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from shopmart.llm import bpe, packing, quality_rules, sharding, simhash, toxicity, url_filter
+from shopmart.llm import bpe, licenses, packing, quality_rules, sharding, simhash, topk, toxicity, url_filter
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels").where(~toxicity.held_out(F.col("doc_id")))
     found = toxicity.toxicity(table(spark, sf_dir, "documents"), labels)
@@ -32,6 +36,10 @@ def op3_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
@@ -57,7 +65,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
+    return {"op1_topk": op1_topk, "op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op4_licenses": op4_licenses, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
