@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from shopmart.llm import bpe, licenses, packing, quality_rules, sharding, simhash, topk, toxicity, url_filter
+from shopmart.llm import bpe, licenses, packing, quality_rules, sharding, simhash, token_counts, topk, toxicity, url_filter
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,12 +60,16 @@ def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), token_counts.vocabulary_path())
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_topk": op1_topk, "op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op4_licenses": op4_licenses, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
+    return {"op1_topk": op1_topk, "op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op4_licenses": op4_licenses, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op9_token_counts": op9_token_counts, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
