@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import shutil
+import tempfile
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -27,6 +30,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors, once for each application, so that tasks can import it."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        name, root = os.path.basename(package), os.path.dirname(package)
+        if os.path.isdir(package):
+            target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix=f"{name}-")), name)
+            context.addPyFile(shutil.make_archive(target, "zip", root, name))
+        _shipped.add(context.applicationId)
+
+
 def slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for start in range(0, batch.num_rows, SLICE_ROWS):
@@ -46,5 +64,6 @@ def pieces(text: str) -> Iterator[str]:
 
 
 def columns(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The id and the text alone, under fixed names."""
+    """The id and the text alone, under fixed names, ready for tasks of this package."""
+    ship(docs.sparkSession)
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))

@@ -31,7 +31,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shopmart.llm.common import stored
+from shopmart.llm.common import ship, stored
 
 SCALE = 1024
 K = 10
@@ -209,6 +209,7 @@ def search(
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for every row that ``is_query`` picks."""
     rows = vectors.select(F.col(id_col).cast("long").alias("id"), integers(F.col(vector_col), scale).alias("v"), is_query.alias("asked"))
+    ship(vectors.sparkSession)
     rows = rows.where("id IS NOT NULL AND v IS NOT NULL")
     index = stored(build_index(rows.select("id", "v")), "index")
     asked = rows.where("asked").groupBy("id").agg(F.min("v").alias("v"))
