@@ -1,0 +1,107 @@
+from __future__ import annotations
+
+import random
+
+import numpy as np
+import pytest
+import xxhash
+from text_cases import documents, empty, frame_of, prose
+
+from shopmart.llm import simhash
+
+
+def plain_fingerprint(text):
+    words = [w for w in (text or "").encode().lower().split()]
+    grams = [b" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(g, 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(marked):
+    """marked: (id, fingerprint) pairs; least id reachable, by comparing all pairs."""
+    label = {i: i for i in range(len(marked))}
+    for a in range(len(marked)):
+        for b in range(a):
+            if (marked[a][1] ^ marked[b][1]).bit_count() <= 4:
+                old, new = label[a], label[b]
+                label = {k: new if v == old else v for k, v in label.items()}
+    least = {}
+    for k, v in label.items():
+        ids = [marked[j][0] for j in label if label[j] == v and marked[j][0] is not None]
+        least[k] = min(ids) if ids else None
+    return sorted(((m[0], m[1], least[k]) for k, m in enumerate(marked)), key=str)
+
+
+@pytest.mark.parametrize("text", ["", "  ", "One", "a b c", "a b c d", prose(3), "A\tB\nC\vD\fE É x", prose(8, 900)])
+def test_fingerprint(text):
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_fingerprint_of_a_text_in_pieces(monkeypatch):
+    from shopmart.llm import common
+
+    text = prose(5, 700) + "\n" + "q" * 300 + " " + prose(6, 50)
+    monkeypatch.setattr(common, "PIECE_CHARS", 100)
+    assert simhash.fingerprint(text) == plain_fingerprint(text)
+
+
+def test_components_of_awkward_rows(spark):
+    found = simhash.near_duplicates(frame_of(spark)).collect()
+    expected = plain_components([(r[0], plain_fingerprint(r[1])) for r in documents()])
+    assert sorted(((r.doc_id, r.fp & (2**64 - 1), r.component_id) for r in found), key=str) == expected
+    assert simhash.near_duplicates(empty(spark)).count() == 0
+
+
+def test_links_of_any_shape_are_found(spark):
+    """Chains, stars and a dense group of fingerprints, with the cells alone and with leaders."""
+    draw = random.Random(11)
+    values = {0, 2**64 - 1, 1 << 63}
+    for _ in range(12):
+        value = draw.getrandbits(64)
+        for _ in range(draw.choice([1, 3, 40])):
+            values.add(value)
+            for bit in draw.sample(range(64), draw.randint(0, 4)):
+                value ^= 1 << bit
+    signed = np.array(sorted(values), "u8").view("i8").tolist()
+    nodes = spark.createDataFrame([(v,) for v in signed], "fp long")
+    expected = {tuple(sorted((a, b))) for a in signed for b in signed if a != b and ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
+    plain = nodes.selectExpr("fp", "fp AS comp", "CAST(1 AS BIGINT) AS size")
+    pairs = simhash.linked_pairs(plain, 4).collect()
+    assert {tuple(sorted((r.a, r.b))) for r in pairs} == expected
+    assert len(pairs) <= 4 * len(expected)
+    leaders = {tuple(sorted((r.a, r.b))) for r in simhash.leader_links(nodes, 4).collect()}
+    assert leaders <= expected
+    # With every fingerprint in one merged group there is nothing left to pair.
+    merged = nodes.selectExpr("fp", "0L AS comp", "1000L AS size")
+    assert simhash.linked_pairs(merged, 4).count() == 0
+
+
+def test_a_large_group_is_still_linked_to_others(spark):
+    group = [v << 40 for v in range(64)]
+    near, far = [(3 << 40) | 1, (5 << 40) | 3 << 20], [0xFFFFFFFF]
+    rows = [(v, 0, 64) for v in group] + [(v, v, 1) for v in near + far]
+    nodes = spark.createDataFrame(rows, "fp long, comp long, size long")
+    found = {tuple(sorted((r.a, r.b))) for r in simhash.linked_pairs(nodes, 4).collect()}
+    comp = {r[0]: r[1] for r in rows}
+    expected = {(a, b) for a in comp for b in comp if a < b and comp[a] != comp[b] and (a ^ b).bit_count() <= 4}
+    assert found == expected and expected
+
+
+def test_long_chain_is_one_component(spark):
+    edges = spark.createDataFrame([(n, n + 1) for n in range(60)] + [(100, 101)], "a long, b long")
+    found = {r.node: r.label for r in simhash.components(edges).collect()}
+    assert found == {**dict.fromkeys(range(61), 0), 100: 100, 101: 100}
+
+
+def test_radius_is_limited(spark):
+    with pytest.raises(ValueError):
+        simhash.near_duplicates(frame_of(spark), radius=5)
+
+
+def test_keep_one_of_each_group(spark, tmp_path):
+    docs = frame_of(spark)
+    docs.write.parquet(str(tmp_path / "docs"))
+    kept = simhash.keep_one(spark.read.parquet(str(tmp_path / "docs")))
+    assert kept.columns == docs.columns
+    groups = plain_components([(r[0], plain_fingerprint(r[1])) for r in documents()])
+    assert sorted(str(r.doc_id) for r in kept.collect()) == sorted({str(g[2]) for g in groups})
