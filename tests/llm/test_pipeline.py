@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+import pytest
+from conftest import SMALL
+from test_packing import check
+from test_quality_rules import plain
+from test_simhash import plain_components, plain_fingerprint
+from text_cases import documents, empty, frame_of, prose
+
+import corpus_pipeline
+from shopmart.llm import quality_rules, toxicity
+
+
+@pytest.fixture(scope="module")
+def folder(spark, tmp_path_factory):
+    """A folder with awkward, toxic, poor and copied documents, and labels."""
+    draw = random.Random(9)
+    path = tmp_path_factory.mktemp("tables")
+    rows = documents()
+    for i in range(200):
+        text = prose(5000 + i, 80)
+        if i % 4 == 0:
+            text = text.replace(". ", " vilewort. ", 1)
+        rows.append((1000 + i, text, "en", "src1", None))
+    for i in range(20):
+        rows.append((2000 + i, rows[20 + draw.randrange(180)][1], "en", "src2", None))
+    docs = frame_of(spark, rows)
+    docs.write.parquet(f"{path}/documents.parquet")
+    labels = [(1000 + i, 1, int(i % 4 == 0)) for i in range(200)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{path}/labels.parquet")
+    return str(path), rows
+
+
+def test_stages_one_by_one(spark, folder):
+    path, rows = folder
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    columns = docs.columns
+    stages = dict(corpus_pipeline.STAGES)
+    clean = stages["toxicity"](spark, docs, path)
+    assert clean.columns == columns
+    ids = {r.doc_id for r in clean.collect()}
+    toxic = {1000 + i for i in range(0, 200, 4)}
+    assert not ids & toxic and len({r[0] for r in rows if r[0] and 1000 <= r[0] < 2000} - toxic - ids) <= 2
+    good = stages["quality rules"](spark, docs, path)
+    assert good.columns == columns
+    rejected = Counter(str(r[0]) for r in rows) - Counter(str(r.doc_id) for r in good.collect())
+    failed = Counter(str(r[0]) for r in rows if plain(r[1])[-1])
+    assert not failed - rejected
+    judged = quality_rules.judge(docs).where("NOT kept").collect()
+    assert rejected == Counter(str(r.doc_id) for r in judged)
+    thin = stages["near duplicates"](spark, docs, path)
+    assert thin.columns == columns
+    groups = plain_components([(r[0], plain_fingerprint(r[1])) for r in rows])
+    assert Counter(str(r.doc_id) for r in thin.collect()) == Counter({str(g[2]) for g in groups})
+    padding, total = check(stages["packing"](spark, docs, path).collect(), rows, 4096)
+    assert padding < 0.02 * total
+
+
+def test_run_packs_what_the_stages_keep(spark, folder):
+    path, rows = folder
+    packed = corpus_pipeline.run(spark, path).collect()
+    docs = spark.read.parquet(f"{path}/documents.parquet")
+    labels = spark.read.parquet(f"{path}/labels.parquet")
+    clean = [(r.doc_id, r.text) for r in toxicity.keep_clean(docs, labels.where(~toxicity.held_out(labels.doc_id))).collect()]
+    kept = quality_rules.judge(spark.createDataFrame(clean, "doc_id long, text string")).where("kept").select("doc_id").collect()
+    left = Counter(r[0] for r in kept)
+    marked = [(d, plain_fingerprint(t)) for d, t in clean if left[d] > 0]
+    expected = {g[2] for g in plain_components(marked)}
+    assert {r.doc_id for r in packed} == expected
+    text = dict(clean)
+    check(packed, [(d, text[d]) for d in expected], 4096)
+
+
+def test_empty_tables(spark, tmp_path):
+    empty(spark).write.parquet(f"{tmp_path}/documents.parquet")
+    empty(spark, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+@pytest.mark.parametrize("name", ["op1_topk", "op2_toxicity", "op3_shards", "op4_licenses", "op6_quality", "op7_urls", "op8_simhash", "op9_token_counts"])
+def test_queries_cover_their_tables(spark, name):
+    from shopmart.llm import queries
+
+    found = queries.queries()[name](spark, SMALL)
+    source = {"op1_topk": "embeddings", "op7_urls": "pages"}.get(name, "documents")
+    n = spark.read.parquet(f"{SMALL}/{source}.parquet").count()
+    assert found.count() == (50 if name == "op1_topk" else n)

@@ -1,0 +1,55 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+
+from text_cases import documents, empty, frame_of
+
+from shopmart.llm import token_counts
+
+PATH = token_counts.vocabulary_path()
+
+
+def plain(text, unigram):
+    """Best segmentation of each pre-token on its own."""
+    tokens = 0
+    words = (text or "").split()
+    for word in words:
+        s = token_counts.WORD_MARK + word
+        best = [(0.0, 0)]
+        for i in range(1, len(s) + 1):
+            size = len(s[i - 1].encode())
+            top = (best[i - 1][0] + size * unigram.unknown, best[i - 1][1] + size)
+            for j in range(i - 1, -1, -1):
+                score = unigram.scores.get(s[j:i])
+                if score is not None and best[j][0] + score >= top[0]:
+                    top = (best[j][0] + score, best[j][1] + 1)
+            best.append(top)
+        tokens += best[-1][1]
+    return len(words), tokens
+
+
+def test_awkward_rows(spark):
+    unigram = token_counts.load(PATH)
+    found = token_counts.count_tokens(frame_of(spark), PATH)
+    expected = Counter((d, *plain(t[:400] if t and len(t) > 4999 and " " not in t else t, unigram)) for d, t, *_ in documents() if t != "x" * 5000)
+    assert Counter(tuple(r) for r in found.collect() if r.doc_id != 15) == expected
+    assert token_counts.count_tokens(empty(spark), PATH).count() == 0
+
+
+def test_shared_beginnings_change_nothing():
+    draw = random.Random(1)
+    pieces = {"".join(draw.choice("ab") for _ in range(draw.randint(1, 5))): -draw.random() * 5 for _ in range(20)}
+    pieces[token_counts.WORD_MARK + "a"] = -0.5
+    unigram = token_counts.Unigram(pieces, -7.0)
+    words = {"".join(draw.choice("abé") for _ in range(draw.randint(1, 9))) for _ in range(300)}
+    unigram.insert(words)
+    assert {w: unigram.counts[w] for w in words} == {w: plain(w, unigram)[1] for w in words}
+
+
+def test_store_is_bounded(monkeypatch):
+    unigram = token_counts.Unigram({"a": -1.0, "b": -1.0}, -9.0, stored=2)
+    texts = ["a b ab", "ba bb aa", "ab " * 5, ""]
+    assert [unigram.count([t])[0] for t in texts] == [plain(t, unigram) for t in texts]
+    monkeypatch.setattr(token_counts, "PIECE_CHARS", 4)
+    assert unigram.count(["ab ba ab", "a"]) == [plain("ab ba ab", unigram), plain("a", unigram)]
