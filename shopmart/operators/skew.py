@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 SALTS = 64
 HOT_SHARE = 0.01
-MIN_ROWS = 20_000_000
+#: Rows sampled to steer the layout; results never depend on the sample.
 SAMPLE_ROWS = 1_000_000
 
 
@@ -24,21 +24,17 @@ def find_hot_keys(
     df: DataFrame,
     key: str,
     share: float = HOT_SHARE,
-    min_rows: int = MIN_ROWS,
     sample_rows: int = SAMPLE_ROWS,
     seed: int = 42,
 ) -> list[Any]:
-    """Keys (values of a SQL expression) that hold at least ``share`` of the rows, null
-    included: about 1/share at most.
+    """Keys (values of a SQL expression) that hold at least ``share`` of the rows, null included.
 
-    Row counts of Parquet tables come from file footers, and tables below ``min_rows`` fit
-    ordinary partitions, so they are not looked at. Larger tables are sampled on the key
-    column alone.
+    Only the share counts, never the size of the table. Row counts of Parquet tables come from
+    file footers; tables of more than ``sample_rows`` rows are sampled on the key column alone.
+    No more than 1/share keys can have that share, so the list that is fetched is short.
     """
     rows = df.count()
-    if rows < min_rows:
-        return []
-    fraction = min(1.0, sample_rows / rows)
+    fraction = min(1.0, sample_rows / max(rows, 1))
     keys = df.selectExpr(f"{key} AS k")
     if fraction < 1.0:
         keys = keys.sample(fraction, seed)
@@ -46,7 +42,6 @@ def find_hot_keys(
         keys.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") >= max(2.0, share * rows * fraction))
         .orderBy(F.desc("n"), "k")
-        .limit(int(2 / share))
     )
     return [row["k"] for row in busy.collect()]
 

@@ -7,7 +7,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 
-from shopmart.operators.skew import HOT_SHARE, MIN_ROWS, find_hot_keys
+from shopmart.operators.skew import HOT_SHARE, find_hot_keys
 
 
 @dataclass(frozen=True)
@@ -26,12 +26,11 @@ class HotKeys:
         payments: DataFrame,
         customer_key: str = "customer_id",
         share: float = HOT_SHARE,
-        min_rows: int = MIN_ROWS,
     ) -> HotKeys:
         """Measure stored tables (not plans: this runs jobs that read the key columns)."""
 
         def find(df: DataFrame, key: str) -> tuple[Any, ...]:
-            return tuple(find_hot_keys(df, key, share, min_rows))
+            return tuple(find_hot_keys(df, key, share))
 
         return HotKeys(
             order_customers=find(orders, customer_key),

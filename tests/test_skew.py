@@ -29,10 +29,11 @@ def lookup(frame):
 
 
 def test_find_hot_keys(facts):
-    assert set(skew.find_hot_keys(facts, "k", share=0.08, min_rows=0)) == {7, None}
-    assert skew.find_hot_keys(facts, "k", share=0.08) == []
-    assert skew.find_hot_keys(facts, "k + 1", share=0.2, min_rows=0) == [8]
-    assert 7 in skew.find_hot_keys(facts, "k", share=0.2, min_rows=0, sample_rows=300)
+    assert set(skew.find_hot_keys(facts, "k", share=0.08)) == {7, None}
+    assert skew.find_hot_keys(facts, "k", share=0.9) == []
+    assert skew.find_hot_keys(facts.limit(0), "k") == []
+    assert skew.find_hot_keys(facts, "k + 1", share=0.2) == [8]
+    assert 7 in skew.find_hot_keys(facts, "k", share=0.2, sample_rows=300)
 
 
 @pytest.mark.parametrize("how", ["left", "inner"])
@@ -97,7 +98,7 @@ def test_running_total_against_brute_force(frame):
 def test_star_and_marts_with_hot_keys_equal_plain_ones(spark):
     raw = retail.raw_tables(spark, SMALL)
     clean = {name: silver_plan.clean(name, df, HASH_KEY) for name, df in raw.items()}
-    hot = HotKeys.detect(clean["orders"], clean["order_items"], clean["payments"], share=0.009, min_rows=0)
+    hot = HotKeys.detect(clean["orders"], clean["order_items"], clean["payments"], share=0.009)
     hot = HotKeys(
         order_customers=hot.order_customers or (clean["orders"].first()["customer_id"],),
         item_orders=(1, 2, 3, 4_000_000), item_products=(5, 6, 7), payment_orders=(61, 122, 1),
