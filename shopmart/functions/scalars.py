@@ -16,12 +16,19 @@ def is_missing(value: str, dtype: str) -> str:
 
 
 def lenient_number(value: str) -> str:
-    """Number or null. NaN becomes null as well, since it would compare above everything."""
-    return f"nullif(try_cast({value} AS DOUBLE), double('NaN'))"
+    """Number or null. NaN becomes null as well, since it would compare above everything.
+
+    Text must be a plain decimal number: a cast alone takes type suffixes such as in ``12d``.
+    """
+    plain = rf"'^\\s*[+-]?(\\d+\\.?\\d*|\\.\\d+)([eE][+-]?\\d+)?\\s*$|(?i)^\\s*[+-]?inf(inity)?\\s*$'"
+    fits = f"(typeof({value}) <> 'string' OR CAST({value} AS STRING) RLIKE {plain})"
+    return f"if({fits}, nullif(try_cast({value} AS DOUBLE), double('NaN')), NULL)"
 
 
 def lenient_timestamp(value: str) -> str:
-    return f"try_cast({value} AS TIMESTAMP)"
+    """Moment or null. Text must start with a year: a bare time of day would become today's."""
+    fits = f"(typeof({value}) <> 'string' OR CAST({value} AS STRING) RLIKE '^\\\\s*[+-]?\\\\d{{4,6}}(-|\\\\s*$)')"
+    return f"if({fits}, try_cast({value} AS TIMESTAMP), NULL)"
 
 
 def clip(value: str, low: float, high: float) -> str:

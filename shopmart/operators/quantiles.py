@@ -59,7 +59,11 @@ def _count_slices(df: DataFrame, intervals: Sequence[tuple[str, float, float]])
 def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, int, float, float]]) -> list[float]:
     """Values at the wanted ranks: (column, rank from 0, minimum and maximum of the column)."""
     searches = [_Search(*w) for w in wanted]
+    before = None
     while open_intervals := list(dict.fromkeys(s.interval for s in searches if s.low < s.high)):
+        if open_intervals == before:
+            raise RuntimeError(f"no interval narrowed: {open_intervals}")
+        before = open_intervals
         found = dict(zip(open_intervals, _count_slices(df, open_intervals).values()))
         for search in searches:
             for rows, smallest, largest in found.get(search.interval, ()):
@@ -70,21 +74,42 @@ def order_statistics(df: DataFrame, wanted: Sequence[tuple[str, int, float, floa
     return [s.low for s in searches]
 
 
+def _infinite_ends(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int, int, float, float]]:
+    """Rows at minus and plus infinity, and the finite span, of columns that have such rows."""
+    if not columns:
+        return {}
+    finite = "if(abs(`{0}`) < double('Infinity'), `{0}`, NULL)"
+    row = df.selectExpr(*[
+        f"named_struct('below', count_if(`{c}` = double('-Infinity')), 'above', count_if(`{c}` = double('Infinity')),"
+        f" 'low', min({finite.format(c)}), 'high', max({finite.format(c)})) AS `{c}`"
+        for c in columns
+    ]).first()
+    return {c: tuple(row[c]) for c in columns}
+
+
 def exact_quantiles(
     df: DataFrame, spans: dict[str, tuple[int, float, float]], probabilities: Sequence[float]
 ) -> dict[str, list[float | None]]:
     """Quantiles of double columns, linearly interpolated; null for a column without values.
 
-    ``spans`` gives count, minimum and maximum of each column.
+    ``spans`` gives count, minimum and maximum of each column. Infinite values take the ranks
+    at either end and only the finite ones between them are searched.
     """
+    ends = _infinite_ends(df, [c for c, (n, *span) in spans.items() if n and any(map(math.isinf, span))])
     wanted, places = [], []
     for column, (count, low, high) in spans.items():
+        below, above, low, high = ends.get(column, (0, 0, low, high))
         for p in probabilities if count else ():
             place = (count - 1) * p
             places.append((column, place - math.floor(place)))
-            wanted += [(column, rank, low, high) for rank in (math.floor(place), math.ceil(place))]
+            for rank in (math.floor(place), math.ceil(place)):
+                if rank < below or rank >= count - above:
+                    end = -math.inf if rank < below else math.inf
+                    wanted.append((column, 0, end, end))
+                else:
+                    wanted.append((column, rank - below, low, high))
     values = order_statistics(df, wanted)
     quantiles: dict[str, list[float | None]] = {c: [] for c in spans}
     for (column, part), below, above in zip(places, values[::2], values[1::2]):
-        quantiles[column].append(below + (above - below) * part)
+        quantiles[column].append(below if below == above or not part else below + (above - below) * part)
     return {c: found or [None] * len(probabilities) for c, found in quantiles.items()}

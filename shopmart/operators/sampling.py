@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-_BUCKETS = 10_000
+_HASHES = 1 << 32  # values of CRC-32
 
 
 def _hash(key: str, seed: int) -> str:
@@ -19,7 +19,7 @@ def key_fraction(df: DataFrame, key: str, fraction: float, seed: int = 42) -> Da
     """
     if not 0.0 <= fraction <= 1.0:
         raise ValueError("fraction must lie in [0, 1]")
-    return df.where(f"pmod({_hash(key, seed)}, {_BUCKETS}) < {round(fraction * _BUCKETS)}")
+    return df.where(f"{_hash(key, seed)} < {round(fraction * _HASHES)}")
 
 
 def n_rows(df: DataFrame, key: str, n: int, seed: int = 42) -> DataFrame:
