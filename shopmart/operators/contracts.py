@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 
 from shopmart.operators.profile import aggregate
-from shopmart.operators.sampling import n_rows
 from shopmart.schemas import CHANNELS, ORDER_STATUSES, PAYMENT_METHODS, PAYMENT_STATUSES
 
 
@@ -180,13 +179,9 @@ def quarantined_rows(df: DataFrame, contract: Contract) -> DataFrame:
     return with_violations(df, contract).where("size(violations) > 0")
 
 
-def validate(df: DataFrame, contract: Contract, sample: int | None = None, seed: int = 42) -> None:
-    """Raise ValueError with the count and three examples if rows break the contract.
-
-    By default the whole table is checked; ``sample`` limits the check to so many rows.
-    """
-    checked = n_rows(df, contract.columns[0], sample, seed) if sample else df
-    bad = quarantined_rows(checked, contract)
+def validate(df: DataFrame, contract: Contract) -> None:
+    """Raise ValueError with the count and three examples if any row of the table breaks the contract."""
+    bad = quarantined_rows(df, contract)
     first = [row.asDict() for row in bad.limit(3).collect()]
     if first:
         raise ValueError(f"Schema validation failed for '{contract.dataset}': {bad.count()} rows, e.g. {first}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,32 +12,41 @@ from shopmart.operators.profile import table_profile
 from shopmart.schemas import RAW
 from shopmart.sources import tables
 
+#: Orders the rows of a raw table by delivery, where the feed stamps it; kept, but no part of a contract.
+LOAD_SEQUENCE = "load_seq"
+
 
 def ingest(
-    spark: SparkSession, raw: dict[str, DataFrame], path: str, validation_sample: int | None = None
+    spark: SparkSession, raw: dict[str, DataFrame], path: str, enforce_contracts: bool = True
 ) -> DataFrame:
     """Write raw tables as CSV under ``path`` and as Parquet under ``path/parquet``.
 
-    Returns one profile row per table, computed from the Parquet. With ``validation_sample``
-    so many rows of each table must meet its contract first.
+    Both forms come from the same frame. Every row must meet its table's contract first,
+    unless a feed with known faults is taken in with ``enforce_contracts=False``; the quality
+    suite then reports on it. Returns one profile row per table, computed from the Parquet.
     """
 
     def store(name: str) -> None:
-        if validation_sample:
-            validate(raw[name], RAW_CONTRACTS[name], validation_sample)
+        if enforce_contracts:
+            validate(raw[name].drop(LOAD_SEQUENCE), RAW_CONTRACTS[name])
         tables.write_csv(raw[name], f"{path}/{name}")
-        tables.csv_to_parquet(spark, f"{path}/{name}", f"{path}/parquet/{name}", name)
+        tables.write_dated(raw[name], f"{path}/parquet/{name}", name)
 
     tables.each(spark, raw, store)
     stored = read(spark, path)
     return reduce(DataFrame.unionByName, [table_profile(stored[name], name) for name in raw])
 
 
-def read(spark: SparkSession, path: str, layout: str = "parquet") -> dict[str, DataFrame]:
-    """The raw tables as ingested: the Parquet form, which prunes columns, or the CSV form."""
+def read(spark: SparkSession, path: str, layout: str = "parquet", keep: Sequence[str] = ()) -> dict[str, DataFrame]:
+    """The raw tables as ingested: the Parquet form, which prunes columns, or the CSV form.
+
+    Of columns beyond the declared ones only those in ``keep`` come along, where they are stored.
+    """
     if layout == "csv":
         return {name: tables.read_csv(spark, f"{path}/{name}", name) for name in RAW}
-    return {  # without the partition columns, which a scan appends
-        name: tables.read_parquet(spark, f"{path}/parquet/{name}", schema).select(*schema.fieldNames())
-        for name, schema in RAW.items()
-    }
+    found = {}
+    for name, schema in RAW.items():
+        stored = tables.read_parquet(spark, f"{path}/parquet/{name}")
+        # Without the partition columns, which a scan appends.
+        found[name] = stored.select(*schema.fieldNames(), *[c for c in keep if c in stored.columns])
+    return found

@@ -11,6 +11,7 @@ from shopmart.functions.scalars import clip, lenient_number, lenient_timestamp
 from shopmart.operators.dedup import keep_first
 from shopmart.operators.profile import aggregate
 from shopmart.plans import bronze, marts
+from shopmart.plans.bronze import LOAD_SEQUENCE
 from shopmart.schemas import CLEANED
 from shopmart.sources import tables
 
@@ -79,20 +80,24 @@ def clean_reviews(df: DataFrame, hash_key: str, order_by: Sequence[str] = ()) ->
 
 
 def clean(table: str, df: DataFrame, hash_key: str) -> DataFrame:
-    """Clean one raw table by name."""
+    """Clean one raw table by name. Of several rows with one key the first delivered stays, by
+    the load sequence if the table has one; the sequence itself goes."""
+    order_by = [LOAD_SEQUENCE] if LOAD_SEQUENCE in df.columns else []
     if table == "customers":
-        return clean_customers(df, hash_key)
-    if table == "products":
-        return clean_products(df)
-    if table == "orders":
-        return clean_orders(df, hash_key)
-    if table == "order_items":
-        return clean_order_items(df)
-    if table == "payments":
-        return clean_payments(df)
-    if table == "reviews":
-        return clean_reviews(df, hash_key)
-    raise KeyError(table)
+        found = clean_customers(df.drop(LOAD_SEQUENCE), hash_key)
+    elif table == "products":
+        found = clean_products(df, order_by)
+    elif table == "orders":
+        found = clean_orders(df, hash_key, order_by)
+    elif table == "order_items":
+        found = clean_order_items(df, order_by)
+    elif table == "payments":
+        found = clean_payments(df, order_by)
+    elif table == "reviews":
+        found = clean_reviews(df, hash_key, order_by)
+    else:
+        raise KeyError(table)
+    return found.drop(LOAD_SEQUENCE)
 
 
 def coercion_losses(df: DataFrame, dataset: str, numbers: Sequence[str] = (), dates: Sequence[str] = ()) -> DataFrame:
@@ -114,7 +119,7 @@ def read_cleaned(spark: SparkSession, silver_path: str) -> dict[str, DataFrame]:
 
 def run(spark: SparkSession, bronze_path: str, silver_path: str, hash_key: str) -> None:
     """Clean the ingested raw tables, write them, then write the marts built on the result."""
-    raw = bronze.read(spark, bronze_path)
+    raw = bronze.read(spark, bronze_path, keep=[LOAD_SEQUENCE])
 
     def store(name: str) -> None:
         tables.write_parquet(clean(name, raw[name], hash_key), f"{silver_path}/cleaned/{name}")

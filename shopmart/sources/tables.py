@@ -31,10 +31,15 @@ def read_csv(spark: SparkSession, path: str, table: str, dates: Sequence[str] =
 
     Columns are read as text by header name, then cast leniently, so one bad value costs
     neither the job nor its row. ``dates`` names text columns to parse as timestamps.
+    Quoted fields may hold line breaks, so each file is read by one task: keep files of
+    moderate size, as ``write_csv`` does. An empty quoted field is empty text, an empty bare
+    one is null.
     """
     header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
     as_text = StructType([StructField(name, StringType()) for name in header])
-    options = {"header": True, "escape": '"', "multiLine": False, "enforceSchema": False}
+    options = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False, "lineSep": "\n"}
+    # Any null mark but the empty text lets the parser tell an empty quoted field from a bare one.
+    options |= {"nullValue": "\u0000", "emptyValue": ""}
     raw = spark.read.schema(as_text).options(**options).csv(path)
     types = {field.name: field.dataType.simpleString() for field in RAW[table].fields}
     casts = {name: f"try_cast(`{name}` AS {types[name]})" if name in types else f"`{name}`" for name in header}
@@ -43,7 +48,9 @@ def read_csv(spark: SparkSession, path: str, table: str, dates: Sequence[str] =
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    """Write CSV that ``read_csv`` gives back as it was: line breaks, edge spaces and empty text stay."""
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""', "nullValue": ""}
+    df.write.mode("overwrite").options(header=True, escape='"', lineSep="\n", **keep).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -91,9 +98,8 @@ def with_year_month(df: DataFrame, column: str) -> DataFrame:
     return df.selectExpr("*", f"year({moment}) AS year", f"month({moment}) AS month")
 
 
-def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, table: str) -> None:
-    """Convert a raw CSV table to Parquet, by year and month where it has a date."""
-    df = read_csv(spark, csv_path, table)
+def write_dated(df: DataFrame, parquet_path: str, table: str) -> None:
+    """Write a raw table as Parquet, by year and month where it has a date."""
     column = date_column(df, table)
     if column is None:
         write_parquet(df, parquet_path)
@@ -101,6 +107,11 @@ def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, table:
         write_parquet(with_year_month(df, column), parquet_path, ("year", "month"))
 
 
+def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, table: str) -> None:
+    """Convert a raw CSV table to Parquet."""
+    write_dated(read_csv(spark, csv_path, table), parquet_path, table)
+
+
 def read_report(spark: SparkSession, path: str) -> DataFrame:
     """Read a quality report back; the result rows are in its ``checks`` array."""
     return spark.read.option("multiLine", True).json(path)
