@@ -8,19 +8,21 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import date, datetime
 from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import oracle
-from shopmart.functions.keys import pseudonym
+from shopmart.functions.keys import pseudonym, wide_key
 from shopmart.operators import checks, contracts, profile, sampling
-from shopmart.operators.skew import find_range_bounds
+from shopmart.operators.skew import HOT_SHARE, find_range_bounds
 from shopmart.plans import analytics, bronze, explore, gold, marts, quality, silver
 from shopmart.plans.hot import HotKeys
+from shopmart.schemas import FACT_COLUMNS
 from shopmart.session import scratch_dir
-from shopmart.sources import retail, tables
+from shopmart.sources import ddl, retail, tables
 from shopmart.streaming import orders as feed
 
 try:
@@ -36,6 +38,7 @@ except ModuleNotFoundError as missing:
 HASH_KEY = "example-only-key-do-not-use-in-production-0001"
 AS_OF = date(2001, 8, 1)  # last order date of the given tables
 RUN_AT = datetime(2024, 2, 1)
+LOW_SHARE = 0.0008  # of a table's rows: so that salted plans meet the reference SQL on small tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -45,7 +48,7 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 @lru_cache(maxsize=None)
-def _hot(spark: SparkSession, sf_dir: str) -> HotKeys:
+def _hot(spark: SparkSession, sf_dir: str, share: float = HOT_SHARE) -> HotKeys:
     """Hot keys measured on the stored tables, once per session and folder."""
     orders, lines = (retail.read(spark, sf_dir, name) for name in ("orders", "lineitem"))
     return HotKeys.detect(
@@ -53,16 +56,25 @@ def _hot(spark: SparkSession, sf_dir: str) -> HotKeys:
         lines.selectExpr("l_orderkey AS order_id", "l_partkey AS product_id"),
         orders.selectExpr("o_orderkey AS order_id"),
         customer_key=pseudonym("customer_id", HASH_KEY),
+        share=share,
     )
 
 
 def _clean(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    return {name: silver.clean(name, retail.raw_table(spark, sf_dir, name), HASH_KEY) for name in names}
+    return {
+        name: silver.clean(name, retail.raw_table(spark, sf_dir, name, sequence=True), HASH_KEY) for name in names
+    }
+
+
+def _salted(spark: SparkSession, sf_dir: str) -> HotKeys:
+    """Keys taken as hot at a share so low that the test tables have some, and a few orders
+    besides: no order of theirs holds that share, and the list never changes a result."""
+    return replace(_hot(spark, sf_dir, LOW_SHARE), item_orders=(1, 2, 3, 4), payment_orders=(1, 59, 61, 122))
 
 
-def _star(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _star(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None, **options) -> dict[str, DataFrame]:
     cleaned = _clean(spark, sf_dir, "customers", "products", "orders", "order_items", "payments")
-    return gold.build_star(cleaned, hot=_hot(spark, sf_dir))
+    return gold.build_star(cleaned, hot=hot or _hot(spark, sf_dir), **options)
 
 
 def _cleaned(name: str) -> Query:
@@ -81,13 +93,23 @@ def dim_tempo(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.calendar_of(_clean(spark, sf_dir, "orders")["orders"])
 
 
-def fato_pedidos(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _star(spark, sf_dir)["fato_pedidos"]
+def fato_pedidos(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
+    return _star(spark, sf_dir, hot)["fato_pedidos"]
 
 
-def q1_monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _star(spark, sf_dir)
-    products = [key for key in _hot(spark, sf_dir).item_products if key is not None]
+def fato_pedidos_wide(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact over wide surrogate keys: the keys' values are Spark's own, who is unknown is not."""
+    fact = _star(spark, sf_dir, key=wide_key)["fato_pedidos"]
+    return fact.selectExpr(
+        "nk_order_id", "item_id", "method", "line_total", "vl_total_pedido", "year", "month",
+        "sk_cliente = 0 AS unknown_customer", "sk_produto = 0 AS unknown_product", "sk_tempo = 0 AS unknown_day",
+    )
+
+
+def q1_monthly_revenue(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
+    hot_keys = hot or _hot(spark, sf_dir)
+    star = _star(spark, sf_dir, hot_keys)
+    products = [key for key in hot_keys.item_products if key is not None]
     # The fact holds CRC-32 keys, and its unknown products share key 0.
     hot = [0, *(zlib.crc32(str(key).encode()) or 1 for key in products)] if products else []
     return analytics.monthly_revenue(star["fato_pedidos"], star["dim_tempo"], star["dim_produtos"], hot)
@@ -114,34 +136,44 @@ def q4_churn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return analytics.churn(star["fato_pedidos"], star["dim_tempo"], star["dim_clientes"], AS_OF)
 
 
-def q5_cohort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    star = _star(spark, sf_dir)
-    return analytics.cohorts(star["fato_pedidos"], star["dim_tempo"])
+def _cohort(wrap_months: bool) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        star = _star(spark, sf_dir)
+        return analytics.cohorts(star["fato_pedidos"], star["dim_tempo"], wrap_months)
+
+    return query
 
 
-def orders_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def orders_enriched(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
     clean = _clean(spark, sf_dir, "orders", "customers", "payments")
-    return marts.orders_enriched(clean["orders"], clean["customers"], clean["payments"], _hot(spark, sf_dir))
+    return marts.orders_enriched(clean["orders"], clean["customers"], clean["payments"], hot or _hot(spark, sf_dir))
 
 
-def items_enriched(spark: SparkSession, sf_dir: str) -> DataFrame:
+def items_enriched(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
     clean = _clean(spark, sf_dir, "order_items", "products")
-    return marts.items_enriched(clean["order_items"], clean["products"], _hot(spark, sf_dir))
+    return marts.items_enriched(clean["order_items"], clean["products"], hot or _hot(spark, sf_dir))
 
 
-def monthly_revenue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marts.monthly_revenue(
-        orders_enriched(spark, sf_dir), items_enriched(spark, sf_dir), _hot(spark, sf_dir)
-    )
+def monthly_revenue(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
+    hot = hot or _hot(spark, sf_dir)
+    return marts.monthly_revenue(orders_enriched(spark, sf_dir, hot), items_enriched(spark, sf_dir, hot), hot)
 
 
-def customer_spend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = _clean(spark, sf_dir, "orders")["orders"]
-    hot = _hot(spark, sf_dir).order_customers
-    bounds = find_range_bounds(orders, "customer_id", ["order_date", "order_id"], hot)
+def customer_spend(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
+    """Running totals; the points that split hot customers are measured on stored orders."""
+    orders, keys = _clean(spark, sf_dir, "orders")["orders"], (hot or _hot(spark, sf_dir)).order_customers
+    if keys:
+        path = scratch_dir(spark, "orders")
+        tables.write_parquet(orders, path)
+        orders = tables.read_parquet(spark, path, orders.schema)
+    bounds = find_range_bounds(orders, "customer_id", ["order_date", "order_id"], keys)
     return marts.customer_spend(orders, bounds)
 
 
+def _hot_form(query: Callable[..., DataFrame]) -> Query:
+    return lambda spark, sf_dir: query(spark, sf_dir, _salted(spark, sf_dir))
+
+
 def product_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.product_ratings(_clean(spark, sf_dir, "reviews")["reviews"])
 
@@ -189,9 +221,18 @@ def qc_failed_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.failures_in_report(spark, path)
 
 
+def report_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the report twice and read the archive, which has a line for each run."""
+    path = scratch_dir(spark, "report")
+    stored = quality.write_report(qc_suite(spark, sf_dir), path, RUN_AT)
+    quality.write_report(stored, f"{path}/again", RUN_AT)
+    archive = spark.read.json([f"{path}/archive", f"{path}/again/archive"])
+    return archive.select(F.col("generated_at").cast("timestamp"), *quality.ARCHIVE_FIELDS[1:])
+
+
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders without items."""
-    orders, items = retail.orders(spark, sf_dir), retail.order_items(spark, sf_dir)
+    orders, items = retail.raw_table(spark, sf_dir, "orders"), retail.raw_table(spark, sf_dir, "order_items")
     return checks.orphan_keys(orders, items, "order_id", "order_id")
 
 
@@ -210,31 +251,79 @@ def _star_contracts(specs: dict[str, contracts.Contract]) -> Query:
 
 
 def quarantined_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bad = contracts.quarantined_rows(retail.products(spark, sf_dir), contracts.RAW_CONTRACTS["products"])
+    bad = contracts.quarantined_rows(retail.raw_table(spark, sf_dir, "products"), contracts.RAW_CONTRACTS["products"])
     return bad.withColumn("violations", F.array_join("violations", ", "))
 
 
 def coercion_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _union([
-        silver.coercion_losses(retail.customers(spark, sf_dir), "customers", dates=["birth_date"]),
-        silver.coercion_losses(retail.orders(spark, sf_dir), "orders", dates=["order_date"]),
+        silver.coercion_losses(retail.raw_table(spark, sf_dir, "customers"), "customers", dates=["birth_date"]),
+        silver.coercion_losses(retail.raw_table(spark, sf_dir, "orders"), "orders", dates=["order_date"]),
     ])
 
 
 def bronze_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ingest all raw tables (CSV, then Parquet) and show the profile of what was stored."""
-    stored = bronze.ingest(spark, retail.raw_tables(spark, sf_dir), scratch_dir(spark, "bronze"))
+    stored = bronze.ingest(
+        spark, retail.raw_tables(spark, sf_dir), scratch_dir(spark, "bronze"), enforce_contracts=False
+    )
     return stored.select(
         "dataset", "rows", "columns", F.explode("null_pct_per_column").alias("column_name", "null_pct")
     )
 
 
-def bronze_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Orders after CSV write, CSV scan, partitioned Parquet write and Parquet scan."""
-    path = scratch_dir(spark, "bronze")
-    tables.write_csv(retail.orders(spark, sf_dir), f"{path}/orders")
-    tables.csv_to_parquet(spark, f"{path}/orders", f"{path}/parquet/orders", "orders")
-    return tables.read_parquet(spark, f"{path}/parquet/orders")
+def _bronze_trip(name: str) -> Query:
+    """A raw table after CSV write, CSV scan, partitioned Parquet write and Parquet scan."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path = scratch_dir(spark, "bronze")
+        tables.write_csv(retail.raw_table(spark, sf_dir, name), f"{path}/{name}")
+        tables.csv_to_parquet(spark, f"{path}/{name}", f"{path}/parquet/{name}", name)
+        return tables.read_parquet(spark, f"{path}/parquet/{name}")
+
+    return query
+
+
+def csv_orders_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders from CSV with their date parsed by the reader."""
+    path = scratch_dir(spark, "csv")
+    tables.write_csv(retail.raw_table(spark, sf_dir, "orders"), path)
+    return tables.read_csv(spark, path, "orders", dates=["order_date"])
+
+
+def _jobs(spark: SparkSession, sf_dir: str) -> str:
+    """Run the layered jobs up to Silver, below a fresh folder."""
+    path = scratch_dir(spark, "lake")
+    raw = {name: retail.raw_table(spark, sf_dir, name, sequence=True) for name in retail.raw_tables(spark, sf_dir)}
+    bronze.ingest(spark, raw, f"{path}/bronze", enforce_contracts=False)
+    silver.run(spark, f"{path}/bronze", f"{path}/silver", HASH_KEY)
+    return path
+
+
+def silver_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customer spend as the Silver job wrote it."""
+    stored = tables.read_parquet(spark, f"{_jobs(spark, sf_dir)}/silver/spark/customer_spend")
+    return stored.select(*marts.customer_spend(_clean(spark, sf_dir, "orders")["orders"]).columns)
+
+
+def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact as the Gold job wrote it."""
+    path = _jobs(spark, sf_dir)
+    gold.run(spark, f"{path}/silver", f"{path}/gold", fail_on_collision=False)  # a test key may collide
+    return gold.read_star(spark, f"{path}/gold")["fato_pedidos"].select(*FACT_COLUMNS)
+
+
+def catalog_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after it was loaded into a catalog table, whose money is decimal, and read by SQL."""
+    path = scratch_dir(spark, "catalog")
+    database = f"dw_{path.rsplit('-', 1)[1]}"
+    ddl.create_tables(spark, database, path)
+    ddl.load_tables(_star(spark, sf_dir), database)
+    return spark.sql(f"""
+        SELECT nk_order_id, item_id, sk_cliente, sk_produto, sk_tempo, ds_status, ds_canal, payment_status, method,
+          quantity, CAST(line_total AS DOUBLE) AS line_total, CAST(vl_total_pedido AS DOUBLE) AS vl_total_pedido,
+          year, month
+        FROM {database}.fato_pedidos""")
 
 
 def revenue_by_category(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -269,9 +358,43 @@ def stream_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.read_landed(spark, _land_events(spark, sf_dir))
 
 
+def _land_text(spark: SparkSession, sf_dir: str, runs: int) -> str:
+    """Write the events as text files, some before each run of the stream, and land them."""
+    path = scratch_dir(spark, "stream")
+    lines = retail.order_events(retail.read(spark, sf_dir, "events")).withColumn(
+        "part", F.pmod(F.xxhash64("value"), F.lit(runs))
+    )
+    for run in range(runs):
+        lines.where(F.col("part") == run).select("value").write.mode("append").text(f"{path}/in")
+        feed.run(feed.read_files(spark, f"{path}/in"), f"{path}/out", f"{path}/checkpoint")
+    return f"{path}/out"
+
+
+def _text_stream(runs: int) -> Query:
+    return lambda spark, sf_dir: feed.read_landed(spark, _land_text(spark, sf_dir, runs))
+
+
+def stream_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = feed.read_unknown_fields(spark, _land_events(spark, sf_dir))
+    return found.where("get_json_object(raw, '$.coupon') IS NOT NULL").selectExpr(
+        "order_id", "get_json_object(raw, '$.coupon') AS coupon"
+    )
+
+
+def stream_input_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines that went in, against those that landed as valid and as rejected."""
+    path = _land_events(spark, sf_dir)
+    counts = {
+        "input_lines": retail.read(spark, sf_dir, "events"), "rejected": feed.read_rejected(spark, path),
+        "valid": feed.read_landed(spark, path),
+    }
+    return spark.range(1).select(*[df.agg(F.count(F.lit(1))).scalar().alias(name) for name, df in counts.items()])
+
+
 def stream_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rejected = feed.read_rejected(spark, _land_events(spark, sf_dir))
-    fault = F.when(F.col("raw").endswith("}"), "without order id").otherwise("cut short")
+    whole = F.when(F.col("raw").contains('"order_id"'), "bad field").otherwise("without order id")
+    fault = F.when(F.col("raw").endswith("}"), whole).otherwise("cut short")
     return rejected.groupBy(fault.alias("fault")).agg(F.count(F.lit(1)).alias("lines"))
 
 
@@ -301,7 +424,8 @@ def queries() -> dict[str, Query]:
         "q3_ticket_channel_months": _ticket(days=None),
         "q3_ticket_channel_days": _ticket(days=365),
         "q4_churn": q4_churn,
-        "q5_cohort": q5_cohort,
+        "q5_cohort": _cohort(wrap_months=False),
+        "q5_cohort_wrapped": _cohort(wrap_months=True),
         **{
             f"clean_{name}": _cleaned(name)
             for name in ("customers", "products", "orders", "order_items", "payments", "reviews")
@@ -336,11 +460,23 @@ def queries() -> dict[str, Query]:
         "null_profile": _per_table(profile.null_profile),
         "table_sizes": lambda spark, sf_dir: profile.table_sizes(retail.raw_tables(spark, sf_dir)),
         "bronze_profile": bronze_profile,
-        "bronze_orders": bronze_orders,
-        "monthly_orders": lambda spark, sf_dir: explore.monthly_orders(retail.orders(spark, sf_dir)),
+        "bronze_orders": _bronze_trip("orders"),
+        "bronze_reviews": _bronze_trip("reviews"),
+        "csv_orders_dated": csv_orders_dated,
+        "silver_job": silver_job,
+        "gold_job": gold_job,
+        "catalog_fact": catalog_fact,
+        "fato_pedidos_wide": fato_pedidos_wide,
+        "contract_keys": lambda spark, sf_dir: gold.key_violations(_star(spark, sf_dir)),
+        "report_archive": report_archive,
+        **{
+            f"{query.__name__}_hot": _hot_form(query)
+            for query in (q1_monthly_revenue, fato_pedidos, monthly_revenue, customer_spend)
+        },
+        "monthly_orders": lambda spark, sf_dir: explore.monthly_orders(retail.raw_table(spark, sf_dir, "orders")),
         "revenue_by_category": revenue_by_category,
-        "rating_distribution": lambda spark, sf_dir: profile.value_counts(retail.reviews(spark, sf_dir), "rating"),
-        "payment_mix": lambda spark, sf_dir: profile.value_shares(retail.payments(spark, sf_dir), "method"),
+        "rating_distribution": lambda spark, sf_dir: profile.value_counts(retail.raw_table(spark, sf_dir, "reviews"), "rating"),
+        "payment_mix": lambda spark, sf_dir: profile.value_shares(retail.raw_table(spark, sf_dir, "payments"), "method"),
         "fact_preview": lambda spark, sf_dir: explore.fact_preview(_star(spark, sf_dir)["fato_pedidos"]),
         "fact_summary": fact_summary,
         "order_total_reconcile": order_total_reconcile,
@@ -353,6 +489,10 @@ def queries() -> dict[str, Query]:
         "sample_orders_rows": lambda spark, sf_dir: sampling.n_rows(_clean(spark, sf_dir, "orders")["orders"], "order_id", 200),
         "stream_ingest": stream_ingest,
         "stream_rejected": stream_rejected,
+        "stream_unknown_fields": stream_unknown_fields,
+        "stream_input_lines": stream_input_lines,
+        "stream_text_ingest": _text_stream(runs=1),
+        "stream_restart": _text_stream(runs=2),
     }
     shown = {name: _zoneless(query) for name, query in registered.items()}
     return shown | (text_queries.queries() if text_queries else {})

@@ -74,15 +74,16 @@ def ctes(key: str) -> dict[str, str]:
               CAST(DATE '1990-01-01' + CAST(c_custkey % 1825 AS INTEGER) AS VARCHAR) AS created_at
             FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey, {COPIES}
             WHERE copy = 0 OR c_custkey % 20 = 0""",
-        "raw_products": f"""
+        # The raw tables with the order of delivery, by which the first row of a key is kept.
+        "seq_products": f"""
             SELECT p_partkey AS product_id, p_name AS name, p_type AS category, p_brand AS subcategory,
               CASE WHEN p_partkey % 13 = 0 THEN -pc ELSE pc END / 100.0::DOUBLE AS price,
               CASE WHEN p_partkey % 17 = 0 THEN pc * 2 ELSE pc * (30 + p_partkey % 50) // 100 END / 100.0::DOUBLE AS cost,
-              CASE WHEN p_partkey % 11 <> 0 THEN CAST(p_size + copy AS INTEGER) END AS stock_qty,
-              CAST(DATE '1990-01-01' + CAST(p_partkey % 1825 AS INTEGER) AS VARCHAR) AS created_at
+              CASE WHEN p_partkey % 11 <> 0 THEN CAST(p_size + 1 - copy AS INTEGER) END AS stock_qty,
+              CAST(DATE '1990-01-01' + CAST(p_partkey % 1825 AS INTEGER) AS VARCHAR) AS created_at, copy AS load_seq
             FROM (SELECT *, {cents("p_retailprice")} AS pc FROM part), {COPIES}
             WHERE copy = 0 OR p_partkey % 19 = 0""",
-        "raw_orders": f"""
+        "seq_orders": f"""
             SELECT o_orderkey AS order_id,
               o_custkey + CASE WHEN o_orderkey % 103 = 0 THEN {UNKNOWN} ELSE 0 END AS customer_id,
               CASE WHEN o_orderkey % 107 = 0 THEN 'n/a' ELSE CAST(o_orderdate AS VARCHAR) END AS order_date,
@@ -91,8 +92,9 @@ def ctes(key: str) -> dict[str, str]:
                 ELSE CASE o_orderkey % 3 WHEN 0 THEN 'cancelled' WHEN 1 THEN 'returned' ELSE 'processing' END
               END AS status,
               CASE WHEN o_orderkey % 101 = 0 THEN 0.0::DOUBLE ELSE o_totalprice END AS total_amount,
-              CAST(5 + o_orderkey % 46 + copy AS DOUBLE) AS shipping_fee,
-              CASE o_custkey % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'marketplace' END AS channel
+              CAST(6 + o_orderkey % 46 - copy AS DOUBLE) AS shipping_fee,
+              CASE o_custkey % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'marketplace' END AS channel,
+              copy AS load_seq
             FROM orders, {COPIES} WHERE copy = 0 OR o_orderkey % 53 = 0""",
         "raw_order_items": f"""
             SELECT l_orderkey * 10 + l_linenumber AS item_id, l_orderkey AS order_id,
@@ -102,7 +104,7 @@ def ctes(key: str) -> dict[str, str]:
               CASE WHEN l_partkey % 23 = 0 THEN 1.5::DOUBLE ELSE l_discount END AS discount,
               ec * (100 - {cents("l_discount")}) // 100 / 100.0::DOUBLE AS line_total
             FROM (SELECT *, {cents("l_extendedprice")} AS ec, CAST(l_quantity AS BIGINT) AS q FROM lineitem)""",
-        "raw_payments": f"""
+        "seq_payments": f"""
             SELECT o_orderkey + CASE WHEN copy = 1 AND o_orderkey % 61 = 0 THEN {UNKNOWN} ELSE 0 END AS payment_id,
               o_orderkey AS order_id,
               CASE o_orderpriority WHEN '1-URGENT' THEN 'credit_card' WHEN '2-HIGH' THEN 'debit_card'
@@ -110,13 +112,15 @@ def ctes(key: str) -> dict[str, str]:
               CASE o_orderkey % 4 WHEN 0 THEN 'approved' WHEN 1 THEN 'declined' WHEN 2 THEN 'pending'
                 ELSE 'refunded' END AS status,
               o_totalprice AS amount,
-              CAST(o_orderdate + to_hours(o_orderkey % 49 + copy) AS VARCHAR) AS paid_at
+              CAST(o_orderdate + to_hours(o_orderkey % 49 + 1 - copy) AS VARCHAR) AS paid_at, copy AS load_seq
             FROM orders, {COPIES} WHERE copy = 0 OR o_orderkey % 59 = 0 OR o_orderkey % 61 = 0""",
+        **{f"raw_{t}": f"SELECT * EXCLUDE (load_seq) FROM seq_{t}" for t in ("products", "orders", "payments")},
         "raw_reviews": """
             SELECT event_id AS review_id, event_id % 1500 AS order_id, user_id AS customer_id,
               event_id % 200 AS product_id,
               CASE WHEN event_id % 31 <> 0 THEN CAST(floor(value) AS INTEGER) % 7 END AS rating,
-              event_type AS comment, CAST(date_trunc('second', ts) AS VARCHAR) AS created_at
+              CASE WHEN event_id % 43 = 0 THEN '  ' || event_type || chr(10) || ' second line ' ELSE event_type END AS comment,
+              CAST(date_trunc('second', ts) AS VARCHAR) AS created_at
             FROM events""",
         "customers": f"""
             SELECT {hmac("customer_id", key)} AS customer_id, {hmac("name", key)} AS name,
@@ -128,13 +132,13 @@ def ctes(key: str) -> dict[str, str]:
               CASE WHEN cost > price THEN price ELSE cost END AS cost, stock_qty, created_at
             FROM (SELECT product_id, name, category, subcategory, abs(price) AS price, abs(cost) AS cost,
                 coalesce(stock_qty, 0) AS stock_qty, try_cast(created_at AS TIMESTAMP) AS created_at
-              FROM ({first_by("raw_products", "product_id",
-                              "name, category, subcategory, price, cost, stock_qty, created_at")}))""",
+              FROM ({first_by("seq_products", "product_id",
+                              "load_seq, name, category, subcategory, price, cost, stock_qty, created_at")}))""",
         "clean_orders": f"""
             SELECT order_id, {hmac("customer_id", key)} AS customer_id,
               try_cast(order_date AS TIMESTAMP) AS order_date, status, total_amount, shipping_fee, channel
-            FROM ({first_by("raw_orders", "order_id",
-                            "customer_id, order_date, status, total_amount, shipping_fee, channel")})
+            FROM ({first_by("seq_orders", "order_id",
+                            "load_seq, customer_id, order_date, status, total_amount, shipping_fee, channel")})
             WHERE total_amount > 0""",
         "order_items": f"""
             SELECT item_id, order_id, product_id, quantity, abs(unit_price) AS unit_price,
@@ -144,7 +148,7 @@ def ctes(key: str) -> dict[str, str]:
                             "order_id, product_id, quantity, unit_price, discount, line_total")})""",
         "payments": f"""
             SELECT payment_id, order_id, method, status, amount, try_cast(paid_at AS TIMESTAMP) AS paid_at
-            FROM ({first_by("raw_payments", "payment_id", "order_id, method, status, amount, paid_at")})""",
+            FROM ({first_by("seq_payments", "payment_id", "load_seq, order_id, method, status, amount, paid_at")})""",
         "reviews": f"""
             SELECT review_id, order_id, {hmac("customer_id", key)} AS customer_id, product_id,
               CASE WHEN rating < 1 THEN 1 WHEN rating > 5 THEN 5 ELSE rating END AS rating, comment, created_at
@@ -409,6 +413,28 @@ def contract_tables() -> str:
     ])
 
 
+def contract_keys() -> str:
+    def unique(table: str, key: str) -> str:
+        return (
+            f"SELECT '{table}' AS dataset, '{key} unique' AS rule, count({key}) - count(DISTINCT {key}) AS violations,"
+            f" count(*) AS rows_checked FROM {table}"
+        )
+
+    def reference(key: str, table: str) -> str:
+        missing = f"{key} IS NOT NULL AND {key} <> 0 AND {key} NOT IN (SELECT {key} FROM {table})"
+        return (
+            f"SELECT 'fato_pedidos' AS dataset, '{key} references {table}' AS rule,"
+            f" count(*) FILTER (WHERE {missing}) AS violations, count(*) AS rows_checked FROM fato_pedidos"
+        )
+
+    keys = {"dim_clientes": ("nk_customer_id", "sk_cliente"), "dim_produtos": ("nk_product_id", "sk_produto"),
+            "dim_tempo": ("dt_data", "sk_tempo")}
+    return _union([
+        *[unique(table, key) for table, pair in keys.items() for key in pair],
+        *[reference(surrogate, table) for table, (_, surrogate) in keys.items()],
+    ])
+
+
 def null_profile() -> str:
     return _union([
         f"SELECT '{table}' AS dataset, '{c}' AS column_name,"
@@ -573,7 +599,7 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
             FROM (SELECT quantity, abs({cents("unit_price")} * quantity * (100 - {cents("discount")}) // 100
                 - {cents("line_total")}) AS gap FROM order_items) GROUP BY 1""",
         "sample_orders_fraction": f"""
-            SELECT * FROM clean_orders WHERE {crc("CAST(order_id AS VARCHAR) || ':42'")} % 10000 < 6000""",
+            SELECT * FROM clean_orders WHERE {crc("CAST(order_id AS VARCHAR) || ':42'")} < 2576980378""",
         "sample_orders_rows": f"""
             SELECT * FROM clean_orders ORDER BY {crc("CAST(order_id AS VARCHAR) || ':42'")}, order_id LIMIT 200""",
         "stream_ingest": """
@@ -581,10 +607,57 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
               CAST(event_id % 5 + 1 AS INTEGER) AS quantity, value AS unit_price,
               CASE event_id % 3 WHEN 0 THEN 'web' WHEN 1 THEN 'mobile' ELSE 'marketplace' END AS channel,
               strftime(ts, '%Y-%m-%dT%H:%M:%S') AS event_time
-            FROM events WHERE event_id % 37 <> 0 AND event_id % 41 <> 0""",
+            FROM events WHERE event_id % 37 <> 0 AND event_id % 41 <> 0 AND event_id % 43 <> 0""",
         "stream_rejected": """
-            SELECT CASE WHEN event_id % 37 = 0 THEN 'cut short' ELSE 'without order id' END AS fault,
-              count(*) AS lines FROM events WHERE event_id % 37 = 0 OR event_id % 41 = 0 GROUP BY 1""",
+            SELECT CASE WHEN event_id % 37 = 0 THEN 'cut short' WHEN event_id % 41 = 0 THEN 'without order id'
+                ELSE 'bad field' END AS fault,
+              count(*) AS lines FROM events WHERE event_id % 37 = 0 OR event_id % 41 = 0 OR event_id % 43 = 0
+            GROUP BY 1""",
+        "stream_unknown_fields": """
+            SELECT event_id + 100000000 AS order_id, 'SAVE' AS coupon FROM events
+            WHERE event_id % 47 = 0 AND event_id % 37 <> 0 AND event_id % 41 <> 0 AND event_id % 43 <> 0""",
+        "stream_input_lines": """
+            SELECT count(*) AS input_lines, count(*) FILTER (WHERE bad) AS rejected,
+              count(*) FILTER (WHERE NOT bad) AS valid
+            FROM (SELECT event_id % 37 = 0 OR event_id % 41 = 0 OR event_id % 43 = 0 AS bad FROM events)""",
+        "bronze_reviews": """
+            SELECT *, CAST(year(try_cast(created_at AS TIMESTAMP)) AS INTEGER) AS year,
+              CAST(month(try_cast(created_at AS TIMESTAMP)) AS INTEGER) AS month FROM raw_reviews""",
+        "csv_orders_dated": """
+            SELECT order_id, customer_id, try_cast(order_date AS TIMESTAMP) AS order_date, status, total_amount,
+              shipping_fee, channel FROM raw_orders""",
+        "report_archive": f"""
+            SELECT {stamp} AS generated_at, CASE WHEN count(*) FILTER (WHERE status = 'FAIL') = 0 THEN 'PASS'
+              ELSE 'FAIL' END AS overall_status, count(*) FILTER (WHERE status = 'PASS') AS passed,
+              count(*) FILTER (WHERE status = 'FAIL') AS failed
+            FROM ({qc_suite(stamp)}), (VALUES (1), (2)) AS runs(n) GROUP BY n""",
+        "silver_job": f"""
+            SELECT customer_id, order_id, order_date, total_amount,
+              CAST(sum({cents("total_amount")}) OVER w AS BIGINT) / 100.0::DOUBLE AS running_total,
+              CAST(rank() OVER w AS INTEGER) AS order_rank, lag(total_amount) OVER w AS prev_order_amount
+            FROM clean_orders WINDOW w AS (PARTITION BY customer_id ORDER BY order_date NULLS FIRST, order_id)""",
+        "gold_job": "SELECT * FROM fato_pedidos",
+        "contract_keys": contract_keys(),
+        "q5_cohort_wrapped": """
+            SELECT mes_coorte, mes_pedido, clientes_ativos,
+              CAST(datediff('month', mes_coorte, mes_pedido) % 12 AS INTEGER) AS numero_mes
+            FROM (SELECT mes_coorte, CAST(date_trunc('month', dt_data) AS DATE) AS mes_pedido,
+                count(DISTINCT sk_cliente) AS clientes_ativos
+              FROM sold JOIN dim_tempo USING (sk_tempo) JOIN (
+                SELECT sk_cliente, CAST(date_trunc('month', min(dt_data)) AS DATE) AS mes_coorte
+                FROM sold JOIN dim_tempo USING (sk_tempo) GROUP BY 1) USING (sk_cliente)
+              GROUP BY 1, 2)""",
+        "fato_pedidos_wide": """
+            SELECT nk_order_id, item_id, method, line_total, vl_total_pedido, year, month,
+              sk_cliente = 0 AS unknown_customer, sk_produto = 0 AS unknown_product, sk_tempo = 0 AS unknown_day
+            FROM fato_pedidos""",
+        "catalog_fact": """
+            SELECT nk_order_id, item_id, sk_cliente, sk_produto, sk_tempo, ds_status, ds_canal, payment_status, method,
+              quantity, round(line_total::DOUBLE, 2) AS line_total, round(vl_total_pedido::DOUBLE, 2) AS vl_total_pedido, year, month
+            FROM fato_pedidos""",
     }
+    queries["stream_text_ingest"] = queries["stream_restart"] = queries["stream_ingest"]
+    for name in ("q1_monthly_revenue", "fato_pedidos", "monthly_revenue", "customer_spend"):
+        queries[f"{name}_hot"] = queries[name]
     prefix = "WITH " + ", ".join(f"{name} AS ({body})" for name, body in shared.items())
     return {name: f"{prefix} {sql}" for name, sql in queries.items()}

@@ -25,10 +25,11 @@ def revenue_by_category(
 ) -> DataFrame:
     """Delivered revenue per category, smallest first.
 
-    Lines are summed per order and product before the joins, and per product between them.
+    Lines meet the delivered orders first, so others are dropped unsummed; what is left is
+    summed per product before it is shuffled again.
     """
     delivered = orders.where("status = 'delivered'").select("order_id")
-    lines = items.groupBy("order_id", "product_id").agg(F.expr(f"sum({cents('line_total')}) AS amount"))
+    lines = items.selectExpr("order_id", "product_id", f"{cents('line_total')} AS amount")
     sold = lookup_join(lines, delivered, "order_id", "inner", hot.item_orders)
     per_product = sold.groupBy("product_id").agg(F.sum("amount").alias("amount"))
     return (

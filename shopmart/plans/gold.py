@@ -5,6 +5,7 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -74,17 +75,30 @@ def build_dim_tempo(spark: SparkSession, start: date, end: date, key: KeyFunctio
     """One row per day from ``start`` to ``end``, both included."""
     if start > end:
         raise ValueError(f"start ({start}) must not be after end ({end})")
-    days = spark.range(1).selectExpr(f"explode(sequence(DATE '{start}', DATE '{end}')) AS dt_data")
-    return _calendar(days, key)
+    days = (end - start).days + 1
+    return _calendar(spark.range(days).selectExpr(f"date_add(DATE '{start}', CAST(id AS INT)) AS dt_data"), key)
 
 
 def calendar_of(orders: DataFrame, key: KeyFunction = crc32_key) -> DataFrame:
-    """The date dimension from the first to the last order date, without a driver round trip."""
+    """The date dimension from the first to the last order date, without a driver round trip.
+
+    The span is cut into years before it is cut into days, so a mistyped year makes many short
+    rows, which shuffle to as many tasks, and never one long array.
+    """
     span = aggregate(orders, ["to_date(min(order_date)) AS first", "to_date(max(order_date)) AS last"])
-    days = span.where("first IS NOT NULL").selectExpr("explode(sequence(first, last)) AS dt_data")
+    years = span.where("first IS NOT NULL").selectExpr("first", "last", "explode(sequence(year(first), year(last))) AS y")
+    days = years.repartition("y").selectExpr(
+        "explode(sequence(greatest(first, make_date(y, 1, 1)), least(last, make_date(y, 12, 31)))) AS dt_data"
+    )
     return _calendar(days, key)
 
 
+def dates_outside(orders: DataFrame, start: date, end: date) -> DataFrame:
+    """Orders per date that lies outside the stated span, as mistyped dates do."""
+    day = orders.selectExpr("to_date(order_date) AS dt_data")
+    return day.where(f"dt_data < DATE '{start}' OR dt_data > DATE '{end}'").groupBy("dt_data").count()
+
+
 def _lookup(dimension: DataFrame, table: str, alias: str) -> DataFrame:
     """Natural to surrogate key, one row per natural key even where the dimension repeats one."""
     natural, surrogate = KEYS[table]
@@ -123,10 +137,7 @@ def build_fato_pedidos(
     by_product = _lookup(dim_produtos, "dim_produtos", "product_id")
 
     dated = orders.selectExpr("*", "to_date(order_date) AS dt_data")
-    # Grouped by a DATE, the day lookup has at most one short row per calendar day: safe to broadcast.
-    keyed = lookup_join(dated, by_customer, "customer_id", hot=hot.order_customers).join(
-        F.broadcast(by_day), "dt_data", "left"
-    )
+    keyed = lookup_join(dated, by_customer, "customer_id", hot=hot.order_customers).join(by_day, "dt_data", "left")
     heads = keyed.selectExpr(
         "order_id AS nk_order_id",
         _or_unknown("sk_cliente"),
@@ -179,6 +190,32 @@ def key_collisions(dimension: DataFrame, table: str) -> DataFrame:
     return members.withColumnRenamed("count", "members").where("members > 1")
 
 
+def key_violations(star: dict[str, DataFrame]) -> DataFrame:
+    """What the warehouse declares across rows: unique natural and surrogate keys of the
+    dimensions, and fact keys that exist there (the unknown member always does).
+
+    Copies are counted per key and fact keys are reduced to distinct ones before they meet a
+    dimension, so a key that fills much of the fact is one row in the join.
+    """
+    parts = []
+    for table, pair in KEYS.items():
+        for key in pair:
+            copies = star[table].groupBy(key).count()
+            parts.append(aggregate(copies, [
+                f"'{table}' AS dataset", f"'{key} unique' AS rule",
+                f"coalesce(sum(if({key} IS NULL, 0L, count - 1)), 0L) AS violations", "coalesce(sum(count), 0L) AS rows_checked",
+            ]))
+    for table, (_, key) in KEYS.items():
+        used = star["fato_pedidos"].groupBy(key).count()
+        known = star[table].selectExpr(key, "true AS met").distinct()
+        missing = f"{key} IS NOT NULL AND {key} <> {UNKNOWN_MEMBER} AND met IS NULL"
+        parts.append(aggregate(used.join(known, key, "left"), [
+            "'fato_pedidos' AS dataset", f"'{key} references {table}' AS rule",
+            f"coalesce(sum(if({missing}, count, 0L)), 0L) AS violations", "coalesce(sum(count), 0L) AS rows_checked",
+        ]))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def collision_summary(dimension: DataFrame, table: str) -> DataFrame:
     """One row: surrogate keys of a dimension and how many natural keys had to share one."""
     natural, surrogate = KEYS[table]
@@ -220,12 +257,13 @@ def run(
     silver_path: str,
     gold_path: str,
     key: KeyFunction = crc32_key,
-    fail_on_collision: bool = False,
+    fail_on_collision: bool = True,
 ) -> None:
     """Build the star from the written Silver tables and write it.
 
     Dimensions are written first; the fact then looks keys up in the tables as written, whose
-    sizes are known to the planner.
+    sizes are known to the planner. Surrogate keys that collide would multiply rows, so the job
+    fails on them unless ``fail_on_collision`` is off.
     """
     cleaned = silver.read_cleaned(spark, silver_path)
     dimensions = build_dimensions(cleaned, key)

@@ -109,9 +109,3 @@ def load_tables(star: dict[str, DataFrame], database: str = "dw") -> None:
         if partitions:
             rows = rows.hint("rebalance", *[F.col(c) for c in partitions])
         rows.write.mode("overwrite").insertInto(f"{database}.{table}", overwrite=True)
-
-
-def register_views(star: dict[str, DataFrame]) -> None:
-    """Temporary views under the table names, for ad hoc SQL."""
-    for table, df in star.items():
-        df.createOrReplaceTempView(table)

@@ -7,14 +7,16 @@ derives some from the keys, on the whole tables:
 customers       key % 20 = 0 delivered twice; key % 50 = 7 without email;
                 key % 97 = 0 with an unreadable birth date
 products        key % 11 = 0 without stock; key % 13 = 0 with a negative price;
-                key % 17 = 0 costing twice the price; key % 19 = 0 delivered twice
-orders          key % 53 = 0 delivered twice; key % 101 = 0 with total 0;
+                key % 17 = 0 costing twice the price; key % 19 = 0 delivered twice, the
+                second time with a smaller stock
+orders          key % 53 = 0 delivered twice, the second time with a smaller fee; key % 101 = 0 with total 0;
                 key % 103 = 0 of an unknown customer; key % 107 = 0 without a date
 order_items     (order, line) repeats in the source; part % 23 = 0 with discount 1.5;
                 supplier % 29 = 0 with a negative unit price;
                 order % 109 = 0 of an unknown product
-payments        key % 59 = 0 delivered twice; key % 61 = 0 paid in two payments
-reviews         event % 31 = 0 without rating; ratings run from 0 to 6
+payments        key % 59 = 0 delivered twice, the second time paid earlier; key % 61 = 0 paid in two payments
+reviews         event % 31 = 0 without rating; ratings run from 0 to 6;
+                event % 43 = 0 with a comment of two padded lines
 ==============  ======================================================================
 """
 
@@ -65,6 +67,7 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         "if(c_custkey % 97 = 0, 'unknown', CAST(date_add(DATE '1950-01-01', CAST(c_custkey % 18000 AS INT)) AS STRING))"
         " AS birth_date",
         "CAST(date_add(DATE '1990-01-01', CAST(c_custkey % 1825 AS INT)) AS STRING) AS created_at",
+        "copy AS load_seq",
     )
 
 
@@ -77,8 +80,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         "p_brand AS subcategory",
         f"if(p_partkey % 13 = 0, -{price}, {price}) / 100 AS price",
         f"if(p_partkey % 17 = 0, {price} * 2, {percent_cents(price, '30 + p_partkey % 50')}) / 100 AS cost",
-        "if(p_partkey % 11 = 0, NULL, p_size + copy) AS stock_qty",
+        "if(p_partkey % 11 = 0, NULL, p_size + 1 - copy) AS stock_qty",
         "CAST(date_add(DATE '1990-01-01', CAST(p_partkey % 1825 AS INT)) AS STRING) AS created_at",
+        "copy AS load_seq",
     )
 
 
@@ -92,8 +96,9 @@ def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ELSE element_at(array('cancelled', 'returned', 'processing'), CAST(o_orderkey % 3 AS INT) + 1)"
         " END AS status",
         "if(o_orderkey % 101 = 0, 0D, o_totalprice) AS total_amount",
-        "CAST(5 + o_orderkey % 46 + copy AS DOUBLE) AS shipping_fee",
+        "CAST(6 + o_orderkey % 46 - copy AS DOUBLE) AS shipping_fee",
         "element_at(array('web', 'mobile', 'marketplace'), CAST(o_custkey % 3 AS INT) + 1) AS channel",
+        "copy AS load_seq",
     )
 
 
@@ -108,11 +113,12 @@ def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         f"if(l_suppkey % 29 = 0, -{unit}, {unit}) / 100 AS unit_price",
         "if(l_partkey % 23 = 0, 1.5D, l_discount) AS discount",
         f"{line_total_cents(amount, '1', 'l_discount')} / 100 AS line_total",
+        "0 AS load_seq",
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paid_at = add_hours("o_orderdate", "o_orderkey % 49 + copy")
+    paid_at = add_hours("o_orderdate", "o_orderkey % 49 + 1 - copy")
     return _twice(read(spark, sf_dir, "orders"), "o_orderkey % 59 = 0 OR o_orderkey % 61 = 0").selectExpr(
         f"o_orderkey + if(copy = 1 AND o_orderkey % 61 = 0, {UNKNOWN}L, 0L) AS payment_id",
         "o_orderkey AS order_id",
@@ -121,6 +127,7 @@ def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
         "element_at(array('approved', 'declined', 'pending', 'refunded'), CAST(o_orderkey % 4 AS INT) + 1) AS status",
         "o_totalprice AS amount",
         f"CAST({paid_at} AS STRING) AS paid_at",
+        "copy AS load_seq",
     )
 
 
@@ -131,25 +138,29 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id AS customer_id",
         "event_id % 200 AS product_id",
         "if(event_id % 31 = 0, NULL, CAST(floor(value) AS INT) % 7) AS rating",
-        "event_type AS comment",
+        "if(event_id % 43 = 0, concat('  ', event_type, '\\n second line '), event_type) AS comment",
         "CAST(CAST(date_trunc('second', ts) AS TIMESTAMP_NTZ) AS STRING) AS created_at",
+        "0 AS load_seq",
     )
 
 
 _BUILDERS = {build.__name__: build for build in (customers, products, orders, order_items, payments, reviews)}
 
 
-def raw_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
-    return _BUILDERS[table](spark, sf_dir)
+def raw_table(spark: SparkSession, sf_dir: str, table: str, sequence: bool = False) -> DataFrame:
+    """One raw table; with ``sequence`` also ``load_seq``, which orders copies by delivery."""
+    df = _BUILDERS[table](spark, sf_dir)
+    return df if sequence else df.drop("load_seq")
 
 
 def raw_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    return {name: build(spark, sf_dir) for name, build in _BUILDERS.items()}
+    return {name: raw_table(spark, sf_dir, name) for name in _BUILDERS}
 
 
 def order_events(events: DataFrame) -> DataFrame:
-    """Event rows as JSON order events, one text per row; event % 37 = 0 is cut short and
-    event % 41 = 0 lacks its order id, as happens on a real feed."""
+    """Event rows as JSON order events, one text per row; event % 37 = 0 is cut short,
+    event % 41 = 0 lacks its order id, event % 43 = 0 has a quantity that is no number and
+    event % 47 = 0 a field that the schema does not know, as happens on a real feed."""
     text = (
         "to_json(named_struct('order_id', if(event_id % 41 = 0, NULL, event_id + 100000000L),"
         " 'customer_id', user_id, 'product_id', event_id % 200, 'quantity', CAST(event_id % 5 + 1 AS INT),"
@@ -157,4 +168,6 @@ def order_events(events: DataFrame) -> DataFrame:
         " 'channel', element_at(array('web', 'mobile', 'marketplace'), CAST(event_id % 3 AS INT) + 1),"
         " 'event_time', date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss\")))"
     )
-    return events.selectExpr(f"if(event_id % 37 = 0, substr({text}, 1, 25), {text}) AS value")
+    marked = f"if(event_id % 43 = 0, replace({text}, '\"quantity\":', '\"quantity\":\"few\",\"q\":'), {text})"
+    longer = f"if(event_id % 47 = 0, concat(rtrim('}}', {marked}), ',\"coupon\":\"SAVE\"}}'), {marked})"
+    return events.selectExpr(f"if(event_id % 37 = 0, substr({text}, 1, 25), {longer}) AS value")

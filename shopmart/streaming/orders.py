@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 from shopmart.schemas import ORDER_EVENT
 
 VALID, REJECTED = "valid", "rejected"
+_CORRUPT = "_unparsed"
 _LANDED = StructType([*ORDER_EVENT.fields]).add("raw", "string").add("outcome", "string")
 
 
@@ -55,12 +56,17 @@ def publish(events: DataFrame, options: Mapping[str, str]) -> None:
 
 def decode(lines: DataFrame) -> DataFrame:
     """Parse ``value`` into event columns. ``outcome`` tells valid events from lines that are
-    not JSON or lack an order id; the latter keep their text in ``raw``."""
-    parsed = lines.select("value", F.from_json("value", ORDER_EVENT).alias("event"))
-    valid = "event.order_id IS NOT NULL"
+    not JSON, lack an order id or have a field that does not parse. Rejected lines keep their
+    text in ``raw``, and so do valid events with fields that the schema does not know."""
+    schema = StructType([*ORDER_EVENT.fields]).add(_CORRUPT, "string")
+    options = {"columnNameOfCorruptRecord": _CORRUPT}
+    parsed = lines.select("value", F.from_json("value", schema, options).alias("event"))
+    valid = f"coalesce(event.order_id IS NOT NULL AND event.{_CORRUPT} IS NULL, false)"
+    known = ", ".join(f"'{name}'" for name in ORDER_EVENT.fieldNames())
+    unknown = f"coalesce(size(array_except(json_object_keys(value), array({known}))) > 0, true)"
     return parsed.selectExpr(
         *[f"if({valid}, event.{name}, NULL) AS {name}" for name in ORDER_EVENT.fieldNames()],
-        f"if({valid}, NULL, value) AS raw",
+        f"if({valid} AND NOT {unknown}, NULL, value) AS raw",
         f"if({valid}, '{VALID}', '{REJECTED}') AS outcome",
     )
 
@@ -72,7 +78,7 @@ def start(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     the sink's commit log make a restart neither lose nor repeat an event.
     """
     return (
-        decode(lines).writeStream.format("json").partitionBy("outcome")
+        decode(lines).writeStream.format("json").option("ignoreNullFields", False).partitionBy("outcome")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(path)
@@ -85,11 +91,18 @@ def run(lines: DataFrame, path: str, checkpoint: str) -> None:
 
 def read_landed(spark: SparkSession, path: str) -> DataFrame:
     """Landed valid events."""
-    schema = _LANDED
-    return spark.read.schema(schema).json(path).where(F.col("outcome") == VALID).select(*ORDER_EVENT.fieldNames())
+    return _read(spark, path, VALID).select(*ORDER_EVENT.fieldNames())
+
+
+def read_unknown_fields(spark: SparkSession, path: str) -> DataFrame:
+    """Order id and whole text of landed valid events that have fields beyond the schema."""
+    return _read(spark, path, VALID).where("raw IS NOT NULL").select("order_id", "raw")
 
 
 def read_rejected(spark: SparkSession, path: str) -> DataFrame:
     """Rejected lines as they arrived."""
-    schema = _LANDED
-    return spark.read.schema(schema).json(path).where(F.col("outcome") == REJECTED).select("raw")
+    return _read(spark, path, REJECTED).select("raw")
+
+
+def _read(spark: SparkSession, path: str, outcome: str) -> DataFrame:
+    return spark.read.schema(_LANDED).json(path).where(F.col("outcome") == outcome)

@@ -62,7 +62,7 @@ def test_stream_equals_batch(spark, tmp_path):
 
 def test_encode_is_the_inverse_of_decode(spark):
     events = spark.createDataFrame([(100_000_001, 1, 2, 3, 9.5, "web", "2024-01-01T00:00:00")], ORDER_EVENT)
-    assert rows(feed.decode(feed.encode(events)).select(*events.columns)) == rows(events)
+    assert rows(feed.decode(feed.encode(events)).where("raw IS NULL").select(*events.columns)) == rows(events)
 
 
 def test_kafka_options():
