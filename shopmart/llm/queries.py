@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from shopmart.llm import bpe, licenses, packing, quality_rules, sharding, simhash, token_counts, topk, toxicity, url_filter
+from shopmart.llm import bpe, licenses, oracles, packing, quality_rules, sharding, simhash, token_counts, topk, toxicity, url_filter
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,4 +73,4 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.statements()
