@@ -49,7 +49,7 @@ class Range:
 def require_columns(df: DataFrame, columns: Sequence[str], dataset: str) -> None:
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise ValueError(f"[{dataset}] Missing required columns: {missing}")
+        raise ValueError(f"{dataset} lacks the columns {missing}")
 
 
 def missing_columns(df: DataFrame, required: Sequence[str]) -> list[str]:

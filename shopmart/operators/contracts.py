@@ -184,4 +184,4 @@ def validate(df: DataFrame, contract: Contract) -> None:
     bad = quarantined_rows(df, contract)
     first = [row.asDict() for row in bad.limit(3).collect()]
     if first:
-        raise ValueError(f"Schema validation failed for '{contract.dataset}': {bad.count()} rows, e.g. {first}")
+        raise ValueError(f"{contract.dataset}: {bad.count()} rows break the contract, such as {first}")

@@ -113,7 +113,7 @@ def _or_unknown(surrogate: str) -> str:
 def enforce_columns(df: DataFrame, columns: tuple[str, ...], name: str) -> DataFrame:
     missing = [c for c in columns if c not in df.columns]
     if missing:
-        raise KeyError(f"{name} is missing required columns: {missing}")
+        raise KeyError(f"{name} lacks the columns {missing}")
     return df.select(*columns)
 
 
