@@ -22,7 +22,8 @@ def pseudonym(value: str, key: str) -> str:
     """HMAC-SHA256 of the value's text (RFC 2104) as 64 lower-case hex digits.
 
     Null hashes like the empty text, so it too has one fixed pseudonym. The padded key
-    becomes a literal of the plan: treat query plans and event logs as secret.
+    becomes a literal of the plan, which the session masks where plans are shown; treat event
+    logs written by other sessions as secret.
     """
     inner_pad, outer_pad = _pads(key)
     message = f"CAST(coalesce(CAST({value} AS STRING), '') AS BINARY)"

@@ -10,6 +10,16 @@ meets raw data here uses the ``try_`` forms and yields null instead.
 from __future__ import annotations
 
 
+def text_literal(text: str) -> str:
+    """A text as SQL literal, whatever quotes it holds."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def column_name(name: str) -> str:
+    """A column's name as SQL identifier, whatever it is made of."""
+    return "`" + name.replace("`", "``") + "`"
+
+
 def is_missing(value: str, dtype: str) -> str:
     """Null test that also counts NaN, which Spark keeps apart from null."""
     return f"({value} IS NULL OR isnan({value}))" if dtype in ("double", "float") else f"({value} IS NULL)"

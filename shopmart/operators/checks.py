@@ -14,7 +14,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from shopmart.functions.scalars import lenient_number
+from shopmart.functions.scalars import column_name, lenient_number, text_literal
 from shopmart.operators.dedup import duplicate_count
 from shopmart.operators.profile import aggregate, null_counts
 
@@ -94,7 +94,7 @@ def schema_result(df: DataFrame, dataset: str, required: Sequence[str], checked_
 
 
 def _out_of_range(rule: Range) -> str:
-    number = lenient_number(rule.column)
+    number = lenient_number(column_name(rule.column))
     bad = [f"{number} IS NULL"]
     if rule.low is not None:
         bad.append(f"{number} < {rule.low}")
@@ -120,7 +120,8 @@ def table_checks(
     if null_threshold is not None:
         aggregates += null_counts(df)
         rates = ", ".join(
-            f"named_struct('key', '{c}', 'value', try_divide(`nulls_{c}`, rows))" for c in df.columns
+            f"named_struct('key', {text_literal(c)}, 'value', try_divide({column_name(f'nulls_{c}')}, rows))"
+            for c in df.columns
         )
         # Over the threshold, not on it; an empty table has no rate and passes.
         over = f"filter(array({rates}), r -> coalesce(r.value > {null_threshold}D, false))"

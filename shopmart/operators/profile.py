@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
-from shopmart.functions.scalars import is_missing, lenient_number
+from shopmart.functions.scalars import column_name, is_missing, lenient_number, text_literal
 from shopmart.operators.quantiles import exact_quantiles
 
 
@@ -20,17 +20,20 @@ def aggregate(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
 
 def null_counts(df: DataFrame) -> list[str]:
     """Aggregates ``nulls_<column>`` for every column (NaN counts as null)."""
-    return [f"count_if({is_missing(f'`{name}`', dtype)}) AS `nulls_{name}`" for name, dtype in df.dtypes]
+    return [
+        f"count_if({is_missing(column_name(name), dtype)}) AS {column_name(f'nulls_{name}')}" for name, dtype in df.dtypes
+    ]
 
 
 def table_profile(df: DataFrame, dataset: str, ingested_at: datetime | None = None) -> DataFrame:
     """One row: row and column count, null percent per column (2 decimals) as a map, run time."""
     shares = ", ".join(
-        f"'{name}', coalesce(round(try_divide(`nulls_{name}` * 10000, rows)) / 100, 0D)" for name in df.columns
+        f"{text_literal(name)}, coalesce(round(try_divide({column_name(f'nulls_{name}')} * 10000, rows)) / 100, 0D)"
+        for name in df.columns
     )
     stamp = f"TIMESTAMP '{ingested_at}'" if ingested_at else "current_timestamp()"
     return aggregate(df, ["count(1) AS rows", *null_counts(df)]).selectExpr(
-        f"'{dataset}' AS dataset",
+        f"{text_literal(dataset)} AS dataset",
         "rows",
         f"{len(df.columns)}L AS columns",
         f"map({shares}) AS null_pct_per_column",
@@ -50,18 +53,18 @@ def null_profile(df: DataFrame, dataset: str) -> DataFrame:
 def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
     """Row and column count of several tables."""
     return reduce(DataFrame.unionByName, [
-        aggregate(df, [f"'{name}' AS dataset", "count(1) AS rows", f"{len(df.columns)}L AS columns"])
+        aggregate(df, [f"{text_literal(name)} AS dataset", "count(1) AS rows", f"{len(df.columns)}L AS columns"])
         for name, df in tables.items()
     ])
 
 
 def _counts(df: DataFrame, column: str) -> DataFrame:
-    return df.where(f"{column} IS NOT NULL").groupBy(column).count()
+    return df.where(f"{column_name(column)} IS NOT NULL").groupBy(column_name(column)).count()
 
 
 def value_counts(df: DataFrame, column: str) -> DataFrame:
     """Rows per value, null left out, in value order."""
-    return _counts(df, column).orderBy(column)
+    return _counts(df, column).orderBy(column_name(column))
 
 
 def value_shares(df: DataFrame, column: str) -> DataFrame:
@@ -70,7 +73,7 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     # A scalar subquery over the same aggregate: no window that gathers all values in one task.
     total = counts.agg(F.sum("count")).scalar()
     share = F.round(F.col("count") * 1000 / total) / 10
-    return counts.withColumn("share_pct", share).orderBy(F.desc("count"), column)
+    return counts.withColumn("share_pct", share).orderBy(F.desc("count"), column_name(column))
 
 
 QUARTILES = (0.25, 0.5, 0.75)
@@ -84,11 +87,11 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
-    numbers = df.selectExpr(*[f"{lenient_number(name)} AS `{name}`" for name in columns])
+    numbers = df.selectExpr(*[f"{lenient_number(column_name(name))} AS {column_name(name)}" for name in columns])
     measures = ", ".join(
-        f"named_struct('column_name', '{name}', 'count', count(`{name}`), 'mean', avg(`{name}`),"
-        f" 'std', stddev_samp(`{name}`), 'min', min(`{name}`), 'max', max(`{name}`))"
-        for name in columns
+        f"named_struct('column_name', {text_literal(name)}, 'count', count({c}), 'mean', avg({c}),"
+        f" 'std', stddev_samp({c}), 'min', min({c}), 'max', max({c}))"
+        for name, c in zip(columns, map(column_name, columns), strict=True)
     )
     # One row per column comes to the driver, which steers the search for the quartiles.
     moments = aggregate(numbers, [f"array({measures}) AS m"]).selectExpr("inline(m)").collect()

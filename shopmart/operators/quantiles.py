@@ -15,6 +15,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
+from shopmart.functions.scalars import column_name
+
 SLICES = 1024
 
 
@@ -35,7 +37,7 @@ class _Search:
 def _count_slices(df: DataFrame, intervals: Sequence[tuple[str, float, float]]) -> dict[int, list]:
     """Per interval: its non-empty slices in order, as (rows, smallest, largest value)."""
     columns = list(dict.fromkeys(column for column, _, _ in intervals))
-    values = df.unpivot([], [F.col(f"`{c}`") for c in columns], "name", "v")
+    values = df.unpivot([], [F.col(column_name(c)) for c in columns], "name", "v")
     bounds = df.sparkSession.createDataFrame(
         [(i, *interval) for i, interval in enumerate(intervals)], "i INT, name STRING, low DOUBLE, high DOUBLE"
     )
@@ -78,11 +80,11 @@ def _infinite_ends(df: DataFrame, columns: Sequence[str]) -> dict[str, tuple[int
     """Rows at minus and plus infinity, and the finite span, of columns that have such rows."""
     if not columns:
         return {}
-    finite = "if(abs(`{0}`) < double('Infinity'), `{0}`, NULL)"
+    finite = "if(abs({0}) < double('Infinity'), {0}, NULL)"
     row = df.selectExpr(*[
-        f"named_struct('below', count_if(`{c}` = double('-Infinity')), 'above', count_if(`{c}` = double('Infinity')),"
-        f" 'low', min({finite.format(c)}), 'high', max({finite.format(c)})) AS `{c}`"
-        for c in columns
+        f"named_struct('below', count_if({c} = double('-Infinity')), 'above', count_if({c} = double('Infinity')),"
+        f" 'low', min({finite.format(c)}), 'high', max({finite.format(c)})) AS {c}"
+        for c in map(column_name, columns)
     ]).first()
     return {c: tuple(row[c]) for c in columns}
 

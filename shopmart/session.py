@@ -17,6 +17,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.showConsoleProgress": "false",
+    # The padded hash keys of pseudonyms are binary literals of 64 bytes; plans show them masked.
+    "spark.sql.redaction.string.regex": "(?i)(0x|X')[0-9a-f]{128}",
     # Recording the Python line of every column call costs more than building the plan.
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }

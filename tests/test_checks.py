@@ -185,6 +185,15 @@ def test_profile(frame):
     assert [tuple(r) for r in profile.value_counts(df, "a").collect()] == [(1, 1), (2, 1)]
 
 
+def test_columns_of_any_name(frame):
+    df = frame([(1.0, None), (None, "x"), (3.0, "y")], "`it's` DOUBLE, `a ``tick``, b` STRING")
+    assert rows(profile.null_profile(df, "o'brien")) == [("o'brien", "a `tick`, b", 33.33), ("o'brien", "it's", 33.33)]
+    out = only(checks.check_null_rate(df, "t", 0.1))
+    assert json.loads(out["details"]) == {"it's": 0.3333, "a `tick`, b": 0.3333}
+    assert only(checks.check_numeric_range(df, "t", "it's", 2))["error_count"] == 2
+    assert only(profile.numeric_summary(df))["p50"] == 2.0
+
+
 def test_numeric_summary(spark):
     out = only(profile.numeric_summary(spark.range(1, 102).withColumnRenamed("id", "v")))
     assert (out["count"], out["mean"], out["min"], out["p25"], out["p50"], out["p75"], out["max"]) == (

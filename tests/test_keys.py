@@ -76,3 +76,10 @@ def test_wide_key_is_positive_and_distinct(spark):
     keys = spark.range(50_000).selectExpr(f"{wide_key('id')} AS k")
     assert keys.where("k <= 0").count() == 0
     assert keys.distinct().count() == 50_000
+
+
+def test_plans_mask_the_key(spark, frame):
+    df = frame([(1,)], "v INT").selectExpr(f"{pseudonym('v', HASH_KEY)} AS p")
+    shown = df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "extended")
+    inner = bytes(b ^ 0x36 for b in HASH_KEY.encode()).hex()
+    assert inner not in shown.lower() and "redacted" in shown
