@@ -185,7 +185,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sized = groups.join(sizes, "comp", "left").select("fp", "comp", F.coalesce("size", F.lit(1)).alias("size"))
     second = linked_pairs(stored(sized, "groups"), radius)
     final = stored(grouped(nodes, first.union(second)), "components")
-    ids = final.join(nodes, "fp").groupBy("comp").agg(F.min("least_id").alias("component_id"))
+    # Stored, so that the join below is of plain tables and a large component's partition can be split.
+    ids = stored(final.join(nodes, "fp").groupBy("comp").agg(F.min("least_id").alias("component_id")), "ids")
     return marked.join(final.join(ids, "comp").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
