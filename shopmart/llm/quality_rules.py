@@ -176,5 +176,8 @@ def judge(docs: DataFrame, rules: dict[str, str] | None = None, id_col: str = "d
 
 def keep_good(docs: DataFrame, rules: dict[str, str] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs``, all columns unchanged, that no rule rejects."""
-    found = counts(docs, id_col, text_col, whole_row=True)
-    return found.where(rejected_by(docs, rules, id_col, text_col).isNull()).select("row.*")
+    # A column that is not a function of the row keeps the filter above the counts; pushed below,
+    # it would work them out again at every mention.
+    found = counts(docs, id_col, text_col, whole_row=True).withColumn("barrier", F.monotonically_increasing_id())
+    passes = rejected_by(docs, rules, id_col, text_col).isNull() & (F.col("barrier") >= 0)
+    return found.where(passes).select("row.*")
