@@ -26,7 +26,7 @@ component; a component whose ids are all null has a null id; an empty table give
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -46,11 +46,11 @@ _HALF = 0xFFFFFFFF
 _ARROW = pa.schema([("doc_id", pa.int64()), ("fp", pa.int64())])
 
 
-def fingerprint(text: str, k: int = SHINGLE_WORDS, seed: int = SEED) -> int:
-    """Bit majority of the hashes of all k-word shingles; lower-cases A-Z only."""
+def shingle_hashes(text: str, k: int = SHINGLE_WORDS, seed: int = SEED) -> Iterator[np.ndarray]:
+    """Hashes of all k-word shingles in parts; of the whole word sequence if there are fewer words."""
     from xxhash import xxh64_intdigest as digest
 
-    counts, shingles, words = np.zeros(64, "i8"), 0, []
+    found, words = False, []
     for piece in pieces(text):
         words += piece.encode().lower().split()
         n = len(words) - k + 1
@@ -59,15 +59,22 @@ def fingerprint(text: str, k: int = SHINGLE_WORDS, seed: int = SEED) -> int:
         joined = b" ".join(words)
         ends = np.cumsum(np.fromiter(map(len, words), "i8", len(words)) + 1)
         starts = [0, *ends[: n - 1].tolist()]
-        hashes = np.fromiter(
+        yield np.fromiter(
             (digest(joined[a:b], seed) for a, b in zip(starts, (ends[k - 1 :] - 1).tolist(), strict=True)), "<u8", n
         )
-        for at in range(0, n, 255):  # each byte of the spread sums holds one bit's count
-            counts += _SPREAD[hashes[at : at + 255].view("u1").reshape(-1, 8)].sum(axis=0).view("u1")
-        shingles += n
+        found = True
         words = words[n:]
-    if not shingles:
-        return digest(b" ".join(words), seed) if words else 0
+    if words and not found:
+        yield np.array([digest(b" ".join(words), seed)], "<u8")
+
+
+def fingerprint(text: str, k: int = SHINGLE_WORDS, seed: int = SEED) -> int:
+    """Bit majority of the hashes of all k-word shingles; lower-cases A-Z only."""
+    counts, shingles = np.zeros(64, "i8"), 0
+    for hashes in shingle_hashes(text, k, seed):
+        for at in range(0, len(hashes), 255):  # each byte of the spread sums holds one bit's count
+            counts += _SPREAD[hashes[at : at + 255].view("u1").reshape(-1, 8)].sum(axis=0).view("u1")
+        shingles += len(hashes)
     return int(np.packbits(2 * counts > shingles, bitorder="little").view("<u8")[0])
 
 
@@ -190,18 +197,23 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return marked.join(final.join(ids, "comp").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
-    """One row of ``docs`` for each component, all columns unchanged: the one with the least id.
-
-    ``docs`` must be a stored table: rows are told apart by their place in its scan, which is the
-    same each time, so null and repeated ids do no harm.
-    """
+def thinned(docs: DataFrame, id_col: str, find: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """One row of ``docs`` for each component that ``find`` gives to rows numbered in a column."""
     place = "row_of_scan"
     while place in docs.columns:
         place += "_"
     placed = docs.withColumn(place, F.monotonically_increasing_id())
-    groups = near_duplicates(placed, place, text_col, radius).select(F.col("doc_id").alias(place), F.col("component_id").alias("group"))
+    groups = find(placed, place).select(F.col("doc_id").alias(place), F.col("component_id").alias("group"))
     ids = placed.select(place, F.col(id_col).alias("id"))
     first = F.min(F.struct(F.col("id").isNull().alias("missing"), F.col("id"), F.col(place).alias("place")))
     kept = groups.join(ids, place).groupBy("group").agg(first.alias("first")).select(F.col("first.place").alias(place))
     return placed.join(kept, place, "left_semi").drop(place)
+
+
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
+    """One row of ``docs`` for each component, all columns unchanged: the one with the least id.
+
+    ``docs`` must be a stored table: rows are told apart by their place in its scan, which is the
+    same each time, so null and repeated ids do no harm.
+    """
+    return thinned(docs, id_col, lambda placed, place: near_duplicates(placed, place, text_col, radius))
