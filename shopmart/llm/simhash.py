@@ -9,11 +9,13 @@ The join on cells keeps a pair only if its Hamming distance is within the radius
 inside the join, so candidates are never written.
 
 Copies cost nothing: only distinct fingerprints are joined, and a component's documents follow by
-their fingerprint. Dense groups of near copies do not turn into all their pairs either: fingerprints
-that share a half vector are first linked to one leader of that cell, which merges most of such a
-group at linear cost. The join then keeps only pairs of different groups, and within a cell the
-members of the largest merged group are not paired with each other. No link between different
-groups is lost, so components are exact. Joins are plain sort-merge joins, whose skewed partitions
+their fingerprint. Dense groups of near copies do not turn into all their pairs either. Fingerprints
+that share a half vector are first linked to one leader of that cell. Then, draw after draw, each
+cell gets a leader from a large group, and every fingerprint outside that group meets one leader in
+each of its cells. A fingerprint with many links into a group meets such a leader soon, so few links
+are left for the join of whole cells, in which the members of the largest group of a cell are not
+paired with each other. Links are kept between groups, once each, and all links that join different
+groups are found, so components are exact. Joins are plain sort-merge joins, whose skewed partitions
 adaptive execution splits; group sizes are aggregated before they are shuffled.
 
 Components are found by spreading least labels with pointer jumping over distributed tables; each
@@ -39,6 +41,10 @@ SHINGLE_WORDS = 4
 RADIUS = 4
 #: A group merged by leaders counts as large in its cells from this many fingerprints on.
 LARGE_GROUP = 16
+#: Draws of leaders end after so many, or when one finds fewer links than this. Both steer cost only:
+#: the join of whole cells that follows finds every link that is left.
+MOST_DRAWS = 6
+FEW_LINKS = 200
 
 _SPREAD = np.unpackbits(np.arange(256, dtype="u1")[:, None], axis=1, bitorder="little").view("<u8").ravel()
 _EVEN = 0x55555555
@@ -130,7 +136,24 @@ def leader_links(nodes: DataFrame, radius: int) -> DataFrame:
         .select("half", F.explode(F.array("least", "most")).alias("leader"))
     )
     near = (F.col("fp") != F.col("leader")) & (hamming("fp", "leader") <= radius)
-    return keyed.join(leaders, "half").where(near).select(F.col("fp").alias("a"), F.col("leader").alias("b"))
+    return keyed.join(leaders, "half").where(near).select(F.col("fp").alias("a"), F.col("leader").alias("b")).distinct()
+
+
+def drawn_links(groups: DataFrame, radius: int, draw: int) -> DataFrame:
+    """Links between groups, found from fingerprints to a leader drawn for each cell.
+
+    groups: fp, comp, size of the group. A cell's leader is a member of a large group, another one
+    at each draw. A fingerprint meets one leader in each of its cells, however many rows a cell has.
+    """
+    leaders = (
+        cells(groups.where(F.col("size") >= LARGE_GROUP).select("fp", "comp"))
+        .groupBy("cell")
+        .agg(F.min(F.struct(F.xxhash64("fp", F.lit(draw)).alias("lot"), "fp", "comp")).alias("leader"))
+        .select("cell", F.col("leader.fp").alias("leader"), F.col("leader.comp").alias("b"))
+    )
+    asked = cells(groups.select("fp", "comp")).select("cell", "fp", F.col("comp").alias("a"))
+    met = asked.join(leaders, "cell").where((F.col("a") != F.col("b")) & (hamming("fp", "leader") <= radius))
+    return met.select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -153,15 +176,18 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
-def grouped(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Nodes with the label of their component; nodes without links keep their own."""
-    labels = components(edges).withColumnRenamed("node", "fp")
-    return nodes.select("fp").join(labels, "fp", "left").select("fp", F.coalesce("label", "fp").alias("comp"))
+def merged(groups: DataFrame, links: DataFrame) -> DataFrame:
+    """fp, comp and size of the group, after links (a, b) between groups have made some of them one."""
+    labels = components(links).withColumnRenamed("node", "comp")
+    joined = groups.select("fp", "comp").join(labels, "comp", "left").select("fp", F.coalesce("label", "comp").alias("comp"))
+    joined = stored(joined, "joined-groups")
+    sizes = joined.groupBy("comp").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE_GROUP)
+    return stored(joined.join(sizes, "comp", "left").select("fp", "comp", F.coalesce("size", F.lit(1)).alias("size")), "groups")
 
 
-def linked_pairs(nodes: DataFrame, radius: int) -> DataFrame:
-    """Links (a, b) between fingerprints of different groups; nodes: fp, comp, size of the group."""
-    all_cells = cells(nodes)
+def linked_groups(groups: DataFrame, radius: int) -> DataFrame:
+    """All links (a, b) that are left between different groups, once each; groups: fp, comp, size."""
+    all_cells = cells(groups)
     large = (
         all_cells.where(F.col("size") >= LARGE_GROUP)
         .groupBy("cell")
@@ -177,7 +203,8 @@ def linked_pairs(nodes: DataFrame, radius: int) -> DataFrame:
     once = (F.col("a") < F.col("b")) | (F.col("comp_b") == F.col("top_comp"))
     wanted = met & once & (F.col("comp_a") != F.col("comp_b")) & (hamming("a", "b") <= radius)
     left, right = a.alias("l"), b.alias("r")
-    return left.join(right, (F.col("l.cell") == F.col("r.cell")) & wanted).select("a", "b")
+    pairs = left.join(right, (F.col("l.cell") == F.col("r.cell")) & wanted)
+    return pairs.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", radius: int = RADIUS) -> DataFrame:
@@ -186,15 +213,19 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         raise ValueError("the cells of half vectors find links of at most 4 differing bits")
     marked = stored(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
-    first = stored(leader_links(nodes, radius).distinct(), "leaders")
-    groups = grouped(nodes, first)
-    sizes = groups.groupBy("comp").agg(F.count("*").alias("size")).where(F.col("size") >= LARGE_GROUP)
-    sized = groups.join(sizes, "comp", "left").select("fp", "comp", F.coalesce("size", F.lit(1)).alias("size"))
-    second = linked_pairs(stored(sized, "groups"), radius)
-    final = stored(grouped(nodes, first.union(second)), "components")
+    groups = merged(nodes.select("fp", F.col("fp").alias("comp")), leader_links(nodes, radius))
+    # Draws cost little and leave few links for the join of whole cells; they stop as soon as they find few.
+    for draw in range(MOST_DRAWS):
+        links = stored(drawn_links(groups, radius, draw), "drawn")
+        found = links.count()
+        if found:
+            groups = merged(groups, links)
+        if found < FEW_LINKS:
+            break
+    groups = merged(groups, stored(linked_groups(groups, radius), "linked"))
     # Stored, so that the join below is of plain tables and a large component's partition can be split.
-    ids = stored(final.join(nodes, "fp").groupBy("comp").agg(F.min("least_id").alias("component_id")), "ids")
-    return marked.join(final.join(ids, "comp").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
+    ids = stored(groups.join(nodes, "fp").groupBy("comp").agg(F.min("least_id").alias("component_id")), "ids")
+    return marked.join(groups.join(ids, "comp").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def thinned(docs: DataFrame, id_col: str, find: Callable[[DataFrame, str], DataFrame]) -> DataFrame:

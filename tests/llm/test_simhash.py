@@ -52,6 +52,18 @@ def test_components_of_awkward_rows(spark):
     assert simhash.near_duplicates(empty(spark)).count() == 0
 
 
+def links_of(rows):
+    """Links between groups of (fp, comp) by comparing all pairs."""
+    return {
+        tuple(sorted((ca, cb))) for a, ca in rows for b, cb in rows
+        if ca != cb and ((a ^ b) & (2**64 - 1)).bit_count() <= 4
+    }
+
+
+def found_links(df):
+    return {tuple(sorted((r.a, r.b))) for r in df.collect()}
+
+
 def test_links_of_any_shape_are_found(spark):
     """Chains, stars and a dense group of fingerprints, with the cells alone and with leaders."""
     draw = random.Random(11)
@@ -64,16 +76,13 @@ def test_links_of_any_shape_are_found(spark):
                 value ^= 1 << bit
     signed = np.array(sorted(values), "u8").view("i8").tolist()
     nodes = spark.createDataFrame([(v,) for v in signed], "fp long")
-    expected = {tuple(sorted((a, b))) for a in signed for b in signed if a != b and ((a ^ b) & (2**64 - 1)).bit_count() <= 4}
+    expected = links_of([(v, v) for v in signed])
     plain = nodes.selectExpr("fp", "fp AS comp", "CAST(1 AS BIGINT) AS size")
-    pairs = simhash.linked_pairs(plain, 4).collect()
-    assert {tuple(sorted((r.a, r.b))) for r in pairs} == expected
-    assert len(pairs) <= 4 * len(expected)
-    leaders = {tuple(sorted((r.a, r.b))) for r in simhash.leader_links(nodes, 4).collect()}
-    assert leaders <= expected
+    assert found_links(simhash.linked_groups(plain, 4)) == expected
+    assert found_links(simhash.leader_links(nodes, 4)) <= expected
     # With every fingerprint in one merged group there is nothing left to pair.
     merged = nodes.selectExpr("fp", "0L AS comp", "1000L AS size")
-    assert simhash.linked_pairs(merged, 4).count() == 0
+    assert simhash.linked_groups(merged, 4).count() == 0
 
 
 def test_a_large_group_is_still_linked_to_others(spark):
@@ -81,10 +90,50 @@ def test_a_large_group_is_still_linked_to_others(spark):
     near, far = [(3 << 40) | 1, (5 << 40) | 3 << 20], [0xFFFFFFFF]
     rows = [(v, 0, 64) for v in group] + [(v, v, 1) for v in near + far]
     nodes = spark.createDataFrame(rows, "fp long, comp long, size long")
-    found = {tuple(sorted((r.a, r.b))) for r in simhash.linked_pairs(nodes, 4).collect()}
-    comp = {r[0]: r[1] for r in rows}
-    expected = {(a, b) for a in comp for b in comp if a < b and comp[a] != comp[b] and (a ^ b).bit_count() <= 4}
-    assert found == expected and expected
+    expected = links_of([(r[0], r[1]) for r in rows])
+    assert found_links(simhash.linked_groups(nodes, 4)) == expected and expected
+    for n in range(3):
+        assert found_links(simhash.drawn_links(nodes, 4, n)) <= expected
+
+
+def family(n, seed=5):
+    """Fingerprints 2 to 5 bits from one centre, as many texts made from one text have."""
+    draw, found = random.Random(seed), set()
+    while len(found) < n:
+        value = 0x9E3779B97F4A7C15
+        for bit in draw.sample(range(64), draw.randint(2, 5)):
+            value ^= 1 << bit
+        found.add(value)
+    return np.array(sorted(found), "u8").view("i8").tolist()
+
+
+def test_links_of_a_dense_group_grow_with_its_rows(spark):
+    """The links that the join of whole cells is left with after the draws, for a group and one twice as large."""
+    left = []
+    for n in (600, 1200):
+        nodes = spark.createDataFrame([(v,) for v in family(n)], "fp long")
+        groups = simhash.merged(nodes.selectExpr("fp", "fp AS comp"), simhash.leader_links(nodes, 4))
+        for draw in range(simhash.MOST_DRAWS):
+            groups = simhash.merged(groups, simhash.drawn_links(groups, 4, draw))
+        left.append(simhash.linked_groups(groups, 4).count())
+    assert left[1] <= max(2 * left[0], 60)
+
+
+def test_components_of_a_dense_group(spark):
+    rows = [(i, v) for i, v in enumerate(family(300, 8))]
+    nodes = spark.createDataFrame([(v, v) for _, v in rows], "fp long, comp long")
+    groups = simhash.merged(nodes, simhash.leader_links(nodes, 4))
+    for draw in range(2):
+        groups = simhash.merged(groups, simhash.drawn_links(groups, 4, draw))
+    groups = simhash.merged(groups, simhash.linked_groups(groups, 4))
+    found = {r.fp: r.comp for r in groups.collect()}
+    by_group = {}
+    for v, c in found.items():
+        by_group.setdefault(c, set()).add(v)
+    plain = {}
+    for i, _, c in plain_components([(i, v & (2**64 - 1)) for i, v in rows]):
+        plain.setdefault(c, set()).add(dict(rows)[i])
+    assert sorted(map(sorted, by_group.values())) == sorted(map(sorted, plain.values()))
 
 
 def test_long_chain_is_one_component(spark):
