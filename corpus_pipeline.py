@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from shopmart.llm import bpe, near_copies, packing, quality_rules, toxicity
+from shopmart.llm import bpe, packing, quality_rules, simhash, toxicity
 from shopmart.llm.common import stored, table
 
 
@@ -26,8 +26,8 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def thin_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies by five-word shingles: the one with the least id."""
-    return near_copies.keep_one(docs)
+    """One document of each component of SimHash links: the one with the least id."""
+    return simhash.keep_one(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
