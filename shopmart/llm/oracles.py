@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopmart.llm import licenses, quality_rules, topk
+from shopmart.llm import licenses, negatives, quality_rules, topk
 
 TOPK = f"""
 WITH v AS (
@@ -18,6 +18,26 @@ SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DE
   vec_id, score
 FROM scored QUALIFY rank <= {topk.K}"""
 
+NEGATIVES = f"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor({negatives.SCALE} * x::DOUBLE) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id, v.label = a.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.v, v.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+  FROM v AS a JOIN v ON v.vec_id <> a.vec_id WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {negatives.POSITIVES})
+SELECT anchor_id, positive_id, vec_id AS negative_id, positive_score, score AS negative_score,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND {negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {negatives.HIGH} * positive_score
+QUALIFY rank <= {negatives.K}"""
+
 
 def _licenses() -> str:
     templates = ", ".join(
@@ -98,4 +118,4 @@ FROM judged"""
 
 
 def statements() -> dict[str, str]:
-    return {"op1_topk": TOPK, "op4_licenses": _licenses(), "op6_quality": _quality()}
+    return {"op1_topk": TOPK, "op13_negatives": NEGATIVES, "op4_licenses": _licenses(), "op6_quality": _quality()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from shopmart.llm import bpe, licenses, oracles, packing, quality_rules, sharding, simhash, token_counts, topk, toxicity, url_filter
+from shopmart.llm import bpe, licenses, negatives, oracles, packing, quality_rules, sharding, simhash, token_counts, topk, toxicity, url_filter
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,8 +68,13 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
 
+def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    noisy = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, noisy)
+
+
 def queries() -> dict[str, Query]:
-    return {"op1_topk": op1_topk, "op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op4_licenses": op4_licenses, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op9_token_counts": op9_token_counts, "op10_packing": op10_packing, "pipeline": corpus_pipeline.run}
+    return {"op1_topk": op1_topk, "op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op4_licenses": op4_licenses, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op9_token_counts": op9_token_counts, "op10_packing": op10_packing, "op13_negatives": op13_negatives, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
