@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopmart.llm import licenses, negatives, quality_rules, topk
+from shopmart.llm import licenses, negatives, quality_rules, ranking, topk
 
 TOPK = f"""
 WITH v AS (
@@ -38,6 +38,28 @@ FROM positives JOIN scored USING (anchor_id)
 WHERE NOT same AND {negatives.LOW} * positive_score <= 100 * score AND 100 * score <= {negatives.HIGH} * positive_score
 QUALIFY rank <= {negatives.K}"""
 
+RANKING = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS words
+  FROM documents),
+held AS (SELECT rid, doc_id, words, len(words) AS n FROM d WHERE len(words) > 0),
+size AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS total FROM held),
+asked AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(min(text), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL GROUP BY item_id),
+item_terms AS (SELECT item_id, term, count(*)::BIGINT AS repeats FROM asked GROUP BY item_id, term),
+tf AS (
+  SELECT rid, doc_id, n, term, count(*)::BIGINT AS tf FROM (SELECT rid, doc_id, n, unnest(words) AS term FROM held)
+  WHERE term IN (SELECT term FROM item_terms) GROUP BY rid, doc_id, n, term),
+weights AS (SELECT term, floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM tf, size GROUP BY term, n_docs),
+scored AS (
+  SELECT item_id, rid, doc_id, sum(repeats * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * n_docs) // total))))::BIGINT AS score
+  FROM tf JOIN weights USING (term) JOIN item_terms USING (term), size GROUP BY item_id, rid, doc_id)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0 QUALIFY rank <= {ranking.K}"""
+
 
 def _licenses() -> str:
     templates = ", ".join(
@@ -118,4 +140,4 @@ FROM judged"""
 
 
 def statements() -> dict[str, str]:
-    return {"op1_topk": TOPK, "op13_negatives": NEGATIVES, "op4_licenses": _licenses(), "op6_quality": _quality()}
+    return {"op1_topk": TOPK, "op12_ranking": RANKING, "op13_negatives": NEGATIVES, "op4_licenses": _licenses(), "op6_quality": _quality()}
