@@ -10,10 +10,9 @@ inside the join, so candidates are never written.
 
 Copies cost nothing: only distinct fingerprints are joined, and a component's documents follow by
 their fingerprint. Dense groups of near copies do not turn into all their pairs either. Fingerprints
-that share a half vector are first linked to one leader of that cell. Then, draw after draw, each
-cell gets a leader from a large group, and every fingerprint outside that group meets one leader in
-each of its cells. A fingerprint with many links into a group meets such a leader soon, so few links
-are left for the join of whole cells, in which the members of the largest group of a cell are not
+that share a half vector are first linked to one leader of that cell. Then each cell gets a few
+leaders from large groups, and every fingerprint outside these groups meets them in each of its
+cells. A fingerprint with many links into a group nearly always meets one, so few links are left for the join of whole cells, in which the members of the largest group of a cell are not
 paired with each other. Links are kept between groups, once each, and all links that join different
 groups are found, so components are exact. Joins are plain sort-merge joins, whose skewed partitions
 adaptive execution splits; group sizes are aggregated before they are shuffled.
@@ -41,10 +40,10 @@ SHINGLE_WORDS = 4
 RADIUS = 4
 #: A group merged by leaders counts as large in its cells from this many fingerprints on.
 LARGE_GROUP = 16
-#: Draws of leaders end after so many, or when one finds fewer links than this. Both steer cost only:
-#: the join of whole cells that follows finds every link that is left.
-MOST_DRAWS = 6
-FEW_LINKS = 200
+#: Leaders drawn for each cell. The number steers cost only: the join of whole cells finds what is left.
+DRAWS = 3
+#: Rows of links in a task of a round of the component search.
+ROWS_A_TASK = 50_000
 
 _SPREAD = np.unpackbits(np.arange(256, dtype="u1")[:, None], axis=1, bitorder="little").view("<u8").ravel()
 _EVEN = 0x55555555
@@ -139,27 +138,30 @@ def leader_links(nodes: DataFrame, radius: int) -> DataFrame:
     return keyed.join(leaders, "half").where(near).select(F.col("fp").alias("a"), F.col("leader").alias("b")).distinct()
 
 
-def drawn_links(groups: DataFrame, radius: int, draw: int) -> DataFrame:
-    """Links between groups, found from fingerprints to a leader drawn for each cell.
+def drawn_links(groups: DataFrame, radius: int, draws: int = DRAWS) -> DataFrame:
+    """Links between groups, found from fingerprints to a few leaders drawn for each cell.
 
-    groups: fp, comp, size of the group. A cell's leader is a member of a large group, another one
-    at each draw. A fingerprint meets one leader in each of its cells, however many rows a cell has.
+    groups: fp, comp, size of the group. The leaders of a cell are members of large groups. However
+    many rows a cell has, a fingerprint meets ``draws`` leaders in it at most.
     """
-    leaders = (
-        cells(groups.where(F.col("size") >= LARGE_GROUP).select("fp", "comp"))
-        .groupBy("cell")
-        .agg(F.min(F.struct(F.xxhash64("fp", F.lit(draw)).alias("lot"), "fp", "comp")).alias("leader"))
-        .select("cell", F.col("leader.fp").alias("leader"), F.col("leader.comp").alias("b"))
-    )
+    lots = [F.min(F.struct(F.xxhash64("fp", F.lit(n)).alias("lot"), "fp", "comp")).alias(f"leader{n}") for n in range(draws)]
+    leaders = cells(groups.where(F.col("size") >= LARGE_GROUP).select("fp", "comp")).groupBy("cell").agg(*lots)
+    leaders = leaders.select("cell", F.explode(F.array_distinct(F.array(*[f"leader{n}" for n in range(draws)]))).alias("leader"))
+    leaders = leaders.select("cell", F.col("leader.fp").alias("leader"), F.col("leader.comp").alias("b")).distinct()
     asked = cells(groups.select("fp", "comp")).select("cell", "fp", F.col("comp").alias("a"))
     met = asked.join(leaders, "cell").where((F.col("a") != F.col("b")) & (hamming("fp", "leader") <= radius))
     return met.select("a", "b").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """Label every node of the links (a, b) with the least node that it reaches."""
+    """Label every node of the links (a, b) with the least node that it reaches.
+
+    Rounds are short joins over all links, so their tables get as many partitions as the links need.
+    """
     both = stored(edges.union(edges.select("b", "a")).distinct(), "links")
-    labels = stored(both.select(F.col("a").alias("node")).distinct().withColumn("label", F.col("node")), "labels")
+    parts = 1 + both.count() // ROWS_A_TASK
+    both = stored(both.coalesce(parts), "links")
+    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least("node", F.min("b")).alias("label")).coalesce(parts), "labels")
     while True:
         spread = (
             both.join(labels.withColumnRenamed("node", "b"), "b")
@@ -169,7 +171,7 @@ def components(edges: DataFrame) -> DataFrame:
         least = labels.join(spread, "node").select("node", "label", F.least("label", "near").alias("next"))
         jump = labels.select(F.col("node").alias("next"), F.col("label").alias("further"))
         moved = least.join(jump, "next").select("node", "label", F.least("next", "further").alias("next"))
-        moved = stored(moved, "labels")
+        moved = stored(moved.coalesce(parts), "labels")
         changed = moved.where("next != label").limit(1).count()
         labels = moved.select("node", F.col("next").alias("label"))
         if not changed:
@@ -214,14 +216,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     marked = stored(fingerprints(docs, id_col, text_col), "fingerprints")
     nodes = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("least_id")), "nodes")
     groups = merged(nodes.select("fp", F.col("fp").alias("comp")), leader_links(nodes, radius))
-    # Draws cost little and leave few links for the join of whole cells; they stop as soon as they find few.
-    for draw in range(MOST_DRAWS):
-        links = stored(drawn_links(groups, radius, draw), "drawn")
-        found = links.count()
-        if found:
-            groups = merged(groups, links)
-        if found < FEW_LINKS:
-            break
+    drawn = stored(drawn_links(groups, radius), "drawn")
+    if drawn.limit(1).count():
+        groups = merged(groups, drawn)
     groups = merged(groups, stored(linked_groups(groups, radius), "linked"))
     # Stored, so that the join below is of plain tables and a large component's partition can be split.
     ids = stored(groups.join(nodes, "fp").groupBy("comp").agg(F.min("least_id").alias("component_id")), "ids")

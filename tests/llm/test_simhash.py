@@ -92,8 +92,7 @@ def test_a_large_group_is_still_linked_to_others(spark):
     nodes = spark.createDataFrame(rows, "fp long, comp long, size long")
     expected = links_of([(r[0], r[1]) for r in rows])
     assert found_links(simhash.linked_groups(nodes, 4)) == expected and expected
-    for n in range(3):
-        assert found_links(simhash.drawn_links(nodes, 4, n)) <= expected
+    assert found_links(simhash.drawn_links(nodes, 4)) <= expected
 
 
 def family(n, seed=5):
@@ -113,8 +112,7 @@ def test_links_of_a_dense_group_grow_with_its_rows(spark):
     for n in (600, 1200):
         nodes = spark.createDataFrame([(v,) for v in family(n)], "fp long")
         groups = simhash.merged(nodes.selectExpr("fp", "fp AS comp"), simhash.leader_links(nodes, 4))
-        for draw in range(simhash.MOST_DRAWS):
-            groups = simhash.merged(groups, simhash.drawn_links(groups, 4, draw))
+        groups = simhash.merged(groups, simhash.drawn_links(groups, 4))
         left.append(simhash.linked_groups(groups, 4).count())
     assert left[1] <= max(2 * left[0], 60)
 
@@ -123,8 +121,7 @@ def test_components_of_a_dense_group(spark):
     rows = [(i, v) for i, v in enumerate(family(300, 8))]
     nodes = spark.createDataFrame([(v, v) for _, v in rows], "fp long, comp long")
     groups = simhash.merged(nodes, simhash.leader_links(nodes, 4))
-    for draw in range(2):
-        groups = simhash.merged(groups, simhash.drawn_links(groups, 4, draw))
+    groups = simhash.merged(groups, simhash.drawn_links(groups, 4))
     groups = simhash.merged(groups, simhash.linked_groups(groups, 4))
     found = {r.fp: r.comp for r in groups.collect()}
     by_group = {}
