@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shopmart.llm import licenses, negatives, quality_rules, ranking, topk
+from shopmart.llm import licenses, negatives, quality_rules, ranking, secret_scan, topk
 
 TOPK = f"""
 WITH v AS (
@@ -108,6 +108,31 @@ SELECT doc_id, len(words) AS n_words, coalesce(n_base, 0) AS n_base, first_word,
 FROM texts LEFT JOIN found USING (rid)"""
 
 
+def _secrets() -> str:
+    def matches(n: int, rule: secret_scan.Rule) -> str:
+        pattern = "'" + rule.pattern.replace("'", "''") + "'"
+        return f"""
+  SELECT rid, {n} AS number, '{rule.kind}' AS kind, length(found[i]) AS size,
+    coalesce(list_sum(list_transform(gap[1:i], lambda x: length(x))), 0)::BIGINT
+      + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0)::BIGINT AS first
+  FROM (SELECT rid, regexp_extract_all(text, {pattern}, 0) AS found, regexp_extract_all(text, {pattern}, {rule.group}) AS value,
+    string_split_regex(text, {pattern}) AS gap FROM texts), unnest(range(1, len(found) + 1)) AS r(i)
+  WHERE length(value[i]) >= {rule.least}"""
+
+    rules = secret_scan.BASE + secret_scan.ADDED
+    listed = "string_agg(kind || ':' || first || ':' || (first + size), ',' ORDER BY first, number)"
+    counts = ", ".join(f"count(*) FILTER (WHERE kind = '{rule.kind}') AS n_{rule.kind}" for rule in secret_scan.BASE)
+    return f"""
+WITH texts AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text FROM documents),
+spans AS ({" UNION ALL ".join(matches(n, rule) for n, rule in enumerate(rules))}),
+found AS (
+  SELECT rid, {counts}, {listed} FILTER (WHERE number < {len(secret_scan.BASE)}) AS base, {listed} AS spans
+  FROM spans GROUP BY rid)
+SELECT doc_id, {", ".join(f"coalesce(n_{rule.kind}, 0) AS n_{rule.kind}" for rule in secret_scan.BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM texts LEFT JOIN found USING (rid)"""
+
+
 def _quality() -> str:
     blank, k = r"[ \t\n\x0b\f\r]+", quality_rules.WINDOW_WORDS
     poor = [
@@ -140,4 +165,4 @@ FROM judged"""
 
 
 def statements() -> dict[str, str]:
-    return {"op1_topk": TOPK, "op12_ranking": RANKING, "op13_negatives": NEGATIVES, "op4_licenses": _licenses(), "op6_quality": _quality()}
+    return {"op1_topk": TOPK, "op11_secrets": _secrets(), "op12_ranking": RANKING, "op13_negatives": NEGATIVES, "op4_licenses": _licenses(), "op6_quality": _quality()}

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from shopmart.llm import bpe, licenses, negatives, oracles, packing, quality_rules, ranking, sharding, simhash, token_counts, topk, toxicity, url_filter
+from shopmart.llm import bpe, licenses, negatives, oracles, packing, quality_rules, ranking, secret_scan, sharding, simhash, token_counts, topk, toxicity, url_filter
 from shopmart.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +68,10 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), bpe.vocabulary_path())
 
 
+def op11_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.digest(secret_scan.scan(table(spark, sf_dir, "documents")))
+
+
 def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranking.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -78,7 +82,7 @@ def op13_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_topk": op1_topk, "op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op4_licenses": op4_licenses, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op9_token_counts": op9_token_counts, "op10_packing": op10_packing, "op12_ranking": op12_ranking, "op13_negatives": op13_negatives, "pipeline": corpus_pipeline.run}
+    return {"op1_topk": op1_topk, "op2_toxicity": op2_toxicity, "op3_shards": op3_shards, "op4_licenses": op4_licenses, "op5_bpe": op5_bpe, "op6_quality": op6_quality, "op7_urls": op7_urls, "op8_simhash": op8_simhash, "op9_token_counts": op9_token_counts, "op10_packing": op10_packing, "op11_secrets": op11_secrets, "op12_ranking": op12_ranking, "op13_negatives": op13_negatives, "pipeline": corpus_pipeline.run}
 
 
 def oracle_sql() -> dict[str, str]:
