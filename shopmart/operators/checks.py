@@ -1,25 +1,24 @@
 """Data quality checks. Every check yields rows of one fixed result schema.
 
-Null rates, ranges and key nulls of a table are folded into a single aggregate over it, so a
-suite reads each table once, plus once per key that must be unique or must exist elsewhere.
+Null rates, ranges and key nulls of a table are folded into a single aggregate over it, and all
+checks that compare keys across rows or tables follow from one presence aggregate over the key
+columns. A suite so reads each table twice, once for its cells and once for its keys.
 """
 
 from __future__ import annotations
 
 import json
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql import DataFrame
 
 from shopmart.functions.scalars import column_name, lenient_number, text_literal
-from shopmart.operators.dedup import duplicate_count
+from shopmart.operators.presence import KeyPresence, Reference, violations
 from shopmart.operators.profile import aggregate, null_counts
 
 DEFAULT_NULL_THRESHOLD = 0.10
-SAMPLE_ORPHANS = 20
 
 # Field order of a result record, the check's own parameters last.
 _RESULT_FIELDS = {
@@ -164,29 +163,45 @@ def check_numeric_range(
     return table_checks(df, dataset, ranges=[Range(column, min_val, max_val)], checked_at=checked_at)
 
 
-def _comparable(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> bool:
-    """Numbers compare with numbers; otherwise types must agree. Spark would cast silently."""
-    left, right = child.schema[fk].dataType, parent.schema[pk].dataType
-    return left == right or (isinstance(left, NumericType) and isinstance(right, NumericType))
-
-
-def key_usage(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
-    """Distinct child keys, their row count, and whether they are orphans (null never is).
+def key_checks(
+    tables: Mapping[str, DataFrame],
+    references: Sequence[Reference],
+    unique: Sequence[tuple[str, str]] = (),
+    checked_at: datetime | None = None,
+) -> DataFrame:
+    """Referential-integrity results, then duplicate results, all from one presence aggregate.
 
-    Both sides are reduced to distinct keys before they meet, so a key that fills much of
-    the child table is one row in this join.
+    Errors of a reference are distinct orphan keys plus rows with a null key; details show the
+    smallest orphans. Errors of a unique key are rows that repeat an earlier key.
     """
-    used = child.selectExpr(f"{fk} AS key").groupBy("key").count().withColumnRenamed("count", "rows")
-    if not _comparable(child, fk, parent, pk):
-        return used.selectExpr("*", "key IS NOT NULL AS orphan")
-    known = parent.selectExpr(f"{pk} AS key").where("key IS NOT NULL").distinct().selectExpr("key", "true AS met")
-    orphan = "key IS NOT NULL AND met IS NULL AND rows > 0 AS orphan"
-    return used.join(known, "key", "left").selectExpr("key", "rows", orphan)
+    for r in references:
+        require_columns(tables[r.child], [r.fk], r.child)
+        require_columns(tables[r.parent], [r.pk], r.parent)
+    for name, column in unique:
+        require_columns(tables[name], [column], name)
+    presence = KeyPresence(tables, references, unique)
+    records = []
+    for (domain, *_), r in zip(presence.references, references, strict=True):
+        sample = presence.key(domain).replace("key", "sample")
+        records.append(result(
+            "referential_integrity", r.child, "orphans + null_keys",
+            f"to_json(named_struct('sample_orphans', {sample}, 'null_fk_count', null_keys))", checked_at,
+            parent=r.parent, fk_col=r.fk, pk_col=r.pk,
+        ))
+    records += [result("duplicates", name, "extra", "'{}'", checked_at, pk_col=column) for name, column in unique]
+    cases = " ".join(f"WHEN {n} THEN {record}" for n, record in enumerate(records))
+    return violations(presence).selectExpr(f"inline(array(CASE check {cases} END))")
 
 
 def orphan_keys(child: DataFrame, parent: DataFrame, fk: str, pk: str) -> DataFrame:
     """Distinct non-null child keys that the parent lacks, with the rows that carry them."""
-    return key_usage(child, parent, fk, pk).where("orphan").select("key", "rows")
+    presence = KeyPresence({"child": child, "parent": parent}, [Reference("child", fk, "parent", pk)])
+    domain, slot, known = presence.references[0]
+    missing = f"n{slot} > 0" + (f" AND n{known} = 0" if known >= 0 else "")
+    key = presence.key(domain)
+    return presence.frame.where(f"domain = {domain} AND {key} IS NOT NULL AND {missing}").selectExpr(
+        f"{key} AS key", f"n{slot} AS rows"
+    )
 
 
 def check_referential_integrity(
@@ -198,30 +213,13 @@ def check_referential_integrity(
     parent_name: str,
     checked_at: datetime | None = None,
 ) -> DataFrame:
-    """Errors are distinct orphan keys plus rows with a null key; details show 20 orphans."""
-    require_columns(child, [fk_col], child_name)
-    require_columns(parent, [pk_col], parent_name)
-    usage = key_usage(child, parent, fk_col, pk_col)
-    counts = aggregate(usage, [
-        "count_if(orphan) AS orphans",
-        "coalesce(sum(if(key IS NULL, rows, 0L)), 0L) AS null_fks",
-    ])
-    # The smallest orphans: every task keeps 20, so the list never grows with the table.
-    # Filtering after the limit leaves the plan below equal to that of the counts, so that
-    # both share one scan and shuffle of either table.
-    sample = (
-        usage.orderBy(F.desc("orphan"), "key").limit(SAMPLE_ORPHANS).where("orphan")
-        .agg(F.sort_array(F.collect_list("key")))
-    )
-    record = result(
-        "referential_integrity", child_name, "orphans + null_fks",
-        "to_json(named_struct('sample_orphans', sample, 'null_fk_count', null_fks))", checked_at,
-        parent=parent_name, fk_col=fk_col, pk_col=pk_col,
+    """One reference by itself; a suite checks all its references at once with ``key_checks``."""
+    if child_name == parent_name and child is not parent:
+        raise ValueError(f"two tables are named {child_name}")
+    return key_checks(
+        {child_name: child, parent_name: parent}, [Reference(child_name, fk_col, parent_name, pk_col)], (), checked_at
     )
-    return counts.withColumn("sample", sample.scalar()).selectExpr(f"inline(array({record}))")
 
 
 def check_duplicates(df: DataFrame, dataset: str, pk_col: str, checked_at: datetime | None = None) -> DataFrame:
-    require_columns(df, [pk_col], dataset)
-    record = result("duplicates", dataset, "duplicates", "'{}'", checked_at, pk_col=pk_col)
-    return duplicate_count(df, pk_col).selectExpr(f"inline(array({record}))")
+    return key_checks({dataset: df}, (), [(dataset, pk_col)], checked_at)

@@ -19,8 +19,3 @@ def keep_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str] = ())
     rank = f"row_number() OVER (PARTITION BY {', '.join(keys)} ORDER BY {', '.join(order)}) AS _row"
     return df.selectExpr("*", rank).where("_row = 1").drop("_row")
 
-
-def duplicate_count(df: DataFrame, key: str) -> DataFrame:
-    """One row: how many rows repeat an earlier key."""
-    copies = df.selectExpr(f"{key} AS key").groupBy("key").count()
-    return copies.selectExpr("coalesce(sum(count - 1), 0L) AS duplicates")

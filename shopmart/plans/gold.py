@@ -5,12 +5,12 @@ from __future__ import annotations
 import warnings
 from collections.abc import Callable
 from datetime import date
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmart.functions.keys import crc32_key
 from shopmart.functions.scalars import half_even
+from shopmart.operators.presence import KeyPresence, Reference
 from shopmart.operators.profile import aggregate
 from shopmart.operators.skew import detail_join, lookup_join
 from shopmart.plans import silver
@@ -194,26 +194,27 @@ def key_violations(star: dict[str, DataFrame]) -> DataFrame:
     """What the warehouse declares across rows: unique natural and surrogate keys of the
     dimensions, and fact keys that exist there (the unknown member always does).
 
-    Copies are counted per key and fact keys are reduced to distinct ones before they meet a
-    dimension, so a key that fills much of the fact is one row in the join.
+    All rules follow from one presence aggregate, in which a key that fills much of the fact is one
+    row from each task.
     """
-    parts = []
-    for table, pair in KEYS.items():
-        for key in pair:
-            copies = star[table].groupBy(key).count()
-            parts.append(aggregate(copies, [
-                f"'{table}' AS dataset", f"'{key} unique' AS rule",
-                f"coalesce(sum(if({key} IS NULL, 0L, count - 1)), 0L) AS violations", "coalesce(sum(count), 0L) AS rows_checked",
-            ]))
-    for table, (_, key) in KEYS.items():
-        used = star["fato_pedidos"].groupBy(key).count()
-        known = star[table].selectExpr(key, "true AS met").distinct()
-        missing = f"{key} IS NOT NULL AND {key} <> {UNKNOWN_MEMBER} AND met IS NULL"
-        parts.append(aggregate(used.join(known, key, "left"), [
-            "'fato_pedidos' AS dataset", f"'{key} references {table}' AS rule",
-            f"coalesce(sum(if({missing}, count, 0L)), 0L) AS violations", "coalesce(sum(count), 0L) AS rows_checked",
-        ]))
-    return reduce(DataFrame.unionByName, parts)
+    unique = [(table, key) for table, pair in KEYS.items() for key in pair]
+    references = [Reference("fato_pedidos", key, table, key) for table, (_, key) in KEYS.items()]
+    presence = KeyPresence(star, references, unique)
+    rules = []
+    for (domain, slot), (table, key) in zip(presence.unique, unique, strict=True):
+        extra = f"if({presence.key(domain)} IS NULL, 0L, greatest(n{slot} - 1, 0L))"
+        rules.append((table, f"{key} unique", domain, extra, f"n{slot}"))
+    for (domain, child, parent), r in zip(presence.references, references, strict=True):
+        key = presence.key(domain)
+        missing = f"{key} IS NOT NULL AND {key} <> {UNKNOWN_MEMBER} AND n{parent} = 0"
+        rules.append((r.child, f"{r.fk} references {r.parent}", domain, f"if({missing}, n{child}, 0L)", f"n{child}"))
+    lines = ", ".join(
+        f"named_struct('dataset', '{dataset}', 'rule', '{rule}',"
+        f" 'violations', coalesce(sum(if(domain = {domain}, {broken}, 0L)), 0L),"
+        f" 'rows_checked', coalesce(sum(if(domain = {domain}, {rows}, 0L)), 0L))"
+        for dataset, rule, domain, broken, rows in rules
+    )
+    return aggregate(presence.frame, [f"array({lines}) AS lines"]).selectExpr("inline(lines)")
 
 
 def collision_summary(dimension: DataFrame, table: str) -> DataFrame:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
 from datetime import datetime, timezone
 from functools import reduce
 
@@ -11,26 +10,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from shopmart.operators.checks import (
     DEFAULT_NULL_THRESHOLD,
     Range,
-    check_duplicates,
-    check_referential_integrity,
     check_schema,
+    key_checks,
     missing_columns,
     table_checks,
 )
+from shopmart.operators.presence import Reference
 from shopmart.operators.profile import aggregate
 from shopmart.plans import bronze
 from shopmart.schemas import REQUIRED_COLUMNS
 from shopmart.sources import tables
 
 
-@dataclass(frozen=True)
-class Reference:
-    child: str
-    fk: str
-    parent: str
-    pk: str
-
-
 # The checks of the standard suite.
 RANGES: dict[str, tuple[Range, ...]] = {
     "products": (Range("price", low=0.01), Range("cost", low=0)),
@@ -61,14 +52,11 @@ def _stack(parts: list[DataFrame]) -> DataFrame:
 
 
 def referential_checks(raw: dict[str, DataFrame], checked_at: datetime | None = None) -> DataFrame:
-    return _stack([
-        check_referential_integrity(raw[r.child], raw[r.parent], r.fk, r.pk, r.child, r.parent, checked_at)
-        for r in REFERENCES
-    ])
+    return key_checks(raw, REFERENCES, (), checked_at)
 
 
 def duplicate_checks(raw: dict[str, DataFrame], checked_at: datetime | None = None) -> DataFrame:
-    return _stack([check_duplicates(raw[name], name, key, checked_at) for name, key in UNIQUE_KEYS.items()])
+    return key_checks(raw, (), list(UNIQUE_KEYS.items()), checked_at)
 
 
 def run_suite(
@@ -80,7 +68,7 @@ def run_suite(
 
     A table without its required columns ends the suite: the result then holds the schema
     checks up to and including the failed one. Each table is read once for its schema, null
-    and range checks together.
+    and range checks together, and once more for its keys, whose checks share one aggregate.
     """
     done = []
     for name, required in REQUIRED_COLUMNS.items():
@@ -91,7 +79,7 @@ def run_suite(
         table_checks(raw[name], name, required, null_threshold, RANGES.get(name, ()), checked_at)
         for name, required in REQUIRED_COLUMNS.items()
     ]
-    return _stack([*per_table, referential_checks(raw, checked_at), duplicate_checks(raw, checked_at)])
+    return _stack([*per_table, key_checks(raw, REFERENCES, list(UNIQUE_KEYS.items()), checked_at)])
 
 
 def summarise(results: DataFrame, generated_at: datetime | None = None) -> DataFrame:
