@@ -1,10 +1,10 @@
-"""Joins and running totals that stay balanced when one key holds much of a table.
+"""Joins that stay balanced when one key holds much of a table.
 
 Adaptive execution splits skewed partitions of a plain sort-merge join, but not the right
-side of a left join, not a join inside a chain on one key, and not a window. These helpers
-cover those cases. They take the hot keys as a list that ``find_hot_keys`` measures once on
-a stored table; with an empty list they give the plain join or window. The list steers only
-the layout: results are the same whichever keys it names.
+side of a left join, not a join inside a chain on one key, and not a window. The joins here
+cover the first two cases, ``shopmart.operators.scan`` the third. They take the hot keys as a
+list that ``find_hot_keys`` measures once on a stored table; with an empty list they give the
+plain join. The list steers only the layout: results are the same whichever keys it names.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 SALTS = 64
 HOT_SHARE = 0.01
@@ -106,105 +106,3 @@ def detail_join(
     met_keys = details.where(test).select(key).distinct()
     bare = parents.where(test).join(met_keys, key, "left_anti")
     return joined.unionByName(bare, allowMissingColumns=True)
-
-
-def find_range_bounds(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    hot: Sequence[Any],
-    pieces: int = SALTS,
-    sample_rows: int = SAMPLE_ROWS,
-    seed: int = 42,
-) -> DataFrame | None:
-    """Split points in sort order for each hot key, from a sample of bounded size.
-
-    The result has one row per hot key with fewer than ``pieces`` points. It is fetched and
-    made a local table, because every use must see the same points.
-    """
-    if not hot:
-        return None
-    rows = df.where(is_hot(F.col(key), hot)).select(key, F.struct(*order).alias("point"))
-    total = rows.count()
-    if total == 0:
-        return None
-    sampled = rows.sample(min(1.0, sample_rows / total), seed) if total > sample_rows else rows
-    cut = F.expr(
-        f"array_distinct(transform(sequence(1, {pieces - 1}),"
-        f" i -> points[cast(floor(i * size(points) / {pieces}) as int)]))"
-    )
-    bounds = (
-        sampled.groupBy(key).agg(F.sort_array(F.collect_list("point")).alias("points"))
-        .select(F.col(key), cut.alias("bounds"))
-    )
-    return df.sparkSession.createDataFrame(bounds.collect(), bounds.schema)
-
-
-def with_running(
-    df: DataFrame,
-    key: str,
-    order: Sequence[str],
-    amount: str,
-    bounds: DataFrame | None = None,
-) -> DataFrame:
-    """Add running total (whole cents), rank and previous amount per key, in sort order.
-
-    ``order`` must be unique within a key. With ``bounds``, the rows of a hot key fall into
-    ranges of the sort order; each range is a window of its own, and the totals of earlier
-    ranges (at most one row per range) are added to it. The result is exact.
-    """
-    in_cents = F.round(F.col(amount) * 100).cast("long")
-    if bounds is None:
-        window = Window.partitionBy(key).orderBy(*order)
-        up_to_here = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        return df.withColumns({
-            "_run": F.sum(in_cents).over(up_to_here),
-            "_rank": F.rank().over(window),
-            "_prev": F.lag(amount, 1).over(window),
-        })
-
-    point = F.struct(*order)
-    ranged = (
-        df.join(F.broadcast(bounds), df[key].eqNullSafe(bounds[key]), "left")
-        .drop(bounds[key])
-        .withColumn("_point", point)
-        .withColumn("_range", F.expr("coalesce(size(filter(bounds, b -> b <= _point)), 0)"))
-        .withColumn("_split", F.col("bounds").isNotNull())
-        .drop("bounds")
-    )
-    totals = (
-        ranged.where("_split").groupBy(key, "_range")
-        .agg(
-            F.sum(in_cents).alias("sum"),
-            F.count(F.lit(1)).alias("rows"),
-            F.max(F.struct("_point", F.col(amount).alias("amount")))["amount"].alias("last"),
-        )
-    )
-    by_range = Window.partitionBy(key).orderBy("_range")
-    earlier = by_range.rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        F.col(key).alias("_k"),
-        F.col("_range").alias("_r"),
-        F.sum("sum").over(earlier).alias("_sum_before"),
-        F.sum("rows").over(earlier).alias("_rows_before"),
-        F.lag("last", 1).over(by_range).alias("_last_before"),
-    )
-    window = Window.partitionBy(key, "_range").orderBy(*order)
-    up_to_here = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = ranged.withColumns({
-        "_run": F.sum(in_cents).over(up_to_here),
-        "_rank": F.rank().over(window),
-        "_prev": F.lag(amount, 1).over(window),
-        "_first": F.row_number().over(window) == 1,
-    })
-    # At most one offset row per hot key and range, so this side is small by construction.
-    match = F.col(key).eqNullSafe(F.col("_k")) & (F.col("_range") == F.col("_r")) & F.col("_split")
-    joined = local.join(F.broadcast(offsets), match, "left")
-    run = F.when(F.col("_sum_before").isNull(), F.col("_run")).otherwise(
-        F.col("_sum_before") + F.coalesce("_run", F.lit(0))
-    )
-    return joined.withColumns({
-        "_run": run,
-        "_rank": (F.col("_rank") + F.coalesce("_rows_before", F.lit(0))).cast("int"),
-        "_prev": F.when(F.col("_first"), F.col("_last_before")).otherwise(F.col("_prev")),
-    }).select(*df.columns, "_run", "_rank", "_prev")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shopmart.functions.scalars import cents
-from shopmart.operators.skew import detail_join, find_range_bounds, lookup_join, with_running
+from shopmart.operators.scan import running, segment_count
+from shopmart.operators.skew import detail_join, lookup_join
 from shopmart.plans.hot import NO_HOT_KEYS, HotKeys
 from shopmart.sources import tables
 
@@ -67,13 +68,13 @@ def monthly_revenue(enriched_orders: DataFrame, enriched_items: DataFrame, hot:
     )
 
 
-def customer_spend(orders: DataFrame, bounds: DataFrame | None = None) -> DataFrame:
+def customer_spend(orders: DataFrame, segments: int = 1) -> DataFrame:
     """Running total, rank and previous amount of each customer's orders, by date and id.
 
-    ``bounds`` splits customers with very many orders (see ``skew.find_range_bounds``).
+    With several ``segments`` no customer's orders have to fit into one task (see ``operators.scan``).
     """
     slim = orders.select("customer_id", "order_id", "order_date", "total_amount")
-    return with_running(slim, "customer_id", ["order_date", "order_id"], "total_amount", bounds).selectExpr(
+    return running(slim, "customer_id", ["order_date", "order_id"], "total_amount", segments).selectExpr(
         *slim.columns, "_run / 100 AS running_total", "_rank AS order_rank", "_prev AS prev_order_amount"
     )
 
@@ -85,15 +86,14 @@ def product_ratings(reviews: DataFrame) -> DataFrame:
     )
 
 
-def build_all(cleaned: dict[str, DataFrame], hot: HotKeys = NO_HOT_KEYS) -> dict[str, DataFrame]:
+def build_all(cleaned: dict[str, DataFrame], hot: HotKeys = NO_HOT_KEYS, segments: int = 1) -> dict[str, DataFrame]:
     orders = orders_enriched(cleaned["orders"], cleaned["customers"], cleaned["payments"], hot)
     items = items_enriched(cleaned["order_items"], cleaned["products"], hot)
-    bounds = find_range_bounds(cleaned["orders"], "customer_id", ["order_date", "order_id"], hot.order_customers)
     return {
         "orders_enriched": orders,
         "items_enriched": items,
         "monthly_revenue": monthly_revenue(orders, items, hot),
-        "customer_spend": customer_spend(cleaned["orders"], bounds),
+        "customer_spend": customer_spend(cleaned["orders"], segments),
         "product_ratings": product_ratings(cleaned["reviews"]),
     }
 
@@ -102,7 +102,8 @@ def write_all(cleaned: dict[str, DataFrame], path: str) -> None:
     """Write the marts; revenue is computed from the two enriched tables as written."""
     spark = cleaned["orders"].sparkSession
     hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
-    marts = build_all(cleaned, hot)
+    # Row counts of stored tables come from file footers.
+    marts = build_all(cleaned, hot, segment_count(cleaned["orders"].count()))
 
     def store(name: str) -> None:
         tables.write_parquet(marts[name], f"{path}/{name}", PARTITIONS[name])

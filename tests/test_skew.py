@@ -1,9 +1,8 @@
-"""Skew-aware joins and running totals give what the plain ones give."""
+"""Skew-aware joins give what the plain ones give."""
 
 from __future__ import annotations
 
 import random
-from datetime import datetime, timedelta
 
 import pytest
 
@@ -55,46 +54,6 @@ def test_detail_join(facts, lookup, hot):
     assert rows(salted) == rows(plain)
 
 
-def spend(frame, n=400, days=9):
-    rng = random.Random(3)
-    start = datetime(2023, 1, 1)
-    return frame(
-        [
-            ("hot" if i % 3 else f"c{rng.randrange(20)}", i,
-             None if i % 50 == 0 else start + timedelta(days=rng.randrange(days)), rng.randrange(1, 10**6) / 100)
-            for i in range(n)
-        ],
-        "customer_id STRING, order_id BIGINT, order_date TIMESTAMP, total_amount DOUBLE",
-    )
-
-
-@pytest.mark.parametrize("hot", [["hot"], ["hot", "c1"], ["absent"]])
-@pytest.mark.parametrize("pieces,days", [(4, 9), (64, 9), (8, 1)])
-def test_running_total_in_ranges(frame, hot, pieces, days):
-    orders = spend(frame, days=days)
-    bounds = skew.find_range_bounds(orders, "customer_id", ["order_date", "order_id"], hot, pieces)
-    if hot != ["absent"]:
-        assert all(len(r["bounds"]) == pieces - 1 for r in bounds.where("customer_id = 'hot'").collect())
-    assert rows(marts.customer_spend(orders, bounds)) == rows(marts.customer_spend(orders))
-
-
-def test_running_total_against_brute_force(frame):
-    orders = spend(frame, n=150)
-    by_customer = {}
-    for row in orders.collect():
-        by_customer.setdefault(row["customer_id"], []).append(row)
-    expected = []
-    for customer, items in by_customer.items():
-        items.sort(key=lambda r: (r["order_date"] or datetime.min, r["order_id"]))
-        total, previous = 0, None
-        for rank, r in enumerate(items, 1):
-            total += round(r["total_amount"] * 100)
-            expected.append((customer, r["order_id"], r["order_date"], r["total_amount"], total / 100, rank, previous))
-            previous = r["total_amount"]
-    key = lambda r: [(v is not None, str(v)) for v in r]
-    assert rows(marts.customer_spend(orders)) == sorted(expected, key=key)
-
-
 def test_star_and_marts_with_hot_keys_equal_plain_ones(spark):
     raw = retail.raw_tables(spark, SMALL)
     clean = {name: silver_plan.clean(name, df, HASH_KEY) for name, df in raw.items()}
