@@ -10,6 +10,10 @@ meets raw data here uses the ``try_`` forms and yields null instead.
 from __future__ import annotations
 
 
+# Cents of amounts below this fit 64 bits.
+MOST_MONEY = "9.2E16D"
+
+
 def text_literal(text: str) -> str:
     """A text as SQL literal, whatever quotes it holds."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
@@ -41,6 +45,12 @@ def lenient_timestamp(value: str) -> str:
     return f"if({fits}, try_cast({value} AS TIMESTAMP), NULL)"
 
 
+def lenient_money(value: str) -> str:
+    """Amount or null: also null if infinite or beyond what whole cents can hold."""
+    number = lenient_number(value)
+    return f"if(abs({number}) < {MOST_MONEY}, {number}, NULL)"
+
+
 def clip(value: str, low: float, high: float) -> str:
     """Bound a value and keep null; ``greatest``/``least`` would replace null by the bound."""
     # Adding 0 turns -0.0 into 0.0, so equal amounts also have equal bits.
@@ -48,8 +58,11 @@ def clip(value: str, low: float, high: float) -> str:
 
 
 def cents(value: str) -> str:
-    """Money in whole cents. Sums of cents do not depend on the order of addition."""
-    return f"CAST(round({value} * 100) AS BIGINT)"
+    """Money in whole cents. Sums of cents do not depend on the order of addition.
+
+    Null for what no BIGINT of cents holds: an infinite amount must not end a job.
+    """
+    return f"try_cast(round({value} * 100) AS BIGINT)"
 
 
 def money_sum(value: str) -> str:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 from shopmart.functions.keys import pseudonym
-from shopmart.functions.scalars import clip, lenient_number, lenient_timestamp
+from shopmart.functions.scalars import clip, lenient_money, lenient_number, lenient_timestamp
 from shopmart.operators.dedup import keep_first
 from shopmart.operators.profile import aggregate
 from shopmart.plans import bronze, marts
@@ -37,7 +37,7 @@ def clean_customers(df: DataFrame, hash_key: str, pii: Sequence[str] = PII) -> D
 
 def clean_products(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per product; positive amounts, cost at most price, missing stock is 0."""
-    price, cost = f"abs({lenient_number('price')})", f"abs({lenient_number('cost')})"
+    price, cost = f"abs({lenient_money('price')})", f"abs({lenient_money('cost')})"
     return _conform(keep_first(df, ["product_id"], order_by), "products", {
         "stock_qty": "coalesce(try_cast(stock_qty AS INT), 0)",
         "price": price,
@@ -49,7 +49,7 @@ def clean_products(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
 
 def clean_orders(df: DataFrame, hash_key: str, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per order with a positive total."""
-    total = lenient_number("total_amount")
+    total = lenient_money("total_amount")
     return _conform(keep_first(df, ["order_id"], order_by).where(f"{total} > 0"), "orders", {
         "customer_id": pseudonym("customer_id", hash_key),
         "order_date": lenient_timestamp("order_date"),
@@ -60,9 +60,9 @@ def clean_orders(df: DataFrame, hash_key: str, order_by: Sequence[str] = ()) ->
 def clean_order_items(df: DataFrame, order_by: Sequence[str] = ()) -> DataFrame:
     """One row per item; positive amounts, discount within [0, 1]."""
     return _conform(keep_first(df, ["item_id"], order_by), "order_items", {
-        "unit_price": f"abs({lenient_number('unit_price')})",
+        "unit_price": f"abs({lenient_money('unit_price')})",
         "discount": clip(lenient_number("discount"), 0, 1),
-        "line_total": f"abs({lenient_number('line_total')})",
+        "line_total": f"abs({lenient_money('line_total')})",
     })
 
 
@@ -100,9 +100,12 @@ def clean(table: str, df: DataFrame, hash_key: str) -> DataFrame:
     return found.drop(LOAD_SEQUENCE)
 
 
-def coercion_losses(df: DataFrame, dataset: str, numbers: Sequence[str] = (), dates: Sequence[str] = ()) -> DataFrame:
-    """One row per column: values that were present but did not parse."""
+def coercion_losses(
+    df: DataFrame, dataset: str, numbers: Sequence[str] = (), dates: Sequence[str] = (), money: Sequence[str] = ()
+) -> DataFrame:
+    """One row per column: values that were present but did not parse, or as money were out of range."""
     parsed = {name: lenient_number(name) for name in numbers} | {name: lenient_timestamp(name) for name in dates}
+    parsed |= {name: lenient_money(name) for name in money}
     lines = ", ".join(
         f"named_struct('column_name', '{name}', 'lost', count_if({name} IS NOT NULL AND {after} IS NULL))"
         for name, after in parsed.items()
