@@ -54,7 +54,8 @@ def build_dim_produtos(products: DataFrame, key: KeyFunction = crc32_key) -> Dat
     )
 
 
-def _calendar(days: DataFrame, key: KeyFunction) -> DataFrame:
+def calendar_with(days: DataFrame, key: KeyFunction) -> DataFrame:
+    """The calendar's columns for days (dt_data)."""
     iso_date = "date_format(dt_data, 'yyyy-MM-dd')"
     return days.selectExpr(
         f"{key(iso_date)} AS sk_tempo",
@@ -76,7 +77,7 @@ def build_dim_tempo(spark: SparkSession, start: date, end: date, key: KeyFunctio
     if start > end:
         raise ValueError(f"start ({start}) must not be after end ({end})")
     days = (end - start).days + 1
-    return _calendar(spark.range(days).selectExpr(f"date_add(DATE '{start}', CAST(id AS INT)) AS dt_data"), key)
+    return calendar_with(spark.range(days).selectExpr(f"date_add(DATE '{start}', CAST(id AS INT)) AS dt_data"), key)
 
 
 def calendar_of(orders: DataFrame, key: KeyFunction = crc32_key) -> DataFrame:
@@ -90,7 +91,7 @@ def calendar_of(orders: DataFrame, key: KeyFunction = crc32_key) -> DataFrame:
     days = years.repartition("y").selectExpr(
         "explode(sequence(greatest(first, make_date(y, 1, 1)), least(last, make_date(y, 12, 31)))) AS dt_data"
     )
-    return _calendar(days, key)
+    return calendar_with(days, key)
 
 
 def dates_outside(orders: DataFrame, start: date, end: date) -> DataFrame:
