@@ -16,9 +16,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import oracle
 from shopmart.functions.keys import pseudonym, wide_key
-from shopmart.operators import checks, contracts, profile, sampling
-from shopmart.operators.skew import HOT_SHARE, find_range_bounds
-from shopmart.plans import analytics, bronze, explore, gold, marts, quality, silver
+from shopmart.operators import checks, contracts, keymap, profile, sampling, states
+from shopmart.operators.skew import HOT_SHARE
+from shopmart.plans import analytics, bronze, explore, gold, incremental, marts, quality, silver
 from shopmart.plans.hot import HotKeys
 from shopmart.schemas import FACT_COLUMNS
 from shopmart.session import scratch_dir
@@ -159,15 +159,8 @@ def monthly_revenue(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None
     return marts.monthly_revenue(orders_enriched(spark, sf_dir, hot), items_enriched(spark, sf_dir, hot), hot)
 
 
-def customer_spend(spark: SparkSession, sf_dir: str, hot: HotKeys | None = None) -> DataFrame:
-    """Running totals; the points that split hot customers are measured on stored orders."""
-    orders, keys = _clean(spark, sf_dir, "orders")["orders"], (hot or _hot(spark, sf_dir)).order_customers
-    if keys:
-        path = scratch_dir(spark, "orders")
-        tables.write_parquet(orders, path)
-        orders = tables.read_parquet(spark, path, orders.schema)
-    bounds = find_range_bounds(orders, "customer_id", ["order_date", "order_id"], keys)
-    return marts.customer_spend(orders, bounds)
+def _customer_spend(segments: int) -> Query:
+    return lambda spark, sf_dir: marts.customer_spend(_clean(spark, sf_dir, "orders")["orders"], segments)
 
 
 def _hot_form(query: Callable[..., DataFrame]) -> Query:
@@ -313,6 +306,78 @@ def gold_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.read_star(spark, f"{path}/gold")["fato_pedidos"].select(*FACT_COLUMNS)
 
 
+def dim_keys_second_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense keys after a load of some members and a second one of all."""
+    maps, cleaned = scratch_dir(spark, "maps"), _clean(spark, sf_dir, "customers", "products")
+    found = []
+    for table, natural, early in (("customers", "customer_id", "CAST(phone AS BIGINT) % 3 <> 0"), ("products", "product_id", "product_id % 4 = 1")):
+        path = f"{maps}/{table}"
+        keymap.extend(cleaned[table].where(early), natural, path)
+        keys = keymap.extend(cleaned[table], natural, path)
+        found.append(keys.selectExpr(f"'{table}' AS dimension", "CAST(natural_key AS STRING) AS natural_key", "surrogate_key"))
+    return _union(found)
+
+
+#: What Silver looked like before its last delivery: orders came, went, moved and changed, and so did lines and members.
+EARLIER = {
+    "orders": lambda df: df.where("order_id % 7 <> 0").withColumns({
+        "status": F.expr("if(order_id % 11 = 0, 'pending', status)"),
+        "order_date": F.expr("if(order_id % 13 = 0, order_date + INTERVAL 40 DAYS, order_date)"),
+    }).unionByName(df.where("order_id % 17 = 0").withColumns({
+        "order_id": F.expr(f"order_id + {retail.UNKNOWN}L"), "order_date": F.expr("TIMESTAMP '2031-05-05 10:00:00'"),
+    })),
+    "order_items": lambda df: df.where("item_id % 19 <> 0"),
+    "payments": lambda df: df.withColumn("status", F.expr("if(payment_id % 23 = 0, 'pending', status)")),
+    "customers": lambda df: df.where("CAST(phone AS BIGINT) % 29 <> 0"),
+    "products": lambda df: df.where("product_id % 31 <> 0"),
+    "reviews": lambda df: df,
+}
+
+
+def _incremental_gold(spark: SparkSession, sf_dir: str, maps: bool) -> tuple[str, dict[str, DataFrame]]:
+    """Gold after a first run on earlier Silver tables and a second on the present ones."""
+    path, cleaned = scratch_dir(spark, "lake"), _clean(spark, sf_dir, *EARLIER)
+    for earlier in (True, False):
+        for name, df in cleaned.items():
+            tables.write_parquet(EARLIER[name](df) if earlier else df, f"{path}/silver/cleaned/{name}")
+        incremental.run(spark, f"{path}/silver", f"{path}/gold", f"{path}/maps" if maps else None)
+    return path, gold.read_star(spark, f"{path}/gold")
+
+
+def gold_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _incremental_gold(spark, sf_dir, maps=False)[1]["fato_pedidos"].select(*FACT_COLUMNS)
+
+
+def _customers_from_states(period: str, months: int) -> Query:
+    """Distinct customers of a period and category from stored monthly states of the sold lines."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        path, star = _incremental_gold(spark, sf_dir, maps=True)
+        fact = star["fato_pedidos"].where(analytics.SOLD).join(star["dim_produtos"].select("sk_produto", "category"), "sk_produto")
+        cells = states.distinct_states(fact, ["year", "month", "category"], "sk_cliente")
+        tables.write_parquet(cells, f"{path}/states", ("year", "month"))
+        stored = tables.read_parquet(spark, f"{path}/states").where("year IS NOT NULL")
+        return states.counted(stored, ["year", F.expr(f"CAST(ceil(month / {months}) AS INT)").alias(period), "category"], "customers")
+
+    return query
+
+
+def _out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders some of whose totals no cents can hold."""
+    return retail.raw_table(spark, sf_dir, "orders", sequence=True).withColumn("total_amount", F.expr(
+        "CASE WHEN order_id % 43 = 0 THEN double('Infinity') WHEN order_id % 47 = 0 THEN double('-Infinity')"
+        " WHEN order_id % 59 = 0 THEN 1E300D WHEN order_id % 61 = 0 THEN double('NaN') ELSE total_amount END"
+    ))
+
+
+def spend_out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return marts.customer_spend(silver.clean("orders", _out_of_range(spark, sf_dir), HASH_KEY))
+
+
+def losses_out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.coercion_losses(_out_of_range(spark, sf_dir), "orders", money=["total_amount", "shipping_fee"])
+
+
 def catalog_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact after it was loaded into a catalog table, whose money is decimal, and read by SQL."""
     path = scratch_dir(spark, "catalog")
@@ -433,7 +498,8 @@ def queries() -> dict[str, Query]:
         "orders_enriched": orders_enriched,
         "items_enriched": items_enriched,
         "monthly_revenue": monthly_revenue,
-        "customer_spend": customer_spend,
+        "customer_spend": _customer_spend(segments=1),
+        "customer_spend_hot": _customer_spend(segments=40),
         "product_ratings": product_ratings,
         "dim_clientes": dim_clientes,
         "dim_produtos": dim_produtos,
@@ -463,6 +529,12 @@ def queries() -> dict[str, Query]:
         "bronze_orders": _bronze_trip("orders"),
         "bronze_reviews": _bronze_trip("reviews"),
         "csv_orders_dated": csv_orders_dated,
+        "dim_keys_second_load": dim_keys_second_load,
+        "gold_incremental": gold_incremental,
+        "monthly_customers_from_states": _customers_from_states("month", 1),
+        "quarterly_customers_from_states": _customers_from_states("quarter", 3),
+        "spend_out_of_range": spend_out_of_range,
+        "losses_out_of_range": losses_out_of_range,
         "silver_job": silver_job,
         "gold_job": gold_job,
         "catalog_fact": catalog_fact,
@@ -471,7 +543,7 @@ def queries() -> dict[str, Query]:
         "report_archive": report_archive,
         **{
             f"{query.__name__}_hot": _hot_form(query)
-            for query in (q1_monthly_revenue, fato_pedidos, monthly_revenue, customer_spend)
+            for query in (q1_monthly_revenue, fato_pedidos, monthly_revenue)
         },
         "monthly_orders": lambda spark, sf_dir: explore.monthly_orders(retail.raw_table(spark, sf_dir, "orders")),
         "revenue_by_category": revenue_by_category,

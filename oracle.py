@@ -507,6 +507,31 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
               CAST(sum({cents("total_amount")}) OVER w AS BIGINT) / 100.0::DOUBLE AS running_total,
               CAST(rank() OVER w AS INTEGER) AS order_rank, lag(total_amount) OVER w AS prev_order_amount
             FROM clean_orders WINDOW w AS (PARTITION BY customer_id ORDER BY order_date NULLS FIRST, order_id)""",
+        **{
+            f"{name}_customers_from_states": f"""
+            SELECT o.year, CAST(ceil(o.month / {months}.0) AS INTEGER) AS {period}, category, count(DISTINCT customer_id) AS customers
+            FROM orders_enriched o JOIN items_enriched i USING (order_id)
+            WHERE customer_id IN (SELECT customer_id FROM customers) AND o.status NOT IN {NOT_SOLD} AND o.year IS NOT NULL
+              AND product_id IN (SELECT product_id FROM products) GROUP BY ALL"""
+            for name, period, months in (("monthly", "month", 1), ("quarterly", "quarter", 3))
+        },
+        "dim_keys_second_load": """
+            SELECT 'customers' AS dimension, customer_id AS natural_key,
+              row_number() OVER (ORDER BY min(CAST(phone AS BIGINT) % 3) = 0, customer_id) AS surrogate_key
+            FROM customers GROUP BY customer_id
+            UNION ALL SELECT 'products', CAST(product_id AS VARCHAR), row_number() OVER (ORDER BY product_id % 4 <> 1, product_id)
+            FROM products""",
+        "gold_incremental": "SELECT * FROM fato_pedidos",
+        "spend_out_of_range": f"""
+            SELECT customer_id, order_id, order_date, total_amount,
+              CAST(sum({cents("total_amount")}) OVER w AS BIGINT) / 100.0::DOUBLE AS running_total,
+              CAST(rank() OVER w AS INTEGER) AS order_rank, lag(total_amount) OVER w AS prev_order_amount
+            FROM clean_orders WHERE order_id % 43 <> 0 AND order_id % 47 <> 0 AND order_id % 59 <> 0 AND order_id % 61 <> 0
+            WINDOW w AS (PARTITION BY customer_id ORDER BY order_date NULLS FIRST, order_id)""",
+        "losses_out_of_range": """
+            SELECT 'orders' AS dataset, 'total_amount' AS column_name, count(*) FILTER (
+              WHERE order_id % 43 = 0 OR order_id % 47 = 0 OR order_id % 59 = 0 OR order_id % 61 = 0) AS lost FROM raw_orders
+            UNION ALL SELECT 'orders', 'shipping_fee', 0""",
         "product_ratings": """
             SELECT product_id, avg(rating) AS avg_rating, count(review_id) AS review_count FROM reviews GROUP BY 1""",
         "dim_clientes": "SELECT * FROM dim_clientes",
