@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+from shopmart.functions.scalars import lenient_timestamp
 from shopmart.schemas import ORDER_EVENT
+from shopmart.streaming.lines import read_lines
 
+DRAIN = {"availableNow": True}
+LIVE = {"processingTime": "0 seconds"}
 VALID, REJECTED = "valid", "rejected"
 _CORRUPT = "_unparsed"
 _LANDED = StructType([*ORDER_EVENT.fields]).add("raw", "string").add("outcome", "string")
@@ -71,20 +76,70 @@ def decode(lines: DataFrame) -> DataFrame:
     )
 
 
-def start(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Land a stream of JSON lines below ``path``, split by outcome, and stop when drained.
+def deduplicated(lines: DataFrame, within: str) -> DataFrame:
+    """Valid events of a stream of JSON lines, each order id once, however often it is delivered.
+
+    Repeats are dropped if their event time is within ``within`` of the first one's; so long, and no
+    longer, is an id kept in the state. An event that comes later than that behind the newest one is
+    late and dropped too. Events without a readable time cannot be held to this and are left out
+    here; ``decode`` lands them.
+    """
+    events = decode(lines).where(f"outcome = '{VALID}'").withColumn("_at", F.expr(lenient_timestamp("event_time")))
+    unique = events.where("_at IS NOT NULL").withWatermark("_at", within).dropDuplicatesWithinWatermark(["order_id"])
+    return unique.drop("_at")
+
+
+def start(
+    lines: DataFrame, path: str, checkpoint: str, trigger: Mapping[str, object] = DRAIN, within: str | None = None
+) -> StreamingQuery:
+    """Land a stream of JSON lines below ``path``, split by outcome; stops when drained unless ``trigger`` says else.
 
     One sink takes both outcomes, so the source is read once. Offsets in the checkpoint and
-    the sink's commit log make a restart neither lose nor repeat an event.
+    the sink's commit log make a restart neither lose nor repeat an event. A producer that sends
+    twice needs ``within`` (see ``deduplicated``); then valid events alone are landed.
     """
+    events = decode(lines) if within is None else deduplicated(lines, within)
     return (
-        decode(lines).writeStream.format("json").option("ignoreNullFields", False).partitionBy("outcome")
+        events.writeStream.format("json").option("ignoreNullFields", False).partitionBy("outcome")
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**trigger)
         .start(path)
     )
 
 
+def run_first(spark: SparkSession, folder: str, path: str, checkpoint: str, events: int, per_batch: int | None = None) -> None:
+    """Land the next ``events`` lines of a folder, exactly, or as many as there are, and stop."""
+    lines = read_lines(spark, folder, min(per_batch or events, events), events)
+    query = start(lines, path, checkpoint, LIVE)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+
+
+def run_until_idle(query: StreamingQuery, idle_seconds: float = 5.0, poll_seconds: float = 0.2) -> int:
+    """Watch a live query until no event has come for a while, stop it between batches, return its events.
+
+    What the query reports of each batch tells when it last had input; a batch that is under way
+    counts as input.
+    """
+    last_input, seen, events = time.monotonic(), -1, 0
+    while query.isActive:
+        for progress in query.recentProgress:
+            if progress["batchId"] > seen and progress["numInputRows"]:
+                seen, last_input = progress["batchId"], time.monotonic()
+                events += progress["numInputRows"]
+        status = query.status
+        if status["isDataAvailable"] and status["isTriggerActive"]:
+            last_input = time.monotonic()
+        if time.monotonic() - last_input >= idle_seconds:
+            query.stop()
+        time.sleep(poll_seconds)
+    if query.exception() is not None:
+        raise query.exception()
+    return events
+
+
 def run(lines: DataFrame, path: str, checkpoint: str) -> None:
     start(lines, path, checkpoint).awaitTermination()
 
