@@ -439,6 +439,34 @@ def _text_stream(runs: int) -> Query:
     return lambda spark, sf_dir: feed.read_landed(spark, _land_text(spark, sf_dir, runs))
 
 
+def _files_in_order(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """The events as text files whose names and lines follow the events' numbers."""
+    ordered = retail.read(spark, sf_dir, "events").repartitionByRange(3, "event_id").sortWithinPartitions("event_id")
+    retail.order_events(ordered).write.text(path)
+
+
+def stream_first_n(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 700 events: 300 in one run, in batches of 110, and the next 400 in another."""
+    path = scratch_dir(spark, "stream")
+    _files_in_order(spark, sf_dir, f"{path}/in")
+    for n, per_batch in ((300, 110), (400, None)):
+        feed.run_first(spark, f"{path}/in", f"{path}/out", f"{path}/checkpoint", n, per_batch)
+    return feed.read_landed(spark, f"{path}/out")
+
+
+def stream_deduplicated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events delivered in two runs, some twice within a run and some again in the next."""
+    path = scratch_dir(spark, "stream")
+    events = retail.read(spark, sf_dir, "events").withColumn("part", F.pmod(F.xxhash64("event_id"), F.lit(4)))
+    lines = retail.order_events(events.where("part < 3").unionByName(events.where("part = 1")))
+    again = retail.order_events(events.where("part > 1"))
+    for delivery in (lines, again):
+        delivery.write.mode("append").text(f"{path}/in")
+        query = feed.start(feed.read_files(spark, f"{path}/in"), f"{path}/out", f"{path}/checkpoint", within="3650 days")
+        query.awaitTermination()
+    return feed.read_landed(spark, f"{path}/out")
+
+
 def stream_unknown_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = feed.read_unknown_fields(spark, _land_events(spark, sf_dir))
     return found.where("get_json_object(raw, '$.coupon') IS NOT NULL").selectExpr(
@@ -563,6 +591,8 @@ def queries() -> dict[str, Query]:
         "stream_rejected": stream_rejected,
         "stream_unknown_fields": stream_unknown_fields,
         "stream_input_lines": stream_input_lines,
+        "stream_first_n": stream_first_n,
+        "stream_deduplicated": stream_deduplicated,
         "stream_text_ingest": _text_stream(runs=1),
         "stream_restart": _text_stream(runs=2),
     }

@@ -681,7 +681,8 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
               quantity, round(line_total::DOUBLE, 2) AS line_total, round(vl_total_pedido::DOUBLE, 2) AS vl_total_pedido, year, month
             FROM fato_pedidos""",
     }
-    queries["stream_text_ingest"] = queries["stream_restart"] = queries["stream_ingest"]
+    queries["stream_text_ingest"] = queries["stream_restart"] = queries["stream_deduplicated"] = queries["stream_ingest"]
+    queries["stream_first_n"] = queries["stream_ingest"] + " AND event_id IN (SELECT event_id FROM events ORDER BY event_id LIMIT 700)"
     for name in ("q1_monthly_revenue", "fato_pedidos", "monthly_revenue", "customer_spend"):
         queries[f"{name}_hot"] = queries[name]
     prefix = "WITH " + ", ".join(f"{name} AS ({body})" for name, body in shared.items())
