@@ -12,10 +12,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from shopmart.functions.scalars import lenient_timestamp
 from shopmart.schemas import PARTITION_DATES, RAW
+from shopmart.sources import split_csv
 
 # Name parts that mark a date column when a table is not in PARTITION_DATES.
 DATE_WORDS = ("date", "created", "paid")
 
+#: Rows of a written CSV file at most.
+CSV_ROWS = 1_000_000
 
 T = TypeVar("T")
 
@@ -26,31 +29,55 @@ def each(spark: SparkSession, items: Iterable[T], job: Callable[[T], None], at_o
         list(pool.map(inheritable_thread_target(spark)(job), items))
 
 
-def read_csv(spark: SparkSession, path: str, table: str, dates: Sequence[str] = ()) -> DataFrame:
+def _bytes(text: str) -> int:
+    """A size setting as a number: 134217728b, 128m, 1g."""
+    digits = text.rstrip("bBkKmMgG")
+    unit = text[len(digits) :].lower().rstrip("b")
+    return int(digits) << {"": 0, "k": 10, "m": 20, "g": 30}[unit]
+
+
+def _largest_file(spark: SparkSession, path: str) -> int:
+    """Bytes of the largest file at a path, from one listing."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder.suffix("/*"))
+    sizes = [status.getLen() for status in listed or [] if status.isFile()]
+    return max(sizes, default=0) or folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+
+
+def read_csv(spark: SparkSession, path: str, table: str, dates: Sequence[str] = (), split: bool | None = None) -> DataFrame:
     """Scan a CSV table with header. Values that do not fit the column's type become null.
 
     Columns are read as text by header name, then cast leniently, so one bad value costs
     neither the job nor its row. ``dates`` names text columns to parse as timestamps.
-    Quoted fields may hold line breaks, so each file is read by one task: keep files of
-    moderate size, as ``write_csv`` does. An empty quoted field is empty text, an empty bare
-    one is null.
+    Quoted fields may hold line breaks. A file that is no larger than Spark's ranges is read by one
+    task; if there is a larger one, files are read in ranges (see ``split_csv``). ``split`` says
+    which way instead. An empty quoted field is empty text, an empty bare one is null.
     """
+    if split is None:
+        split = _largest_file(spark, path) > _bytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
     header = spark.read.option("header", True).option("inferSchema", False).csv(path).columns
     as_text = StructType([StructField(name, StringType()) for name in header])
     options = {"header": True, "escape": '"', "multiLine": True, "enforceSchema": False, "lineSep": "\n"}
     # Any null mark but the empty text lets the parser tell an empty quoted field from a bare one.
     options |= {"nullValue": "\u0000", "emptyValue": ""}
-    raw = spark.read.schema(as_text).options(**options).csv(path)
+    if split:
+        parsing = {name: options[name] for name in ("escape", "lineSep", "nullValue", "emptyValue")}
+        raw = split_csv.read(spark, path, header, parsing)
+    else:
+        raw = spark.read.schema(as_text).options(**options).csv(path)
     types = {field.name: field.dataType.simpleString() for field in RAW[table].fields}
     casts = {name: f"try_cast(`{name}` AS {types[name]})" if name in types else f"`{name}`" for name in header}
     casts |= {name: lenient_timestamp(f"`{name}`") for name in dates}
     return raw.selectExpr(*[f"{cast} AS `{name}`" for name, cast in casts.items()])
 
 
-def write_csv(df: DataFrame, path: str) -> None:
-    """Write CSV that ``read_csv`` gives back as it was: line breaks, edge spaces and empty text stay."""
+def write_csv(df: DataFrame, path: str, rows_per_file: int = CSV_ROWS) -> None:
+    """Write CSV that ``read_csv`` gives back as it was: line breaks, edge spaces and empty text stay.
+
+    Files end after ``rows_per_file`` rows, so none grows with the table.
+    """
     keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""', "nullValue": ""}
-    df.write.mode("overwrite").options(header=True, escape='"', lineSep="\n", **keep).csv(path)
+    df.write.mode("overwrite").options(header=True, escape='"', lineSep="\n", maxRecordsPerFile=rows_per_file, **keep).csv(path)
 
 
 def read_parquet(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
