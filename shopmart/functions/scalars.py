@@ -45,6 +45,29 @@ def lenient_timestamp(value: str) -> str:
     return f"if({fits}, try_cast({value} AS TIMESTAMP), NULL)"
 
 
+# Forms in which a feed may write a date, tried in this order where votes are equal.
+# Month before day comes first, as in most readers; a day above 12 decides otherwise.
+ISO = "iso"
+DATE_FORMATS = {
+    ISO: None,
+    "month/day/year": "M/d/yyyy[ H:mm[:ss]]",
+    "day/month/year": "d/M/yyyy[ H:mm[:ss]]",
+    "year/month/day": "yyyy/M/d[ H:mm[:ss]]",
+    "yearmonthday": "yyyyMMdd[ HH:mm[:ss]]",
+    "month-day-year": "M-d-yyyy[ H:mm[:ss]]",
+    "day-month-year": "d-M-yyyy[ H:mm[:ss]]",
+    "day.month.year": "d.M.yyyy[ H:mm[:ss]]",
+    "month name day, year": "MMM d, yyyy[ H:mm[:ss]]",
+    "day month name year": "d MMM yyyy[ H:mm[:ss]]",
+}
+
+
+def moment_as(value: str, form: str) -> str:
+    """Moment or null, by one of ``DATE_FORMATS``."""
+    pattern = DATE_FORMATS[form]
+    return lenient_timestamp(value) if pattern is None else f"try_to_timestamp(trim(CAST({value} AS STRING)), '{pattern}')"
+
+
 def lenient_money(value: str) -> str:
     """Amount or null: also null if infinite or beyond what whole cents can hold."""
     number = lenient_number(value)

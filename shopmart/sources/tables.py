@@ -134,9 +134,9 @@ def write_dated(df: DataFrame, parquet_path: str, table: str) -> None:
         write_parquet(with_year_month(df, column), parquet_path, ("year", "month"))
 
 
-def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, table: str) -> None:
+def csv_to_parquet(spark: SparkSession, csv_path: str, parquet_path: str, table: str, split: bool | None = None) -> None:
     """Convert a raw CSV table to Parquet."""
-    write_dated(read_csv(spark, csv_path, table), parquet_path, table)
+    write_dated(read_csv(spark, csv_path, table, split=split), parquet_path, table)
 
 
 def read_report(spark: SparkSession, path: str) -> DataFrame:
