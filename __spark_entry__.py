@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import oracle
 from shopmart.functions.keys import pseudonym, wide_key
-from shopmart.operators import checks, contracts, keymap, profile, sampling, states
+from shopmart.operators import checks, contracts, dates, keymap, profile, sampling, states
 from shopmart.operators.skew import HOT_SHARE
 from shopmart.plans import analytics, bronze, explore, gold, incremental, marts, quality, silver
 from shopmart.plans.hot import HotKeys
@@ -265,13 +265,13 @@ def bronze_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _bronze_trip(name: str) -> Query:
+def _bronze_trip(name: str, split: bool | None = None) -> Query:
     """A raw table after CSV write, CSV scan, partitioned Parquet write and Parquet scan."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         path = scratch_dir(spark, "bronze")
         tables.write_csv(retail.raw_table(spark, sf_dir, name), f"{path}/{name}")
-        tables.csv_to_parquet(spark, f"{path}/{name}", f"{path}/parquet/{name}", name)
+        tables.csv_to_parquet(spark, f"{path}/{name}", f"{path}/parquet/{name}", name, split)
         return tables.read_parquet(spark, f"{path}/parquet/{name}")
 
     return query
@@ -370,6 +370,24 @@ def _out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def _mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw orders dated day first, but for some in ISO form and some without separators."""
+    moment = "try_cast(order_date AS TIMESTAMP)"
+    return retail.raw_table(spark, sf_dir, "orders", sequence=True).withColumn("order_date", F.expr(
+        f"CASE order_id % 10 WHEN 0 THEN order_date WHEN 1 THEN date_format({moment}, 'yyyyMMdd')"
+        f" ELSE coalesce(date_format({moment}, 'dd/MM/yyyy HH:mm:ss'), order_date) END"
+    ))
+
+
+def clean_orders_mixed_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = _mixed_dates(spark, sf_dir)
+    return silver.clean("orders", raw, HASH_KEY, dates.voted(raw, silver.DATES["orders"]))
+
+
+def date_format_losses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dates.votes(_mixed_dates(spark, sf_dir), "orders", ["order_date"])
+
+
 def spend_out_of_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marts.customer_spend(silver.clean("orders", _out_of_range(spark, sf_dir), HASH_KEY))
 
@@ -556,11 +574,14 @@ def queries() -> dict[str, Query]:
         "bronze_profile": bronze_profile,
         "bronze_orders": _bronze_trip("orders"),
         "bronze_reviews": _bronze_trip("reviews"),
+        "bronze_reviews_split": _bronze_trip("reviews", split=True),
         "csv_orders_dated": csv_orders_dated,
         "dim_keys_second_load": dim_keys_second_load,
         "gold_incremental": gold_incremental,
         "monthly_customers_from_states": _customers_from_states("month", 1),
         "quarterly_customers_from_states": _customers_from_states("quarter", 3),
+        "clean_orders_mixed_dates": clean_orders_mixed_dates,
+        "date_format_losses": date_format_losses,
         "spend_out_of_range": spend_out_of_range,
         "losses_out_of_range": losses_out_of_range,
         "silver_job": silver_job,

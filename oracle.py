@@ -515,6 +515,18 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
               AND product_id IN (SELECT product_id FROM products) GROUP BY ALL"""
             for name, period, months in (("monthly", "month", 1), ("quarterly", "quarter", 3))
         },
+        "clean_orders_mixed_dates": """
+            SELECT * REPLACE (CASE WHEN order_id % 10 > 1 THEN date_trunc('second', order_date) END AS order_date) FROM clean_orders""",
+        "date_format_losses": """
+            SELECT 'orders' AS dataset, 'order_date' AS column_name, format,
+              count(*) FILTER (WHERE reads) AS parsed, count(*) FILTER (WHERE NOT reads AND (moment IS NOT NULL OR kind <> 1)) AS lost
+            FROM (SELECT format, kind, moment, coalesce(moment IS NOT NULL AND CASE format
+                WHEN 'iso' THEN kind = 0 WHEN 'yearmonthday' THEN kind = 1 WHEN 'day/month/year' THEN kind > 1
+                WHEN 'month/day/year' THEN kind > 1 AND day(moment) <= 12 ELSE false END, false) AS reads
+              FROM (SELECT order_id % 10 AS kind, try_cast(order_date AS TIMESTAMP) AS moment FROM raw_orders),
+                (VALUES ('iso'), ('month/day/year'), ('day/month/year'), ('year/month/day'), ('yearmonthday'), ('month-day-year'),
+                  ('day-month-year'), ('day.month.year'), ('month name day, year'), ('day month name year')) AS f(format))
+            GROUP BY format""",
         "dim_keys_second_load": """
             SELECT 'customers' AS dimension, customer_id AS natural_key,
               row_number() OVER (ORDER BY min(CAST(phone AS BIGINT) % 3) = 0, customer_id) AS surrogate_key
@@ -683,6 +695,7 @@ def statements(key: str, as_of: str, stamp: str) -> dict[str, str]:
     }
     queries["stream_text_ingest"] = queries["stream_restart"] = queries["stream_deduplicated"] = queries["stream_ingest"]
     queries["stream_first_n"] = queries["stream_ingest"] + " AND event_id IN (SELECT event_id FROM events ORDER BY event_id LIMIT 700)"
+    queries["bronze_reviews_split"] = queries["bronze_reviews"]
     for name in ("q1_monthly_revenue", "fato_pedidos", "monthly_revenue", "customer_spend"):
         queries[f"{name}_hot"] = queries[name]
     prefix = "WITH " + ", ".join(f"{name} AS ({body})" for name, body in shared.items())
