@@ -7,6 +7,7 @@ counted in one pass over it.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -164,9 +165,9 @@ def count_violations(df: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def with_violations(df: DataFrame, contract: Contract) -> DataFrame:
-    """Add ``violations``, the names of the rules a row breaks."""
-    check_columns(df, contract)
+def with_violations(df: DataFrame, contract: Contract, also: Sequence[str] = ()) -> DataFrame:
+    """Add ``violations``, the names of the rules a row breaks; ``also`` names columns beyond the contract."""
+    check_columns(df.drop(*also), contract)
     names = ", ".join(f"if({rule.broken()}, '{rule.name}', NULL)" for rule in contract.rules)
     return df.selectExpr("*", f"array_compact(array({names})) AS violations")
 

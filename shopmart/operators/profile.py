@@ -25,22 +25,29 @@ def null_counts(df: DataFrame) -> list[str]:
     ]
 
 
-def table_profile(df: DataFrame, dataset: str, ingested_at: datetime | None = None) -> DataFrame:
-    """One row: row and column count, null percent per column (2 decimals) as a map, run time."""
+def profile_of_counts(
+    counts: DataFrame, dataset: str, columns: Sequence[str], ingested_at: datetime | None = None
+) -> DataFrame:
+    """The profile from one row of counts: ``rows`` and ``nulls_<column>``."""
     shares = ", ".join(
         f"{text_literal(name)}, coalesce(round(try_divide({column_name(f'nulls_{name}')} * 10000, rows)) / 100, 0D)"
-        for name in df.columns
+        for name in columns
     )
     stamp = f"TIMESTAMP '{ingested_at}'" if ingested_at else "current_timestamp()"
-    return aggregate(df, ["count(1) AS rows", *null_counts(df)]).selectExpr(
+    return counts.selectExpr(
         f"{text_literal(dataset)} AS dataset",
         "rows",
-        f"{len(df.columns)}L AS columns",
+        f"{len(columns)}L AS columns",
         f"map({shares}) AS null_pct_per_column",
         f"{stamp} AS ingested_at",
     )
 
 
+def table_profile(df: DataFrame, dataset: str, ingested_at: datetime | None = None) -> DataFrame:
+    """One row: row and column count, null percent per column (2 decimals) as a map, run time."""
+    return profile_of_counts(aggregate(df, ["count(1) AS rows", *null_counts(df)]), dataset, df.columns, ingested_at)
+
+
 def null_profile(df: DataFrame, dataset: str) -> DataFrame:
     """Long form of the null percentages, worst column first."""
     return (

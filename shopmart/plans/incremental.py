@@ -84,12 +84,10 @@ def _of_months(rows: DataFrame, months: DataFrame) -> DataFrame:
 
 
 def _remove_partitions(spark: SparkSession, path: str, months: list) -> None:
-    """Delete the folders of months without rows; what is not there is no fault."""
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    """Delete the folders of months without rows."""
     default = "__HIVE_DEFAULT_PARTITION__"
     for year, month in months:
-        folder = jvm.org.apache.hadoop.fs.Path(f"{path}/year={default if year is None else year}/month={default if month is None else month}")
-        folder.getFileSystem(conf).delete(folder, True)
+        tables.remove(spark, f"{path}/year={default if year is None else year}/month={default if month is None else month}")
 
 
 def replace_months(df: DataFrame, path: str, months: DataFrame) -> None:
@@ -134,7 +132,7 @@ def run(spark: SparkSession, silver_path: str, gold_path: str, maps_path: str |
 
     dimensions = {name: stored(df, name) for name, df in fresh.items()}
     digests = stored(order_digests(cleaned), "digests")
-    first = not _exists(spark, f"{gold_path}/{DIGESTS}")
+    first = not tables.exists(spark, f"{gold_path}/{DIGESTS}")
     kept = spark.createDataFrame([], _DIGEST_SCHEMA) if first else spark.read.schema(_DIGEST_SCHEMA).parquet(f"{gold_path}/{DIGESTS}")
     before = {name: df.limit(0) if first else tables.read_parquet(spark, f"{gold_path}/{name}") for name, df in dimensions.items()}
     members = {name: stored(changed_members(before[name], dimensions[name], name), f"members-{name}") for name in dimensions}
@@ -152,7 +150,3 @@ def run(spark: SparkSession, silver_path: str, gold_path: str, maps_path: str |
     replace_months(_of_months(digests, months), f"{gold_path}/{DIGESTS}", months)
     return months
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder)

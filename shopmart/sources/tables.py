@@ -29,6 +29,33 @@ def each(spark: SparkSession, items: Iterable[T], job: Callable[[T], None], at_o
         list(pool.map(inheritable_thread_target(spark)(job), items))
 
 
+def _folder(spark: SparkSession, path: str):
+    """A path and its file system, whichever store that is."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return folder, folder.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    folder, system = _folder(spark, path)
+    return system.exists(folder)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that a job made; one that is not there is no fault."""
+    folder, system = _folder(spark, path)
+    system.delete(folder, True)
+
+
+def replace(spark: SparkSession, made: str, path: str) -> None:
+    """Put a folder that a job has just written in the place of another."""
+    folder, system = _folder(spark, made)
+    target, _ = _folder(spark, path)
+    system.delete(target, True)
+    system.mkdirs(target.getParent())
+    if not system.rename(folder, target):
+        raise OSError(f"could not move {made} to {path}")
+
+
 def _bytes(text: str) -> int:
     """A size setting as a number: 134217728b, 128m, 1g."""
     digits = text.rstrip("bBkKmMgG")
@@ -38,10 +65,9 @@ def _bytes(text: str) -> int:
 
 def _largest_file(spark: SparkSession, path: str) -> int:
     """Bytes of the largest file at a path, from one listing."""
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    listed = folder.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(folder.suffix("/*"))
-    sizes = [status.getLen() for status in listed or [] if status.isFile()]
-    return max(sizes, default=0) or folder.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(folder).getLength()
+    folder, system = _folder(spark, path)
+    sizes = [status.getLen() for status in system.globStatus(folder.suffix("/*")) or [] if status.isFile()]
+    return max(sizes, default=0) or system.getContentSummary(folder).getLength()
 
 
 def read_csv(spark: SparkSession, path: str, table: str, dates: Sequence[str] = (), split: bool | None = None) -> DataFrame:

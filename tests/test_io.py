@@ -8,6 +8,7 @@ from datetime import datetime
 import pytest
 
 from conftest import HASH_KEY, SMALL, only, rows
+from shopmart.operators import contracts
 from shopmart.plans import bronze, gold, marts, quality, silver
 from shopmart.schemas import CLEANED, RAW
 from shopmart.session import scratch_dir
@@ -131,6 +132,45 @@ def test_quality_is_advisory_unless_told(spark, lake):
         quality.run(spark, f"{path}/bronze", f"{path}/report2", fail=True)
 
 
+def test_ingest_quarantines_rows_off_contract(spark, tmp_path):
+    raw = {"products": retail.products(spark, SMALL)}
+    contract = contracts.RAW_CONTRACTS["products"]
+    plain = raw["products"].drop("load_seq")
+    for _ in range(2):
+        profile = only(bronze.ingest(spark, raw, str(tmp_path), quarantine=True))
+    bad = spark.read.parquet(f"{tmp_path}/quarantine/products")
+    assert rows(bad.drop("load_seq")) == rows(contracts.quarantined_rows(plain, contract)) and bad.count() > 0
+    good = contracts.valid_rows(plain, contract)
+    for layout in ("parquet", "csv"):
+        stored = tables.read_csv(spark, f"{tmp_path}/products", "products") if layout == "csv" else spark.read.parquet(f"{tmp_path}/parquet/products")
+        assert rows(stored.select(*plain.columns)) == rows(good)
+    assert profile["rows"] == good.count() and not (tmp_path / "_incoming" / "products").exists()
+
+
+def test_a_refused_table_leaves_the_old_one(spark, tmp_path):
+    good = {"products": spark.createDataFrame([(1, "n", "c", "s", 2.0, 1.0, 3, "2024-01-01")], RAW["products"])}
+    profile = only(bronze.ingest(spark, good, str(tmp_path)))
+    assert (profile["rows"], profile["columns"], set(profile["null_pct_per_column"].values())) == (1, 8, {0.0})
+    with pytest.raises(ValueError, match="rows break the contract"):
+        bronze.ingest(spark, {"products": good["products"].withColumn("price", -good["products"]["price"])}, str(tmp_path))
+    assert tables.read_csv(spark, f"{tmp_path}/products", "products").first()["price"] == 2.0
+    assert spark.read.parquet(f"{tmp_path}/parquet/products").first()["price"] == 2.0
+
+
+def test_ingest_evaluates_a_table_once_a_form(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    row = (1, "n", "c", "s", 2.0, 1.0, 3, "2024-01-01")
+    raw = {"products": spark.createDataFrame([row] * 10, RAW["products"]).mapInArrow(count, RAW["products"])}
+    bronze.ingest(spark, raw, str(tmp_path)).collect()
+    assert seen.value == 20
+
+
 def test_ingest_can_refuse_rows_off_contract(spark, tmp_path):
     raw = {"products": retail.products(spark, SMALL)}
     with pytest.raises(ValueError, match="products: .* rows break the contract"):
