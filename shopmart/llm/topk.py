@@ -16,9 +16,13 @@ Blocks are built where the rows are read, without a shuffle. Queries travel in s
 copy for each block, and each block keeps k rows a query, so what is merged in the end is k rows for
 each query and block. No task holds more than one block and one batch of queries.
 
-Defined results: null vectors, vectors with null or non-finite components, without an id, or with a
-component whose integer exceeds 2^26 in size take no part; vectors are compared only with vectors
-of the same length; a query id that occurs more than once is asked with its least vector; a query's
+Any finite component takes part. Rows with a component beyond 2^26 get blocks and batches of their
+own, so that their many slices burden no others. Where a block and a batch might need more than 64 bits, the same
+slices are summed up and the few rows that are picked are weighed with Python's integers.
+
+Defined results: null vectors, vectors with null or non-finite components or without an id take no
+part; a score among the answers that does not fit 64 bits is an error; vectors are compared only
+with vectors of the same length; a query id that occurs more than once is asked with its least vector; a query's
 own id is never an answer; fewer than k rows give fewer answers; repeated rows are separate
 answers; an empty table gives no rows. Other columns are not read.
 """
@@ -37,7 +41,10 @@ SCALE = 1024
 K = 10
 BLOCK_ROWS = 8192
 BATCH_QUERIES = 64
+#: Rows with a greater component are kept apart.
 LARGEST = 1 << 26
+#: Sums that surely stay below this are made in 64 bits.
+SAFE = 1 << 61
 #: Bitmap words worked on at a time: rows of so many queries that the sums stay in the cache.
 CHUNK_WORDS = 8192
 
@@ -45,11 +52,32 @@ _INDEX = pa.schema([("block", pa.int64()), ("dims", pa.int32()), ("ids", pa.bina
 _INDEX_SCHEMA = "block long, dims int, ids binary, least binary, digits binary, slices binary"
 
 
-def integers(vector: Column, scale: int = SCALE) -> Column:
-    """floor(scale * x) of every component; null if the vector takes no part."""
-    wide = F.transform(vector, lambda x: x.cast("double") * scale)
-    fine = F.forall(wide, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) <= LARGEST), F.lit(False)))
-    return F.when(fine, F.transform(wide, lambda x: F.floor(x)))
+def scaled(vector: Column, scale: int = SCALE) -> Column:
+    """scale * x of every component as doubles, which tasks floor; null if the vector takes no part."""
+    finite = F.forall(vector, lambda x: F.coalesce(~F.isnan(x) & (F.abs(x) < float("inf")), F.lit(False)))
+    return F.when(finite, F.transform(vector, lambda x: x.cast("double") * scale))
+
+
+def whole_numbers(values: np.ndarray) -> np.ndarray:
+    """Whole doubles as integers: 64-bit ones if all fit, or else Python's."""
+    if not values.size or np.abs(values).max() < SAFE:
+        return values.astype("i8")
+    return np.array([[int(x) for x in row] for row in values.tolist()], object).reshape(values.shape)
+
+
+def groups(rows: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Length, ids and floored vectors (as doubles) of rows (id, v), by length and apart for those with large components."""
+    ids, lists = rows.column(0).to_numpy(), rows.column(1)
+    lengths = np.diff(lists.offsets.to_numpy())
+    flat, begins = np.floor(lists.flatten().to_numpy(zero_copy_only=False)), np.concatenate([[0], np.cumsum(lengths)[:-1]])
+    for dims in np.unique(lengths):
+        chosen = np.flatnonzero(lengths == dims)
+        chosen = chosen[np.argsort(ids[chosen], kind="stable")]
+        values = flat[begins[chosen][:, None] + np.arange(dims)] if dims else np.zeros((len(chosen), 0))
+        large = (np.abs(values) > LARGEST).any(axis=1)
+        for some in (~large, large):
+            if some.any():
+                yield int(dims), ids[chosen[some]], values[some]
 
 
 def bit_slices(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -57,7 +85,7 @@ def bit_slices(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     rows, dims = values.shape
     least = values.min(axis=0) if rows else np.zeros(dims, "i8")
     rest = values - least
-    digits = np.array([int(top).bit_length() for top in rest.max(axis=0)], "i8")
+    digits = np.array([int(top).bit_length() for top in (rest.max(axis=0) if dims else [])], "i8")
     words = -(-rows // 64)
     slices = np.zeros((int(digits.sum()), words * 8), "u1")
     at = 0
@@ -129,12 +157,17 @@ def search_block(
     full = np.packbits(np.ones(rows, "u1"), bitorder="little")
     everything[: len(full)] = full
     ones = np.uint64(0xFFFFFFFFFFFFFFFF)
+    spans = [1 << int(n) for n in digits]
+    farthest = max((max(abs(int(x)), abs(int(x) + n)) for x, n in zip(least, spans, strict=True)), default=0)
+    if farthest * max((abs(int(x)) for x in queries.ravel()), default=0) * max(1, len(digits)) >= SAFE:
+        least, queries = least.astype(object), queries.astype(object)
+    spans = np.array(spans, least.dtype)
     for begin in range(0, len(query_ids), at_once):
         asked, q = query_ids[begin : begin + at_once], queries[begin : begin + at_once]
-        size, flip = np.abs(q), np.where(q < 0, ones, np.uint64(0))
+        size, flip = np.abs(q), np.where((q < 0).astype(bool), ones, np.uint64(0))
         total, at = Sum(), 0
         for d, n in enumerate(digits):
-            masks = [(j, np.where(size[:, d] >> j & 1, ones, np.uint64(0))[:, None]) for j in range(int(size[:, d].max()).bit_length())]
+            masks = [(j, np.where((size[:, d] >> j & 1).astype(bool), ones, np.uint64(0))[:, None]) for j in range(int(size[:, d].max()).bit_length())]
             masks = [(j, m) for j, m in masks if m.any()]
             for i in range(n):
                 own = slices[at + i] ^ flip[:, d, None]
@@ -142,7 +175,7 @@ def search_block(
                     total.add(own & mask, i + j)
             at += n
         # -v is the inverted slices less all their digits, so both signs differ from the sum by a constant.
-        base = np.where(q < 0, q * (least + (1 << digits) - 1), q * least).sum(axis=1)
+        base = np.where((q < 0).astype(bool), q * (least + spans - 1), q * least).sum(axis=1)
         valid = np.repeat(everything.view("<u8")[None, :], len(asked), axis=0)
         begins, ends = np.searchsorted(ids, asked, "left"), np.searchsorted(ids, asked, "right")
         for n, (a, b) in enumerate(zip(begins, ends, strict=True)):
@@ -156,12 +189,14 @@ def search_block(
             tied = np.flatnonzero(np.unpackbits(edge[n].view("u1"), bitorder="little"))[: max(0, k - len(sure))]
             picked = np.concatenate([sure, tied])
             bits = planes[:, n, picked >> 6] >> (picked & 63).astype("u8") & np.uint64(1)
-            scores = (bits.astype("i8") << np.arange(len(planes))[:, None]).sum(axis=0) + base[n]
+            kind = "i8" if least.dtype != object else object
+            scores = (bits.astype(kind) << np.arange(len(planes)).astype(kind)[:, None]).sum(axis=0) + base[n]
+            scores = scores if kind == "i8" else np.array([int(x) for x in np.broadcast_to(scores, len(picked))], object)
             yield from zip([int(query_id)] * len(picked), ids[picked].tolist(), scores.tolist(), strict=True)
 
 
 def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Bit-sliced blocks of (id, v array<long>), numbered by task and place in it."""
+    """Bit-sliced blocks of (id, v array<double>), numbered by task and place in it; least as decimal text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -169,16 +204,10 @@ def build_index(vectors: DataFrame, block_rows: int = BLOCK_ROWS) -> DataFrame:
         number = TaskContext.get().partitionId() << 32
         for batch in batches:
             for start in range(0, batch.num_rows, block_rows):
-                part = batch.slice(start, block_rows)
-                ids, lists = part.column(0).to_numpy(), part.column(1)
-                lengths = np.diff(lists.offsets.to_numpy())
-                flat, begins = lists.flatten().to_numpy(), np.concatenate([[0], np.cumsum(lengths)[:-1]])
-                for dims in np.unique(lengths):
-                    chosen = np.flatnonzero(lengths == dims)
-                    chosen = chosen[np.argsort(ids[chosen], kind="stable")]
-                    values = flat[begins[chosen][:, None] + np.arange(dims)] if dims else np.zeros((len(chosen), 0), "i8")
-                    least, digits, slices = bit_slices(values)
-                    row = [[number], [int(dims)], *[[x.tobytes()] for x in (ids[chosen], least, digits, slices)]]
+                for dims, ids, values in groups(batch.slice(start, block_rows)):
+                    least, digits, slices = bit_slices(whole_numbers(values))
+                    stored_parts = [ids.tobytes(), ",".join(map(str, least)).encode(), digits.tobytes(), slices.tobytes()]
+                    row = [[number], [dims], *[[x] for x in stored_parts]]
                     yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(row, _INDEX, strict=True)], schema=_INDEX)
                     number += 1
 
@@ -192,12 +221,7 @@ def query_batches(queries: DataFrame, batch: int = BATCH_QUERIES) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in batches:
             for start in range(0, rows.num_rows, batch):
-                part = rows.slice(start, batch)
-                by_length: dict[int, list] = {}
-                for query_id, v in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                    by_length.setdefault(len(v), []).append((query_id, v))
-                for dims, found in by_length.items():
-                    ids, values = np.array([f[0] for f in found], "i8"), np.array([f[1] for f in found], "i8")
+                for dims, ids, values in groups(rows.slice(start, batch)):
                     row = [[dims], [ids.tobytes()], [values.tobytes()]]
                     yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(row, schema, strict=True)], schema=schema)
 
@@ -208,7 +232,7 @@ def search(
     vectors: DataFrame, is_query: Column, k: int = K, scale: int = SCALE, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """query_id, rank, vec_id and score of the k best rows for every row that ``is_query`` picks."""
-    rows = vectors.select(F.col(id_col).cast("long").alias("id"), integers(F.col(vector_col), scale).alias("v"), is_query.alias("asked"))
+    rows = vectors.select(F.col(id_col).cast("long").alias("id"), scaled(F.col(vector_col), scale).alias("v"), is_query.alias("asked"))
     ship(vectors.sparkSession)
     rows = rows.where("id IS NOT NULL AND v IS NOT NULL")
     index = stored(build_index(rows.select("id", "v")), "index")
@@ -224,10 +248,14 @@ def search(
         for batch in arrow:
             for n in range(batch.num_rows):
                 dims, *raw = [column[n].as_py() for column in batch.columns]
-                ids, least, digits = (np.frombuffer(x, "<i8") for x in raw[:3])
-                query_ids, queries = np.frombuffer(raw[4], "<i8"), np.frombuffer(raw[5], "<i8")
+                ids, digits, query_ids = (np.frombuffer(raw[i], "<i8") for i in (0, 2, 4))
+                numbers = [int(x) for x in raw[1].split(b",") if x]
+                least = np.array(numbers, "i8" if all(abs(x) < SAFE for x in numbers) else object)
+                queries = whole_numbers(np.frombuffer(raw[5], "<f8").reshape(len(query_ids), dims))
                 slices = np.frombuffer(raw[3], "<u8").reshape(int(digits.sum()), -(-len(ids) // 64))
-                found = list(search_block(ids, least, digits, slices, query_ids, queries.reshape(len(query_ids), dims), k))
+                found = list(search_block(ids, least, digits, slices, query_ids, queries, k))
+                if any(abs(score) >> 63 for *_, score in found):
+                    raise ValueError("a score does not fit 64 bits")
                 if found:
                     yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*found, strict=True)], schema=schema)
 

@@ -15,7 +15,7 @@ SCHEMA = "vec_id long, embedding array<float>, rank int, score long, id string"
 def plain(rows, k=10, scale=1024):
     whole = []
     for vec_id, v, *_ in rows:
-        if vec_id is not None and v is not None and all(x is not None and math.isfinite(x) and abs(x * scale) <= topk.LARGEST for x in v):
+        if vec_id is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
             whole.append((vec_id, [math.floor(float(np.float32(x)) * scale) for x in v]))
     asked = {}
     for vec_id, v in whole:
@@ -49,11 +49,30 @@ def test_ties_copies_and_rows_that_take_no_part(spark):
     rows = [(i, same, 0, 0, "x") for i in range(40)] + [(40, [-x for x in same], 0, 0, "x")]
     rows += [(5, same, 0, 0, "x"), (10, [1.0, 0.0, 0.0], 0, 0, "x")]
     rows += [(100, None, 0, 0, None), (105, [None, 1.0, 1.0], 0, 0, None), (110, [float("nan"), 1.0, 1.0], 0, 0, None)]
-    rows += [(115, [float("inf"), 1.0, 1.0], 0, 0, None), (120, [1e30, 1.0, 1.0], 0, 0, None), (None, same, 0, 0, None)]
+    rows += [(115, [float("inf"), 1.0, 1.0], 0, 0, None), (120, [1e6, 1.0, 1.0], 0, 0, None), (None, same, 0, 0, None)]
     rows += [(125, [], 0, 0, None), (126, [], 0, 0, None), (130, [1.0, 1.0], 0, 0, None), (135, [0.0] * 3, 0, 0, None)]
     assert search(spark, rows, 7) == plain(rows, 7)
 
 
+@pytest.mark.parametrize("size", [1e5, 5e5, 9e5])
+def test_large_components_are_queries_and_answers(spark, size):
+    """Some rows beyond 2^26, some queries too; 1e5 in rows 1 and 100 once went missing."""
+    rows = vectors(3, 60, 4)
+    rows += [(100 + i, [size * (1 + i % 3), -0.5, float(i), -size / 2], 0, 0, "x") for i in range(12)]
+    rows += [(1, [size, 0.25, 0.0, 1.0], 0, 0, "x"), (100, [size, 0.5, 0.0, 0.0], 0, 0, "x")]
+    found = search(spark, rows)
+    assert found == plain(rows) and {100, 105, 110} <= {r[0] for r in found} and 1 in {r[2] for r in found}
+
+
+def test_sums_beyond_64_bits_are_exact_and_answers_that_do_not_fit_are_errors(spark):
+    # Components near 2^70 that cancel out leave small scores.
+    rows = [(i, [2.0**60, -(2.0**60), i / 2], 0, 0, "x") for i in range(9)] + [(10 + i, [1.0, 1.0, float(i)], 0, 0, "x") for i in (0, 5)]
+    near = [r for r in rows if r[0] >= 10] + [(21, [2.0**60, 2.0**60 * -1, 3.0], 0, 0, "x")]
+    assert search(spark, near) == plain(near)
+    with pytest.raises(Exception, match="does not fit 64 bits"):
+        search(spark, rows)
+
+
 def test_empty_table(spark):
     assert search(spark, []) == []
 
