@@ -15,8 +15,11 @@ each different string, then joined to the urls' characters: an ordinary sort-mer
 skewed partitions adaptive execution splits. Nothing but the calibration histogram, of fixed size,
 reaches the driver.
 
-Defined results: a null url or one without ``://`` has empty host and path, fits no rule and is
-judged as the empty string; with urls of one class only, the other model stays uniform and the
+The models read whole urls, scheme, query and fragment included; host and path serve the rules alone.
+Urls of one host and path are either all learnt from or all kept for calibration.
+
+Defined results: a null url or one without ``://`` has empty host and path and fits no rule; a null
+url is judged as the empty one, any other by what it holds; with urls of one class only, the other model stays uniform and the
 threshold is 0; repeated rows repeat in the result; an empty table gives no rows; only the id and
 url columns are read.
 """
@@ -65,10 +68,10 @@ def fits(host: str, path: str) -> Column:
 
 
 def ruled(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str, url_col: str) -> DataFrame:
-    """page_id, host, path, the longest fitting rule and its verdict."""
+    """page_id, u (the whole url), host, path, the longest fitting rule and its verdict."""
     urls = pages.select(F.col(id_col).cast("long").alias("page_id"), F.coalesce(F.col(url_col).cast("string"), F.lit("")).alias("u"))
     host, path = parts(F.col("u"))
-    found = urls.select("page_id", host.alias("host"), path.alias("path"))
+    found = urls.select("page_id", "u", host.alias("host"), path.alias("path"))
     rule, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
     for h, p, v in sorted(rules, key=lambda r: (len(r[0] + r[1]), r)):
         rule, verdict = F.when(fits(h, p), h + p).otherwise(rule), F.when(fits(h, p), v).otherwise(verdict)
@@ -76,12 +79,12 @@ def ruled(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str, url_
 
 
 def strings(urls: DataFrame, order: int) -> DataFrame:
-    """A row for each character of url, and one for its end, with the ``order`` characters before."""
-    padded = F.concat(F.lit(_BEFORE * order), F.concat("host", "path"), F.lit(_END))
+    """A row for each character of the url u, and one for its end, with the ``order`` characters before."""
+    padded = F.concat(F.lit(_BEFORE * order), F.col("u"), F.lit(_END))
     cut = f"transform(sequence(0, (length(padded) - {order} - 1) DIV {PIECE}), i -> substring(padded, i * {PIECE} + 1, {PIECE + order}))"
     whole = urls.withColumn("padded", padded).withColumn("piece", F.explode(F.expr(cut)))
     each = f"transform(sequence(1, length(piece) - {order}), i -> substring(piece, i, {order + 1}))"
-    return whole.withColumn("gram", F.explode(F.expr(each))).drop("padded", "piece", "host", "path")
+    return whole.withColumn("gram", F.explode(F.expr(each))).drop("padded", "piece", "u", "host", "path")
 
 
 def log_ratios(counts: DataFrame, order: int) -> DataFrame:
@@ -141,7 +144,7 @@ def judge(
     """page_id, host, path, rule, verdict and the models' score (null where a rule decides)."""
     marked = ruled(pages, rules, id_col, url_col)
     learnt = F.pmod(F.xxhash64("host", "path"), F.lit(CALIBRATION_SHARE)) != 0
-    urls = stored(marked.select("host", "path", "rule_verdict").distinct(), "urls")
+    urls = stored(marked.select("u", "host", "path", "rule_verdict").distinct(), "urls")
     urls = urls.withColumns({"learnt": learnt, "url_id": F.monotonically_increasing_id()})
     grams = strings(urls, order)
     hit = {v: F.count(F.when((F.col("rule_verdict") == v) & F.col("learnt"), 1)) for v in ("allow", "block")}
@@ -149,9 +152,9 @@ def judge(
     ratios = stored(log_ratios(stored(counts, "counts"), order), "ratios")
     asked = grams.where("rule_verdict IS NULL OR NOT learnt").select("url_id", "gram")
     scores = asked.join(ratios, "gram").groupBy("url_id").agg(F.avg("ratio").alias("score"))
-    scored = stored(urls.join(scores, "url_id").select("host", "path", "rule_verdict", "score"), "scores")
+    scored = stored(urls.join(scores, "url_id").select("u", "rule_verdict", "score"), "scores")
     least = threshold(scored.where("rule_verdict IS NOT NULL"))
-    open_urls = scored.where("rule_verdict IS NULL").select("host", "path", "score")
-    found = marked.join(open_urls, ["host", "path"], "left")
+    open_urls = scored.where("rule_verdict IS NULL").select("u", "score")
+    found = marked.join(open_urls, "u", "left")
     own = F.when(F.col("score") >= least, "allow").otherwise("block")
     return found.select("page_id", "host", "path", "rule", F.coalesce("rule_verdict", own).alias("verdict"), "score")

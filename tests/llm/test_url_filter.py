@@ -70,20 +70,35 @@ def test_parts_rules_and_scores(spark):
     found = url_filter.judge(spark.createDataFrame(rows, SCHEMA).repartition(3), order=3).collect()
     expected = Counter((i, *plain_parts(u), plain_rule(*plain_parts(u))[0]) for i, u, *_ in rows)
     assert Counter((r.page_id, r.host, r.path, r.rule) for r in found) == expected
-    distinct = {plain_parts(u) for _, u, *_ in rows}
-    pairs = spark.createDataFrame(list(distinct), "host string, path string")
+    distinct = {u or "" for _, u, *_ in rows}
+    pairs = spark.createDataFrame(list({plain_parts(u) for u in distinct}), "host string, path string")
     learnt = {(r.host, r.path) for r in pairs.where(f"pmod(xxhash64(host, path), {url_filter.CALIBRATION_SHARE}) != 0").collect()}
-    by = {v: [h + p for h, p in learnt if plain_rule(h, p)[1] == v] for v in ("allow", "block")}
+    by = {v: [u for u in distinct if plain_parts(u) in learnt and plain_rule(*plain_parts(u))[1] == v] for v in ("allow", "block")}
+    whole = {i: u or "" for i, u, *_ in rows if i is not None and Counter(r[0] for r in rows)[i] == 1}
     for r in found:
+        if r.page_id not in whole:
+            continue
         verdict = plain_rule(r.host, r.path)[1]
         if verdict:
             assert r.verdict == verdict and r.score is None
         else:
-            assert r.score == pytest.approx(plain_ratio(r.host + r.path, by["allow"], by["block"], 3))
+            assert r.score == pytest.approx(plain_ratio(whole[r.page_id], by["allow"], by["block"], 3))
     least = min(r.score for r in found if r.score is not None and r.verdict == "allow")
     assert all(r.score < least for r in found if r.score is not None and r.verdict == "block")
 
 
+def test_urls_are_judged_whole(spark):
+    """Scheme, query and fragment tell urls apart, and so does what a url without a host holds."""
+    rows = [(i, f"http://a{i}.com/x?ok={i}", None, 1, "", "") for i in range(40)]
+    rows += [(100 + i, f"http://b{i}.net/es/?spam={i}#win", None, 1, "", "") for i in range(40)]
+    open_urls = ["http://c.org/x?ok=7", "http://c.org/x?spam=7#win", "ok=7", "spam=7#win", ""]
+    rows += [(200 + i, u, None, 1, "", "") for i, u in enumerate(open_urls)]
+    found = {r.page_id: r for r in url_filter.judge(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert len({found[200 + i].score for i in range(5)}) == 5
+    assert found[200].score > found[201].score and found[202].score > found[203].score
+    assert (found[201].host, found[201].path, found[202].host) == ("c.org", "/x", "")
+
+
 def test_threshold_balances_errors(spark):
     rows = [(0.9, "allow")] * 9 + [(-0.5, "allow")] + [(-0.9, "block")] * 9 + [(0.3, "block")]
     scored = spark.createDataFrame(rows, "score double, rule_verdict string")
@@ -101,7 +116,7 @@ def test_urls_of_one_class_and_none(spark):
 
 
 def test_long_urls_are_cut_without_loss(spark, monkeypatch):
-    df = spark.createDataFrame([("h", "/" + "".join(chr(97 + i % 26) for i in range(100)))], "host string, path string")
+    df = spark.createDataFrame([("h/" + "".join(chr(97 + i % 26) for i in range(100)),)], "u string")
     whole = Counter(r.gram for r in url_filter.strings(df, 4).collect())
     monkeypatch.setattr(url_filter, "PIECE", 7)
     assert Counter(r.gram for r in url_filter.strings(df, 4).collect()) == whole and sum(whole.values()) == 103
