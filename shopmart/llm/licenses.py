@@ -9,7 +9,8 @@ diagonals close to each other in place are merged, and a merged span is verified
 template's k-grams must be matched, within about the template's length.
 
 Base phrases are templates of their own, which count at every place where all their k-grams vote
-for one diagonal, that is, where their words stand consecutively.
+for one diagonal, that is, where their words stand consecutively. Templates may be as long as whole
+license texts; a span keeps the set of template places that voted for it.
 
 The template table is constant and far below any broadcast limit, so the k-grams of the texts are
 never shuffled; what matches is little. Groups are those of one text and template.
@@ -22,6 +23,7 @@ read, whole.
 
 from __future__ import annotations
 
+import re
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
@@ -46,9 +48,40 @@ TEMPLATES = {
     "this program is free software you can redistribute it and or modify it under the terms of the gnu general public license": "gpl",
 }
 
+# Whole texts of public licenses, as they stand in a license file after its copyright line.
+WHOLE = {
+    "mit": """
+        Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+        documentation files (the "Software"), to deal in the Software without restriction, including without limitation the
+        rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit
+        persons to whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and
+        this permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED
+        "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF
+        MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT
+        HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING
+        FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.""",
+    "isc": """
+        Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted,
+        provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED "AS
+        IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF
+        MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL
+        DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT,
+        NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.""",
+}
+
+
+def plain_words(text: str) -> str:
+    """A template's words, as ``words_of`` takes them from texts, with single blanks."""
+    return " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", text.translate(_LOWER)))
+
+
+_LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
 _NO_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
+TEMPLATES |= {plain_words(text): label for label, text in WHOLE.items()}
+
+
 def words_of(text: Column) -> Column:
     lower = F.translate(F.coalesce(text, F.lit("")), string.ascii_uppercase, string.ascii_lowercase)
     return F.array_remove(F.split(lower, _NO_WORD), "")
@@ -60,8 +93,8 @@ def template_grams(spark: SparkSession, base: dict[str, str], templates: dict[st
     for number, (phrase, label, is_base) in enumerate([*((p, x, True) for p, x in base.items()), *((p, x, False) for p, x in templates.items())]):
         words = phrase.split()
         grams = len(words) - GRAM_WORDS + 1
-        if not 0 < grams < 64:
-            raise ValueError(f"a template needs {GRAM_WORDS} to {GRAM_WORDS + 62} words: {phrase}")
+        if grams < 1:
+            raise ValueError(f"a template needs at least {GRAM_WORDS} words: {phrase}")
         rows += [(number, label, is_base, grams, at, words[at : at + GRAM_WORDS]) for at in range(grams)]
     schema = "template int, label string, base boolean, grams int, at int, gram_words array<string>"
     hashed = F.xxhash64(*[F.col("gram_words")[k] for k in range(GRAM_WORDS)])
@@ -89,7 +122,7 @@ def spans(docs: DataFrame, base: dict[str, str], templates: dict[str, str]) -> D
     which = ["row", "template", "label", "base", "grams"]
     diagonal = (F.col("word") - F.col("at")).alias("diagonal")
     votes = found.groupBy(*which, diagonal).agg(
-        F.bit_or(F.expr("shiftleft(1L, at)")).alias("held"),
+        F.collect_set("at").alias("held"),
         F.min("word").alias("start"),
         (F.max("word") + GRAM_WORDS).alias("end"),
     )
@@ -102,9 +135,10 @@ def spans(docs: DataFrame, base: dict[str, str], templates: dict[str, str]) -> D
     )
     marked = votes.withColumn("opens", F.when(F.coalesce(touches, F.lit(False)), 0).otherwise(1))
     merged = marked.withColumn("span", F.sum("opens").over(along)).groupBy(*which, "span").agg(
-        F.bit_or("held").alias("held"), F.min("start").alias("start"), F.max("end").alias("end")
+        F.array_distinct(F.flatten(F.collect_list("held"))).alias("held"), F.min("start").alias("start"), F.max("end").alias("end")
     )
-    share = F.bit_count("held") / F.col("grams")
+    # At most one entry for each place of the template.
+    share = F.size("held") / F.col("grams")
     length = F.col("end") - F.col("start")
     whole = F.when(F.col("base"), share == 1).otherwise(
         (share >= LEAST_SHARE) & (length <= MOST_LENGTH * (F.col("grams") + GRAM_WORDS - 1))

@@ -82,7 +82,7 @@ template_grams AS (
   SELECT template, label, base, grams, place, words[place + 1 : place + {k}] AS gram FROM phrases, unnest(range(grams)) AS r(place)),
 text_grams AS (SELECT rid, place AS word, words[place + 1 : place + {k}] AS gram FROM texts, unnest(range(len(words) - {k - 1})) AS r(place)),
 votes AS (
-  SELECT rid, template, label, base, grams, word - place AS diagonal, bit_or(1::BIGINT << place) AS held,
+  SELECT rid, template, label, base, grams, word - place AS diagonal, list(DISTINCT place) AS held,
     min(word) AS first, max(word) + {k} AS past
   FROM text_grams JOIN template_grams USING (gram) GROUP BY ALL),
 marked AS (
@@ -91,7 +91,7 @@ marked AS (
   FROM votes WINDOW w AS (PARTITION BY rid, template ORDER BY diagonal)),
 numbered AS (SELECT *, sum(opens) OVER (PARTITION BY rid, template ORDER BY diagonal) AS span FROM marked),
 merged AS (
-  SELECT rid, label, base, grams, bit_count(bit_or(held)) / grams::DOUBLE AS share, min(first) AS first,
+  SELECT rid, label, base, grams, len(list_distinct(flatten(list(held)))) / grams::DOUBLE AS share, min(first) AS first,
     max(past) - min(first) AS length
   FROM numbered GROUP BY rid, template, label, base, grams, span),
 spans AS (

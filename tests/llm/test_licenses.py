@@ -60,6 +60,23 @@ def test_lines_with_words_put_in_or_left_out(spark):
     }
 
 
+def test_whole_license_texts(spark):
+    """Words left out, put in and changed; a third of the text; two licenses in one file; words in another order."""
+    mit, isc = (licenses.WHOLE[n].split() for n in ("mit", "isc"))
+    changed = [w for i, w in enumerate(mit) if i % 40 != 11]
+    for i in range(0, len(changed), 30):
+        changed.insert(i + 7, "hereby")
+    texts = [
+        prose(1, 300) + "\n" + " ".join(mit) + prose(2, 300), " ".join(changed), " ".join(mit[60:120]),
+        " ".join(isc) + "\n\n" + " ".join(mit), " ".join(sorted(mit)), " ".join(isc).lower().replace(",", " ,\n"),
+    ]
+    assert labels_of(spark, texts) == {0: "mit", 1: "mit", 2: "", 3: "isc,mit", 4: "", 5: "isc"}
+    docs = texts_of(spark, texts[:2]).selectExpr("doc_id AS row", "text")
+    found = {r.row: r for r in licenses.spans(docs, {}, licenses.TEMPLATES).where("grams > 100").collect()}
+    assert (found[0].start, found[0].length, found[0].share) == (300, len(licenses.plain_words(licenses.WHOLE["mit"]).split()), 1.0)
+    assert 0.8 <= found[1].share < 1.0
+
+
 def test_span_and_share(spark):
     docs = texts_of(spark, ["x y Released under the MIT License z"]).selectExpr("*", "0L AS r").drop("row").withColumnRenamed("r", "row")
     (span,) = licenses.spans(docs, licenses.BASE, licenses.TEMPLATES).where("NOT base").collect()
