@@ -25,11 +25,14 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from shopmart.llm.common import columns, slices, stored
 
 FIT_ROWS = 2500
+#: Characters of each class that a fit learns from at most (more only for a single document), and
+#: the length beyond which a document is taken only if shorter ones leave room.
+FIT_CHARS, FIT_DOC_CHARS = 32_000_000, 1_000_000
 BUCKETS = 1 << 18
 BEGINNINGS = (4, 5, 6)
 THRESHOLD = 0.3
@@ -139,14 +142,19 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
         .where("doc_id IS NOT NULL AND toxic IS NOT NULL")
         .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     )
-    known = stored(known.join(docs.select("doc_id").distinct(), "doc_id", "left_semi"), "labels")
+    sizes = docs.groupBy("doc_id").agg(F.coalesce(F.max(F.length("text")), F.lit(0)).alias("size"))
+    known = stored(known.join(sizes, "doc_id"), "labels")
     counts = dict(known.groupBy(F.col("toxic") > 0).count().collect())
     if len(counts) < 2:
         return Model(None, float(counts.get(True, 0) > 0))
-    in_order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    chosen = known.where("toxic > 0").orderBy(*in_order).limit(fit_rows).union(
+    in_order = [F.col("size") > FIT_DOC_CHARS, F.xxhash64("doc_id"), F.col("doc_id")]
+    few = known.where("toxic > 0").orderBy(*in_order).limit(fit_rows).union(
         known.where("toxic <= 0").orderBy(*in_order).limit(fit_rows)
     )
+    # Of at most fit_rows rows a class, as many as the bound on characters lets in.
+    along = Window.partitionBy(F.col("toxic") > 0).orderBy(*in_order)
+    summed = few.select("*", F.sum("size").over(along).alias("so_far"), F.row_number().over(along).alias("place"))
+    chosen = summed.where((F.col("so_far") <= FIT_CHARS) | (F.col("place") == 1)).select("doc_id", "toxic")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in slices(batches):

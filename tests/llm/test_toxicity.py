@@ -89,3 +89,52 @@ def test_weights_follow_features():
     toxic = np.array([True, False, True, False] * 10)
     model = toxicity.fit_noisy_or(features, toxic, np.ones(40))
     assert model.weights[1] > 1 > model.weights[2]
+
+
+def test_fit_follows_the_gradient_of_the_likelihood(monkeypatch):
+    """The same steps with a slope from finite differences of the noisy-or's weighted log likelihood."""
+    import numpy as np
+    import pyarrow as pa
+
+    draw = random.Random(3)
+    monkeypatch.setattr(toxicity, "STEPS", 25)
+    docs, toxic = [], []
+    for i in range(24):
+        bad = i % 3 == 0
+        sentences = [sorted(draw.sample([10, 11, 12, 13], draw.randint(1, 3))) for _ in range(draw.randint(1, 4))]
+        if bad:
+            sentences[draw.randrange(len(sentences))].append(99)
+        docs.append(sentences)
+        toxic.append(bad)
+    weight = np.array([3.0 if t else 1.5 for t in toxic])
+    names = [10, 11, 12, 13, 99]
+
+    def loss(x):
+        value = toxicity.SHRINK / 2 * sum(w * w for w in x[:-1])
+        for sentences, bad, much in zip(docs, toxic, weight, strict=True):
+            blame = sum(np.logaddexp(0, x[-1] + sum(x[names.index(f)] for f in s)) for s in sentences)
+            value += much / weight.sum() * (-np.log(-np.expm1(-blame)) if bad else blame)
+        return value
+
+    x, m, v = np.array([0.0] * 5 + [-4.0]), np.zeros(6), np.zeros(6)
+    for step in range(1, toxicity.STEPS + 1):
+        slope = np.array([(loss(x + e) - loss(x - e)) / 2e-6 for e in np.eye(6) * 1e-6])
+        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope * slope
+        x = x - toxicity.RATE * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    fitted = toxicity.fit_noisy_or(pa.array(docs, pa.list_(pa.list_(pa.int32()))), np.array(toxic), weight)
+    assert np.allclose([fitted.weights[n] for n in names], x[:-1], rtol=2e-3, atol=2e-3) and abs(fitted.bias - x[-1]) < 5e-3
+
+
+def test_fit_is_bounded_in_characters(spark, monkeypatch):
+    """Few characters are let in, a very long text comes last, and one document a class is always there."""
+    rows = [(i, f"word{i % 2} vile. " * (5000 if i == 3 else 10) if i % 2 else "fine text here. " * 10, "en", "s", None) for i in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    seen = []
+    fit = toxicity.fit_noisy_or
+    monkeypatch.setattr(toxicity, "fit_noisy_or", lambda features, toxic, weight: seen.append((len(features), weight.sum())) or fit(features, toxic, weight))
+    monkeypatch.setattr(toxicity, "FIT_DOC_CHARS", 1000)
+    for chars, expected in ((10**6, 60), (1500, 21), (1, 2)):
+        monkeypatch.setattr(toxicity, "FIT_CHARS", chars)
+        toxicity.fit(docs, labels)
+        assert seen[-1][0] == expected and seen[-1][1] == pytest.approx(60)
