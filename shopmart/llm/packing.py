@@ -8,8 +8,11 @@ least. With f(j) the least cost of cutting the stream up to candidate j at posit
     f(j) = min over i with p(j) - p(i) <= window of  f(i) + window - (p(j) - p(i)) + penalty(j)
 
 The part that depends on i alone is f(i) + p(i), so a monotone queue over the sliding window gives
-each minimum in constant time. A sequence whose length is a power of two needs no padding; the end
-of a partition's stream, which no later document can fill up, is cut into such lengths.
+each minimum in constant time. A sequence whose length is a power of two needs no padding. The end
+of a partition's stream, which no later document can fill up, is cut by the same program: there every
+token may end a window, and a window of 2^k tokens costs its cut alone, so each place has some
+transitions more. At most the last two windows of a partition, 8,192 tokens, are cut that way; a
+partition of fewer tokens is cut so as a whole, behind documents and sentences where that pays.
 
 No rows are shuffled. The stream is worked on in blocks of ``BLOCK`` tokens; the rest behind the
 last full window is carried over, so memory is bounded for any partition and any text length. The
@@ -45,12 +48,15 @@ _ARROW = pa.schema([(n, pa.int64()) for n in ("doc_id", "start", "length", "ids_
 SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
-def choose_cuts(places: list[int], penalties: list[int], window: int) -> list[int]:
+def choose_cuts(places: list[int], penalties: list[int], window: int, free_powers: bool = False) -> list[int]:
     """Cut positions of least padding plus penalties.
 
     ``places`` are the candidate positions in order, from 0 to the end of the stream and no further
-    apart than ``window``; ``penalties`` their costs.
+    apart than ``window``; ``penalties`` their costs. With ``free_powers`` windows whose length is a
+    power of two have no padding.
     """
+    index = {p: i for i, p in enumerate(places)} if free_powers else {}
+    lengths = [1 << k for k in range(window.bit_length()) if 1 << k <= window] if free_powers else []
     cost, back = [0] * len(places), [0] * len(places)
     queue = deque([0])  # candidates i by rising f(i) + p(i)
     value = [0] * len(places)
@@ -59,8 +65,13 @@ def choose_cuts(places: list[int], penalties: list[int], window: int) -> list[in
         while places[queue[0]] < p - window:
             queue.popleft()
         i = queue[0]
+        total = value[i] + window - p
+        for length in lengths:
+            other = index.get(p - length)
+            if other is not None and cost[other] < total:
+                i, total = other, cost[other]
         back[j] = i
-        cost[j] = total = value[i] + window - p + penalties[j]
+        cost[j] = total = total + penalties[j]
         value[j] = total = total + p
         while queue and value[queue[-1]] >= total:
             queue.pop()
@@ -72,9 +83,11 @@ def choose_cuts(places: list[int], penalties: list[int], window: int) -> list[in
     return cuts[::-1]
 
 
-def candidates(n: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int) -> tuple[list[int], list[int]]:
-    """Places where the stream may be cut, with their penalties; long gaps get places of their own."""
-    step = max(1, window // 8)
+def candidates(
+    n: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window: int, step: int | None = None
+) -> tuple[list[int], list[int]]:
+    """Places where the stream may be cut, with their penalties; gaps longer than ``step`` get places of their own."""
+    step = step or max(1, window // 8)
     marks = np.union1d(np.concatenate([doc_ends, sentence_ends]), [0, n])
     gaps = np.flatnonzero(np.diff(marks) > step)
     inner = [np.arange(marks[g] + step, marks[g + 1], step) for g in gaps]
@@ -85,11 +98,6 @@ def candidates(n: int, doc_ends: np.ndarray, sentence_ends: np.ndarray, window:
     return places.astype(int).tolist(), penalties.tolist()
 
 
-def powers(length: int) -> list[int]:
-    """The powers of two that a length is the sum of, largest first."""
-    return [1 << k for k in range(length.bit_length() - 1, -1, -1) if length >> k & 1]
-
-
 class Stream:
     """Packs the token stream of one partition and yields its pieces."""
 
@@ -112,14 +120,15 @@ class Stream:
     def finish(self) -> list[tuple]:
         if not self.waiting:
             return []
-        *full, rest = self._windows()
-        return self._cut(full + ([rest] if rest == self.window else powers(rest)))
+        # The last window and the one before it are laid out anew, with all places to choose from.
+        found = self._cut(self._windows()[:-2])
+        return found + self._cut(self._windows(step=1, free_powers=True))
 
-    def _windows(self) -> list[int]:
+    def _windows(self, step: int | None = None, free_powers: bool = False) -> list[int]:
         ids = np.concatenate([doc[1] for doc in self.docs])
         doc_ends = np.cumsum([len(doc[1]) for doc in self.docs])
         sentence_ends = np.flatnonzero(np.isin(ids, self.sentence_ids)) + 1
-        cuts = choose_cuts(*candidates(len(ids), doc_ends, sentence_ends, self.window), self.window)
+        cuts = choose_cuts(*candidates(len(ids), doc_ends, sentence_ends, self.window, step), self.window, free_powers)
         return np.diff([0, *cuts]).tolist()
 
     def _cut(self, lengths: list[int]) -> list[tuple]:

@@ -15,10 +15,14 @@ PATH = bpe.vocabulary_path()
 LIBRARY = Tokenizer.from_file(PATH)
 
 
-def least_cost(places, penalties, window):
+def padding_of(length, window, free):
+    return 0 if free and length & (length - 1) == 0 else window - length
+
+
+def least_cost(places, penalties, window, free=False):
     best = [0] + [None] * (len(places) - 1)
     for j in range(1, len(places)):
-        costs = [best[i] + window - places[j] + places[i] for i in range(j) if best[i] is not None and places[j] - places[i] <= window]
+        costs = [best[i] + padding_of(places[j] - places[i], window, free) for i in range(j) if best[i] is not None and places[j] - places[i] <= window]
         best[j] = min(costs) + penalties[j] if costs else None
     return best[-1]
 
@@ -31,10 +35,11 @@ def test_cuts_cost_least(seed):
     for _ in range(draw.randint(1, 60)):
         places.append(places[-1] + draw.randint(1, window))
     penalties = [draw.choice([0, 2, 9]) for _ in places]
-    cuts = packing.choose_cuts(places, penalties, window)
-    assert cuts[-1] == places[-1] and max(np.diff([0, *cuts])) <= window
-    cost = sum(window - d for d in np.diff([0, *cuts])) + sum(penalties[places.index(c)] for c in cuts)
-    assert cost == least_cost(places, penalties, window)
+    for free in (False, True):
+        cuts = packing.choose_cuts(places, penalties, window, free)
+        assert cuts[-1] == places[-1] and max(np.diff([0, *cuts])) <= window
+        cost = sum(padding_of(int(d), window, free) for d in np.diff([0, *cuts])) + sum(penalties[places.index(c)] for c in cuts)
+        assert cost == least_cost(places, penalties, window, free)
 
 
 def test_candidates_mark_documents_sentences_and_gaps():
@@ -44,9 +49,22 @@ def test_candidates_mark_documents_sentences_and_gaps():
     }
 
 
-@pytest.mark.parametrize("length", [1, 7, 64, 1000, 4095])
-def test_powers_sum_up(length):
-    assert sum(packing.powers(length)) == length and all(p & (p - 1) == 0 for p in packing.powers(length))
+@pytest.mark.parametrize("sizes", [[1], [5], [4096], [4095, 1], [3000], [2048, 952], [100] * 29, [4000, 4000, 700], [9000, 3]])
+def test_tails_are_cut_by_the_program(sizes):
+    """The cost of a short stream is the least that any cuts have, and never more than that of plain powers of two."""
+    stream = packing.Stream(0, np.array([], "<u4"))
+    found = [p for n, size in enumerate(sizes) for p in stream.add(n, np.zeros(size, "<u4"))] + stream.finish()
+    lengths = {}
+    for piece in found:
+        lengths[piece[5]] = lengths.get(piece[5], 0) + piece[2]
+    ends = set(np.cumsum(sizes).tolist())
+    cuts = np.cumsum([lengths[s] for s in sorted(lengths)]).tolist()
+    cost = sum(padding_of(x, 4096, True) for x in lengths.values()) + sum(packing.OTHER_CUT for c in cuts if c not in ends)
+    rest = sum(sizes) % 4096
+    assert cuts[-1] == sum(sizes)
+    assert cost <= packing.OTHER_CUT * (rest.bit_count() + sum(sizes) // 4096)
+    if sizes == [2048, 952]:
+        assert cuts[0] == 2048 and cost < packing.OTHER_CUT * 6
 
 
 def check(rows, docs, window):
