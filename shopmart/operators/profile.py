@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import NumericType
 
 from shopmart.functions.scalars import column_name, is_missing, lenient_number, text_literal
-from shopmart.operators.quantiles import exact_quantiles
+from shopmart.operators.quantiles import bracket_sketch, exact_quantiles
 
 
 def aggregate(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
@@ -89,21 +89,21 @@ QUARTILES = (0.25, 0.5, 0.75)
 def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, deviation, minimum, quartiles and maximum of every numeric column.
 
-    Quartiles are exact, interpolated between neighbours. Reads ``df`` a few times: pass a
-    stored table.
+    Quartiles are exact, interpolated between neighbours. Reads ``df`` twice: pass a stored table.
     """
     if columns is None:
         columns = [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
     numbers = df.selectExpr(*[f"{lenient_number(column_name(name))} AS {column_name(name)}" for name in columns])
     measures = ", ".join(
         f"named_struct('column_name', {text_literal(name)}, 'count', count({c}), 'mean', avg({c}),"
-        f" 'std', stddev_samp({c}), 'min', min({c}), 'max', max({c}))"
+        f" 'std', stddev_samp({c}), 'min', min({c}), 'max', max({c}), 'around', {bracket_sketch(c, QUARTILES)})"
         for name, c in zip(columns, map(column_name, columns), strict=True)
     )
     # One row per column comes to the driver, which steers the search for the quartiles.
     moments = aggregate(numbers, [f"array({measures}) AS m"]).selectExpr("inline(m)").collect()
     spans = {m["column_name"]: (m["count"], m["min"], m["max"]) for m in moments}
-    quartiles = exact_quantiles(numbers, spans, QUARTILES)
+    brackets = {m["column_name"]: list(zip(m["around"][::2], m["around"][1::2], strict=True)) for m in moments if m["around"]}
+    quartiles = exact_quantiles(numbers, spans, QUARTILES, brackets)
     return df.sparkSession.createDataFrame(
         [
             (m["column_name"], m["count"], m["mean"], m["std"], m["min"], *quartiles[m["column_name"]], m["max"])

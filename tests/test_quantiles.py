@@ -8,6 +8,7 @@ import random
 import numpy as np
 import pytest
 
+from shopmart.operators import profile, quantiles
 from shopmart.operators.quantiles import exact_quantiles
 
 
@@ -59,3 +60,33 @@ def test_quantiles(frame, case):
 def test_column_without_values(frame):
     df = frame([(None,)], "v DOUBLE")
     assert exact_quantiles(df, spans(df), (0.5,)) == {"v": [None]}
+
+
+@pytest.mark.parametrize("case", CASES)
+@pytest.mark.parametrize("reach", [0.0, 0.0005, 0.2])
+def test_brackets_change_nothing(frame, case, reach, monkeypatch):
+    """Brackets that are narrow, wide, or miss their rank: counts tell, and the whole table is searched."""
+    monkeypatch.setattr(quantiles, "REACH", reach)
+    values = CASES[case]
+    df = frame([(v, float(i % 7)) for i, v in enumerate([*values, None])], "v DOUBLE, `w w` DOUBLE").repartition(3)
+    found = df.selectExpr(*[f"{quantiles.bracket_sketch(f'`{c}`', PROBABILITIES)} AS `{c}`" for c in df.columns]).first()
+    brackets = {c: list(zip(found[c][::2], found[c][1::2], strict=True)) for c in df.columns}
+    brackets["v"][2] = (min(values), min(values))
+    measured = {c: tuple(df.selectExpr(f"count(`{c}`)", f"min(`{c}`)", f"max(`{c}`)").first()) for c in df.columns}
+    assert str(exact_quantiles(df, measured, PROBABILITIES, brackets)) == str(exact_quantiles(df, measured, PROBABILITIES))
+
+
+def test_a_stored_table_is_read_twice(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(200_000, numPartitions=4).selectExpr("id % 1000 / 7 AS a", "pow(id, 1.5) AS b", "if(id % 3 = 0, 5D, id) AS c").write.parquet(path)
+    reads, whole = [], quantiles._count_slices
+    quantiles._count_slices, before = (lambda df, intervals, long: reads.append(long) or whole(df, intervals, long)), whole
+    try:
+        found = {r["column_name"]: (r["p25"], r["p50"], r["p75"]) for r in profile.numeric_summary(spark.read.parquet(path)).collect()}
+    finally:
+        quantiles._count_slices = before
+    assert reads and all(reads)  # only rows between brackets are searched
+    ids = np.arange(200_000)
+    columns = {"a": ids % 1000 / 7, "b": ids.astype(float) ** 1.5, "c": np.where(ids % 3 == 0, 5.0, ids)}
+    for name, values in columns.items():
+        assert np.allclose(found[name], np.quantile(values, (0.25, 0.5, 0.75)), rtol=1e-12)
