@@ -6,86 +6,93 @@ token count is that of its best segmentation: with s(p) the score of piece p,
     best(i) = max over j of best(j) + s(text[j:i])
 
 and the count goes along. best(i) depends on the first i characters alone, so pre-tokens that begin
-alike share it. New pre-tokens of a slice of texts are put in order, which is the order in which a
-trie of them is walked: going from one to the next, forward scores of the common beginning stay and
-only the rest is computed. The count at a pre-token's end is stored, and a text's count is the sum
-over its pre-tokens.
+alike share it. The job has three steps:
+
+1. Each task codes its texts in blocks: a block numbers its own pre-tokens and holds its texts as
+   these numbers, two bytes each where they suffice.
+2. The distinct pre-tokens of all blocks are cut into ranges by their first characters and sorted.
+   A range is a part of one trie of all pre-tokens, and its order is that of a depth-first walk:
+   going from one pre-token to the next, forward scores of the common beginning stay and only the
+   rest is computed. So each trie node of a range is scored once, and a task holds one path. The
+   count at a pre-token's end is stored.
+3. Stored counts are joined back to the blocks' pre-tokens, gathered to one array for each block,
+   and summed up over each text's numbers.
+
+A pre-token occurs once in a block's list, however frequent it is, so no join key is hot: the most
+frequent one has a row for each block. Texts themselves are not shuffled. A block ends after the
+text with which it reaches ``BLOCK_WORDS`` pre-tokens, or ``BLOCK_DISTINCT`` different ones; so a
+row exceeds these only by one text. Ranges are sampled by at most ``RANGE_CHARS`` characters of a
+pre-token, so that very long ones do not burden the driver.
 
 The vocabulary file gives pieces in order of merit but no probabilities, so piece number r has the
 score -ln(r + 3), a fixed rule. A character that is no piece costs one byte piece for each of its
 UTF-8 bytes, at the score of the last piece. Of equal scores the segmentation whose last piece is
 longest wins.
 
-Nothing is shuffled: texts stream through the tasks of the scan, and each worker keeps a bounded
-store of counts. Defined results: null and empty texts have no tokens; repeated rows are counted
-each time; an empty table gives no rows; only the id and text columns are read, whole.
+Defined results: null and empty texts have no tokens; repeated rows and ids, also null ones, are
+counted each by itself; an empty table gives no rows; only the id and text columns are read, whole.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 from math import log
 from os.path import commonprefix
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
-from shopmart.llm.common import PIECE_CHARS, columns, pieces, slices
+from shopmart.llm.common import columns, pieces, slices, stored
 
 WORD_MARK = "▁"
-#: Pre-tokens whose counts a worker keeps.
-STORED = 600_000
+#: Pre-tokens, and different ones, with which a block is full.
+BLOCK_WORDS = 1 << 18
+BLOCK_DISTINCT = 50_000
+#: Characters of a pre-token that pick its range.
+RANGE_CHARS = 128
+
+_BLOCK = pa.schema([
+    ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
+    ("codes", pa.binary()), ("words", pa.list_(pa.string())),
+])
+_BLOCK_SCHEMA = "block long, doc_ids array<long>, sizes array<long>, codes binary, words array<string>"
+_COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
+_FOUND = pa.schema([("doc_id", pa.int64()), ("n_pre_tokens", pa.int64()), ("n_tokens", pa.int64())])
 
 
 class Unigram:
-    """Scores of pieces and stored counts of pre-tokens."""
+    """Scores of pieces."""
 
-    def __init__(self, scores: dict[str, float], unknown: float, stored: int = STORED):
-        self.scores, self.unknown, self.limit = scores, unknown, stored
+    def __init__(self, scores: dict[str, float], unknown: float):
+        self.scores, self.unknown = scores, unknown
         self.longest = max(map(len, scores), default=1)
-        self.counts: dict[str, int] = {}
-
-    def insert(self, pre_tokens: set[str]) -> None:
-        """Store the counts of pre-tokens, computing each shared beginning once."""
-        scores, longest, unknown = self.scores, self.longest, self.unknown
-        best, count, before = [0.0], [0], ""
-        for pre_token in sorted(pre_tokens):
-            text = WORD_MARK + pre_token
-            shared = len(commonprefix([before, text]))
-            del best[shared + 1 :], count[shared + 1 :]
-            for i in range(shared + 1, len(text) + 1):
-                size = len(text[i - 1].encode())
-                top, n = best[i - 1] + size * unknown, count[i - 1] + size
-                for j in range(i - 1, max(-1, i - 1 - longest), -1):
-                    score = scores.get(text[j:i])
-                    if score is not None and best[j] + score >= top:
-                        top, n = best[j] + score, count[j] + 1
-                best.append(top)
-                count.append(n)
-            self.counts[pre_token] = count[-1]
-            before = text
-
-    def count(self, texts: list[str]) -> list[tuple[int, int]]:
-        """Pre-tokens and tokens of each text; the texts' new pre-tokens go into one trie."""
-        if len(self.counts) > self.limit:
-            self.counts.clear()
-        known, short = self.counts, [len(text) <= PIECE_CHARS for text in texts]
-        split = [text.split() if fits else None for text, fits in zip(texts, short, strict=True)]
-        self.insert(set().union(*(words for words in split if words)).difference(known))
-        return [
-            (len(words), sum(map(known.__getitem__, words))) if fits else self.count_long(text)
-            for text, words, fits in zip(texts, split, short, strict=True)
-        ]
-
-    def count_long(self, text: str) -> tuple[int, int]:
-        """As count, piece by piece."""
-        n = tokens = 0
-        for piece in pieces(text):
-            words = piece.split()
-            self.insert(set(words).difference(self.counts))
-            n, tokens = n + len(words), tokens + sum(map(self.counts.__getitem__, words))
-        return n, tokens
+
+
+class Walk:
+    """A depth-first walk over a trie, holding the forward scores and counts of the current path."""
+
+    def __init__(self, unigram: Unigram):
+        self.unigram, self.path, self.best, self.counts, self.scored = unigram, "", [0.0], [0], 0
+
+    def to(self, pre_token: str) -> int:
+        """Tokens of a pre-token; only nodes that the path does not hold already are scored."""
+        scores, longest, unknown = self.unigram.scores, self.unigram.longest, self.unigram.unknown
+        best, counts, text = self.best, self.counts, WORD_MARK + pre_token
+        shared = len(commonprefix([self.path, text]))
+        del best[shared + 1 :], counts[shared + 1 :]
+        for i in range(shared + 1, len(text) + 1):
+            size = len(text[i - 1].encode())
+            top, n = best[i - 1] + size * unknown, counts[i - 1] + size
+            for j in range(i - 1, max(-1, i - 1 - longest), -1):
+                score = scores.get(text[j:i])
+                if score is not None and best[j] + score >= top:
+                    top, n = best[j] + score, counts[j] + 1
+            best.append(top)
+            counts.append(n)
+        self.path, self.scored = text, self.scored + len(text) - shared
+        return counts[-1]
 
 
 @lru_cache(maxsize=2)
@@ -104,15 +111,91 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_pre_tokens and n_tokens of every text."""
-    schema = pa.schema([("doc_id", pa.int64()), ("n_pre_tokens", pa.int64()), ("n_tokens", pa.int64())])
+class Numbers(dict):
+    """Numbers words from 0 as they are first asked for."""
+
+    def __missing__(self, word: str) -> int:
+        self[word] = number = len(self)
+        return number
+
+
+def _code_kind(n_words: int) -> str:
+    return "<u2" if n_words <= 1 << 16 else "<u4"
+
+
+def coded(rows: Iterable[tuple[int | None, str | None]]) -> Iterator[tuple[list, list[int], bytes, list[str]]]:
+    """Blocks of texts: ids, pre-tokens of each, their numbers as bytes, and the words so numbered."""
+    ids, sizes, codes, numbers, held = [], [], [], Numbers(), 0
+
+    def block() -> tuple[list, list[int], bytes, list[str]]:
+        kind = _code_kind(len(numbers))
+        return ids, sizes, b"".join(c.astype(kind).tobytes() for c in codes), list(numbers)
+
+    for doc_id, text in rows:
+        size = 0
+        for piece in pieces(text or ""):
+            words = piece.split()
+            codes.append(np.fromiter(map(numbers.__getitem__, words), "<u4", len(words)))
+            size += len(words)
+        ids.append(doc_id)
+        sizes.append(size)
+        held += size
+        if held >= BLOCK_WORDS or len(numbers) >= BLOCK_DISTINCT or len(ids) >= BLOCK_WORDS:
+            yield block()
+            ids, sizes, codes, numbers, held = [], [], [], Numbers(), 0
+    if ids:
+        yield block()
+
+
+def blocks_of(docs: DataFrame) -> DataFrame:
+    """Blocks of the texts of (doc_id, text), numbered by task and place in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unigram = load(path)
+        from pyspark import TaskContext
+
+        number = TaskContext.get().partitionId() << 32
+        texts = (pair for rows in slices(batches) for pair in zip(*(c.to_pylist() for c in rows.columns), strict=True))
+        for found in coded(texts):
+            row = [[number], *[[part] for part in found]]
+            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
+            number += 1
+
+    return docs.mapInArrow(run, _BLOCK_SCHEMA)
+
+
+def counted(words: DataFrame, path: str) -> DataFrame:
+    """word and its token count n, for distinct words: one walk over each range of the trie."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = Walk(load(path))
         for rows in slices(batches):
-            found = unigram.count([text or "" for text in rows.column(1).to_pylist()])
-            numbers = [pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)]
-            yield pa.RecordBatch.from_arrays([rows.column(0), *numbers], schema=schema)
+            n = [walk.to(word) for word in rows.column(0).to_pylist()]
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64())], schema=_COUNTS)
+
+    ranges = words.repartitionByRange(F.substring("word", 1, RANGE_CHARS)).sortWithinPartitions("word")
+    return ranges.mapInArrow(run, "word string, n long")
 
-    return columns(docs, id_col, text_col).mapInArrow(run, "doc_id long, n_pre_tokens long, n_tokens long")
+
+def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """doc_id, n_pre_tokens and n_tokens of every text."""
+    blocks = stored(blocks_of(columns(docs, id_col, text_col)), "blocks")
+    counts = stored(counted(blocks.select(F.explode("words").alias("word")).distinct(), path), "counts")
+    # At most a block's different words are gathered in a row.
+    listed = blocks.select("block", F.posexplode("words").alias("at", "word")).join(counts, "word")
+    in_order = F.sort_array(F.collect_list(F.struct("at", "n")))
+    tokens = listed.groupBy("block").agg(F.transform(in_order, lambda x: x["n"]).alias("tokens"))
+    met = blocks.drop("words").join(tokens, "block", "left").select("doc_ids", "sizes", "codes", "tokens")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for n in range(batch.num_rows):
+                ids, sizes, codes, per_word = (column[n] for column in batch.columns)
+                per_word = per_word.values.to_numpy() if per_word.is_valid else np.zeros(0, "i8")
+                numbers = np.frombuffer(codes.as_py(), _code_kind(len(per_word)))
+                sizes = sizes.values.to_numpy()
+                ends = np.cumsum(sizes)
+                before = np.concatenate([[0], np.cumsum(per_word[numbers])])
+                sums = before[ends] - before[ends - sizes]
+                yield pa.RecordBatch.from_arrays([ids.values, pa.array(sizes), pa.array(sums, pa.int64())], schema=_FOUND)
+
+    return met.mapInArrow(run, "doc_id long, n_pre_tokens long, n_tokens long")

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
+from os.path import commonprefix
 
 from text_cases import documents, empty, frame_of
 
@@ -37,19 +38,61 @@ def test_awkward_rows(spark):
     assert token_counts.count_tokens(empty(spark), PATH).count() == 0
 
 
-def test_shared_beginnings_change_nothing():
+def test_only_empty_texts(spark):
+    rows = [(1, None, "en", "a", None), (None, "", "en", "a", None), (1, " \t\n", "en", "a", None)]
+    found = token_counts.count_tokens(frame_of(spark, rows), PATH)
+    assert Counter(map(tuple, found.collect())) == Counter([(1, 0, 0), (None, 0, 0), (1, 0, 0)])
+
+
+def test_small_blocks_and_pieces_change_nothing(spark, monkeypatch):
+    """Blocks end inside a partition and long texts are read in pieces; ids repeat across blocks."""
+    monkeypatch.setattr(token_counts, "BLOCK_WORDS", 50)
+    draw = random.Random(5)
+    words = ["".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 6))) for _ in range(300)]
+    rows = [(i % 40, " ".join(draw.choices(words, k=draw.randint(0, 60))), "en", "a", None) for i in range(120)]
+    unigram = token_counts.load(PATH)
+    found = token_counts.count_tokens(frame_of(spark, rows), PATH)
+    assert Counter(map(tuple, found.collect())) == Counter((d, *plain(t, unigram)) for d, t, *_ in rows)
+
+
+def test_shared_beginnings_are_scored_once():
     draw = random.Random(1)
     pieces = {"".join(draw.choice("ab") for _ in range(draw.randint(1, 5))): -draw.random() * 5 for _ in range(20)}
     pieces[token_counts.WORD_MARK + "a"] = -0.5
     unigram = token_counts.Unigram(pieces, -7.0)
-    words = {"".join(draw.choice("abé") for _ in range(draw.randint(1, 9))) for _ in range(300)}
-    unigram.insert(words)
-    assert {w: unigram.counts[w] for w in words} == {w: plain(w, unigram)[1] for w in words}
+    words = sorted({"".join(draw.choice("abé") for _ in range(draw.randint(1, 9))) for _ in range(300)})
+    walk = token_counts.Walk(unigram)
+    assert [walk.to(w) for w in words] == [plain(w, unigram)[1] for w in words]
+    nodes = {(token_counts.WORD_MARK + w)[:i] for w in words for i in range(1, len(w) + 2)}
+    assert walk.scored == len(nodes)
+
+
+def test_walk_in_any_order():
+    unigram = token_counts.Unigram({"a": -1.0, "ab": -1.5, "b": -1.0}, -9.0)
+    walk = token_counts.Walk(unigram)
+    assert [walk.to(w) for w in ["ab", "ab", "b", "abab", ""]] == [plain(w, unigram)[1] if w else 3 for w in ["ab", "ab", "b", "abab", ""]]
+
+
+def test_ranges_hold_each_pre_token_once(spark):
+    """Every range is a sorted part of the trie, also where all pre-tokens begin alike."""
+    from pyspark.sql import functions as F
+
+    words = spark.range(2000).select(F.concat(F.lit("http://a.example/"), "id").alias("word"))
+    found = token_counts.counted(words, PATH).withColumn("part", F.spark_partition_id()).collect()
+    assert len({r.word for r in found}) == len(found) == 2000
+    by_part: dict[int, list[str]] = {}
+    for r in found:
+        by_part.setdefault(r.part, []).append(r.word)
+    assert all(part == sorted(part) for part in by_part.values())
+    assert commonprefix([r.word for r in found]) == "http://a.example/"
 
 
-def test_store_is_bounded(monkeypatch):
-    unigram = token_counts.Unigram({"a": -1.0, "b": -1.0}, -9.0, stored=2)
-    texts = ["a b ab", "ba bb aa", "ab " * 5, ""]
-    assert [unigram.count([t])[0] for t in texts] == [plain(t, unigram) for t in texts]
-    monkeypatch.setattr(token_counts, "PIECE_CHARS", 4)
-    assert unigram.count(["ab ba ab", "a"]) == [plain("ab ba ab", unigram), plain("a", unigram)]
+def test_blocks_are_bounded(monkeypatch):
+    monkeypatch.setattr(token_counts, "BLOCK_WORDS", 6)
+    monkeypatch.setattr(token_counts, "BLOCK_DISTINCT", 3)
+    texts = ["a b", "c d", None, "a a a a a a a", "a a", "b"]
+    blocks = list(token_counts.coded(enumerate(texts)))
+    assert [ids for ids, *_ in blocks] == [[0, 1], [2, 3], [4, 5]]
+    assert [words for *_, words in blocks] == [["a", "b", "c", "d"], ["a"], ["a", "b"]]
+    monkeypatch.setattr(token_counts, "_code_kind", lambda n: "<u4")
+    assert all(len(codes) == 4 * sum(sizes) for _, sizes, codes, _ in token_counts.coded(enumerate(texts)))
