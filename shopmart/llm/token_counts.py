@@ -8,21 +8,20 @@ token count is that of its best segmentation: with s(p) the score of piece p,
 and the count goes along. best(i) depends on the first i characters alone, so pre-tokens that begin
 alike share it. The job has three steps:
 
-1. Each task codes its texts in blocks: a block numbers its own pre-tokens and holds its texts as
-   these numbers, two bytes each where they suffice.
-2. The distinct pre-tokens of all blocks are cut into ranges by their first characters and sorted.
-   A range is a part of one trie of all pre-tokens, and its order is that of a depth-first walk:
-   going from one pre-token to the next, forward scores of the common beginning stay and only the
-   rest is computed. So each trie node of a range is scored once, and a task holds one path. The
-   count at a pre-token's end is stored.
-3. Stored counts are joined back to the blocks' pre-tokens, gathered to one array for each block,
-   and summed up over each text's numbers.
-
-A pre-token occurs once in a block's list, however frequent it is, so no join key is hot: the most
-frequent one has a row for each block. Texts themselves are not shuffled. A block ends after the
-text with which it reaches ``BLOCK_WORDS`` pre-tokens, or ``BLOCK_DISTINCT`` different ones; so a
-row exceeds these only by one text. Ranges are sampled by at most ``RANGE_CHARS`` characters of a
-pre-token, so that very long ones do not burden the driver.
+1. Frequent pre-tokens, found on a small sample of texts, get their counts first: at most
+   ``HEAD_WORDS`` of at most ``HEAD_CHARS`` characters, which bounds what is given to all tasks.
+2. One scan of all texts sums up the counts of frequent pre-tokens and puts out the others, as
+   (text's number, pre-token, times).
+3. These are cut into ranges of pre-tokens and sorted. A range is a part of one trie of all such
+   pre-tokens, and its order is that of a depth-first walk: going from one to the next, forward
+   scores of the common beginning stay and only the rest is computed. So each trie node of a range
+   is scored once, equal pre-tokens meet the count at their end, and a task holds one path. Counts
+   are then summed up over the texts.
+
+The sample steers what is shuffled and nothing else: any set of frequent pre-tokens, also none,
+gives the same counts. Texts are not shuffled. Ranges go by pre-token and text, so that a frequent
+pre-token which the sample missed is split; they are sampled by at most ``RANGE_CHARS`` characters
+of a pre-token, so that very long ones do not burden the driver.
 
 The vocabulary file gives pieces in order of merit but no probabilities, so piece number r has the
 score -ln(r + 3), a fixed rule. A character that is no piece costs one byte piece for each of its
@@ -35,31 +34,30 @@ counted each by itself; an empty table gives no rows; only the id and text colum
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
 from math import log
 from os.path import commonprefix
 
-import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from shopmart.llm.common import columns, pieces, slices, stored
 
 WORD_MARK = "▁"
-#: Pre-tokens, and different ones, with which a block is full.
-BLOCK_WORDS = 1 << 18
-BLOCK_DISTINCT = 50_000
+#: Texts of which frequent pre-tokens are taken, on average, and most such pre-tokens.
+SAMPLE_ROWS = 4000
+HEAD_WORDS = 1 << 17
+HEAD_CHARS = 64
 #: Characters of a pre-token that pick its range.
 RANGE_CHARS = 128
 
-_BLOCK = pa.schema([
-    ("block", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("sizes", pa.list_(pa.int64())),
-    ("codes", pa.binary()), ("words", pa.list_(pa.string())),
+_SCANNED = pa.schema([
+    ("place", pa.int64()), ("doc_id", pa.int64()), ("n_pre_tokens", pa.int64()), ("n_tokens", pa.int64()),
+    ("words", pa.list_(pa.string())), ("times", pa.list_(pa.int64())),
 ])
-_BLOCK_SCHEMA = "block long, doc_ids array<long>, sizes array<long>, codes binary, words array<string>"
-_COUNTS = pa.schema([("word", pa.string()), ("n", pa.int64())])
-_FOUND = pa.schema([("doc_id", pa.int64()), ("n_pre_tokens", pa.int64()), ("n_tokens", pa.int64())])
+_SCANNED_SCHEMA = "place long, doc_id long, n_pre_tokens long, n_tokens long, words array<string>, times array<long>"
 
 
 class Unigram:
@@ -80,6 +78,8 @@ class Walk:
         """Tokens of a pre-token; only nodes that the path does not hold already are scored."""
         scores, longest, unknown = self.unigram.scores, self.unigram.longest, self.unigram.unknown
         best, counts, text = self.best, self.counts, WORD_MARK + pre_token
+        if text == self.path:
+            return counts[-1]
         shared = len(commonprefix([self.path, text]))
         del best[shared + 1 :], counts[shared + 1 :]
         for i in range(shared + 1, len(text) + 1):
@@ -111,91 +111,82 @@ def vocabulary_path() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-class Numbers(dict):
-    """Numbers words from 0 as they are first asked for."""
+class Head(dict):
+    """Token counts of frequent pre-tokens; others count nothing and are noted with their number."""
 
-    def __missing__(self, word: str) -> int:
-        self[word] = number = len(self)
-        return number
+    def __init__(self, counts: dict[str, int]):
+        super().__init__(counts)
+        self.others: dict[str, int] = {}
 
+    def __missing__(self, pre_token: str) -> int:
+        self.others[pre_token] = self.others.get(pre_token, 0) + 1
+        return 0
 
-def _code_kind(n_words: int) -> str:
-    return "<u2" if n_words <= 1 << 16 else "<u4"
+    def count(self, text: str) -> tuple[int, int, list[str], list[int]]:
+        """Pre-tokens, tokens of the frequent ones, and the others with their number."""
+        self.others, words = {}, text.split()
+        tokens = sum(map(self.__getitem__, words))
+        return len(words), tokens, list(self.others), list(self.others.values())
 
 
-def coded(rows: Iterable[tuple[int | None, str | None]]) -> Iterator[tuple[list, list[int], bytes, list[str]]]:
-    """Blocks of texts: ids, pre-tokens of each, their numbers as bytes, and the words so numbered."""
-    ids, sizes, codes, numbers, held = [], [], [], Numbers(), 0
+def scanned(docs: DataFrame, head: Broadcast | None = None) -> DataFrame:
+    """place, doc_id, n_pre_tokens, n_tokens of frequent pre-tokens, words and times of the others.
 
-    def block() -> tuple[list, list[int], bytes, list[str]]:
-        kind = _code_kind(len(numbers))
-        return ids, sizes, b"".join(c.astype(kind).tobytes() for c in codes), list(numbers)
-
-    for doc_id, text in rows:
-        size = 0
-        for piece in pieces(text or ""):
-            words = piece.split()
-            codes.append(np.fromiter(map(numbers.__getitem__, words), "<u4", len(words)))
-            size += len(words)
-        ids.append(doc_id)
-        sizes.append(size)
-        held += size
-        if held >= BLOCK_WORDS or len(numbers) >= BLOCK_DISTINCT or len(ids) >= BLOCK_WORDS:
-            yield block()
-            ids, sizes, codes, numbers, held = [], [], [], Numbers(), 0
-    if ids:
-        yield block()
-
-
-def blocks_of(docs: DataFrame) -> DataFrame:
-    """Blocks of the texts of (doc_id, text), numbered by task and place in it."""
+    A long text has a row for each of its pieces, all with its place.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
+        counts = Head(head.value if head else {})
+        for rows in slices(batches):
+            texts = zip(*(c.to_pylist() for c in rows.columns), strict=True)
+            found = [(place, doc_id, *counts.count(piece)) for place, doc_id, text in texts for piece in pieces(text or "")]
+            arrays = [pa.array(x, t.type) for x, t in zip(zip(*found, strict=True), _SCANNED, strict=True)]
+            yield pa.RecordBatch.from_arrays(arrays, schema=_SCANNED)
+
+    placed = docs.select(F.monotonically_increasing_id().alias("place"), "doc_id", "text")
+    return placed.mapInArrow(run, _SCANNED_SCHEMA)
 
-        number = TaskContext.get().partitionId() << 32
-        texts = (pair for rows in slices(batches) for pair in zip(*(c.to_pylist() for c in rows.columns), strict=True))
-        for found in coded(texts):
-            row = [[number], *[[part] for part in found]]
-            yield pa.RecordBatch.from_arrays([pa.array(x, t.type) for x, t in zip(row, _BLOCK, strict=True)], schema=_BLOCK)
-            number += 1
 
-    return docs.mapInArrow(run, _BLOCK_SCHEMA)
+def pairs_of(rows: DataFrame) -> DataFrame:
+    """place, word and times of the pre-tokens that a scan put out."""
+    return rows.select("place", F.explode(F.arrays_zip("words", "times")).alias("x")).select("place", F.col("x.words").alias("word"), "x.times")
 
 
-def counted(words: DataFrame, path: str) -> DataFrame:
-    """word and its token count n, for distinct words: one walk over each range of the trie."""
+def walked(pairs: DataFrame, path: str) -> DataFrame:
+    """place, word, times and the word's token count n: one walk over each range of the trie."""
+    schema = pa.schema([("place", pa.int64()), ("word", pa.string()), ("times", pa.int64()), ("n", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         walk = Walk(load(path))
         for rows in slices(batches):
-            n = [walk.to(word) for word in rows.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(n, pa.int64())], schema=_COUNTS)
+            n = [walk.to(word) for word in rows.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.array(n, pa.int64())], schema=schema)
 
-    ranges = words.repartitionByRange(F.substring("word", 1, RANGE_CHARS)).sortWithinPartitions("word")
-    return ranges.mapInArrow(run, "word string, n long")
+    ranges = pairs.repartitionByRange(F.substring("word", 1, RANGE_CHARS), "place").sortWithinPartitions("word")
+    return ranges.mapInArrow(run, "place long, word string, times long, n long")
+
+
+def head_of(texts: DataFrame, path: str) -> dict[str, int]:
+    """Token counts of pre-tokens that are frequent in a sample of the texts."""
+    share = min(1.0, SAMPLE_ROWS / max(1, texts.count()))
+    seen = pairs_of(scanned(texts.sample(share, seed=11))).where(F.char_length("word") <= HEAD_CHARS)
+    counts = seen.groupBy("word").agg(F.sum("times").alias("times")).where("times > 1")
+    most = stored(counts.orderBy(F.desc("times"), "word").limit(HEAD_WORDS), "head")
+    found = walked(most.select(F.lit(0).cast("long").alias("place"), "word", "times"), path)
+    return {word: n for word, n in found.select("word", "n").collect()}
 
 
 def count_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, n_pre_tokens and n_tokens of every text."""
-    blocks = stored(blocks_of(columns(docs, id_col, text_col)), "blocks")
-    counts = stored(counted(blocks.select(F.explode("words").alias("word")).distinct(), path), "counts")
-    # At most a block's different words are gathered in a row.
-    listed = blocks.select("block", F.posexplode("words").alias("at", "word")).join(counts, "word")
-    in_order = F.sort_array(F.collect_list(F.struct("at", "n")))
-    tokens = listed.groupBy("block").agg(F.transform(in_order, lambda x: x["n"]).alias("tokens"))
-    met = blocks.drop("words").join(tokens, "block", "left").select("doc_ids", "sizes", "codes", "tokens")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for n in range(batch.num_rows):
-                ids, sizes, codes, per_word = (column[n] for column in batch.columns)
-                per_word = per_word.values.to_numpy() if per_word.is_valid else np.zeros(0, "i8")
-                numbers = np.frombuffer(codes.as_py(), _code_kind(len(per_word)))
-                sizes = sizes.values.to_numpy()
-                ends = np.cumsum(sizes)
-                before = np.concatenate([[0], np.cumsum(per_word[numbers])])
-                sums = before[ends] - before[ends - sizes]
-                yield pa.RecordBatch.from_arrays([ids.values, pa.array(sizes), pa.array(sums, pa.int64())], schema=_FOUND)
-
-    return met.mapInArrow(run, "doc_id long, n_pre_tokens long, n_tokens long")
+    texts = columns(docs, id_col, text_col)
+    head = docs.sparkSession.sparkContext.broadcast(head_of(texts, path))
+    rows = stored(scanned(texts, head), "scanned")
+    rest = walked(pairs_of(rows), path).select(
+        "place", F.lit(None).cast("long").alias("doc_id"), F.lit(0).cast("long").alias("n_pre_tokens"),
+        (F.col("times") * F.col("n")).alias("n_tokens"),
+    )
+    both = rows.select("place", "doc_id", "n_pre_tokens", "n_tokens").unionByName(rest)
+    sums = both.groupBy("place").agg(
+        F.max("doc_id").alias("doc_id"), F.sum("n_pre_tokens").alias("n_pre_tokens"), F.sum("n_tokens").alias("n_tokens")
+    )
+    return sums.drop("place")

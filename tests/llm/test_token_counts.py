@@ -2,8 +2,8 @@ from __future__ import annotations
 
 import random
 from collections import Counter
-from os.path import commonprefix
 
+from pyspark.sql import functions as F
 from text_cases import documents, empty, frame_of
 
 from shopmart.llm import token_counts
@@ -44,15 +44,39 @@ def test_only_empty_texts(spark):
     assert Counter(map(tuple, found.collect())) == Counter([(1, 0, 0), (None, 0, 0), (1, 0, 0)])
 
 
-def test_small_blocks_and_pieces_change_nothing(spark, monkeypatch):
-    """Blocks end inside a partition and long texts are read in pieces; ids repeat across blocks."""
-    monkeypatch.setattr(token_counts, "BLOCK_WORDS", 50)
+def mixed_rows():
     draw = random.Random(5)
-    words = ["".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 6))) for _ in range(300)]
-    rows = [(i % 40, " ".join(draw.choices(words, k=draw.randint(0, 60))), "en", "a", None) for i in range(120)]
-    unigram = token_counts.load(PATH)
-    found = token_counts.count_tokens(frame_of(spark, rows), PATH)
-    assert Counter(map(tuple, found.collect())) == Counter((d, *plain(t, unigram)) for d, t, *_ in rows)
+    words = ["".join(draw.choice("abcdeé") for _ in range(draw.randint(1, 6))) for _ in range(300)] + ["w" * 200]
+    return [(i % 40, " ".join(draw.choices(words, k=draw.randint(0, 60))), "en", "a", None) for i in range(120)]
+
+
+def test_head_and_pieces_change_nothing(spark, monkeypatch):
+    """Whatever the sample finds frequent, and however texts are cut, the counts are the same."""
+    rows, unigram = mixed_rows(), token_counts.load(PATH)
+    expected = Counter((d, *plain(t, unigram)) for d, t, *_ in rows)
+    for name, value in [("SAMPLE_ROWS", 4000), ("SAMPLE_ROWS", 3), ("HEAD_WORDS", 5), ("HEAD_CHARS", 1)]:
+        monkeypatch.setattr(token_counts, name, value)
+        found = token_counts.count_tokens(frame_of(spark, rows), PATH)
+        assert Counter(map(tuple, found.collect())) == expected
+    monkeypatch.setattr(token_counts, "pieces", lambda text: text.split(" "))
+    texts = token_counts.columns(frame_of(spark, rows), "doc_id", "text")
+    cut = token_counts.scanned(texts).groupBy("place").sum("n_pre_tokens").collect()
+    assert sorted(r[1] for r in cut) == sorted(len(t.split()) for _, t, *_ in rows)
+
+
+def test_head_is_bounded(spark, monkeypatch):
+    monkeypatch.setattr(token_counts, "HEAD_WORDS", 7)
+    monkeypatch.setattr(token_counts, "HEAD_CHARS", 3)
+    rows = mixed_rows()
+    head = token_counts.head_of(token_counts.columns(frame_of(spark, rows), "doc_id", "text"), PATH)
+    often = Counter(w for _, t, *_ in rows for w in t.split() if len(w) <= 3)
+    assert set(head) == set(sorted(often, key=lambda w: (-often[w], w.encode()))[:7])
+
+
+def test_others_are_noted():
+    head = token_counts.Head({"a": 1, "b": 2})
+    assert head.count("a b c a c d") == (6, 4, ["c", "d"], [2, 1])
+    assert head.count("") == (0, 0, [], []) and set(head) == {"a", "b"}
 
 
 def test_shared_beginnings_are_scored_once():
@@ -73,26 +97,15 @@ def test_walk_in_any_order():
     assert [walk.to(w) for w in ["ab", "ab", "b", "abab", ""]] == [plain(w, unigram)[1] if w else 3 for w in ["ab", "ab", "b", "abab", ""]]
 
 
-def test_ranges_hold_each_pre_token_once(spark):
-    """Every range is a sorted part of the trie, also where all pre-tokens begin alike."""
-    from pyspark.sql import functions as F
-
-    words = spark.range(2000).select(F.concat(F.lit("http://a.example/"), "id").alias("word"))
-    found = token_counts.counted(words, PATH).withColumn("part", F.spark_partition_id()).collect()
-    assert len({r.word for r in found}) == len(found) == 2000
+def test_ranges_are_parts_of_the_trie(spark):
+    """Also where all pre-tokens begin alike, and where one of them has most of the rows."""
+    word = F.when(F.col("id") % 3 == 0, "http://a.example/").otherwise(F.concat(F.lit("http://a.example/"), "id"))
+    pairs = spark.range(6000).select(F.col("id").alias("place"), word.alias("word"), F.lit(2).cast("long").alias("times"))
+    found = token_counts.walked(pairs, PATH).withColumn("part", F.spark_partition_id()).collect()
+    unigram = token_counts.load(PATH)
+    assert sorted(r.place for r in found) == list(range(6000))
+    assert all(r.n == plain(r.word, unigram)[1] for r in found[::50])
     by_part: dict[int, list[str]] = {}
     for r in found:
         by_part.setdefault(r.part, []).append(r.word)
     assert all(part == sorted(part) for part in by_part.values())
-    assert commonprefix([r.word for r in found]) == "http://a.example/"
-
-
-def test_blocks_are_bounded(monkeypatch):
-    monkeypatch.setattr(token_counts, "BLOCK_WORDS", 6)
-    monkeypatch.setattr(token_counts, "BLOCK_DISTINCT", 3)
-    texts = ["a b", "c d", None, "a a a a a a a", "a a", "b"]
-    blocks = list(token_counts.coded(enumerate(texts)))
-    assert [ids for ids, *_ in blocks] == [[0, 1], [2, 3], [4, 5]]
-    assert [words for *_, words in blocks] == [["a", "b", "c", "d"], ["a"], ["a", "b"]]
-    monkeypatch.setattr(token_counts, "_code_kind", lambda n: "<u4")
-    assert all(len(codes) == 4 * sum(sizes) for _, sizes, codes, _ in token_counts.coded(enumerate(texts)))
