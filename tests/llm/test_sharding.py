@@ -45,6 +45,29 @@ def test_mixture_and_ranges(spark, monkeypatch, range_rows):
     assert sorted(map(tuple, rows), key=str) != sorted(map(tuple, other), key=str)
 
 
+def test_many_equal_rows(spark, monkeypatch):
+    """A third of the rows are copies without an id; they spread over shards like any others."""
+    monkeypatch.setattr(sharding, "RANGE_ROWS", 16)
+    monkeypatch.setattr(sharding, "COPIES_TOGETHER", 50)
+    docs = spark.range(900).selectExpr(
+        "IF(id % 3 = 0, NULL, id) AS doc_id", "IF(id % 3 = 0, 'copy', CAST(id AS STRING)) AS text",
+        "IF(id % 3 = 0 OR id % 2 = 0, 'big', 'small') AS source",
+    )
+    rows = sharding.assign(docs, shards=6).collect()
+    check(rows, 6)
+    copies = Counter(r.shard for r in rows if r.doc_id is None)
+    assert sum(copies.values()) == 300 and all(30 <= copies[s] <= 70 for s in range(6))
+    again = sharding.assign(docs.repartition(3), shards=6).collect()
+    assert sorted(map(tuple, rows), key=str) == sorted(map(tuple, again), key=str)
+
+
+def test_copies_are_numbered(spark, monkeypatch):
+    monkeypatch.setattr(sharding, "COPIES_TOGETHER", 4)
+    groups = spark.createDataFrame([(1, "a", 8, 0, 1), (2, None, 8, 0, 4), (None, "a", 8, 0, 11)], "doc_id long, source string, size long, text_crc32 long, copies long")
+    found = Counter((r.doc_id, r["copy"]) for r in sharding.numbered_copies(groups).collect())
+    assert found == Counter([(1, 0), *((2, i) for i in range(4)), *((None, i) for i in range(11))])
+
+
 def test_order_is_that_of_fractional_ranks(spark, monkeypatch):
     """Within the whole order a source's k-th row lies at (k + 1/2) / size."""
     monkeypatch.setattr(sharding, "RANGE_ROWS", 16)
