@@ -17,7 +17,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from pyspark.sql.types import DataType, LongType, StructField, StructType
 
-from shopmart.session import scratch_dir
+from shopmart.session import scratch_dir, scratch_scope
 
 #: Rows of a range that Spark's running row id can number.
 _PLACES = (1 << 33) - 1
@@ -65,7 +65,8 @@ def extend(members: DataFrame, natural: str, path: str) -> DataFrame:
     found = members.select(F.col(natural).alias("natural_key")).where("natural_key IS NOT NULL").distinct()
     new = found.join(known, "natural_key", "left_anti")
     greatest = known.agg(F.coalesce(F.max("surrogate_key"), F.lit(0))).first()[0]
-    numbered(new, greatest + 1).write.mode("append").parquet(path)
+    with scratch_scope(spark):
+        numbered(new, greatest + 1).write.mode("append").parquet(path)
     return read_map(spark, path, kind)
 
 

@@ -22,7 +22,7 @@ from shopmart.functions.scalars import column_name
 from shopmart.operators import keymap
 from shopmart.plans import gold, silver
 from shopmart.plans.hot import HotKeys
-from shopmart.session import scratch_dir
+from shopmart.session import scratch_dir, scratch_scope
 from shopmart.sources import tables
 
 DIGESTS = "order_digests"
@@ -122,13 +122,21 @@ def run(spark: SparkSession, silver_path: str, gold_path: str, maps_path: str |
     The first run builds everything. With ``maps_path`` surrogate keys are the dense numbers of a
     kept map, otherwise CRC-32 as in ``gold.run``.
     """
+    # The months are given back as a frame, so they outlive the scope of all else.
+    months_path = scratch_dir(spark, "months")
+    with scratch_scope(spark):
+        return _run(spark, silver_path, gold_path, maps_path, months_path)
+
+
+def _run(spark: SparkSession, silver_path: str, gold_path: str, maps_path: str | None, months_path: str) -> DataFrame:
     cleaned = silver.read_cleaned(spark, silver_path)
     fresh = mapped_dimensions(cleaned, maps_path) if maps_path else gold.build_dimensions(cleaned, crc32_key)
     work = scratch_dir(spark, "incremental")
 
     def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{work}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{work}/{name}")
+        path = name if name == months_path else f"{work}/{name}"
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
 
     dimensions = {name: stored(df, name) for name, df in fresh.items()}
     digests = stored(order_digests(cleaned), "digests")
@@ -136,7 +144,7 @@ def run(spark: SparkSession, silver_path: str, gold_path: str, maps_path: str |
     kept = spark.createDataFrame([], _DIGEST_SCHEMA) if first else spark.read.schema(_DIGEST_SCHEMA).parquet(f"{gold_path}/{DIGESTS}")
     before = {name: df.limit(0) if first else tables.read_parquet(spark, f"{gold_path}/{name}") for name, df in dimensions.items()}
     members = {name: stored(changed_members(before[name], dimensions[name], name), f"members-{name}") for name in dimensions}
-    months = stored(touched_months(kept, digests, cleaned, members), "months")
+    months = stored(touched_months(kept, digests, cleaned, members), months_path)
 
     orders = _of_months(cleaned["orders"].selectExpr("*", "year(order_date) AS year", "month(order_date) AS month"), months)
     orders = stored(orders.drop(*_PERIOD), "orders")

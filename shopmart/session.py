@@ -4,10 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import cache
 
 from pyspark.sql import SparkSession
 
+from shopmart.sources import tables
+
 # Adaptive execution sizes shuffles, switches join strategies on measured sizes and
 # splits skewed join partitions; all of it is per session, so a cluster may override it.
 SESSION_CONF = {
@@ -40,15 +45,41 @@ def _local_scratch() -> str:
     return tempfile.mkdtemp(prefix="shopmart-")
 
 
+#: Scratch folders made in the innermost open scope of this thread.
+_made: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """Return a fresh folder path for intermediate tables and stream checkpoints.
 
     It lies below ``spark.checkpoint.dir``, which a cluster points at storage that every
-    executor can reach. Only a local session without that setting gets a temporary folder.
+    executor can reach. Only a local session without that setting gets a temporary folder; executors
+    of a local cluster are processes of their own and need the setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
+        if spark.sparkContext.master.split("[")[0] != "local":
             raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
         base = _local_scratch()
-    return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    path = f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    made = _made.get()
+    if made is not None:
+        made.append(path)
+    return path
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Delete, when the block ends, the scratch folders that this thread made in it.
+
+    Frames that read them must have been written or collected by then. Also a block that fails frees
+    its folders; those of a driver that dies are left to the lifetime of the shared folder.
+    """
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(token)
+        for path in made:
+            tables.remove(spark, path)

@@ -11,7 +11,7 @@ from conftest import HASH_KEY, SMALL, only, rows
 from shopmart.operators import contracts
 from shopmart.plans import bronze, gold, marts, quality, silver
 from shopmart.schemas import CLEANED, RAW
-from shopmart.session import scratch_dir
+from shopmart.session import scratch_dir, scratch_scope
 from shopmart.sources import retail, tables
 
 
@@ -78,6 +78,26 @@ def test_scratch_folder_lies_below_the_checkpoint_setting():
     assert scratch_dir(Session("local[2]"), "x") != scratch_dir(Session("local[2]"), "x")
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         scratch_dir(Session("yarn"), "x")
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        scratch_dir(Session("local-cluster[2,1,1024]"), "x")
+
+
+def test_scratch_is_freed_with_its_scope(spark):
+    """Inner scopes free their own, failing ones too; what was made outside stays."""
+    def made(label):
+        path = scratch_dir(spark, label)
+        spark.range(1).write.parquet(path)
+        return path
+
+    outside = made("outside")
+    with scratch_scope(spark):
+        outer = made("outer")
+        with pytest.raises(RuntimeError), scratch_scope(spark):
+            inner, never_written = made("inner"), scratch_dir(spark, "never")
+            raise RuntimeError
+        assert tables.exists(spark, outer) and not tables.exists(spark, inner)
+    after = made("after")
+    assert [tables.exists(spark, p) for p in (outside, outer, never_written, after)] == [True, False, False, True]
 
 
 @pytest.fixture(scope="module")
