@@ -11,6 +11,7 @@ from pyspark.sql.types import NumericType
 
 from shopmart.functions.scalars import column_name, is_missing, lenient_number, text_literal
 from shopmart.operators.quantiles import bracket_sketch, exact_quantiles
+from shopmart.session import scratch_scope
 
 
 def aggregate(df: DataFrame, expressions: Sequence[str]) -> DataFrame:
@@ -103,7 +104,8 @@ def numeric_summary(df: DataFrame, columns: Sequence[str] | None = None) -> Data
     moments = aggregate(numbers, [f"array({measures}) AS m"]).selectExpr("inline(m)").collect()
     spans = {m["column_name"]: (m["count"], m["min"], m["max"]) for m in moments}
     brackets = {m["column_name"]: list(zip(m["around"][::2], m["around"][1::2], strict=True)) for m in moments if m["around"]}
-    quartiles = exact_quantiles(numbers, spans, QUARTILES, brackets)
+    with scratch_scope(df.sparkSession):
+        quartiles = exact_quantiles(numbers, spans, QUARTILES, brackets)
     return df.sparkSession.createDataFrame(
         [
             (m["column_name"], m["count"], m["mean"], m["std"], m["min"], *quartiles[m["column_name"]], m["max"])

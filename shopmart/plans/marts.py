@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmart.functions.scalars import cents
 from shopmart.operators.scan import running, segment_count
 from shopmart.operators.skew import detail_join, lookup_join
 from shopmart.plans.hot import NO_HOT_KEYS, HotKeys
+from shopmart.session import scratch_scope
 from shopmart.sources import tables
 
 # Partition columns of each mart on disk.
@@ -101,6 +102,11 @@ def build_all(cleaned: dict[str, DataFrame], hot: HotKeys = NO_HOT_KEYS, segment
 def write_all(cleaned: dict[str, DataFrame], path: str) -> None:
     """Write the marts; revenue is computed from the two enriched tables as written."""
     spark = cleaned["orders"].sparkSession
+    with scratch_scope(spark):
+        _write_all(spark, cleaned, path)
+
+
+def _write_all(spark: SparkSession, cleaned: dict[str, DataFrame], path: str) -> None:
     hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
     # Row counts of stored tables come from file footers.
     marts = build_all(cleaned, hot, segment_count(cleaned["orders"].count()))
