@@ -337,9 +337,18 @@ EARLIER = {
 def _incremental_gold(spark: SparkSession, sf_dir: str, maps: bool) -> tuple[str, dict[str, DataFrame]]:
     """Gold after a first run on earlier Silver tables and a second on the present ones."""
     path, cleaned = scratch_dir(spark, "lake"), _clean(spark, sf_dir, *EARLIER)
+
+    def deliver(name: str) -> None:
+        """Clean a table once: store it for the second run, and what it was before for the first."""
+        tables.write_parquet(cleaned[name], f"{path}/next/{name}")
+        stored = tables.read_parquet(spark, f"{path}/next/{name}")
+        tables.write_parquet(EARLIER[name](stored), f"{path}/silver/cleaned/{name}")
+
+    tables.each(spark, EARLIER, deliver)
     for earlier in (True, False):
-        for name, df in cleaned.items():
-            tables.write_parquet(EARLIER[name](df) if earlier else df, f"{path}/silver/cleaned/{name}")
+        if not earlier:
+            for name in EARLIER:
+                tables.replace(spark, f"{path}/next/{name}", f"{path}/silver/cleaned/{name}")
         incremental.run(spark, f"{path}/silver", f"{path}/gold", f"{path}/maps" if maps else None)
     return path, gold.read_star(spark, f"{path}/gold")
 

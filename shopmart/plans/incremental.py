@@ -58,14 +58,18 @@ def changed_members(old: DataFrame, new: DataFrame, table: str) -> DataFrame:
     return before.join(after, "member", "full").where("NOT (a <=> b)").select("member").distinct()
 
 
-def touched_months(
-    kept: DataFrame, digests: DataFrame, cleaned: dict[str, DataFrame], members: dict[str, DataFrame]
-) -> DataFrame:
-    """(year, month) of orders that differ, before and after, and of orders whose members changed."""
+def differing_months(kept: DataFrame, digests: DataFrame) -> DataFrame:
+    """(year, month) of orders that came, went, moved or changed, before and after."""
     a, b = kept.alias("a"), digests.alias("b")
     same = " AND ".join(f"a.{c} <=> b.{c}" for c in ("hashes", "low_sum", "row_count"))
     differ = a.join(b, F.expr("a.order_id = b.order_id"), "full").where(f"NOT ({same})")
     periods = [differ.where(f"{side}.order_id IS NOT NULL").selectExpr(f"{side}.year", f"{side}.month") for side in "ab"]
+    return reduce(DataFrame.union, periods).distinct()
+
+
+def member_months(digests: DataFrame, cleaned: dict[str, DataFrame], members: dict[str, DataFrame]) -> DataFrame:
+    """(year, month) of those of the orders in ``digests`` whose members changed."""
+    periods = []
     orders, items = cleaned["orders"], cleaned["order_items"]
     by_member = [
         (orders, "customer_id", "dim_clientes"), (orders.withColumn("day", F.to_date("order_date")), "day", "dim_tempo"),
@@ -77,10 +81,10 @@ def touched_months(
     return reduce(DataFrame.union, periods).distinct()
 
 
-def _of_months(rows: DataFrame, months: DataFrame) -> DataFrame:
-    """Rows of the months, the missing month included."""
+def _of_months(rows: DataFrame, months: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows of the months, the missing month included; or of all others ("left_anti")."""
     wanted = months.selectExpr("year AS y", "month AS m")
-    return rows.join(wanted, F.expr("year <=> y AND month <=> m"), "left_semi")
+    return rows.join(wanted, F.expr("year <=> y AND month <=> m"), how)
 
 
 def _remove_partitions(spark: SparkSession, path: str, months: list) -> None:
@@ -91,7 +95,10 @@ def _remove_partitions(spark: SparkSession, path: str, months: list) -> None:
 
 
 def replace_months(df: DataFrame, path: str, months: DataFrame) -> None:
-    """Write the months' rows in place of those at ``path``; months is a stored table."""
+    """Write the months' rows in place of those at ``path``; months is a stored table.
+
+    The months of a plan of left joins follow from its left side alone, so Catalyst drops the joins there.
+    """
     tables.write_parquet(df, path, _PERIOD, only_touched_partitions=True)
     written = df.select(*_PERIOD).distinct().selectExpr("year AS y", "month AS m")
     # A few hundred months, which are folders to remove, and not rows.
@@ -140,19 +147,36 @@ def _run(spark: SparkSession, silver_path: str, gold_path: str, maps_path: str |
 
     dimensions = {name: stored(df, name) for name, df in fresh.items()}
     digests = stored(order_digests(cleaned), "digests")
-    first = not tables.exists(spark, f"{gold_path}/{DIGESTS}")
-    kept = spark.createDataFrame([], _DIGEST_SCHEMA) if first else spark.read.schema(_DIGEST_SCHEMA).parquet(f"{gold_path}/{DIGESTS}")
-    before = {name: df.limit(0) if first else tables.read_parquet(spark, f"{gold_path}/{name}") for name, df in dimensions.items()}
-    members = {name: stored(changed_members(before[name], dimensions[name], name), f"members-{name}") for name in dimensions}
-    months = stored(touched_months(kept, digests, cleaned, members), months_path)
+    if not tables.exists(spark, f"{gold_path}/{DIGESTS}"):
+        months = stored(digests.select(*_PERIOD).distinct(), months_path)
+    else:
+        kept = spark.read.schema(_DIGEST_SCHEMA).parquet(f"{gold_path}/{DIGESTS}")
+        differ = stored(differing_months(kept, digests), "differ")
+        # Members need a look only for orders of months that no differing order touches.
+        quiet = _of_months(digests, differ, "left_anti")
+        found = differ
+        if not quiet.isEmpty():
+            before = {name: tables.read_parquet(spark, f"{gold_path}/{name}") for name in dimensions}
+            members = {name: stored(changed_members(before[name], dimensions[name], name), f"members-{name}") for name in dimensions}
+            found = differ.union(member_months(quiet, cleaned, members)).distinct()
+        months = stored(found, months_path)
 
     orders = _of_months(cleaned["orders"].selectExpr("*", "year(order_date) AS year", "month(order_date) AS month"), months)
-    orders = stored(orders.drop(*_PERIOD), "orders")
-    ids = orders.select("order_id")
-    parts = {name: stored(cleaned[name].join(ids, "order_id", "left_semi"), name) for name in ("order_items", "payments")}
-    hot = HotKeys.detect(orders, parts["order_items"], parts["payments"])
+    orders, parts = orders.drop(*_PERIOD), {name: cleaned[name] for name in ("order_items", "payments")}
+    # The fact's joins on the order drop rows of other orders. Sorting these out before costs a shuffle and a
+    # copy of the rest, which pays only where most orders are left alone.
+    if 2 * _of_months(digests, months).count() < digests.count():
+        orders = stored(orders, "orders")
+        ids = orders.select("order_id")
+        parts = {name: stored(df.join(ids, "order_id", "left_semi"), name) for name, df in parts.items()}
+        hot = HotKeys.detect(orders, parts["order_items"], parts["payments"])
+    else:
+        hot = HotKeys.detect(cleaned["orders"], parts["order_items"], parts["payments"])
     fact = gold.build_fato_pedidos(orders, parts["order_items"], parts["payments"], **dimensions, hot=hot)
-    replace_months(stored(fact, "fact"), f"{gold_path}/fato_pedidos", months)
+    if hot.item_orders or hot.payment_orders:
+        # Salted joins multiply the left side: its months are read from the fact as stored.
+        fact = stored(fact, "fact")
+    replace_months(fact, f"{gold_path}/fato_pedidos", months)
     for name, df in dimensions.items():
         tables.write_parquet(df, f"{gold_path}/{name}")
     replace_months(_of_months(digests, months), f"{gold_path}/{DIGESTS}", months)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import random
+from contextlib import nullcontext
 from datetime import datetime
 
 import pytest
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from conftest import SMALL, plan_of, rows
 from shopmart.operators import keymap, states
 from shopmart.plans import gold, incremental
+from shopmart.plans.hot import HotKeys
 from shopmart.plans.silver import read_cleaned
 from shopmart.schemas import CLEANED, FACT_COLUMNS
 from shopmart.sources import tables
@@ -195,3 +197,50 @@ def test_periods_are_counted_without_the_fact(spark, tmp_path):
     counted = states.counted(spark.read.parquet(path), ["category"], "n")
     assert counted.first()["n"] == facts.where("who > 0").select("who").distinct().count()
     assert "orders.parquet" not in plan_of(counted)
+
+
+def scratch_of(monkeypatch, tmp_path, name):
+    """Keep what runs store for themselves, below a known folder."""
+    monkeypatch.setattr(incremental, "scratch_scope", lambda _: nullcontext())
+    monkeypatch.setattr(incremental, "scratch_dir", lambda _, label: str(tmp_path / name / label))
+    return tmp_path / name / "incremental"
+
+
+def test_a_run_of_all_months_stores_no_copy_of_silver_or_the_fact(spark, tmp_path, monkeypatch):
+    source, kept = str(tmp_path / "silver"), str(tmp_path / "gold")
+    copies = {"orders", "order_items", "payments", "fact", "members-dim_clientes"}
+    changed = {"orders": [(*r[:3], "returned", *r[4:]) for r in ORDERS]}
+    monkeypatch.setattr(HotKeys, "detect", staticmethod(lambda *_: HotKeys()))
+    for name, rows_ in (("first", {}), ("all", changed)):
+        silver(spark, source, rows_)
+        work = scratch_of(monkeypatch, tmp_path, name)
+        assert incremental.run(spark, source, kept).count() == 6
+        assert not copies & set(os.listdir(work))
+    # Where few months are touched, rows of the others are still sorted out first.
+    silver(spark, source, {"orders": [*changed["orders"][1:], (*ORDERS[0][:3], "lost", *ORDERS[0][4:])]})
+    work = scratch_of(monkeypatch, tmp_path, "few")
+    assert [r["month"] for r in incremental.run(spark, source, kept).collect()] == [1]
+    assert {"orders", "order_items", "payments"} <= set(os.listdir(work))
+    assert tables.read_parquet(spark, f"{work}/order_items").count() == 6
+
+
+@pytest.mark.parametrize("hot", [HotKeys(), HotKeys(item_orders=(10, 11), payment_orders=(10,), item_products=(2,), order_customers=("bob",))])
+def test_repeated_and_missing_ids_are_as_in_a_full_rebuild(spark, tmp_path, monkeypatch, hot):
+    source, kept = str(tmp_path / "silver"), str(tmp_path / "gold")
+    monkeypatch.setattr(HotKeys, "detect", staticmethod(lambda *_: hot))
+    silver(spark, source, {
+        "orders": [*ORDERS, ORDERS[0], (None, "bob", moment(2), "pending", 1.0, 1.0, "web"), (99, None, None, "pending", 1.0, 1.0, None)],
+        "order_items": [*BASE["order_items"], BASE["order_items"][0], (None, None, None, 1, 1.0, 0.0, 1.0), (5, 5000, 1, 1, 1.0, 0.0, 1.0)],
+        "payments": [*BASE["payments"], *BASE["payments"][:1], (None, None, "pix", None, None, None)],
+    })
+    incremental.run(spark, source, kept)
+    full = gold.build_star(read_cleaned(spark, source))["fato_pedidos"]
+    assert rows(tables.read_parquet(spark, f"{kept}/fato_pedidos").select(*full.columns)) == rows(full)
+
+
+def test_months_of_the_fact_are_read_from_the_orders_alone(spark, tmp_path):
+    source = str(tmp_path / "silver")
+    silver(spark, source)
+    months = gold.build_star(read_cleaned(spark, source))["fato_pedidos"].select("year", "month").distinct()
+    plan = plan_of(months)
+    assert "Join" not in plan and "cleaned/order_items" not in plan and months.count() == 6
