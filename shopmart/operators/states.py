@@ -16,9 +16,13 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 def distinct_states(rows: DataFrame, cell: Sequence[str], key: str) -> DataFrame:
     """The cell's columns, bucket and members: one bitmap for each cell and range of keys. Keys are positive."""
-    return rows.where(f"{key} > 0").groupBy(*cell, F.bitmap_bucket_number(F.col(key)).alias("bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position(F.col(key))).alias("members")
+    numbers = rows.where(f"{key} > 0").select(
+        *cell, F.bitmap_bucket_number(F.col(key)).alias("bucket"), F.bitmap_bit_position(F.col(key)).alias("_bit")
     )
+    # Members are made distinct and brought together as plain numbers: bitmaps that each task begins for
+    # itself would be 4 KB for about every row, once a table has more cells and ranges than a task has rows.
+    together = numbers.distinct().repartition(*cell, "bucket")
+    return together.groupBy(*cell, "bucket").agg(F.bitmap_construct_agg("_bit").alias("members"))
 
 
 def merged(states: DataFrame, cell: Sequence[Column | str]) -> DataFrame:

@@ -244,3 +244,14 @@ def test_months_of_the_fact_are_read_from_the_orders_alone(spark, tmp_path):
     months = gold.build_star(read_cleaned(spark, source))["fato_pedidos"].select("year", "month").distinct()
     plan = plan_of(months)
     assert "Join" not in plan and "cleaned/order_items" not in plan and months.count() == 6
+
+
+def test_states_begin_one_bitmap_for_each_cell_and_range(spark):
+    """Tasks hand on members as numbers; no task starts bitmaps of its own for cells that others hold too."""
+    facts = spark.range(0, 4000, 1, 8).selectExpr("CAST(id % 3 AS INT) AS month", "if(id % 2 = 0, 'a', NULL) AS category", "id % 500 * 999 AS who")
+    cells = states.distinct_states(facts, ["month", "category"], "who")
+    partial = plan_of(cells).split("partial_bitmap_construct_agg", 1)
+    assert "Exchange" in partial[1] and "Exchange" not in partial[0]
+    assert cells.count() == cells.select("month", "category", "bucket").distinct().count()
+    counted = {r["month"]: r["n"] for r in states.counted(cells, ["month"], "n").collect()}
+    assert counted == {m: len({i % 500 for i in range(m, 4000, 3)} - {0}) for m in range(3)}
