@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from shopmart.functions.scalars import cents
-from shopmart.operators.scan import running, segment_count
-from shopmart.operators.skew import detail_join, lookup_join
+from shopmart.operators.scan import SEGMENT_ROWS, running, segment_count
+from shopmart.operators.skew import HOT_SHARE, detail_join, lookup_join
 from shopmart.plans.hot import NO_HOT_KEYS, HotKeys
 from shopmart.session import scratch_scope
 from shopmart.sources import tables
@@ -99,6 +99,14 @@ def build_all(cleaned: dict[str, DataFrame], hot: HotKeys = NO_HOT_KEYS, segment
     }
 
 
+def spend_segments(rows: int, hot: HotKeys) -> int:
+    """Segments for ``customer_spend``: one while no customer's orders, as measured, outgrow a segment.
+
+    A plain window shuffles the orders once; segments shuffle them twice and store a copy.
+    """
+    return 1 if not hot.order_customers and rows * HOT_SHARE <= SEGMENT_ROWS else segment_count(rows)
+
+
 def write_all(cleaned: dict[str, DataFrame], path: str) -> None:
     """Write the marts; revenue is computed from the two enriched tables as written."""
     spark = cleaned["orders"].sparkSession
@@ -109,7 +117,7 @@ def write_all(cleaned: dict[str, DataFrame], path: str) -> None:
 def _write_all(spark: SparkSession, cleaned: dict[str, DataFrame], path: str) -> None:
     hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
     # Row counts of stored tables come from file footers.
-    marts = build_all(cleaned, hot, segment_count(cleaned["orders"].count()))
+    marts = build_all(cleaned, hot, spend_segments(cleaned["orders"].count(), hot))
 
     def store(name: str) -> None:
         tables.write_parquet(marts[name], f"{path}/{name}", PARTITIONS[name])

@@ -10,7 +10,10 @@ import pytest
 from conftest import plan_of, rows
 from shopmart.operators import scan
 from shopmart.plans import marts
+from shopmart.plans.hot import HotKeys
+from shopmart.schemas import CLEANED
 
+segmented = scan.with_segments
 SCHEMA = "customer_id STRING, order_id BIGINT, order_date TIMESTAMP, total_amount DOUBLE"
 
 
@@ -78,3 +81,21 @@ def test_segment_numbers_are_stored(spark, frame):
 
 def test_segment_count():
     assert [scan.segment_count(n) for n in (0, 1, 2_000_000, 2_000_001, 10**10)] == [1, 1, 1, 2, 5000]
+
+
+def test_spend_is_segmented_only_for_customers_that_outgrow_a_segment(spark, frame, tmp_path, monkeypatch):
+    """No customer is hot and a hundredth of the orders fits a segment: one shuffle and no stored copy, however many orders."""
+    assert [marts.spend_segments(n, HotKeys()) for n in (0, 9_000_000, 200_000_000, 200_000_001)] == [1, 1, 1, 101]
+    assert [marts.spend_segments(n, HotKeys(order_customers=("hot",))) for n in (1_000_000, 9_000_000)] == [1, 5]
+    cleaned = {name: frame([], schema) for name, schema in CLEANED.items()}
+    cleaned["orders"] = spark.range(400).selectExpr(
+        "id AS order_id", "CAST(id % 200 AS STRING) AS customer_id", "TIMESTAMP '2024-01-01' AS order_date",
+        "'delivered' AS status", "CAST(id AS DOUBLE) AS total_amount", "1D AS shipping_fee", "'web' AS channel",
+    )
+    made = []
+    monkeypatch.setattr(marts, "segment_count", lambda rows: 5)
+    monkeypatch.setattr(scan, "with_segments", lambda *a: made.append(a) or segmented(*a))
+    marts.write_all(cleaned, str(tmp_path))
+    assert not made
+    found = spark.read.parquet(f"{tmp_path}/customer_spend")
+    assert rows(found) == rows(marts.customer_spend(cleaned["orders"]))
