@@ -35,7 +35,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from shopmart.llm import bpe
-from shopmart.llm.common import columns, pieces, slices
+from shopmart.llm.common import columns, pieces, releasing, slices
 
 WINDOW = 4096
 END_ID = 2
@@ -175,7 +175,7 @@ def pack(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "te
         if found := stream.finish():
             yield _batch(found)
 
-    return columns(docs, id_col, text_col).mapInArrow(run, SCHEMA)
+    return columns(docs, id_col, text_col).mapInArrow(releasing(run), SCHEMA)
 
 
 def _batch(found: list[tuple]) -> pa.RecordBatch:

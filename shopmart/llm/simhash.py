@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shopmart.llm.common import columns, pieces, slices, stored
+from shopmart.llm.common import columns, pieces, releasing, slices, stored
 
 SEED = 42
 SHINGLE_WORDS = 4
@@ -91,7 +91,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             found = np.array([fingerprint(text or "") for text in rows.column(1).to_pylist()], "u8").view("i8")
             yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(found)], schema=_ARROW)
 
-    return columns(docs, id_col, text_col).mapInArrow(run, "doc_id long, fp long")
+    return columns(docs, id_col, text_col).mapInArrow(releasing(run), "doc_id long, fp long")
 
 
 def halves(fp: Column) -> Column:

@@ -27,7 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from shopmart.llm.common import columns, slices, stored
+from shopmart.llm.common import columns, releasing, slices, stored
 
 FIT_ROWS = 2500
 #: Characters of each class that a fit learns from at most (more only for a single document), and
@@ -168,7 +168,7 @@ def fit(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> Model:
 
     # At most twice fit_rows short rows, so a broadcast of them has a fixed bound.
     texts = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
-    sample = texts.mapInArrow(run, "doc_id long, toxic int, features array<array<int>>")
+    sample = texts.mapInArrow(releasing(run), "doc_id long, toxic int, features array<array<int>>")
     rows = sample.groupBy("doc_id").agg(F.max("toxic").alias("toxic"), F.min("features").alias("features")).toArrow()
     rows = rows.sort_by("doc_id")
     features = rows.column("features").combine_chunks()
@@ -196,7 +196,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             columns_ = [rows.column(0), pa.array([x[0] for x in found], pa.float64()), pa.array(spans, _ARROW.field(2).type)]
             yield pa.RecordBatch.from_arrays(columns_, schema=_ARROW)
 
-    return docs.mapInArrow(run, SCHEMA)
+    return docs.mapInArrow(releasing(run), SCHEMA)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -217,4 +217,4 @@ def keep_clean(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS, id_
             clean = [fitted.score(text or "")[0] < THRESHOLD for text in rows.column(at).to_pylist()]
             yield rows.filter(pa.array(clean, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)

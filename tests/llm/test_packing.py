@@ -10,6 +10,7 @@ from text_cases import documents, empty, frame_of
 from tokenizers import Tokenizer
 
 from shopmart.llm import bpe, packing
+from shopmart.llm.common import releasing
 
 PATH = bpe.vocabulary_path()
 LIBRARY = Tokenizer.from_file(PATH)
@@ -107,3 +108,26 @@ def test_blocks_keep_the_order():
     assert [p[0] for p in found] == sorted(p[0] for p in found)
     assert sum(p[2] for p in found) == sum(len(ids) for _, ids in docs)
     assert found[0][5] == 7 and {b[5] - a[5] for a, b in zip(found, found[1:], strict=False)} <= {0, 1}
+
+
+def resident():
+    with open("/proc/self/status") as file:
+        return next(int(line.split()[1]) for line in file if line.startswith("RssAnon")) / 1024
+
+
+def test_a_task_keeps_no_freed_pages():
+    """Workers stay for later tasks; what one has freed between blocks still in use goes back to the system."""
+    pins = []
+
+    def run(batches):
+        blocks = [bytearray(3000) for _ in range(40_000)]
+        pins.extend(blocks[:: 4000])
+        yield from batches
+
+    before = resident()
+    assert list(run(iter([1, 2]))) == [1, 2]
+    unreleased = resident() - before
+    pins.clear()
+    before = resident()
+    assert list(releasing(run)(iter([1, 2]))) == [1, 2]
+    assert resident() - before < 30, unreleased
