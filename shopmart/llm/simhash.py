@@ -15,7 +15,8 @@ leaders from large groups, and every fingerprint outside these groups meets them
 cells. A fingerprint with many links into a group nearly always meets one, so few links are left for the join of whole cells, in which the members of the largest group of a cell are not
 paired with each other. Links are kept between groups, once each, and all links that join different
 groups are found, so components are exact. Joins are plain sort-merge joins, whose skewed partitions
-adaptive execution splits; group sizes are aggregated before they are shuffled.
+adaptive execution splits; those on cells and half vectors ask for it, since Spark takes exploded rows
+to be as few as the fingerprints and would broadcast them. Group sizes are aggregated before they are shuffled.
 
 Components are found by spreading least labels with pointer jumping over distributed tables; each
 round is written to the shared folder. Nothing but row counts reaches the driver.
@@ -135,7 +136,7 @@ def leader_links(nodes: DataFrame, radius: int) -> DataFrame:
         .select("half", F.explode(F.array("least", "most")).alias("leader"))
     )
     near = (F.col("fp") != F.col("leader")) & (hamming("fp", "leader") <= radius)
-    return keyed.join(leaders, "half").where(near).select(F.col("fp").alias("a"), F.col("leader").alias("b")).distinct()
+    return keyed.join(leaders.hint("merge"), "half").where(near).select(F.col("fp").alias("a"), F.col("leader").alias("b")).distinct()
 
 
 def drawn_links(groups: DataFrame, radius: int, draws: int = DRAWS) -> DataFrame:
@@ -149,7 +150,7 @@ def drawn_links(groups: DataFrame, radius: int, draws: int = DRAWS) -> DataFrame
     leaders = leaders.select("cell", F.explode(F.array_distinct(F.array(*[f"leader{n}" for n in range(draws)]))).alias("leader"))
     leaders = leaders.select("cell", F.col("leader.fp").alias("leader"), F.col("leader.comp").alias("b")).distinct()
     asked = cells(groups.select("fp", "comp")).select("cell", "fp", F.col("comp").alias("a"))
-    met = asked.join(leaders, "cell").where((F.col("a") != F.col("b")) & (hamming("fp", "leader") <= radius))
+    met = asked.join(leaders.hint("merge"), "cell").where((F.col("a") != F.col("b")) & (hamming("fp", "leader") <= radius))
     return met.select("a", "b").distinct()
 
 
@@ -198,13 +199,13 @@ def linked_groups(groups: DataFrame, radius: int) -> DataFrame:
     )
     b = all_cells.select("cell", F.col("fp").alias("b"), F.col("comp").alias("comp_b"), F.col("step").alias("step_b"), F.col("half").alias("half_b"))
     a = all_cells.select("cell", F.col("fp").alias("a"), F.col("comp").alias("comp_a"), F.col("step").alias("step_a"), F.col("half").alias("half_a"))
-    a = a.join(large, "cell", "left").where("top_comp IS NULL OR comp_a != top_comp")
+    a = a.join(large.hint("merge"), "cell", "left").where("top_comp IS NULL OR comp_a != top_comp")
     # Two neighbours of a cell count only at distance 2: nearer pairs meet in a cell of their own.
     differ = F.col("half_a").bitwiseXOR(F.col("half_b"))
     met = (F.col("step_a") + F.col("step_b") < 2) | (differ != 0)
     once = (F.col("a") < F.col("b")) | (F.col("comp_b") == F.col("top_comp"))
     wanted = met & once & (F.col("comp_a") != F.col("comp_b")) & (hamming("a", "b") <= radius)
-    left, right = a.alias("l"), b.alias("r")
+    left, right = a.alias("l"), b.alias("r").hint("merge")
     pairs = left.join(right, (F.col("l.cell") == F.col("r.cell")) & wanted)
     return pairs.select(F.col("comp_a").alias("a"), F.col("comp_b").alias("b")).distinct()
 

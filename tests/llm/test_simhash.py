@@ -5,6 +5,7 @@ import random
 import numpy as np
 import pytest
 import xxhash
+from conftest import plan_of
 from text_cases import documents, empty, frame_of, prose
 
 from shopmart.llm import simhash
@@ -95,6 +96,15 @@ def test_a_large_group_is_still_linked_to_others(spark):
     assert found_links(simhash.drawn_links(nodes, 4)) <= expected
 
 
+def test_exploded_cells_are_never_broadcast(spark, tmp_path):
+    """Spark takes exploded rows of a stored table to be as few as the fingerprints, so plans may not go by their size."""
+    rows = [(v << 40, v % 3, 64) for v in range(64)]
+    spark.createDataFrame(rows, "fp long, comp long, size long").write.parquet(str(tmp_path / "groups"))
+    groups = spark.read.parquet(str(tmp_path / "groups"))
+    for links in (simhash.leader_links(groups.select("fp"), 4), simhash.drawn_links(groups, 4), simhash.linked_groups(groups, 4)):
+        assert "SortMergeJoin" in plan_of(links) and "Broadcast" not in plan_of(links)
+
+
 def family(n, seed=5):
     """Fingerprints 2 to 5 bits from one centre, as many texts made from one text have."""
     draw, found = random.Random(seed), set()
