@@ -19,10 +19,11 @@ after the finest level is scored exactly. Two searches follow each other:
 Before a block's rows are looked at, the extremes of its summaries bound all its rows at once; a
 block that cannot reach an anchor's least window is skipped for that anchor.
 
-Blocks are built where the rows are read. Anchors travel in batches, one copy for each block, and
-each block gives back at most k rows for each question, so what is merged in the end is k rows for
-each question and block. Batches are joined to blocks on salted keys. No task holds more than the
-rows of one Arrow batch of blocks, which Spark bounds in bytes.
+Blocks are built where the rows are read. Anchors travel in batches, one copy for each salt of the
+blocks, and each block gives back at most k rows for each question, so what is merged in the end is k
+rows for each question and block. Batches and blocks are shuffled once and meet in a join on salted
+keys, never in a broadcast. There are at most ``MOST_SALTS`` copies, so what is shuffled grows with
+the rows. A task holds the blocks of one salt, ``SALT_ROWS`` rows or a ``MOST_SALTS``-th of the index.
 
 Bounds are made in doubles and widened by more than their rounding error. Exact scores are 64-bit
 integers where they surely fit and Python integers otherwise; so every finite component takes part.
@@ -56,7 +57,8 @@ LOW, HIGH = 30, 90
 LEVELS = (1, 4, 16)
 BLOCK_ROWS = 2048
 BATCH_ANCHORS = 256
-SALTS = 64
+#: Salts of the blocks at least and at most, and the rows of the index for each salt between the two.
+SALTS, MOST_SALTS, SALT_ROWS = 64, 512, 8192
 #: Rows scored exactly at each level to raise the least score that counts, for each wanted one.
 TRIED = 2
 #: Products of two vectors are summed in 64 bits if they surely stay below this.
@@ -237,12 +239,21 @@ def _read_block(dims: int, ids: bytes, labels: bytes, vectors: bytes, means: byt
     return Block(names, np.frombuffer(labels, "<i8"), np.frombuffer(vectors, "<f8").reshape(len(names), dims), *levels)
 
 
-def _met(index: DataFrame, batches: DataFrame) -> DataFrame:
-    """Every batch beside every block of vectors of its length; salts keep the one length from being one key."""
-    salted = batches.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    places = index.select("block", "dims", F.pmod(F.xxhash64("block"), F.lit(SALTS)).cast("int").alias("salt"))
-    pairs = salted.join(places, ["dims", "salt"]).select("block", "anchors", "own_labels", "asked", "wanted")
-    return index.join(pairs, "block").select(
+def salts_of(index: DataFrame) -> int:
+    """Salts for the blocks of a stored index, from the rows in it."""
+    rows = (index.agg(F.sum(F.octet_length("ids"))).first()[0] or 0) // 8
+    return min(MOST_SALTS, max(SALTS, rows // SALT_ROWS))
+
+
+def _met(index: DataFrame, batches: DataFrame, salts: int) -> DataFrame:
+    """Every batch beside every block of vectors of its length; salts keep the one length from being one key.
+
+    The blocks of a salt lie with a task while the batches pass by. Spark takes the copies of batches to be as
+    few as the batches and would broadcast them, so the join is asked to be by sorting.
+    """
+    salted = batches.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    places = index.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(salts)).cast("int"))
+    return salted.join(places.hint("merge"), ["dims", "salt"]).select(
         "dims", "ids", "labels", "vectors", "means", "deviations", "anchors", "own_labels", "asked", "wanted"
     )
 
@@ -312,16 +323,18 @@ def hard_negatives(
     asked = rows.where("asked").groupBy("id").agg(F.min(F.struct("v", "label")).alias("least"))
     asked = stored(asked.select("id", "least.label", "least.v"), "anchors")
 
-    near = _run(_met(index, batches_of(asked.withColumn("wanted", nothing))), lambda block, some, _: (
+    salts = salts_of(index)
+    near = _run(_met(index, batches_of(asked.withColumn("wanted", nothing)), salts), lambda block, some, _: (
         (anchor, row, score, row, score) for anchor, row, score in search_positives(block, some, positives)
     ))
     order = Window.partitionBy("anchor_id").orderBy(F.desc("score"), "vec_id")
     near = near.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= positives)
     # At most ``positives`` entries an anchor.
     wanted = near.groupBy("anchor_id").agg(F.collect_set(F.struct(F.col("vec_id").alias("id"), "score")).alias("wanted"))
-    questions = asked.join(wanted, asked["id"] == wanted["anchor_id"]).select("id", "label", "v", "wanted")
+    # Anchors grow with the rows, and equal vectors take far less room stored than in memory.
+    questions = asked.join(wanted.hint("merge"), asked["id"] == wanted["anchor_id"]).select("id", "label", "v", "wanted")
 
-    far = _run(_met(index, batches_of(stored(questions, "questions"))), lambda block, some, pairs: (
+    far = _run(_met(index, batches_of(stored(questions, "questions")), salts), lambda block, some, pairs: (
         search_negatives(block, some, pairs, k, low, high)
     ))
     order = Window.partitionBy("anchor_id", "positive_id", "positive_score").orderBy(F.desc("score"), "vec_id")

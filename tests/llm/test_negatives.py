@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from conftest import plan_of
 from pyspark.sql import functions as F
 
 from shopmart.llm import negatives
@@ -81,6 +82,29 @@ def test_empty_table(spark):
     assert search(spark, []) == []
 
 
+def test_copies_of_anchors_are_never_broadcast(spark, tmp_path):
+    """Spark takes the copies to be as few as the anchors; on small stored tables it would broadcast them."""
+    df = spark.createDataFrame(vectors(1, 50, 4), SCHEMA).selectExpr("vec_id AS id", "CAST(label AS LONG) AS label", "embedding AS v")
+    negatives.build_index(df).write.parquet(str(tmp_path / "index"))
+    wanted = F.lit(None).cast("array<struct<id: bigint, score: bigint>>")
+    negatives.batches_of(df.withColumn("wanted", wanted), 5).write.parquet(str(tmp_path / "batches"))
+    index, batches = (spark.read.parquet(str(tmp_path / name)) for name in ("index", "batches"))
+    met = negatives._met(index, batches, 3)
+    assert "SortMergeJoin" in plan_of(met) and "Broadcast" not in plan_of(met)
+    assert met.count() == index.count() * batches.count()
+
+
+def test_copies_of_anchors_grow_no_further_than_their_bound(spark, monkeypatch):
+    index = spark.createDataFrame([(bytes(8 * n),) for n in (2048, 2048, 904)], "ids binary")
+    assert negatives.salts_of(index) == 64 and negatives.salts_of(index.limit(0)) == 64
+    monkeypatch.setattr(negatives, "SALT_ROWS", 50)
+    assert negatives.salts_of(index) == 100
+    monkeypatch.setattr(negatives, "SALT_ROWS", 1)
+    assert negatives.salts_of(index) == 512
+    rows = vectors(3, 80, 4)
+    assert search(spark, rows) == plain(rows)
+
+
 def test_bounds_hold_the_scores_and_narrow():
     draw = np.random.default_rng(4)
     vectors = np.floor(draw.normal(size=(200, 40)) * 300 + np.repeat(draw.normal(size=4) * 500, 10))
