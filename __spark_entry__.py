@@ -285,11 +285,12 @@ def csv_orders_dated(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _jobs(spark: SparkSession, sf_dir: str) -> str:
-    """Run the layered jobs up to Silver, below a fresh folder."""
+    """Run the layered jobs up to Silver, below a fresh folder. Nothing reads its Bronze tables after that: they are freed."""
     path = scratch_dir(spark, "lake")
     raw = {name: retail.raw_table(spark, sf_dir, name, sequence=True) for name in retail.raw_tables(spark, sf_dir)}
     bronze.ingest(spark, raw, f"{path}/bronze", enforce_contracts=False)
     silver.run(spark, f"{path}/bronze", f"{path}/silver", HASH_KEY)
+    tables.remove(spark, f"{path}/bronze")
     return path
 
 

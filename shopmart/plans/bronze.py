@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Observation, Row, SparkSession, functions as
 from shopmart.operators.contracts import RAW_CONTRACTS, check_columns, validate, with_violations
 from shopmart.operators.profile import null_counts, profile_of_counts
 from shopmart.schemas import RAW
+from shopmart.session import freed_shuffles
 from shopmart.sources import tables
 
 #: Orders the rows of a raw table by delivery, where the feed stamps it; kept, but no part of a contract.
@@ -46,7 +47,8 @@ def ingest(
         counts[name] = Row(**measured.get)
         tables.remove(spark, incoming)
 
-    tables.each(spark, raw, store)
+    with freed_shuffles(spark):
+        tables.each(spark, raw, store)
     # One row a table.
     return reduce(DataFrame.unionByName, [
         profile_of_counts(

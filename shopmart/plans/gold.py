@@ -16,6 +16,7 @@ from shopmart.operators.skew import detail_join, lookup_join
 from shopmart.plans import silver
 from shopmart.plans.hot import NO_HOT_KEYS, HotKeys
 from shopmart.schemas import FACT_COLUMNS
+from shopmart.session import freed_shuffles
 from shopmart.sources import tables
 
 UNKNOWN_MEMBER = 0
@@ -275,10 +276,11 @@ def run(
         dimensions[name] = tables.read_parquet(spark, f"{gold_path}/{name}")
         report_collisions(dimensions[name], name, fail_on_collision)
 
-    tables.each(spark, list(dimensions), store)
-    hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
-    fact = build_fato_pedidos(cleaned["orders"], cleaned["order_items"], cleaned["payments"], **dimensions, hot=hot)
-    tables.write_parquet(fact, f"{gold_path}/fato_pedidos", ("year", "month"))
+    with freed_shuffles(spark):
+        tables.each(spark, list(dimensions), store)
+        hot = HotKeys.detect(cleaned["orders"], cleaned["order_items"], cleaned["payments"])
+        fact = build_fato_pedidos(cleaned["orders"], cleaned["order_items"], cleaned["payments"], **dimensions, hot=hot)
+        tables.write_parquet(fact, f"{gold_path}/fato_pedidos", ("year", "month"))
 
 
 def read_star(spark: SparkSession, gold_path: str) -> dict[str, DataFrame]:

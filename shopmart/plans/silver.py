@@ -14,6 +14,7 @@ from shopmart.operators.profile import aggregate
 from shopmart.plans import bronze, marts
 from shopmart.plans.bronze import LOAD_SEQUENCE
 from shopmart.schemas import CLEANED
+from shopmart.session import freed_shuffles
 from shopmart.sources import tables
 
 PII = ("customer_id", "name", "email")
@@ -142,5 +143,6 @@ def run(spark: SparkSession, bronze_path: str, silver_path: str, hash_key: str)
         formats = date_votes.voted(raw[name], DATES[name]) if name in DATES else {}
         tables.write_parquet(clean(name, raw[name], hash_key, formats), f"{silver_path}/cleaned/{name}")
 
-    tables.each(spark, raw, store)
-    marts.write_all(read_cleaned(spark, silver_path), f"{silver_path}/spark")
+    with freed_shuffles(spark):
+        tables.each(spark, raw, store)
+        marts.write_all(read_cleaned(spark, silver_path), f"{silver_path}/spark")

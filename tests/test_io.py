@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import os
+import time
 from datetime import datetime
 
 import pytest
 
+import __spark_entry__ as entry
 from conftest import HASH_KEY, SMALL, only, rows
 from shopmart.operators import contracts
 from shopmart.plans import bronze, gold, marts, quality, silver
 from shopmart.schemas import CLEANED, RAW
-from shopmart.session import scratch_dir, scratch_scope
+from shopmart.session import FREE_SHUFFLES, freed_shuffles, scratch_dir, scratch_scope
 from shopmart.sources import retail, tables
 
 
@@ -195,3 +197,36 @@ def test_ingest_can_refuse_rows_off_contract(spark, tmp_path):
     raw = {"products": retail.products(spark, SMALL)}
     with pytest.raises(ValueError, match="products: .* rows break the contract"):
         bronze.ingest(spark, raw, str(tmp_path))
+
+
+def shuffle_files(spark):
+    found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {line.rsplit("/", 1)[1] for line in found.split("\n") if "/shuffle_" in line}
+
+
+def test_shuffle_files_go_with_their_write(spark, tmp_path):
+    held = shuffle_files(spark)
+    before = spark.conf.get(FREE_SHUFFLES)
+    with pytest.raises(RuntimeError), freed_shuffles(spark):
+        spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count().write.parquet(str(tmp_path / "counts"))
+        until = time.time() + 20
+        while shuffle_files(spark) - held and time.time() < until:
+            time.sleep(0.1)
+        assert not shuffle_files(spark) - held
+        raise RuntimeError
+    assert spark.conf.get(FREE_SHUFFLES) == before != "true"
+
+
+def test_layered_jobs_free_shuffles_and_their_bronze(spark, tmp_path, monkeypatch):
+    settings, write = set(), tables.write_parquet
+
+    def watched(*args, **options):
+        settings.add(spark.conf.get(FREE_SHUFFLES))
+        write(*args, **options)
+
+    monkeypatch.setattr(tables, "write_parquet", watched)
+    monkeypatch.setattr(entry, "scratch_dir", lambda *_: str(tmp_path / "lake"))
+    found = entry.gold_job(spark, SMALL)
+    assert settings == {"true"} and spark.conf.get(FREE_SHUFFLES) != "true"
+    assert sorted(os.listdir(tmp_path / "lake")) == ["gold", "silver"]
+    assert found.count() > 0
